@@ -12,6 +12,9 @@ MATCH = "MATCH"
 MISMATCH = "MISMATCH"
 TOLERANCE = "0.01"
 
+# Parts a hot order's payments are spread over.
+SPREAD = 1024
+
 
 def unpaid_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders no payment refers to.
@@ -31,22 +34,28 @@ def _difference() -> Column:
     return F.abs(F.col("order_total") - F.col("payment_amount"))
 
 
+def _spread() -> Column:
+    """Which of the SPREAD parts of its order a payment amount belongs to."""
+    return F.pmod(F.hash("payment_amount"), F.lit(SPREAD))
+
+
 def reconciled(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per order and distinct payment amount, one row per unpaid order; exact decimals.
 
     Items are summed per order before payments join, so an order with several payments keeps its
-    true total. Equal payments of an order fold into one row. Paid and unpaid orders are built
-    apart because an inner join lets AQE split either side of a hot order, and an outer join only
-    the side of the orders.
+    true total. Equal payments of an order fold into one row.
+
+    An order may have a large share of all payments. Its amounts are therefore joined on the order
+    and one of SPREAD parts. The order row is repeated only for parts that occur: once for an
+    order with one payment, at most SPREAD times for any other.
     """
     keep = ["order_date", "status"]
-    amounts = payments.select("order_id", F.col("amount").alias("payment_amount")).distinct()
-    paid = order_totals(orders, items, keep).join(amounts, "order_id")
-    unpaid = order_totals(unpaid_orders(orders, payments), items, keep).withColumn(
-        "payment_amount", F.lit(None).cast(payments.schema["amount"].dataType)
-    )
+    amounts = payments.select("order_id", F.col("amount").alias("payment_amount"))
+    parts = amounts.groupBy("order_id").agg(F.collect_set(_spread()).alias("parts"))
+    totals = order_totals(orders, items, keep).join(parts, "order_id", "left")
+    sides = totals.select("order_id", *keep, "order_total", F.explode_outer("parts").alias("part"))
     matched = _difference() < F.lit(TOLERANCE).cast("decimal(3,2)")
-    return paid.unionByName(unpaid).select(
+    return sides.join(amounts.distinct().withColumn("part", _spread()), ["order_id", "part"], "left").select(
         "order_id",
         *keep,
         "order_total",
@@ -127,11 +136,13 @@ def payments_without_orders(orders: DataFrame, payments: DataFrame) -> DataFrame
 
 
 def unmatched_counts(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """How many rows each side leaves unmatched."""
-
-    def counted(rows: DataFrame, side: str) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("unmatched")).select(F.lit(side).alias("side"), "unmatched")
-
-    return counted(unpaid_orders(orders, payments), "orders without payments").unionByName(
-        counted(orphan_payments(orders, payments), "payments without orders")
+    """How many rows each side leaves unmatched; payments are counted per order before they join."""
+    paid = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    known = orders.select("order_id")
+    unpaid = known.join(paid, "order_id", "left_anti").agg(F.count(F.lit(1)).alias("unmatched"))
+    orphans = paid.join(known, "order_id", "left_anti").agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("unmatched")
+    )
+    return unpaid.select(F.lit("orders without payments").alias("side"), "unmatched").unionByName(
+        orphans.select(F.lit("payments without orders").alias("side"), "unmatched")
     )

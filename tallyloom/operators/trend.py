@@ -165,20 +165,32 @@ def monthly_trend_calendar(monthly: DataFrame, by: Sequence[str] = ()) -> DataFr
 
 
 def trend_line(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add the least-squares line through rounded revenue at x = 0, 1, 2, ..."""
+    """Add the least-squares line through rounded revenue at x = 0, 1, 2, ...
+
+    The sums are exact decimals and only the last division is in double, so the line does not
+    depend on the order in which rows are added.
+    """
     whole = _whole(by)
-    x, y = F.col("x"), F.col("y")
+    x, y, n = F.col("x"), F.col("y"), F.col("months")
     points = monthly.select(
-        "*",
-        (F.row_number().over(_series(by)) - 1).cast("double").alias("x"),
-        rounded_revenue().cast("double").alias("y"),
+        "*", (F.row_number().over(_series(by)) - 1).cast("bigint").alias("x"), rounded_revenue().alias("y")
     )
-    return points.select(
+    sums = points.select(
         "*",
         F.count(y).over(whole).alias("months"),
-        F.regr_slope(y, x).over(whole).alias("slope"),
-        F.regr_intercept(y, x).over(whole).alias("intercept"),
-    ).withColumn("fitted", F.col("intercept") + F.col("slope") * x)
+        F.sum(x).over(whole).alias("sum_x"),
+        F.sum(x * x).over(whole).alias("sum_xx"),
+        F.sum(y).over(whole).alias("sum_y"),
+        F.sum(x * y).over(whole).alias("sum_xy"),
+    )
+    rise = n * F.col("sum_xy") - F.col("sum_x") * F.col("sum_y")
+    run = n * F.col("sum_xx") - F.col("sum_x") * F.col("sum_x")
+    slope = F.col("slope")
+    return (
+        sums.withColumn("slope", mean(rise, run))
+        .withColumn("intercept", (F.col("sum_y").cast("double") - slope * F.col("sum_x")) / n)
+        .withColumn("fitted", F.col("intercept") + slope * x)
+    )
 
 
 def trend_line_ols(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -187,7 +199,7 @@ def trend_line_ols(monthly: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return _ordered(fitted, by).select(
         *by,
         F.date_format("month_start", "yyyy-MM").alias("month"),
-        F.col("y").alias("monthly_revenue"),
+        F.col("y").cast("double").alias("monthly_revenue"),
         F.round(F.col("slope").cast("decimal(38,6)"), 4).cast("double").alias("slope"),
         F.round(F.col("intercept").cast("decimal(38,6)"), 4).cast("double").alias("intercept"),
         reported(F.col("fitted")).alias("trend_line"),

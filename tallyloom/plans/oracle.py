@@ -21,7 +21,7 @@ s_orders AS (
   FROM orders),
 s_items AS (
   SELECT l_orderkey AS order_id, l_partkey AS product_id, l_linenumber AS line_number,
-         CAST(l_quantity AS DECIMAL(12,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(15,2)) AS price
+         CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(15,2)) AS price
   FROM lineitem)"""
 
 _METHOD = "CASE priority " + " ".join(f"WHEN '{p}' THEN '{m}'" for p, m in METHOD_OF_PRIORITY.items()) + " END"
@@ -212,11 +212,18 @@ AVG_NONZERO_CHANGE = f"""{_with(SALES, MONTHLY, CALENDAR)}
 SELECT {_report(NONZERO)} AS avg_monthly_change FROM calendar"""
 
 FITTED = f"""
-points AS (SELECT month_start, month, CAST(rn - 1 AS DOUBLE) AS x, {_report('revenue')} AS y FROM lagged),
-line AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, COUNT(*) AS n FROM points)"""
+points AS (SELECT month_start, month, rn - 1 AS x, {_round('revenue')} AS y FROM lagged),
+sums AS (
+  SELECT COUNT(*) AS n, SUM(x) AS sx, SUM(x * x) AS sxx, SUM(y) AS sy, SUM(CAST(x AS DECIMAL(10,0)) * y) AS sxy
+  FROM points),
+sloped AS (
+  SELECT *, CAST(CAST(n AS DECIMAL(10,0)) * sxy - CAST(sx AS DECIMAL(10,0)) * sy AS DOUBLE)
+            / NULLIF(n * sxx - sx * sx, 0) AS slope
+  FROM sums),
+line AS (SELECT n, slope, (CAST(sy AS DOUBLE) - slope * sx) / n AS intercept FROM sloped)"""
 
 TREND_LINE_OLS = f"""{_with(SALES, MONTHLY, FITTED)}
-SELECT month, y AS monthly_revenue, {_report('slope', 4)} AS slope, {_report('intercept', 4)} AS intercept,
+SELECT month, CAST(y AS DOUBLE) AS monthly_revenue, {_report('slope', 4)} AS slope, {_report('intercept', 4)} AS intercept,
        {_report('intercept + slope * x')} AS trend_line
 FROM points, line WHERE n > 1"""
 

@@ -63,7 +63,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("line_number"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+        F.rint("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
     )
 

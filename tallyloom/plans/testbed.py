@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.revenue import order_totals
 
@@ -17,8 +18,15 @@ METHOD_OF_PRIORITY = {
 }
 
 
+# Schemas of files already read, so that a footer is read once per file and not once per query.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

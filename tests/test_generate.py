@@ -1,0 +1,146 @@
+"""Synthetic tables: reproducible, in range, and consistent with each other."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tallyloom import jobs
+from tallyloom.functions.mix import MODULUS, mixed
+from tallyloom.operators import generate, quality, reconcile
+from tallyloom.sources import warehouse
+
+
+def made(spark, customers=100, products=50, orders=400):
+    order_frame = generate.gen_orders(generate.key_range(spark, orders), customers)
+    product_frame = generate.gen_products(generate.key_range(spark, products))
+    items = generate.gen_order_items(order_frame, product_frame, products)
+    return {
+        "customers": generate.gen_customers(generate.key_range(spark, customers)),
+        "products": product_frame,
+        "orders": order_frame,
+        "order_items": items,
+        "payments": generate.gen_payments(order_frame, items),
+    }
+
+
+def reference_mix(key, salt):
+    first = ((key & MODULUS) * 16807 + (key >> 31) * 69621 + salt * 7919) % MODULUS
+    second = (first * first + salt) % MODULUS
+    return (second * 48271 + first) % MODULUS
+
+
+def test_mix_equals_plain_integers_for_large_keys(spark):
+    keys = [0, 1, 2, MODULUS - 1, MODULUS, MODULUS + 1, 10**12 + 7, 2**62]
+    frame = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    assert [r[0] for r in frame.select(mixed(F.col("k"), 31)).collect()] == [reference_mix(k, 31) for k in keys]
+
+
+def test_tables_do_not_depend_on_partitioning(spark):
+    one = generate.gen_orders(spark.range(1, 301, 1, 1), 100)
+    many = generate.gen_orders(spark.range(1, 301, 1, 7), 100)
+    assert sorted(one.collect()) == sorted(many.collect())
+
+
+def test_ranges(spark):
+    tables = made(spark)
+    orders = rows(tables["orders"])
+    assert {r["status"] for r in orders} == set(generate.ORDER_STATUSES)
+    assert all(1 <= r["customer_id"] <= 100 for r in orders)
+    assert all(generate.START_DATE <= r["order_date"] <= generate.END_DATE for r in orders)
+    assert len({(r["order_date"].year, r["order_date"].month) for r in orders}) == 24
+    products = rows(tables["products"])
+    assert all(Decimal("10.00") <= r["price"] <= Decimal("1000.00") for r in products)
+    assert {r["category"] for r in products} == set(generate.CATEGORIES)
+    assert rows(quality.fk_orphan_counts(tables)) == [
+        {"reference": r, "orphan_rows": 0, "null_rows": 0}
+        for r in (
+            "orders.customer_id -> customers.customer_id",
+            "order_items.order_id -> orders.order_id",
+            "order_items.product_id -> products.product_id",
+            "payments.order_id -> orders.order_id",
+        )
+    ]
+    assert all(r["violations"] == 0 for r in rows(quality.key_null_audit(tables)))
+
+
+def test_items(spark):
+    tables = made(spark)
+    price = {r["product_id"]: r["price"] for r in rows(tables["products"])}
+    items = rows(tables["order_items"])
+    drawn = {}
+    for r in items:
+        drawn.setdefault(r["order_id"], []).append(r["product_id"])
+        assert 1 <= r["quantity"] <= 5
+        assert abs(r["price"] / price[r["product_id"]] - 1) <= Decimal("0.1006")
+    assert set(drawn) == set(range(1, 401))
+    assert {len(p) for p in drawn.values()} == {1, 2, 3, 4, 5}
+    assert all(len(set(p)) == len(p) for p in drawn.values())
+
+
+def test_fewer_products_than_items(spark):
+    orders = generate.gen_orders(generate.key_range(spark, 200), 5)
+    items = rows(generate.gen_order_items(orders, generate.gen_products(generate.key_range(spark, 2)), 2))
+    per_order = {}
+    for r in items:
+        per_order.setdefault(r["order_id"], set()).add(r["product_id"])
+    assert max(map(len, per_order.values())) == 2
+    assert len(items) == sum(map(len, per_order.values()))
+
+
+def test_payments(spark):
+    tables = made(spark)
+    dates = {r["order_id"]: r["order_date"] for r in rows(tables["orders"])}
+    for r in rows(tables["payments"]):
+        late = (r["payment_date"] - dates[r["order_id"]]).days
+        assert 0 <= late <= 7
+        assert r["payment_date"] <= generate.END_DATE
+    counts = rows(reconcile.reconciliation_summary(tables["orders"], tables["order_items"], tables["payments"]))[0]
+    assert (counts["matching"], counts["mismatching"]) == (400, 0)
+
+
+def test_payment_of_an_order_without_items(spark):
+    tables = made(spark)
+    lone = generate.gen_payments(tables["orders"], tables["order_items"].where("order_id > 390"))
+    defaults = [r["amount"] for r in rows(lone.where("order_id <= 390"))]
+    assert all(Decimal("50.00") <= a <= Decimal("500.00") for a in defaults)
+    assert len(set(defaults)) > 300
+
+
+def test_own_date_range(spark):
+    day = datetime.date(2024, 2, 29)
+    orders = generate.gen_orders(generate.key_range(spark, 10), 3, day, day)
+    assert {r["order_date"] for r in rows(orders)} == {day}
+
+
+def test_generate_ingest_and_report(spark, tmp_path):
+    """The four jobs one after the other."""
+    csv, root, out = str(tmp_path / "csv"), str(tmp_path / "warehouse"), str(tmp_path / "out")
+    written = jobs.generate_csv(spark, csv, customers=30, products=20, orders=120)
+    assert written["orders"] == written["payments"] == 120
+    assert jobs.ingest(spark, csv, root) == written
+    tables = warehouse.read_all(spark, root)
+    fresh = made(spark, 30, 20, 120)
+    for name, frame in tables.items():
+        assert sorted(frame.collect(), key=str) == sorted(fresh[name].select(frame.columns).collect(), key=str)
+    jobs.audit(spark, root, f"{out}/audit")
+    jobs.check_payments(spark, root, f"{out}/payments")
+    jobs.report_sales(spark, root, f"{out}/sales")
+    lines = rows(spark.read.csv(f"{out}/payments/reconciliation_summary", header=True))
+    assert lines[1]["line"] == "Matching: 120 (100.0%)"
+    detail = spark.read.csv(f"{out}/sales/monthly_trend_detail", header=True)
+    assert detail.count() == 24
+    summary = rows(spark.read.csv(f"{out}/sales/monthly_summary", header=True))[0]
+    total = tables["order_items"].selectExpr("sum(quantity * price)").first()[0]
+    assert Decimal(summary["total_revenue"]) == total
+
+
+@pytest.mark.parametrize("name", ["customers", "products", "orders", "order_items", "payments"])
+def test_generated_schema_is_the_declared_one(spark, name):
+    from tallyloom.schemas import TABLES
+
+    assert [(f.name, f.dataType) for f in made(spark)[name].schema] == [
+        (f.name, f.dataType) for f in TABLES[name].schema
+    ]

@@ -6,10 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted date layouts, tried in this order. Day and month may be
-# unpadded; the year always has four digits.
+# unpadded; the year has four digits and is not zero.
 DATE_LAYOUTS = (
-    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"),
+    ("yyyy-M-d", r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"),
 )
 
 

@@ -80,9 +80,13 @@ def _report(rows: DataFrame) -> DataFrame:
 def payment_reconciliation(
     orders: DataFrame, items: DataFrame, payments: DataFrame, ordered: bool = False
 ) -> DataFrame:
-    """The reconciliation report; ``ordered`` adds the range shuffle that a sorted listing needs."""
+    """The reconciliation report.
+
+    ``ordered`` adds the range shuffle that a sorted listing needs. The amount is part of the order
+    so that the rows of one order may fall into several ranges.
+    """
     rows = _report(reconciled(orders, items, payments))
-    return rows.orderBy("order_id") if ordered else rows
+    return rows.orderBy("order_id", "payment_amount") if ordered else rows
 
 
 def mismatches(rows: DataFrame) -> DataFrame:

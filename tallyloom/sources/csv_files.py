@@ -44,44 +44,45 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def _problem(table: Table) -> Column:
-    """Why a raw row cannot load, NULL for a good row. Typed columns never accept an empty field."""
-    reasons = []
-    for field in table.schema.fields:
-        text = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
-            if not field.nullable:
-                reasons.append(F.when(text.isNull(), F.lit(f"{field.name}: missing")))
-        else:
-            bad = F.concat(F.lit(f"{field.name}: "), F.coalesce(F.concat(F.lit("bad value "), text), F.lit("missing")))
-            reasons.append(F.when(_typed(text, field.dataType).isNull(), bad))
-    return F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+def _must_hold(field: T.StructField) -> bool:
+    """Required columns, and every column that is not text: an empty number or date is an error."""
+    return not field.nullable or not isinstance(field.dataType, T.StringType)
 
 
-def _typed_columns(table: Table) -> list[Column]:
-    return [_typed(F.col(f.name), f.dataType).alias(f.name) for f in table.schema.fields]
+def _fault(field: T.StructField) -> Column:
+    """Why the raw text of a column is refused."""
+    value = F.concat(F.lit("bad value "), F.col(field.name))
+    return F.concat(F.lit(f"{field.name}: "), F.coalesce(value, F.lit("missing")))
+
+
+def _faults(table: Table) -> Column:
+    """The faults of a raw row, NULL for a good row."""
+    found = [
+        F.when(_typed(F.col(f.name), f.dataType).isNull(), _fault(f)) for f in table.schema.fields if _must_hold(f)
+    ]
+    return F.nullif(F.concat_ws("; ", *found), F.lit(""))
 
 
 def typed_strict(raw: DataFrame, table: Table, keep: list[str] | None = None) -> DataFrame:
-    """Typed rows; reading any bad row fails the query, whatever the ANSI setting."""
-    key = table.key
-    message = F.concat(F.lit(f"{table.name}: "), F.col("_problem"))
-    checked = raw.withColumn("_problem", _problem(table))
-    return checked.select(
-        F.when(F.col("_problem").isNotNull(), F.raise_error(message).cast(table.schema[key].dataType))
-        .otherwise(_typed(F.col(key), table.schema[key].dataType))
-        .alias(key),
-        *[c for f, c in zip(table.schema.fields, _typed_columns(table)) if f.name != key],
-        *(keep or []),
-    ).select(*table.schema.names, *(keep or []))
+    """Typed rows; a query that reads a bad value fails, whatever the ANSI setting."""
+
+    def column(field: T.StructField) -> Column:
+        value = _typed(F.col(field.name), field.dataType)
+        if _must_hold(field):
+            message = F.concat(F.lit(f"{table.name}: "), _fault(field))
+            value = F.coalesce(value, F.raise_error(message).cast(field.dataType))
+        return value.alias(field.name)
+
+    return raw.select(*[column(f) for f in table.schema.fields], *(keep or []))
 
 
 def split_quarantine(
     raw: DataFrame, table: Table, keep: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(typed good rows, raw bad rows with ``reason``)."""
-    checked = raw.withColumn("reason", _problem(table))
-    good = checked.where(F.col("reason").isNull()).select(*_typed_columns(table), *(keep or []))
+    checked = raw.withColumn("reason", _faults(table))
+    typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in table.schema.fields]
+    good = checked.where(F.col("reason").isNull()).select(*typed, *(keep or []))
     bad = checked.where(F.col("reason").isNotNull()).select(*table.schema.names, *(keep or []), "reason")
     return good, bad
 

@@ -45,6 +45,12 @@ def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read(spark, root, name, load) for name in TABLES}
 
 
+def register_views(spark: SparkSession, root: str) -> None:
+    """Name the tables of the last load for ``spark.sql``."""
+    for name, frame in read_all(spark, root).items():
+        frame.createOrReplaceTempView(name)
+
+
 def save_bucketed(frame: DataFrame, table: str, key: str, buckets: int) -> None:
     """Save as a catalog table bucketed and sorted by ``key``.
 

@@ -138,6 +138,12 @@ def test_strict_read_fails_without_ansi_too(spark, tmp_path):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_strict_read_fails_whichever_column_is_used(spark, tmp_path):
+    path = put(tmp_path, "products", "1,lamp,Toys,x\n2,desk,Toys,1.00\n")
+    with pytest.raises(PySparkException, match="products: price: bad value x"):
+        csv_files.read_products(spark, path).agg(F.sum("price")).collect()
+
+
 def test_csv_round_trip(spark, tmp_path):
     source = csv_files.read_table(spark, "customers", put(tmp_path, "customers", '1,"A ""b"", c",e,+1,"x\ny",Z\n'))
     out = str(tmp_path / "out.csv")
@@ -202,6 +208,22 @@ def test_failed_load_leaves_nothing_visible(spark, tmp_path):
     assert warehouse.read(spark, root, "products").first().product_name == "other"
 
 
+def test_tables_answer_sql(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    jobs.ingest(spark, put_all(tmp_path / "one"), root)
+    warehouse.register_views(spark, root)
+    found = spark.sql(
+        "SELECT date_format(o.order_date, 'yyyy-MM') AS month, SUM(i.quantity * i.price) AS revenue "
+        "FROM orders o JOIN order_items i ON o.order_id = i.order_id GROUP BY 1"
+    )
+    assert [tuple(r) for r in found.collect()] == [("2020-01", Decimal("39.98"))]
+
+
+def test_nothing_to_read_before_the_first_load(spark, tmp_path):
+    with pytest.raises(ValueError, match="no finished load"):
+        warehouse.read(spark, str(tmp_path), "orders")
+
+
 def test_ingest_with_quarantine(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     source = put_all(tmp_path / "one", orders="1,1,01/02/2020,shipped\n2,1,99/99/2020,shipped\n")

@@ -73,18 +73,17 @@ def ingest(
             bad.drop(*position).write.mode("overwrite").json(f"{root}/_quarantine/load={load}/{name}")
         else:
             typed = csv_files.typed_strict(raw, table, position)
-        counted, seen = _counted(typed, name)
-        latest = upsert.latest_by_key(counted, [table.key], position).drop(*position)
-        target = warehouse.table_path(root, name, load)
+        batch, seen = _counted(typed, name)
         if before is None:
-            latest.write.mode("overwrite").parquet(target)
+            merged = upsert.latest_by_key(batch, [table.key], position).drop(*position)
         else:
-            # The typed batch is used twice below, so it is written once instead of parsed twice.
+            # The batch is used twice below, so it is typed and written once instead of parsed twice.
             staged = f"{root}/_staging/load={load}/{name}"
-            latest.write.mode("overwrite").parquet(staged)
-            batch = spark.read.schema(table.schema).parquet(staged)
+            batch.write.mode("overwrite").parquet(staged)
             existing = warehouse.read(spark, root, name, before)
-            upsert.upsert_latest_by_key(existing, batch, [table.key]).write.mode("overwrite").parquet(target)
+            batch = spark.read.schema(batch.schema).parquet(staged)
+            merged = upsert.upsert_latest_by_key(existing, batch, [table.key], position)
+        merged.write.mode("overwrite").parquet(warehouse.table_path(root, name, load))
         rows[name] = seen.get["rows"]
     warehouse.record_load(spark, root, load)
     return rows

@@ -140,13 +140,20 @@ def payments_without_orders(orders: DataFrame, payments: DataFrame) -> DataFrame
 
 
 def unmatched_counts(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """How many rows each side leaves unmatched; payments are counted per order before they join."""
-    paid = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
-    known = orders.select("order_id")
-    unpaid = known.join(paid, "order_id", "left_anti").agg(F.count(F.lit(1)).alias("unmatched"))
-    orphans = paid.join(known, "order_id", "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("unmatched")
+    """How many rows each side leaves unmatched.
+
+    Payments are counted per order first, so one full join of unique keys answers both sides.
+    """
+    paid = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("paid"))
+    known = orders.select("order_id", F.lit(True).alias("known"))
+    counts = known.join(paid, "order_id", "full").agg(
+        F.count_if(F.col("paid").isNull()).alias("unpaid"),
+        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("paid"))), F.lit(0).cast("bigint")).alias("orphans"),
     )
-    return unpaid.select(F.lit("orders without payments").alias("side"), "unmatched").unionByName(
-        orphans.select(F.lit("payments without orders").alias("side"), "unmatched")
+
+    def side(name: str, count: str) -> Column:
+        return F.struct(F.lit(name).alias("side"), F.col(count).alias("unmatched"))
+
+    return counts.select(
+        F.inline(F.array(side("orders without payments", "unpaid"), side("payments without orders", "orphans")))
     )

@@ -6,18 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.dates import month_labels, month_start
+from tallyloom.functions.money import exact_sum
 
 
 def item_totals(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``SUM(quantity * price)`` per order that has items.
+    """``SUM(quantity * price)`` per order that has items, exact.
 
     The partial sum before the shuffle reduces an order of any size to one row per input
     partition, so one dominant order does not load one task.
     """
-    total = F.sum(F.col("quantity") * F.col("price"))
-    return items.groupBy("order_id", *by).agg(total.alias("order_total"))
+    return items.groupBy("order_id", *by).agg(_total(items).alias("order_total"))
+
+
+def _total(items: DataFrame) -> Column:
+    """A price in double is taken to its nearest cent, so that sums are exact in any order."""
+    price, quantity = F.col("price"), F.col("quantity")
+    if not isinstance(items.schema["price"].dataType, (T.DoubleType, T.FloatType)):
+        return F.sum(quantity * price)
+    known = F.nanvl(price.cast("double"), F.lit(None).cast("double"))
+    cents = F.rint(known * 100).cast("bigint") * quantity.cast("bigint")
+    return exact_sum(cents) * F.lit("0.01").cast("decimal(2,2)")
 
 
 def order_totals(orders: DataFrame, items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -20,11 +20,14 @@ def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def upsert_latest_by_key(existing: DataFrame, latest: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Replace rows of ``existing`` by ``latest``; both hold at most one row per key.
+def upsert_latest_by_key(
+    existing: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Replace rows of ``existing`` by the last row of each key in ``batch``.
 
-    Only keys of the new rows meet the existing table: a small batch is broadcast by Spark's
-    size check and the existing rows are not shuffled at all.
+    ``existing`` holds one row per key. Only the distinct keys of the batch meet it: Spark's size
+    check broadcasts them for a small batch, and the existing rows are then not shuffled at all.
     """
-    kept = existing.join(latest.select(*key), list(key), "left_anti")
+    kept = existing.join(batch.select(*key).distinct(), list(key), "left_anti")
+    latest = latest_by_key(batch, key, order)
     return kept.select(*existing.columns).unionByName(latest.select(*existing.columns))

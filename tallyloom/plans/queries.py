@@ -116,8 +116,7 @@ def upsert_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ["l_orderkey", "l_linenumber"]
     order = ["l_shipdate"] + [c for c in lines.columns if c not in [*key, "l_shipdate"]]
     shipped = upsert.latest_by_key(lines.where(F.col("l_linestatus") == "F"), key, order)
-    others = upsert.latest_by_key(lines.where(F.col("l_linestatus") != "F"), key, order)
-    merged = upsert.upsert_latest_by_key(shipped, others, key)
+    merged = upsert.upsert_latest_by_key(shipped, lines.where(F.col("l_linestatus") != "F"), key, order)
     return merged.select(
         *key, "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus",
         iso_date(F.col("l_shipdate")).alias("l_shipdate"),

@@ -66,13 +66,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items; the given table has no item id, only a line number that repeats within an order."""
+    """Items, priced in double. They have no item id, only a line number that repeats in an order."""
     return given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("line_number"),
         F.rint("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
+        F.col("l_extendedprice").alias("price"),
     )
 
 
@@ -98,22 +98,25 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     def case(status: str, priority: str) -> Column:
         return (F.col("status") == status) & (F.col("priority") == priority)
 
-    def money(text: str) -> Column:
-        return F.lit(text).cast("decimal(18,2)")
-
-    total = F.round("order_total", 2).cast("decimal(18,2)")
-    amounts = (
-        F.when(case("P", "5-LOW"), F.array().cast("array<decimal(18,2)>"))
-        .when(case("F", "4-NOT SPECIFIED"), F.array((total + money("5.00")).cast("decimal(18,2)")))
-        .when(case("P", "3-MEDIUM"), F.array((total + money("0.01")).cast("decimal(18,2)")))
-        .when(case("O", "1-URGENT"), F.array(total, money("25.00")))
-        .when(case("O", "2-HIGH"), F.array(total, total))
-        .otherwise(F.array(total))
+    def extras(*texts: str) -> Column:
+        return F.array(*[F.lit(t) for t in texts]).cast("array<decimal(18,2)>")
+
+    # One payment per element: the order total and this much more.
+    urgent = case("O", "1-URGENT")
+    more = (
+        F.when(case("P", "5-LOW"), extras())
+        .when(case("F", "4-NOT SPECIFIED"), extras("5.00"))
+        .when(case("P", "3-MEDIUM"), extras("0.01"))
+        .when(urgent, extras("0.00", "25.00"))
+        .when(case("O", "2-HIGH"), extras("0.00", "0.00"))
+        .otherwise(extras("0.00"))
     )
+    apart = urgent & (F.col("part") == 1)
+    amount = F.when(apart, F.col("more")).otherwise(F.round("order_total", 2) + F.col("more"))
     method = F.create_map(*[F.lit(v) for pair in METHOD_OF_PRIORITY.items() for v in pair])
-    return priced.select("*", F.posexplode(amounts).alias("part", "amount")).select(
+    return priced.select("*", F.posexplode(more).alias("part", "more")).select(
         (F.col("order_id") * 2 + F.col("part")).alias("payment_id"),
-        "amount",
+        amount.cast("decimal(18,2)").alias("amount"),
         F.when(case("F", "5-LOW"), -1 - F.col("order_id")).otherwise(F.col("order_id")).alias("order_id"),
         method[F.col("priority")].alias("payment_method"),
         F.date_add("order_date", 3).alias("payment_date"),

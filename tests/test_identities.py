@@ -12,9 +12,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import parse_date
-from tallyloom.functions.money import round2
+from tallyloom.functions.money import exact_sum, round2
 from tallyloom.operators import forecast, reconcile, summary, trend
-from tallyloom.operators.revenue import monthly_revenue, order_totals
+from tallyloom.operators.revenue import item_totals, monthly_revenue, order_totals
 from tallyloom.plans import testbed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -62,6 +62,28 @@ def test_rounding_is_half_away_from_zero(spark):
     assert [r[0] for r in frame.select(round2(F.col("v"))).collect()] == [cents(t) for t in texts]
 
 
+def test_exact_sum_equals_plain_integers(spark):
+    draw = random.Random(3)
+    values = [draw.choice([-1, 1]) * draw.getrandbits(draw.randint(1, 62)) for _ in range(500)]
+    values += [0, 2**62, -(2**62), 2**20, 2**20 - 1, -1]
+    frame = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "k int, v bigint")
+    found = {r.k: r.s for r in frame.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+    assert found == {k: sum(v for i, v in enumerate(values) if i % 3 == k) for k in range(3)}
+    # More than one bigint holds.
+    many = spark.range(64).select(F.lit(2**62).alias("v")).agg(exact_sum(F.col("v")))
+    assert many.first()[0] == 2**68
+
+
+def test_double_prices_sum_like_decimals(spark):
+    draw = random.Random(4)
+    data = [(n % 50, draw.randint(1, 9), round(draw.uniform(0.01, 99999.99), 2)) for n in range(2000)]
+    items = spark.createDataFrame(data, "order_id int, quantity int, price double")
+    exact = items.withColumn("price", F.col("price").cast("decimal(12,2)"))
+    assert sorted(map(tuple, item_totals(items).collect())) == sorted(map(tuple, item_totals(exact).collect()))
+    unknown = spark.createDataFrame([(1, 2, float("nan")), (1, 1, 0.1), (2, 1, None)], "order_id int, quantity int, price double")
+    assert sorted(map(tuple, item_totals(unknown).collect())) == [(1, Decimal("0.10")), (2, None)]
+
+
 def test_dates_equal_a_plain_parser(spark):
     """Random near-dates against the standard library."""
 

@@ -160,8 +160,8 @@ def test_latest_by_key_prefers_the_last_row(spark):
 
 def test_upsert_replaces_and_keeps(spark):
     existing = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    batch = spark.createDataFrame([("c", 2), ("d", 3)], "v string, k int")
-    merged = upsert.upsert_latest_by_key(existing, batch, ["k"])
+    batch = spark.createDataFrame([("x", 2, 1), ("c", 2, 2), ("d", 3, 3)], "v string, k int, n int")
+    merged = upsert.upsert_latest_by_key(existing, batch, ["k"], ["n"])
     assert sorted(map(tuple, merged.collect())) == [(1, "a"), (2, "c"), (3, "d")]
 
 

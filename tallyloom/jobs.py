@@ -60,7 +60,7 @@ def ingest(
 
     Rows replace earlier rows of the same key, the later row of a file wins, and rows absent from
     the files stay. All tables become visible together. Without ``quarantine`` a bad row fails
-    the load; with it, bad rows are written to ``<root>/_quarantine/load=N/<table>``.
+    the load; with it, bad rows are written to ``<root>/quarantine/load=N/<table>``.
     """
     before = warehouse.last_load(spark, root)
     load = 1 if before is None else before + 1
@@ -70,7 +70,7 @@ def ingest(
         position = csv_files.POSITION
         if quarantine:
             typed, bad = csv_files.split_quarantine(raw, table, position)
-            bad.drop(*position).write.mode("overwrite").json(f"{root}/_quarantine/load={load}/{name}")
+            bad.drop(*position).write.mode("overwrite").json(f"{root}/quarantine/load={load}/{name}")
         else:
             typed = csv_files.typed_strict(raw, table, position)
         batch, seen = _counted(typed, name)
@@ -78,7 +78,7 @@ def ingest(
             merged = upsert.latest_by_key(batch, [table.key], position).drop(*position)
         else:
             # The batch is used twice below, so it is typed and written once instead of parsed twice.
-            staged = f"{root}/_staging/load={load}/{name}"
+            staged = f"{root}/staging/load={load}/{name}"
             batch.write.mode("overwrite").parquet(staged)
             existing = warehouse.read(spark, root, name, before)
             batch = spark.read.schema(batch.schema).parquet(staged)

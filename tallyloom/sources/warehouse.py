@@ -20,7 +20,7 @@ def table_path(root: str, name: str, load: int) -> str:
 def last_load(spark: SparkSession, root: str) -> int | None:
     """Number of the last finished load, None before the first."""
     try:
-        log = spark.read.schema("load int").json(f"{root}/_loads")
+        log = spark.read.schema("load int").json(f"{root}/loads")
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -29,7 +29,7 @@ def last_load(spark: SparkSession, root: str) -> int | None:
 
 
 def record_load(spark: SparkSession, root: str, load: int) -> None:
-    spark.createDataFrame([(load,)], "load int").coalesce(1).write.mode("append").json(f"{root}/_loads")
+    spark.createDataFrame([(load,)], "load int").coalesce(1).write.mode("append").json(f"{root}/loads")
 
 
 def read(spark: SparkSession, root: str, name: str, load: int | None = None) -> DataFrame:

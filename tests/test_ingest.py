@@ -228,7 +228,7 @@ def test_ingest_with_quarantine(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     source = put_all(tmp_path / "one", orders="1,1,01/02/2020,shipped\n2,1,99/99/2020,shipped\n")
     assert jobs.ingest(spark, source, root, quarantine=True)["orders"] == 1
-    aside = rows(spark.read.json(f"{root}/_quarantine/load=1/orders"))
+    aside = rows(spark.read.json(f"{root}/quarantine/load=1/orders"))
     assert [(r["order_id"], r["reason"]) for r in aside] == [("2", "order_date: bad value 99/99/2020")]
 
 

@@ -16,13 +16,16 @@ from tallyloom.functions.money import mean, reported
 from tallyloom.operators.summary import nonzero_mean
 from tallyloom.operators.trend import calendar_changes, revenue, rounded_revenue
 
+# Fixed value: label of a forecast row, before its number.
+PERIOD_LABEL = "Forecast Month "
+
 
 def _steps(frame: DataFrame, first: int, horizon: int) -> DataFrame:
     return frame.withColumn("step", F.explode(F.sequence(F.lit(first), F.lit(horizon))))
 
 
 def _period() -> Column:
-    return F.concat(F.lit("Forecast Month "), F.col("step").cast("string")).alias("forecast_period")
+    return F.concat(F.lit(PERIOD_LABEL), F.col("step").cast("string")).alias("forecast_period")
 
 
 def forecast_from_max(monthly: DataFrame, by: Sequence[str] = (), horizon: int = 3) -> DataFrame:

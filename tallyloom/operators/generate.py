@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from tallyloom.functions.mix import mixed, pick, pick_int
 from tallyloom.operators.revenue import item_totals
 
-# Domains and date range of the generated tables.
+# Domains and ranges of the generated tables.
 CATEGORIES = ["Electronics", "Clothing", "Books", "Home & Kitchen", "Sports", "Toys", "Beauty", "Food"]
 PAYMENT_METHODS = ["UPI", "Card", "Wallet", "Net Banking", "Cash on Delivery"]
 ORDER_STATUSES = ["pending", "processing", "shipped", "delivered", "cancelled"]
 START_DATE = datetime.date(2006, 1, 1)
 END_DATE = datetime.date(2007, 12, 31)
+PRICE_CENTS = (1_000, 100_000)
+QUANTITY = (1, 5)
+ITEMS_PER_ORDER = (1, 5)
+PRICE_FACTOR_BASIS_POINTS = (9_000, 11_000)
+DAYS_TO_PAYMENT = (0, 7)
+DEFAULT_PAYMENT_CENTS = (5_000, 50_000)
 
 # Word lists for texts, which carry no meaning.
 FIRST_NAMES = ["Ada", "Boris", "Chen", "Dalia", "Emil", "Farah", "Goran", "Hana", "Ivo", "Jaya", "Kofi", "Lena"]
@@ -63,7 +69,7 @@ def gen_products(keys: DataFrame) -> DataFrame:
         key.alias("product_id"),
         F.concat_ws(" ", pick(key, 21, ADJECTIVES), pick(key, 22, NOUNS)).alias("product_name"),
         pick(key, 23, CATEGORIES).alias("category"),
-        _money(pick_int(key, 24, 1_000, 100_000)).alias("price"),
+        _money(pick_int(key, 24, *PRICE_CENTS)).alias("price"),
     )
 
 
@@ -88,8 +94,8 @@ def gen_order_items(
     orders: DataFrame,
     products: DataFrame,
     product_count: int | Column,
-    least: int = 1,
-    most: int = 5,
+    least: int = ITEMS_PER_ORDER[0],
+    most: int = ITEMS_PER_ORDER[1],
 ) -> DataFrame:
     """Distinct products per order, unit price within ten percent of the product's price.
 
@@ -114,12 +120,12 @@ def gen_order_items(
     )
     key = F.col("item_id")
     list_cents = F.round(F.col("price") * 100, 0).cast("bigint")
-    cents = F.floor((list_cents * pick_int(key, 45, 9_000, 11_000) + 5_000) / 10_000)
+    cents = F.floor((list_cents * pick_int(key, 45, *PRICE_FACTOR_BASIS_POINTS) + 5_000) / 10_000)
     return placed.join(products.select("product_id", "price"), "product_id").select(
         "item_id",
         "order_id",
         "product_id",
-        pick_int(key, 44, 1, 5).cast("int").alias("quantity"),
+        pick_int(key, 44, *QUANTITY).cast("int").alias("quantity"),
         _money(cents).alias("price"),
     )
 
@@ -130,8 +136,8 @@ def gen_payments(orders: DataFrame, items: DataFrame, end: datetime.date = END_D
     An order without items pays a uniform 50.00..500.00.
     """
     order = F.col("order_id")
-    default = _money(pick_int(order, 51, 5_000, 50_000), "decimal(18,2)")
-    paid_on = F.date_add("order_date", pick_int(order, 52, 0, 7).cast("int"))
+    default = _money(pick_int(order, 51, *DEFAULT_PAYMENT_CENTS), "decimal(18,2)")
+    paid_on = F.date_add("order_date", pick_int(order, 52, *DAYS_TO_PAYMENT).cast("int"))
     total = F.round("order_total", 2).cast("decimal(18,2)")
     return (
         orders.select("order_id", "order_date")

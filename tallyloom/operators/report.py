@@ -12,48 +12,85 @@ from tallyloom.functions.text import dollars, left, percent
 from tallyloom.operators.forecast import last_and_growth, projected
 from tallyloom.operators.trend import calendar_changes, revenue, rounded_revenue, trend_line
 
-# Colours of the four charts; series names and line labels stand where they are used.
+# Colours and series names of the charts, labels and column widths of printed lines.
 REVENUE_COLOUR = "#2E86AB"
 AVERAGE_COLOUR = "r"
 CHANGE_COLOUR = "blue"
 LINE_COLOUR = "orange"
 FORECAST_COLOUR = labels.GREEN
-FORECAST_NAME = "Forecast (Next 3 Months)"
+REVENUE_SERIES = "Monthly Revenue"
+AVERAGE_SERIES = "Average"
+CHANGE_SERIES = "Revenue Change"
+MEAN_CHANGE_SERIES = "Avg Change"
+HISTORY_SERIES = "Historical Revenue"
+LINE_SERIES = "Trend Line"
+FORECAST_SERIES = "Forecast (Next 3 Months)"
+PERCENT_SERIES = "Percentage Change"
+SUMMARY_LABELS = {
+    "total_months": "Total Months Analyzed",
+    "total_revenue": "Total Revenue",
+    "avg_monthly_revenue": "Average Monthly Revenue",
+    "min_monthly_revenue": "Minimum Monthly Revenue",
+    "max_monthly_revenue": "Maximum Monthly Revenue",
+    "avg_monthly_change": "Average Monthly Change",
+    "avg_percent_change": "Average % Change",
+}
+SLOPE_LABEL = "Overall Slope (Trend)"
+SLOPE_UNIT = " per month"
+DIRECTION_LABEL = "Trend Direction"
+COUNTER_LABELS = {"total_orders": "Total Orders", "matching": "Matching", "mismatching": "Mismatching"}
+WIDTHS = {
+    "month": 10,
+    "monthly_revenue": 14,
+    "order_count": 8,
+    "previous_month_revenue": 11,
+    "revenue_change": 11,
+    "percent_change": 9,
+    "trend": 12,
+    "forecast_next_month": 11,
+    "forecast_period": 20,
+    "forecasted_revenue": 19,
+    "order_id": 10,
+    "order_total": 14,
+    "payment_amount": 14,
+    "status_check": 10,
+    "difference": 11,
+}
+
+
+def _text(name: str) -> Column:
+    return left(F.col(name).cast("string"), WIDTHS[name])
+
+
+def _money(name: str, grouped: bool = False) -> Column:
+    return dollars(F.col(name), WIDTHS[name], grouped)
+
+
+def _trend_columns() -> list[Column]:
+    return [
+        _text("month"),
+        _money("monthly_revenue"),
+        _text("order_count"),
+        _money("previous_month_revenue"),
+        _money("revenue_change"),
+        percent(F.col("percent_change"), WIDTHS["percent_change"]),
+        _text("trend"),
+    ]
 
 
 def formatted_trend(detail: DataFrame) -> DataFrame:
     """One fixed-width line per month of the detailed report."""
-    return detail.select(
-        "month",
-        F.concat_ws(
-            " ",
-            left(F.col("month"), 10),
-            dollars(F.col("monthly_revenue"), 14),
-            left(F.col("order_count").cast("string"), 8),
-            dollars(F.col("previous_month_revenue"), 11),
-            dollars(F.col("revenue_change"), 11),
-            percent(F.col("percent_change"), 9),
-            left(F.col("trend"), 12),
-            dollars(F.col("forecast_next_month"), 11),
-        ).alias("line"),
-    )
+    line = F.concat_ws(" ", *_trend_columns(), _money("forecast_next_month"))
+    return detail.select("month", line.alias("line"))
 
 
 def formatted_trend_calendar(calendar: DataFrame) -> DataFrame:
     """The same without the forecast, for the calendar report."""
-    return calendar.select(
-        "month",
-        F.concat_ws(
-            " ",
-            left(F.col("month"), 10),
-            dollars(F.col("monthly_revenue"), 14),
-            left(F.col("order_count").cast("string"), 8),
-            dollars(F.col("previous_month_revenue"), 11),
-            dollars(F.col("revenue_change"), 11),
-            percent(F.col("percent_change"), 9),
-            left(F.col("trend"), 12),
-        ).alias("line"),
-    )
+    return calendar.select("month", F.concat_ws(" ", *_trend_columns()).alias("line"))
+
+
+def _labelled(label: str, value: Column) -> Column:
+    return F.concat(F.lit(label + ": "), value)
 
 
 def _lines(row: DataFrame, lines: list[Column]) -> DataFrame:
@@ -61,78 +98,69 @@ def _lines(row: DataFrame, lines: list[Column]) -> DataFrame:
     return row.select(F.posexplode(F.array(*lines)).alias("line_number", "line"))
 
 
-def _amount(label: str, value: Column) -> Column:
-    return F.concat(F.lit(label + ": "), dollars(value, grouped=True))
-
-
 def formatted_summary(summary: DataFrame) -> DataFrame:
     """Lines of a monthly summary, with the change statistics where the frame has them."""
-    lines = [
-        F.concat(F.lit("Total Months Analyzed: "), F.col("total_months").cast("string")),
-        _amount("Total Revenue", F.col("total_revenue")),
-        _amount("Average Monthly Revenue", F.col("avg_monthly_revenue")),
-        _amount("Minimum Monthly Revenue", F.col("min_monthly_revenue")),
-        _amount("Maximum Monthly Revenue", F.col("max_monthly_revenue")),
-    ]
-    if "avg_monthly_change" in summary.columns:
-        lines.append(_amount("Average Monthly Change", F.col("avg_monthly_change")))
-    if "avg_percent_change" in summary.columns:
-        lines.append(F.concat(F.lit("Average % Change: "), percent(F.col("avg_percent_change"))))
-    return _lines(summary, lines)
+
+    def shown(name: str) -> Column:
+        if name == "total_months":
+            return F.col(name).cast("string")
+        if name == "avg_percent_change":
+            return percent(F.col(name))
+        return dollars(F.col(name), grouped=True)
+
+    present = {name: label for name, label in SUMMARY_LABELS.items() if name in summary.columns}
+    return _lines(summary, [_labelled(label, shown(name)) for name, label in present.items()])
 
 
 def formatted_slope(slope: DataFrame) -> DataFrame:
     """Lines of either slope operator."""
+    mean_label = SUMMARY_LABELS["avg_monthly_revenue"]
     return _lines(
         slope,
         [
-            F.concat(_amount("Overall Slope (Trend)", F.col("overall_slope")), F.lit(" per month")),
-            _amount("Average Monthly Revenue", F.col("avg_monthly_revenue")),
-            F.concat(F.lit("Trend Direction: "), F.col("trend_direction")),
+            F.concat(_labelled(SLOPE_LABEL, dollars(F.col("overall_slope"), grouped=True)), F.lit(SLOPE_UNIT)),
+            _labelled(mean_label, dollars(F.col("avg_monthly_revenue"), grouped=True)),
+            _labelled(DIRECTION_LABEL, F.col("trend_direction")),
         ],
     )
 
 
 def formatted_forecast(forecast: DataFrame) -> DataFrame:
-    return forecast.select(
-        "forecast_period",
-        F.concat_ws(
-            " ", left(F.col("forecast_period"), 20), dollars(F.col("forecasted_revenue"), 19, grouped=True)
-        ).alias("line"),
-    )
+    line = F.concat_ws(" ", _text("forecast_period"), _money("forecasted_revenue", grouped=True))
+    return forecast.select("forecast_period", line.alias("line"))
 
 
 def formatted_reconciliation(reconciliation: DataFrame) -> DataFrame:
     """One fixed-width line per reconciled row; an unpaid order has no difference to show."""
     zero = F.lit(0.0)
-    return reconciliation.select(
+    shown = reconciliation.select(
         "order_id",
-        F.concat_ws(
-            " ",
-            left(F.col("order_id").cast("string"), 10),
-            dollars(F.coalesce("order_total", zero), 14),
-            dollars(F.coalesce("payment_amount", zero), 14),
-            left(F.col("status_check"), 10),
-            dollars(F.col("difference"), 11),
-        ).alias("line"),
+        F.coalesce("order_total", zero).alias("order_total"),
+        F.coalesce("payment_amount", zero).alias("payment_amount"),
+        "status_check",
+        "difference",
+    )
+    line = F.concat_ws(
+        " ",
+        _text("order_id"),
+        _money("order_total"),
+        _money("payment_amount"),
+        _text("status_check"),
+        _money("difference"),
     )
+    return shown.select("order_id", line.alias("line"))
 
 
 def formatted_reconciliation_summary(summary: DataFrame) -> DataFrame:
     """The three counter lines of a reconciliation."""
 
-    def counter(label: str, name: str) -> Column:
-        share = percent(F.col(f"{name}_percent"), places=1)
-        return F.concat(F.lit(label + ": "), F.col(name).cast("string"), F.lit(" ("), share, F.lit(")"))
+    def shown(name: str) -> Column:
+        count = F.col(name).cast("string")
+        if f"{name}_percent" not in summary.columns:
+            return count
+        return F.concat(count, F.lit(" ("), percent(F.col(f"{name}_percent"), places=1), F.lit(")"))
 
-    return _lines(
-        summary,
-        [
-            F.concat(F.lit("Total Orders: "), F.col("total_orders").cast("string")),
-            counter("Matching", "matching"),
-            counter("Mismatching", "mismatching"),
-        ],
-    )
+    return _lines(summary, [_labelled(label, shown(name)) for name, label in COUNTER_LABELS.items()])
 
 
 def _point(panel: int, series: str, date: Column, value: Column, colour: Column | str) -> Column:
@@ -171,13 +199,13 @@ def chart_series(monthly: DataFrame, horizon: int = 3) -> DataFrame:
     history = annotated.select(
         F.inline(
             F.array(
-                _point(1, "Monthly Revenue", at, revenue(), REVENUE_COLOUR),
-                _point(1, "Average", at, F.col("mean_revenue"), AVERAGE_COLOUR),
-                _point(2, "Revenue Change", at, change, labels.sign_colour(change)),
-                _point(2, "Avg Change", at, F.col("mean_change"), CHANGE_COLOUR),
-                _point(3, "Historical Revenue", at, revenue(), REVENUE_COLOUR),
-                _point(3, "Trend Line", at, fitted, LINE_COLOUR),
-                _point(4, "Percentage Change", at, F.col("change_percent"), labels.sign_colour(F.col("change_percent"))),
+                _point(1, REVENUE_SERIES, at, revenue(), REVENUE_COLOUR),
+                _point(1, AVERAGE_SERIES, at, F.col("mean_revenue"), AVERAGE_COLOUR),
+                _point(2, CHANGE_SERIES, at, change, labels.sign_colour(change)),
+                _point(2, MEAN_CHANGE_SERIES, at, F.col("mean_change"), CHANGE_COLOUR),
+                _point(3, HISTORY_SERIES, at, revenue(), REVENUE_COLOUR),
+                _point(3, LINE_SERIES, at, fitted, LINE_COLOUR),
+                _point(4, PERCENT_SERIES, at, F.col("change_percent"), labels.sign_colour(F.col("change_percent"))),
             )
         )
     ).where(F.col("value").isNotNull())
@@ -188,7 +216,7 @@ def chart_series(monthly: DataFrame, horizon: int = 3) -> DataFrame:
         .select(
             F.inline(
                 F.array(
-                    _point(3, FORECAST_NAME, F.add_months("last_start", F.col("step")), projected(), FORECAST_COLOUR)
+                    _point(3, FORECAST_SERIES, F.add_months("last_start", F.col("step")), projected(), FORECAST_COLOUR)
                 )
             )
         )

@@ -278,7 +278,7 @@ UNION ALL SELECT 3, 'Historical Revenue', month_date, revenue, '{report.REVENUE_
 UNION ALL SELECT 3, 'Trend Line', month_date, fitted, '{report.LINE_COLOUR}' FROM history WHERE n > 1
 UNION ALL SELECT 4, 'Percentage Change', month_date, percent, {_colour('percent')} FROM history
 UNION ALL
-SELECT 3, '{report.FORECAST_NAME}', strftime(last_start + to_months(CAST(k AS INTEGER)), '%Y-%m-%d'),
+SELECT 3, '{report.FORECAST_SERIES}', strftime(last_start + to_months(CAST(k AS INTEGER)), '%Y-%m-%d'),
        {_report('start + growth * k')}, '{report.FORECAST_COLOUR}'
 FROM last_month, range(0, 4) AS ks(k)"""
 

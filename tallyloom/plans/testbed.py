@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tallyloom.operators.revenue import order_totals
@@ -31,51 +30,61 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their nation as country. The given table has no contact columns."""
-    nation = given(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    key = F.col("c_custkey").cast("string")
+    nation = given(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     return (
         given(spark, sf_dir, "customer")
         .join(nation, "c_nationkey", "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.concat(F.lit("customer"), key, F.lit("@example.com")).alias("email"),
-            F.concat(F.lit("+1-555-"), key).alias("phone_number"),
-            F.col("c_mktsegment").alias("city"),
-            F.col("n_name").alias("country"),
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS customer_name",
+            "concat('customer', c_custkey, '@example.com') AS email",
+            "concat('+1-555-', c_custkey) AS phone_number",
+            "c_mktsegment AS city",
+            "n_name AS country",
         )
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
+    return given(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "CAST(p_retailprice AS decimal(12,2)) AS price",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("o_orderstatus").alias("status"),
+    return given(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS date) AS order_date",
+        "o_orderstatus AS status",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items, priced in double. They have no item id, only a line number that repeats in an order."""
-    return given(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.rint("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
+    return given(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "l_linenumber AS line_number",
+        "CAST(rint(l_quantity) AS int) AS quantity",
+        "l_extendedprice AS price",
     )
 
 
+# What an order's payments add to its total, one payment per element.
+PAID_MORE = """
+CAST(CASE
+  WHEN status = 'P' AND priority = '5-LOW' THEN array()
+  WHEN status = 'F' AND priority = '4-NOT SPECIFIED' THEN array('5.00')
+  WHEN status = 'P' AND priority = '3-MEDIUM' THEN array('0.01')
+  WHEN status = 'O' AND priority = '1-URGENT' THEN array('0.00', '25.00')
+  WHEN status = 'O' AND priority = '2-HIGH' THEN array('0.00', '0.00')
+  ELSE array('0.00') END AS array<decimal(18,2)>)"""
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments that follow from every order's total, status and priority; none are given.
 
@@ -84,42 +93,22 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     an extra 25.00 apart, open high ones pay twice. All others pay their total, pending medium ones
     one cent more.
     """
-    priced = order_totals(
-        given(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("o_orderstatus").alias("status"),
-            F.col("o_orderpriority").alias("priority"),
-        ),
-        order_items(spark, sf_dir),
-        ["order_date", "status", "priority"],
-    )
-
-    def case(status: str, priority: str) -> Column:
-        return (F.col("status") == status) & (F.col("priority") == priority)
-
-    def extras(*texts: str) -> Column:
-        return F.array(*[F.lit(t) for t in texts]).cast("array<decimal(18,2)>")
-
-    # One payment per element: the order total and this much more.
-    urgent = case("O", "1-URGENT")
-    more = (
-        F.when(case("P", "5-LOW"), extras())
-        .when(case("F", "4-NOT SPECIFIED"), extras("5.00"))
-        .when(case("P", "3-MEDIUM"), extras("0.01"))
-        .when(urgent, extras("0.00", "25.00"))
-        .when(case("O", "2-HIGH"), extras("0.00", "0.00"))
-        .otherwise(extras("0.00"))
+    placed = given(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "CAST(o_orderdate AS date) AS order_date",
+        "o_orderstatus AS status",
+        "o_orderpriority AS priority",
     )
-    apart = urgent & (F.col("part") == 1)
-    amount = F.when(apart, F.col("more")).otherwise(F.round("order_total", 2) + F.col("more"))
-    method = F.create_map(*[F.lit(v) for pair in METHOD_OF_PRIORITY.items() for v in pair])
-    return priced.select("*", F.posexplode(more).alias("part", "more")).select(
-        (F.col("order_id") * 2 + F.col("part")).alias("payment_id"),
-        amount.cast("decimal(18,2)").alias("amount"),
-        F.when(case("F", "5-LOW"), -1 - F.col("order_id")).otherwise(F.col("order_id")).alias("order_id"),
-        method[F.col("priority")].alias("payment_method"),
-        F.date_add("order_date", 3).alias("payment_date"),
+    priced = order_totals(placed, order_items(spark, sf_dir), ["order_date", "status", "priority"])
+    paid = priced.selectExpr("*", f"posexplode({PAID_MORE}) AS (part, more)")
+    methods = ", ".join(f"'{priority}', '{method}'" for priority, method in METHOD_OF_PRIORITY.items())
+    return paid.selectExpr(
+        "order_id * 2 + part AS payment_id",
+        "CAST(if(status = 'O' AND priority = '1-URGENT' AND part = 1, more, round(order_total, 2) + more) "
+        "AS decimal(18,2)) AS amount",
+        "if(status = 'F' AND priority = '5-LOW', -1 - order_id, order_id) AS order_id",
+        f"map({methods})[priority] AS payment_method",
+        "date_add(order_date, 3) AS payment_date",
     )
 
 

@@ -62,6 +62,7 @@ def ingest(
     the files stay. All tables become visible together. Without ``quarantine`` a bad row fails
     the load; with it, bad rows are written to ``<root>/quarantine/load=N/<table>``.
     """
+    warehouse.prepare(spark, root)
     before = warehouse.last_load(spark, root)
     load = 1 if before is None else before + 1
     rows = {}

@@ -111,7 +111,8 @@ def gen_order_items(
             "slot"
         ),
     )
-    step = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in STEPS]), pick_int(order, 43, 1, len(STEPS)).cast("int"))
+    steps = F.array(*[F.lit(s).cast("bigint") for s in STEPS])
+    step = F.element_at(steps, pick_int(order, 43, 1, len(STEPS)).cast("int"))
     item = order * most + F.col("slot") - most
     placed = drawn.select(
         item.alias("item_id"),

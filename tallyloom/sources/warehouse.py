@@ -17,6 +17,11 @@ def table_path(root: str, name: str, load: int) -> str:
     return f"{root}/{name}/load={load}"
 
 
+def prepare(spark: SparkSession, root: str) -> None:
+    """Start an empty log of loads where there is none."""
+    spark.createDataFrame([], "load int").write.mode("ignore").json(f"{root}/loads")
+
+
 def last_load(spark: SparkSession, root: str) -> int | None:
     """Number of the last finished load, None before the first."""
     try:

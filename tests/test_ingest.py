@@ -153,7 +153,8 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_latest_by_key_prefers_the_last_row(spark):
-    frame = spark.createDataFrame([(1, 1, "old"), (1, 2, "new"), (2, 1, "only"), (3, 5, "a"), (3, 4, "b")], "k int, n int, v string")
+    data = [(1, 1, "old"), (1, 2, "new"), (2, 1, "only"), (3, 5, "a"), (3, 4, "b")]
+    frame = spark.createDataFrame(data, "k int, n int, v string")
     found = upsert.latest_by_key(frame, ["k"], ["n"])
     assert {r.k: r.v for r in found.collect()} == {1: "new", 2: "only", 3: "a"}
 

@@ -133,6 +133,7 @@ def test_hot_order_against_brute_force(spark):
         for order in totals
         for amount in (amounts[order] or {None})
     }
-    found = [(r["order_id"], r["payment_amount"], r["status_check"]) for r in rows(reconcile.reconciled(orders, items, payments))]
+    result = rows(reconcile.reconciled(orders, items, payments))
+    found = [(r["order_id"], r["payment_amount"], r["status_check"]) for r in result]
     assert len(found) == len(set(found))
     assert set(found) == expected

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
@@ -94,6 +95,17 @@ def test_columns_go_by_header_name(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_other_column_order_are_not_misread(spark, tmp_path, multi_line):
+    """One folder takes its columns from one header; a file that differs fails instead of shifting."""
+    folder = tmp_path / "products.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("product_id,product_name,category,price\n1,lamp,Toys,2.00\n")
+    (folder / "b.csv").write_text("price,category,product_name,product_id\n3.00,Toys,desk,2\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="[ab].csv"):
+        csv_files.read_products(spark, str(folder), multi_line).collect()
+
+
 def test_missing_column_fails(spark, tmp_path):
     with pytest.raises(AnalysisException):
         csv_files.read_products(spark, put(tmp_path, "products", "1,x\n", "product_id,product_name"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime settings that hold at any data size. Nothing here is sized to a machine:
@@ -29,24 +27,12 @@ def get_session(app_name: str = "tallyloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
-
-    A local folder is used only where the setting is absent and the master is local.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder of the warehouse if that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tallyloom-")
-    return _LOCAL_SCRATCH[app]
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyloom-scratch"
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

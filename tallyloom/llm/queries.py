@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import mixing
+from tallyloom.llm import mixing, neardup
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -17,6 +17,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Banding(shingle=3, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }

@@ -115,7 +115,7 @@ def mix(
     docs: DataFrame,
     seed: str = "mix",
     block_words: int = 32,
-    shard_words: int = 4_000_000,
+    shard_words: int = 500_000,
     weights=WEIGHTS,
     share: float = 1.5,
     most: int = 2,

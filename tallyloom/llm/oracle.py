@@ -31,7 +31,7 @@ quotients AS (
   FROM targets, unnest(generate_series(1, 1 + ceil(target / 32)::BIGINT + 200)) AS ks(k)),
 quotas AS (
   SELECT source, any_value(source_size) AS source_size, any_value(target) AS target,
-    count(*) FILTER (place <= seats) AS quota, greatest(ceil(any_value(source_size) / 4e6), 1)::BIGINT AS shards
+    count(*) FILTER (place <= seats) AS quota, greatest(ceil(any_value(source_size) / 5e5), 1)::BIGINT AS shards
   FROM quotients GROUP BY source),
 placed AS (
   SELECT s.doc_id, s.source, s.size, source_size, target, quota,

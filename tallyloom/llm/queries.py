@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, neardup
+from tallyloom.llm import lines, mixing, neardup, pieces, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -17,11 +18,35 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_repeated(docs)
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Banding(shingle=3, percent=85))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether decoding them gives the text again."""
+    v = pieces.load()
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), v)
+    return pieces.decode(encoded, v).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_pieces"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_toxicity": op4_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
 }

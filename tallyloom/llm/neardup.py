@@ -138,71 +138,137 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
 
 
-def _pairs(banding: Banding, per: str):
-    """Candidate pairs within blocks of one half key.
+@dataclass
+class _Block:
+    """The rows of one block pair of one half key."""
+
+    rep: np.ndarray
+    comp: np.ndarray
+    size: np.ndarray
+    half: np.ndarray
+    sketch: np.ndarray
+    place: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    @classmethod
+    def of(cls, group: pa.RecordBatch, m: int) -> _Block:
+        low, high = group.column(1)[0].as_py(), group.column(2)[0].as_py()
+        side, place, rep, comp, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6, 7))
+        code = np.frombuffer(b"".join(group.column(8).to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
+        half = np.ascontiguousarray(code[:, : 8 * m]).view(np.uint32)
+        return cls(
+            rep, comp, size, half, code[:, 8 * m :], place, np.flatnonzero(side == low), np.flatnonzero(side == high)
+        )
 
-    A pair counts in the first A_i that it shares and if it shares a B_j. ``per``: 'row' gives the best pair of
-    each row, 'component' the best of each row with each other component, 'all' every pair.
-    """
-    m = banding.halves
+    def candidates(self, banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of rows of different components, each in the first A_i that it shares and only if it shares a
+        B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes."""
+        m, rep, comp, size = banding.halves, self.rep, self.comp, self.size
+        right, out = self.right, []
+        within = len(self.left) == len(right) and (self.left == right).all()
+        for at in range(0, len(self.left), 64):
+            rows = self.left[at : at + 64]
+            ok = comp[rows][:, None] != comp[right][None, :]
+            if within:
+                ok &= rep[rows][:, None] < rep[right][None, :]
+            a, b = size[rows][:, None], size[right][None, :]
+            ok &= 100 * np.minimum(a, b) >= banding.percent * np.maximum(a, b)
+            i, j = np.nonzero(ok)
+            i, j = rows[i], right[j]
+            shared = self.half[i, :m] == self.half[j, :m]
+            good = (shared.argmax(axis=1) == self.place[i]) & (self.half[i, m:] == self.half[j, m:]).any(axis=1)
+            i, j = i[good], j[good]
+            equal = (self.sketch[i] == self.sketch[j]).sum(axis=1)
+            good = equal >= banding.least_equal
+            out.append((i[good], j[good], equal[good]))
+        return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
+
+
+def _pair_batch(x: list[np.ndarray], y: list[np.ndarray], equal: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in (x, y, equal)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "equal"])
+
+
+def _best_pairs(banding: Banding):
+    """The likeliest partner in another component of each row of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, ...]] = []
-
-        def flush():
-            x, y, equal = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
-            out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x.astype(np.int64)), pa.array(y.astype(np.int64)), pa.array(equal.astype(np.int64))],
-                names=["x", "y", "equal"],
-            )
+        x, y, score, held = [], [], [], 0
+        for group in _groups(batches, 3):
+            if group.num_rows < 2:
+                continue
+            block = _Block.of(group, banding.halves)
+            i, j, equal = block.candidates(banding)
+            one, two, both = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
+            order = np.lexsort((block.rep[two], -both, block.rep[one]))
+            one, two, both = one[order], two[order], both[order]
+            new = np.ones(len(one), dtype=bool)
+            new[1:] = one[1:] != one[:-1]
+            x.append(block.rep[one][new])
+            y.append(block.rep[two][new])
+            score.append(both[new])
+            held += len(x[-1])
+            if held > 50_000:
+                yield _pair_batch(x, y, score)
+                x, y, score, held = [], [], [], 0
+        yield _pair_batch(x, y, score)
+
+    return run
 
+
+def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs (i, j): through products of 0/1 matrices if pairs are many."""
+    if len(i) < 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j, strict=True)])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count[column] > 1
+    owner, column = owner[several], column[several]
+    renumber = np.cumsum(count > 1) - 1
+    column = renumber[column]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, int((count > 1).sum()), 8192):
+        a, b = np.searchsorted(column, [at, at + 8192])
+        part = np.zeros((len(sets), 8192), dtype=np.float32)
+        part[owner[a:b], column[a:b] - at] = 1
+        total += part @ part.T
+    return total[i, j].astype(np.int64)
+
+
+def _spanning_links(banding: Banding):
+    """Links between components in a block, all its candidate pairs held against whole sets; links that join
+    what earlier ones have joined are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
             if group.num_rows < 2:
                 continue
-            low, high = group.column(1)[0].as_py(), group.column(2)[0].as_py()
-            side, place, rep, comp, size = (
-                group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6, 7)
+            block = _Block.of(group, banding.halves)
+            i, j, _ = block.candidates(banding)
+            if not len(i):
+                continue
+            sets = [_unpack(s.as_py()) for s in group.column(9)]
+            both = _common(sets, i, j)
+            good = 100 * both >= banding.percent * (block.size[i] + block.size[j] - both)
+            above: dict[int, int] = {}
+
+            def top(c: int) -> int:
+                while c in above:
+                    c = above[c]
+                return c
+
+            links = []
+            for a, b in zip(i[good].tolist(), j[good].tolist(), strict=True):
+                p, q = top(int(block.comp[a])), top(int(block.comp[b]))
+                if p != q:
+                    above[max(p, q)] = min(p, q)
+                    links.append((int(block.rep[a]), int(block.rep[b])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in links], pa.int64()), pa.array([k[1] for k in links], pa.int64())], names=["x", "y"]
             )
-            code = np.frombuffer(b"".join(group.column(8).to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
-            half = np.ascontiguousarray(code[:, : 8 * m]).view(np.uint32)
-            sketch = code[:, 8 * m :]
-            left = np.flatnonzero(side == low)
-            right = np.flatnonzero(side == high)
-            for at in range(0, len(left), 64):
-                rows = left[at : at + 64]
-                ok = (rep[rows][:, None] < rep[right][None, :]) if low == high else (
-                    rep[rows][:, None] != rep[right][None, :]
-                )
-                ok &= comp[rows][:, None] != comp[right][None, :]
-                a, b = size[rows][:, None], size[right][None, :]
-                ok &= 100 * np.minimum(a, b) >= banding.percent * np.maximum(a, b)
-                i, j = np.nonzero(ok)
-                i, j = rows[i], right[j]
-                shared = half[i, :m] == half[j, :m]
-                good = (shared.argmax(axis=1) == place[i]) & (half[i, m:] == half[j, m:]).any(axis=1)
-                i, j = i[good], j[good]
-                equal = (sketch[i] == sketch[j]).sum(axis=1)
-                good = equal >= banding.least_equal
-                i, j, equal = i[good], j[good], equal[good]
-                if not len(i):
-                    continue
-                if per == "all":
-                    out.append((np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), equal))
-                    continue
-                one, two, score = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
-                order = np.lexsort((rep[two], -score, comp[two], rep[one])) if per == "component" else np.lexsort(
-                    (rep[two], -score, rep[one])
-                )
-                one, two, score = one[order], two[order], score[order]
-                new = np.ones(len(one), dtype=bool)
-                new[1:] = one[1:] != one[:-1]
-                if per == "component":
-                    new[1:] |= comp[two][1:] != comp[two][:-1]
-                out.append((rep[one][new], rep[two][new], score[new]))
-            if sum(len(o[0]) for o in out) > 50_000:
-                yield flush()
-        yield flush()
 
     return run
 
@@ -243,14 +309,49 @@ def _confirm(percent: int):
     return run
 
 
+def _blocks(spots: DataFrame, leaders: DataFrame, comps: DataFrame, sets: DataFrame | None, banding: Banding) -> DataFrame:
+    """Rows of half keys that several components share, dealt to pairs of blocks and sorted by them.
+
+    A key's rows fall into blocks of bounded size, and a row goes to the pairs of its block with every other, so a hot key is
+    many bounded tasks.
+    """
+    placed = (
+        spots.join(leaders.select("rep", "n_shingles", "code"), "rep")
+        .join(comps, "rep", "left")
+        .withColumn("comp", F.coalesce("comp", "rep"))
+    )
+    if sets is not None:
+        placed = placed.join(sets.select("rep"), "rep", "left_semi")
+    groups = (
+        placed.groupBy("head")
+        .agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+        .where("members > 1 AND least <> most")
+        .select("head", F.ceil(F.col("members") / banding.block).alias("blocks"))
+    )
+    placed = placed.join(groups, "head")
+    placed = placed.withColumn("names", F.lit(None).cast("binary")) if sets is None else placed.join(sets, "rep")
+    return (
+        placed.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "head",
+            F.least("side", "other").alias("low"),
+            F.greatest("side", "other").alias("high"),
+            "side", "place", "rep", "comp", "n_shingles", "code", "names",
+        )
+        .repartition("head", "low", "high")
+        .sortWithinPartitions("head", "low", "high")
+    )
+
+
 def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
 
     Rows of equal shingle sets are one class, known by its smallest doc_id. Classes are linked if the
     intersection of their sets has at least ``percent`` of the union. ``component_id`` is the smallest
-    doc_id reachable. Three rounds look for links: from each class to its likeliest partner, then to the
-    likeliest of each other component that shares a half key, then all candidate pairs between
-    components; pairs inside a component need no check, and none between components is left out.
+    doc_id reachable. Two rounds hold each class against its likeliest partner in another component; then all
+    candidate pairs between components are held against each other, block by block. Pairs inside a component
+    need no check, and none between components is left out.
 
     Null, empty and word-free texts have 0 shingles, are linked with nothing and stay; so do
     rows without a doc_id, whose component is null. Rows that repeat a doc_id follow their own text. An empty
@@ -270,44 +371,15 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
 
     comps = leaders.select("rep", F.col("rep").alias("comp")).limit(0)
     links = tested = sets = None
-    for per in ("row", "component", "all"):
-        placed = spots.join(leaders.select("rep", "n_shingles", "code"), "rep")
-        if links is None:
-            placed = placed.withColumn("comp", F.col("rep"))
-        else:
-            placed = placed.join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-            # only texts of the first round have a partner at all
-            placed = placed.join(sets.select("rep"), "rep", "left_semi")
-        groups = (
-            placed.groupBy("head")
-            .agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-            .where("members > 1 AND least <> most")
-            .select("head", F.ceil(F.col("members") / banding.block).alias("blocks"))
-        )
-        blocked = (
-            placed.join(groups, "head")
-            .withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .select(
-                "head",
-                F.least("side", "other").alias("low"),
-                F.greatest("side", "other").alias("high"),
-                "side", "place", "rep", "comp", "n_shingles", "code",
-            )
-        )
-        found = (
-            blocked.repartition("head", "low", "high")
-            .sortWithinPartitions("head", "low", "high")
-            .mapInArrow(_pairs(banding, per), "x bigint, y bigint, equal bigint")
-        )
-        if per == "row":
-            best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
-            found = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
-        pairs = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        pairs = stored(pairs, "pairs")
+    for _ in range(2):
+        blocks = _blocks(spots, leaders, comps, sets, banding).drop("names")
+        found = blocks.mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
+        best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
+        pairs = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
+        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if sets is None:
+            # a text without a partner now has none later, so these are all the sets there is need of
             needed = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
             texts = source.join(needed, "doc_id", "left_semi")
             sets = stored(texts.mapInArrow(_set_rows(banding), "rep bigint, names binary"), "sets")
@@ -323,6 +395,11 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         new = checked.where("linked").select("x", "y")
         links = new if links is None else links.unionByName(new)
         comps = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
+    if links is not None:
+        blocks = _blocks(spots, leaders, comps, sets, banding)
+        new = stored(blocks.mapInArrow(_spanning_links(banding), "x bigint, y bigint"), "links")
+        if not new.isEmpty():
+            comps = components(links.unionByName(new)).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
     component = F.coalesce("comp", "rep", "doc_id")
     return (
         features.select("doc_id", "n_shingles", "signature")

@@ -17,14 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame, written once as Parquet to the shared folder and read back.
+def stored(frame: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """The frame, written once as Parquet to the shared folder, in parts by ``partitions``, and read back.
 
     It is computed once, its lineage ends there, and a lost executor costs no more than its tasks.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    frame.write.parquet(path)
+    frame.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

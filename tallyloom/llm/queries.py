@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import lines, mixing, neardup, pieces, toxicity
+from tallyloom.llm import katz, lines, mixing, neardup, pieces, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
 
+def op1_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz(table(spark, sf_dir, "documents")).scores
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
     mixed = mixing.mix(stored(sizes, "sizes"))
@@ -44,6 +48,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_katz_score": op1_katz_score,
     "op2_mix_sources": op2_mix_sources,
     "op4_toxicity": op4_toxicity,
     "op6_line_dedup": op6_line_dedup,

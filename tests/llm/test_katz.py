@@ -1,0 +1,125 @@
+"""The model against a plain version over dictionaries, and its probabilities' sums."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tallyloom.llm.katz import RESERVE, Settings, good_turing, katz
+from tallyloom.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def tokens_of(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lowered) + [("end",)]
+
+
+def held(doc, n=10):
+    return zlib.crc32(b"" if doc is None else str(doc).encode()) % n == 0
+
+
+class Brute:
+    def __init__(self, rows, order, cutoff=5):
+        self.order, self.cutoff = order, cutoff
+        self.grams = [Counter() for _ in range(order + 1)]
+        self.context = Counter()
+        for doc, text in rows:
+            if held(doc):
+                continue
+            seq = [("start",)] + tokens_of(text)
+            for i in range(1, len(seq)):
+                for n in range(1, order + 1):
+                    if i - n + 1 >= 0:
+                        gram = tuple(seq[i - n + 1 : i + 1])
+                        self.grams[n][gram] += 1
+                        self.context[gram[:-1]] += 1
+        self.factor = [None]
+        for n in range(1, order + 1):
+            found = Counter(self.grams[n].values())
+            self.factor.append(good_turing([found[r] for r in range(1, cutoff + 2)], cutoff))
+        self.following = {}
+        for n in range(2, order + 1):
+            for g in self.grams[n]:
+                self.following.setdefault(g[:-1], []).append(g[-1])
+        self.n = sum(self.grams[1].values())
+        self.unseen = 1 - sum(self.reduced(1, c) for c in self.grams[1].values()) / self.n
+
+    def reduced(self, n, c):
+        return self.factor[n][c] * c if c <= self.cutoff else c - RESERVE
+
+    def p(self, gram):
+        n = len(gram)
+        c = self.grams[n][gram]
+        if n == 1:
+            return self.reduced(1, c) / self.n if c else self.unseen
+        if c:
+            return self.reduced(n, c) / self.context[gram[:-1]]
+        return self.alpha(gram[:-1]) * self.p(gram[1:])
+
+    def alpha(self, h):
+        if h not in self.following:
+            return 1.0
+        seen = [h + (w,) for w in self.following[h]]
+        return (1 - sum(self.p(g) for g in seen)) / (1 - sum(self.p(g[1:]) for g in seen))
+
+    def score(self, text):
+        seq = [("start",)] + tokens_of(text)
+        return sum(math.log10(self.p(tuple(seq[max(0, i - self.order + 1) : i + 1]))) for i in range(1, len(seq)))
+
+
+def agrees(rows, got, order):
+    brute = Brute(rows, order)
+    vocabulary = len(brute.grams[1])
+    want = []
+    for doc, text in rows:
+        ts = tokens_of(text)
+        counts = [brute.grams[1][t,] for t in ts]
+        base = sum(math.log10((c + 0.1) / (brute.n + 0.1 * (vocabulary + 1))) for c in counts)
+        want.append((doc or -1, held(doc), len(ts), sum(c > 0 for c in counts), brute.n, base, brute.score(text)))
+    have = [
+        (r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got.collect()
+    ]
+    assert len(have) == len(want)
+    for a, b in zip(sorted(have), sorted(want), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+    return brute
+
+
+def random_rows(n=60):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(25)]
+    rows = [(i, " ".join(rng.choice(words[: rng.randrange(2, 26)]) for _ in range(rng.randrange(30)))) for i in range(n)]
+    return rows + [(100, "a b a b a b " * 20), (101, None), (102, ""), (103, "New words only"), (None, "w1 w2"), (7, "w1 W2")]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_equals_plain_version(spark, docs, order):
+    rows = random_rows()
+    settings = Settings(order=order, chunk_tokens=60, bucket_keys=40)
+    brute = agrees(rows, katz(docs(*rows), settings).scores, order)
+    everything = [g[0] for g in brute.grams[1]] + ["unknown word"]
+    for h in list(brute.following)[:80]:
+        assert sum(brute.p(h + (w,)) for w in everything) == pytest.approx(1, abs=1e-9)
+
+
+def test_query_equals_plain_version(spark, sf_dir, documents):
+    got = QUERIES["op1_katz_score"](spark, sf_dir)
+    agrees(list(documents.items()), got, 2)
+    sums = got.where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert sums["sum(score)"] > sums["sum(base_score)"]
+
+
+def test_odd_tables(spark, docs):
+    assert katz(docs((1, "")).limit(0)).scores.count() == 0
+    only_held = [d for d in range(1000) if held(d)][:2]
+    got = katz(docs((only_held[0], "a b"), (only_held[1], None))).scores.collect()
+    assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.score) for r in got) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+    long = "x y z " * 300_000
+    got = katz(docs((1, long), (2, long))).scores.collect()
+    assert all(r.n_tokens == 900_001 for r in got)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import katz, lines, mixing, neardup, pieces, toxicity
+from tallyloom.llm import katz, lines, mixing, neardup, pieces, substrings, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -47,6 +47,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(table(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_score": op1_katz_score,
     "op2_mix_sources": op2_mix_sources,
@@ -54,4 +58,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_substring_dedup": op10_substring_dedup,
 }

@@ -63,7 +63,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(column: pa.Array, lower: bool) -> Words:
     """The words of a text column; ``lower`` turns A-Z into a-z first."""
-    data, bounds = text_bytes(column)
+    return words_in(*text_bytes(column), lower)
+
+
+def words_in(data: np.ndarray, bounds: np.ndarray, lower: bool) -> Words:
+    """The words of texts that lie end to end in ``data``, text d from ``bounds[d]`` to ``bounds[d + 1]``."""
     if lower:
         data = _LOWER[data]
     inside = ~_SPACE[data]

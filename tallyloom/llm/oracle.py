@@ -58,4 +58,17 @@ SELECT l.doc_id, l.size, l.source_size, l.target,
 FROM lined l LEFT JOIN shard_quotas s ON l.source IS NOT DISTINCT FROM s.source AND l.shard = s.shard
 """
 
-ORACLES = {"op2_mix_sources": OP2}
+OP3 = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, len(embedding) AS dims FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM usable q JOIN usable c ON q.dims = c.dims AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES = {"op2_mix_sources": OP2, "op3_nearest": OP3}

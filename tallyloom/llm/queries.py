@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import katz, lines, mixing, neardup, pieces, substrings, toxicity
+from tallyloom.llm import katz, lines, mixing, nearest, neardup, pieces, substrings, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -54,6 +58,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_score": op1_katz_score,
     "op2_mix_sources": op2_mix_sources,
+    "op3_nearest": op3_nearest,
     "op4_toxicity": op4_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import katz, lines, mixing, nearest, neardup, pieces, substrings, toxicity
+from tallyloom.llm import katz, lines, mixing, nearest, neardup, pieces, secrets, substrings, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -35,6 +35,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_repeated(docs)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Banding(shingle=3, percent=85))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest": op3_nearest,
     "op4_toxicity": op4_toxicity,
     "op6_line_dedup": op6_line_dedup,
+    "op7_secrets": op7_secrets,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,

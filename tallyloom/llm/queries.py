@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import katz, lines, mixing, nearest, neardup, pieces, secrets, substrings, toxicity
+from tallyloom.llm import katz, lines, mixing, nearest, neardup, outliers, pieces, secrets, substrings, toxicity
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -30,6 +30,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return outliers.quality_rules(docs).drop("lang", "source")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.remove_repeated(docs)
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_nearest": op3_nearest,
     "op4_toxicity": op4_toxicity,
+    "op5_quality_outliers": op5_quality_outliers,
     "op6_line_dedup": op6_line_dedup,
     "op7_secrets": op7_secrets,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,

@@ -25,11 +25,25 @@ def mixed(key: Column, salt: int) -> Column:
     return (second * 48271 + first) % MODULUS
 
 
-def pick_int(key: Column, salt: int, low: int, high: int | Column) -> Column:
-    """Uniform integer in low..high, both included."""
+# Salt of the second draw of a wide number.
+WIDE = 1_000
+
+
+def wide(key: Column, salt: int) -> Column:
+    """Spread a key over 62 bits: two draws of 31 bits, joined."""
+    return mixed(key, salt) * 2_147_483_648 + mixed(key, salt + WIDE)
+
+
+def pick_int(key: Column, salt: int, low: int, high: int) -> Column:
+    """Uniform integer in low..high, both included, for ranges far below 2**31."""
     return mixed(key, salt) % (high - low + 1) + low
 
 
+def pick_wide(key: Column, salt: int, low: int, high: int | Column) -> Column:
+    """Uniform integer in low..high, both included, for ranges far below 2**62."""
+    return wide(key, salt) % (high - low + 1) + low
+
+
 def pick(key: Column, salt: int, values: list[str]) -> Column:
     """Uniform choice from a small literal list."""
     options = F.array(*[F.lit(v) for v in values])

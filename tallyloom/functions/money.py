@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def round2(value: Column) -> Column:
-    """Two places, half away from zero, as a decimal.
+    """Two places, half away from zero, as a decimal; rounded once, from the full value.
 
-    The decimal cast comes first: a double such as 18165.005 is slightly below the tie in
-    binary, and its decimal text is what a reader rounds.
+    Spark rounds a double by its decimal text: 18165.005 is slightly below the tie in binary, and
+    its text is what a reader rounds.
     """
-    return F.round(value.cast("decimal(38,6)"), 2)
+    return F.round(value, 2).cast("decimal(38,2)")
 
 
 def reported(value: Column) -> Column:

@@ -10,9 +10,11 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyloom.functions.mix import mixed, pick, pick_int
+from tallyloom.functions.mix import pick, pick_int, pick_wide, wide
 from tallyloom.operators.revenue import item_totals
+from tallyloom.schemas import AMOUNT, PRICE
 
 # Domains and ranges of the generated tables.
 CATEGORIES = ["Electronics", "Clothing", "Books", "Home & Kitchen", "Sports", "Toys", "Beauty", "Food"]
@@ -43,7 +45,7 @@ def key_range(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1)
 
 
-def _money(cents: Column, kind: str = "decimal(12,2)") -> Column:
+def _money(cents: Column, kind: T.DecimalType = PRICE) -> Column:
     return (cents.cast("decimal(16,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
 
 
@@ -84,7 +86,7 @@ def gen_orders(
     offset = pick_int(key, 32, 0, (end - start).days).cast("int")
     return keys.select(
         key.alias("order_id"),
-        pick_int(key, 31, 1, customers).alias("customer_id"),
+        pick_wide(key, 31, 1, customers).alias("customer_id"),
         F.date_add(F.lit(start), offset).alias("order_date"),
         pick(key, 33, ORDER_STATUSES).alias("status"),
     )
@@ -117,7 +119,7 @@ def gen_order_items(
     placed = drawn.select(
         item.alias("item_id"),
         "order_id",
-        ((mixed(order, 42) + F.col("slot") * step) % F.col("n") + 1).alias("product_id"),
+        ((wide(order, 42) + F.col("slot") * step) % F.col("n") + 1).alias("product_id"),
     )
     key = F.col("item_id")
     list_cents = F.round(F.col("price") * 100, 0).cast("bigint")
@@ -137,9 +139,9 @@ def gen_payments(orders: DataFrame, items: DataFrame, end: datetime.date = END_D
     An order without items pays a uniform 50.00..500.00.
     """
     order = F.col("order_id")
-    default = _money(pick_int(order, 51, *DEFAULT_PAYMENT_CENTS), "decimal(18,2)")
+    default = _money(pick_int(order, 51, *DEFAULT_PAYMENT_CENTS), AMOUNT)
     paid_on = F.date_add("order_date", pick_int(order, 52, *DAYS_TO_PAYMENT).cast("int"))
-    total = F.round("order_total", 2).cast("decimal(18,2)")
+    total = F.round("order_total", 2).cast(AMOUNT)
     return (
         orders.select("order_id", "order_date")
         .join(item_totals(items), "order_id", "left")

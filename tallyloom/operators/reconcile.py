@@ -45,17 +45,27 @@ def reconciled(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
     Items are summed per order before payments join, so an order with several payments keeps its
     true total. Equal payments of an order fold into one row.
 
-    An order may have a large share of all payments. Its amounts are therefore joined on the order
-    and one of SPREAD parts. The order row is repeated only for parts that occur: once for an
-    order with one payment, at most SPREAD times for any other.
+    Payments fold to their least and greatest amount per order; where the two agree, as for nearly
+    all orders, the row is finished. Orders with several amounts may have a large share of all
+    payments: these are joined on the order and one of SPREAD parts, and the order row is
+    repeated only for parts that occur, at most SPREAD times.
     """
     keep = ["order_date", "status"]
     amounts = payments.select("order_id", F.col("amount").alias("payment_amount"))
-    parts = amounts.groupBy("order_id").agg(F.collect_set(_spread()).alias("parts"))
-    totals = order_totals(orders, items, keep).join(parts, "order_id", "left")
-    sides = totals.select("order_id", *keep, "order_total", F.explode_outer("parts").alias("part"))
+    ends = amounts.groupBy("order_id").agg(F.min("payment_amount").alias("least"), F.max("payment_amount").alias("most"))
+    several = F.col("least") < F.col("most")
+    totals = order_totals(orders, items, keep).join(ends, "order_id", "left")
+    settled = totals.where(several.isNull() | ~several).select(
+        "order_id", *keep, "order_total", F.col("least").alias("payment_amount")
+    )
+    # Payments are the left side, which AQE can split.
+    mixed = amounts.join(ends.where(several).select("order_id"), "order_id", "left_semi")
+    mixed = mixed.withColumn("part", _spread()).distinct()
+    sides = totals.where(several).select("order_id", *keep, "order_total")
+    sides = sides.join(mixed.select("order_id", "part").distinct(), "order_id")
+    spread = sides.join(mixed, ["order_id", "part"]).select("order_id", *keep, "order_total", "payment_amount")
     matched = _difference() < F.lit(TOLERANCE).cast("decimal(3,2)")
-    return sides.join(amounts.distinct().withColumn("part", _spread()), ["order_id", "part"], "left").select(
+    return settled.unionByName(spread).select(
         "order_id",
         *keep,
         "order_total",
@@ -114,7 +124,7 @@ def outcome_counts(rows: DataFrame) -> DataFrame:
 
     def share(name: str) -> Column:
         ratio = F.col(name).cast("double") / F.nullif("total_orders", F.lit(0).cast("bigint")) * 100
-        return F.round(ratio.cast("decimal(38,6)"), 1).cast("double")
+        return F.round(ratio, 1)
 
     return counts.select(
         "*",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +57,11 @@ WIDTHS = {
     "payment_amount": 14,
     "status_check": 10,
     "difference": 11,
+    "payment_id": 12,
+    "amount": 14,
 }
+UNPAID_LABEL = "Total orders without payments"
+ORPHAN_LABEL = "Total orphan payments"
 
 
 def _text(name: str) -> Column:
@@ -78,27 +84,27 @@ def _trend_columns() -> list[Column]:
     ]
 
 
-def formatted_trend(detail: DataFrame) -> DataFrame:
+def formatted_trend(detail: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One fixed-width line per month of the detailed report."""
     line = F.concat_ws(" ", *_trend_columns(), _money("forecast_next_month"))
-    return detail.select("month", line.alias("line"))
+    return detail.select(*by, "month", line.alias("line"))
 
 
-def formatted_trend_calendar(calendar: DataFrame) -> DataFrame:
+def formatted_trend_calendar(calendar: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The same without the forecast, for the calendar report."""
-    return calendar.select("month", F.concat_ws(" ", *_trend_columns()).alias("line"))
+    return calendar.select(*by, "month", F.concat_ws(" ", *_trend_columns()).alias("line"))
 
 
 def _labelled(label: str, value: Column) -> Column:
     return F.concat(F.lit(label + ": "), value)
 
 
-def _lines(row: DataFrame, lines: list[Column]) -> DataFrame:
-    """Several numbered lines from a one-row frame."""
-    return row.select(F.posexplode(F.array(*lines)).alias("line_number", "line"))
+def _lines(row: DataFrame, lines: list[Column], by: Sequence[str] = ()) -> DataFrame:
+    """Several numbered lines from a frame of one row, or one row for each of ``by``."""
+    return row.select(*by, F.posexplode(F.array(*lines)).alias("line_number", "line"))
 
 
-def formatted_summary(summary: DataFrame) -> DataFrame:
+def formatted_summary(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Lines of a monthly summary, with the change statistics where the frame has them."""
 
     def shown(name: str) -> Column:
@@ -109,10 +115,10 @@ def formatted_summary(summary: DataFrame) -> DataFrame:
         return dollars(F.col(name), grouped=True)
 
     present = {name: label for name, label in SUMMARY_LABELS.items() if name in summary.columns}
-    return _lines(summary, [_labelled(label, shown(name)) for name, label in present.items()])
+    return _lines(summary, [_labelled(label, shown(name)) for name, label in present.items()], by)
 
 
-def formatted_slope(slope: DataFrame) -> DataFrame:
+def formatted_slope(slope: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Lines of either slope operator."""
     mean_label = SUMMARY_LABELS["avg_monthly_revenue"]
     return _lines(
@@ -122,12 +128,37 @@ def formatted_slope(slope: DataFrame) -> DataFrame:
             _labelled(mean_label, dollars(F.col("avg_monthly_revenue"), grouped=True)),
             _labelled(DIRECTION_LABEL, F.col("trend_direction")),
         ],
+        by,
     )
 
 
-def formatted_forecast(forecast: DataFrame) -> DataFrame:
+def formatted_forecast(forecast: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     line = F.concat_ws(" ", _text("forecast_period"), _money("forecasted_revenue", grouped=True))
-    return forecast.select("forecast_period", line.alias("line"))
+    return forecast.select(*by, "forecast_period", line.alias("line"))
+
+
+def formatted_mismatches(mismatches: DataFrame) -> DataFrame:
+    """One fixed-width line per mismatch; an unpaid order has no difference to show."""
+    line = F.concat_ws(" ", _text("order_id"), _money("order_total"), _money("payment_amount"), _money("difference"))
+    return mismatches.select("order_id", line.alias("line"))
+
+
+def _counted(rows: DataFrame, line: Column, label: str) -> DataFrame:
+    """A line for each row and one with their number; ``kind`` tells them apart."""
+    total = rows.agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.lit("row").alias("kind"), line.alias("line")).unionByName(
+        total.select(F.lit("total").alias("kind"), _labelled(label, F.col("n").cast("string")).alias("line"))
+    )
+
+
+def formatted_unpaid(unpaid: DataFrame) -> DataFrame:
+    """Lines of the orders without payments, and their number."""
+    return _counted(unpaid, F.concat_ws(" ", _text("order_id"), _money("order_total")), UNPAID_LABEL)
+
+
+def formatted_orphans(orphans: DataFrame) -> DataFrame:
+    """Lines of the payments without orders, and their number."""
+    return _counted(orphans, F.concat_ws(" ", _text("payment_id"), _text("order_id"), _money("amount")), ORPHAN_LABEL)
 
 
 def formatted_reconciliation(reconciliation: DataFrame) -> DataFrame:

@@ -22,13 +22,17 @@ def item_totals(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _total(items: DataFrame) -> Column:
-    """A price in double is taken to its nearest cent, so that sums are exact in any order."""
+    """A price in double is taken to its nearest millionth, so that sums are exact in any order.
+
+    A price that is not a number fails the query: no total could be right.
+    """
     price, quantity = F.col("price"), F.col("quantity")
     if not isinstance(items.schema["price"].dataType, (T.DoubleType, T.FloatType)):
         return F.sum(quantity * price)
-    known = F.nanvl(price.cast("double"), F.lit(None).cast("double"))
-    cents = F.rint(known * 100).cast("bigint") * quantity.cast("bigint")
-    return exact_sum(cents) * F.lit("0.01").cast("decimal(2,2)")
+    price = price.cast("double")
+    known = F.when(F.isnan(price), F.raise_error(F.lit("price: not a number")).cast("double")).otherwise(price)
+    millionths = F.rint(known * 1_000_000).cast("bigint") * quantity.cast("bigint")
+    return exact_sum(millionths) * F.lit("0.000001").cast("decimal(6,6)")
 
 
 def order_totals(orders: DataFrame, items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

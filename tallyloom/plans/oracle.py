@@ -7,7 +7,7 @@ year and month, outer joins with IS NULL), so they check the rewrites the operat
 from __future__ import annotations
 
 from tallyloom.functions import labels
-from tallyloom.functions.mix import MODULUS
+from tallyloom.functions.mix import MODULUS, WIDE
 from tallyloom.operators import generate as g
 from tallyloom.operators import report
 from tallyloom.plans.testbed import METHOD_OF_PRIORITY
@@ -79,7 +79,8 @@ def _with(*parts: str) -> str:
 
 
 def _round(expression: str, places: int = 2) -> str:
-    return f"ROUND(CAST({expression} AS DECIMAL(38,6)), {places})"
+    # nine places tell a tie from its neighbours among doubles
+    return f"ROUND(CAST({expression} AS DECIMAL(38,9)), {places})"
 
 
 def _report(expression: str, places: int = 2) -> str:
@@ -403,7 +404,7 @@ READ_ORDERS = f"""{_with(SALES)}
 SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, status FROM s_orders"""
 
 READ_ORDER_ITEMS = """
-SELECT l_orderkey * 10 + l_linenumber AS item_id, l_orderkey AS order_id, l_partkey AS product_id,
+SELECT l_orderkey * 1000000 + l_linenumber AS item_id, l_orderkey AS order_id, l_partkey AS product_id,
        CAST(l_quantity AS INTEGER) AS quantity, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS price
 FROM lineitem"""
 
@@ -494,6 +495,10 @@ def _mixed(key: str, salt: int) -> str:
     return f"(({second} * 48271 + {first}) % {MODULUS})"
 
 
+def _wide(key: str, salt: int) -> str:
+    return f"({_mixed(key, salt)} * 2147483648 + {_mixed(key, salt + WIDE)})"
+
+
 def _int(key: str, salt: int, low: int, high: int | str) -> str:
     return f"({_mixed(key, salt)} % ({high} - {low} + 1) + {low})"
 
@@ -515,7 +520,7 @@ m_products AS (
 
 MADE_ORDERS = f"""
 m_orders AS (
-  SELECT id AS order_id, {_int('id', 31, 1, '(SELECT COUNT(*) FROM customer)')} AS customer_id,
+  SELECT id AS order_id, {_wide('id', 31)} % (SELECT COUNT(*) FROM customer) + 1 AS customer_id,
          DATE '2006-01-01' + CAST({_int('id', 32, 0, 729)} AS INTEGER) AS order_date,
          {_pick('id', 33, g.ORDER_STATUSES)} AS status
   FROM (SELECT o_orderkey + 1 AS id FROM orders))"""
@@ -529,7 +534,7 @@ m_drawn AS (
   FROM m_orders, (SELECT COUNT(*) AS n FROM part)),
 m_placed AS (
   SELECT order_id * 5 + slot - 5 AS item_id, order_id,
-         ({_mixed('order_id', 42)} + slot * {_STEP}) % n + 1 AS product_id
+         ({_wide('order_id', 42)} + slot * {_STEP}) % n + 1 AS product_id
   FROM m_drawn),
 m_items AS (
   SELECT item_id, order_id, product_id, CAST({_int('item_id', 44, 1, 5)} AS INTEGER) AS quantity,
@@ -564,7 +569,101 @@ SELECT order_id AS payment_id,
                 '%Y-%m-%d') AS payment_date
 FROM m_orders LEFT JOIN totals USING (order_id)"""
 
+MONTHLY_NET_REVENUE = f"""{_with(SALES)},
+net AS (
+  SELECT l_orderkey AS order_id,
+         CAST(l_quantity AS INTEGER) * CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS paid
+  FROM lineitem)
+SELECT strftime(order_date, '%Y-%m') AS month, strftime(order_date, '%Y') AS year, strftime(order_date, '%m') AS month_num,
+       CAST(SUM(paid) AS DOUBLE) AS total_revenue, COUNT(DISTINCT order_id) AS order_count
+FROM s_orders JOIN net USING (order_id) GROUP BY ALL"""
+
+# Lines of a product file by the last digit of the key: 1 a quoted break, 2 a field too many, 3 one too few,
+# 4 more places than a price holds, 5 three places.
+DIRTY = """
+WITH dirty AS (
+  SELECT p_partkey AS product_id, p_partkey % 10 AS kind, p_name, p_type,
+         CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price
+  FROM part)"""
+
+READ_DIRTY_GOOD = f"""{DIRTY}
+SELECT product_id, p_name || CASE WHEN kind = 1 THEN chr(10) || 'second "line"' ELSE '' END AS product_name,
+       p_type AS category, CAST(price || CASE WHEN kind = 5 THEN '9' ELSE '' END AS DOUBLE) AS price
+FROM dirty WHERE kind NOT IN (2, 3, 4)"""
+
+READ_DIRTY_QUARANTINE = f"""{DIRTY}
+SELECT CAST(product_id AS VARCHAR) AS product_id,
+       CASE kind WHEN 2 THEN 'wrong number of fields: ' || product_id || ',"' || p_name || '",' || p_type || ',' || price || ',surplus'
+                 WHEN 3 THEN 'wrong number of fields: ' || product_id || ',"' || p_name || '",' || p_type
+                 ELSE 'price: bad value ' || price || '0000001' END AS reason
+FROM dirty WHERE kind IN (2, 3, 4)"""
+
+FORMATTED_FORECAST_LAST = f"""{_with(SALES, MONTHLY, CALENDAR, LAST)},
+forecast AS (
+  SELECT 'Forecast Month ' || k AS forecast_period, {_report('start + growth * k')} AS forecasted_revenue
+  FROM last_month, range(1, 4) AS ks(k))
+SELECT forecast_period, printf('%-20s $', forecast_period) ||
+       rpad(printf('%,.2f', forecasted_revenue), 19, ' ') AS line
+FROM forecast"""
+
+FORMATTED_RANGE_SLOPE = f"""{_with(SALES, MONTHLY)},
+ranged AS (
+  SELECT {_report(RANGE_SLOPE)} AS slope, {_report('CAST(SUM(revenue) AS DOUBLE) / NULLIF(COUNT(*), 0)')} AS mean_revenue,
+         {_sign(RANGE_SLOPE, *_DIRECTION)} AS direction
+  FROM lagged)
+SELECT CAST(i AS INTEGER) AS line_number, CASE i
+         WHEN 0 THEN printf('Overall Slope (Trend): $%,.2f per month', slope)
+         WHEN 1 THEN printf('Average Monthly Revenue: $%,.2f', mean_revenue)
+         ELSE 'Trend Direction: ' || direction END AS line
+FROM ranged, range(0, 3) AS lines(i)"""
+
+FORMATTED_SUMMARY_NONZERO = f"""{_with(SALES, MONTHLY, CALENDAR)},
+summary AS (SELECT {STATISTICS} FROM monthly),
+moved AS (SELECT {_report(NONZERO)} AS mean_change FROM calendar)
+SELECT CAST(i AS INTEGER) AS line_number, CASE i
+         WHEN 0 THEN 'Total Months Analyzed: ' || total_months
+         WHEN 1 THEN printf('Total Revenue: $%,.2f', total_revenue)
+         WHEN 2 THEN printf('Average Monthly Revenue: $%,.2f', avg_monthly_revenue)
+         WHEN 3 THEN printf('Minimum Monthly Revenue: $%,.2f', min_monthly_revenue)
+         WHEN 4 THEN printf('Maximum Monthly Revenue: $%,.2f', max_monthly_revenue)
+         ELSE printf('Average Monthly Change: $%,.2f', mean_change) END AS line
+FROM summary, moved, range(0, 6) AS lines(i)"""
+
+FORMATTED_MISMATCHES = f"""{_with(SALES, PAYMENTS, RECONCILED)}
+SELECT order_id, printf('%-10s $%-14.2f $%-14.2f ', CAST(order_id AS VARCHAR),
+         CAST(order_total AS DOUBLE), CAST(COALESCE(payment_amount, 0) AS DOUBLE)) ||
+       COALESCE(printf('$%-11.2f', CAST(difference AS DOUBLE)), rpad('N/A', 12, ' ')) AS line
+FROM reconciled WHERE status_check = 'MISMATCH'"""
+
+FORMATTED_UNPAID = f"""{_with(SALES, PAYMENTS)},
+unpaid AS (
+  SELECT o.order_id, CAST(COALESCE(SUM(i.quantity * i.price), 0) AS DOUBLE) AS order_total
+  FROM s_orders o LEFT JOIN s_items i ON i.order_id = o.order_id LEFT JOIN s_payments p ON p.order_id = o.order_id
+  WHERE p.payment_id IS NULL GROUP BY o.order_id)
+SELECT 'row' AS kind, printf('%-10s $%-14.2f', CAST(order_id AS VARCHAR), order_total) AS line FROM unpaid
+UNION ALL SELECT 'total', 'Total orders without payments: ' || COUNT(*) FROM unpaid"""
+
+FORMATTED_ORPHANS = f"""{_with(SALES, PAYMENTS)},
+orphans AS (
+  SELECT p.payment_id, p.order_id, CAST(p.amount AS DOUBLE) AS amount
+  FROM s_payments p LEFT JOIN s_orders o ON o.order_id = p.order_id WHERE o.order_id IS NULL)
+SELECT 'row' AS kind,
+       printf('%-12s %-10s $%-14.2f', CAST(payment_id AS VARCHAR), CAST(order_id AS VARCHAR), amount) AS line
+FROM orphans
+UNION ALL SELECT 'total', 'Total orphan payments: ' || COUNT(*) FROM orphans"""
+
 ORACLES: dict[str, str] = {
+    "monthly_net_revenue": MONTHLY_NET_REVENUE,
+    "read_dirty_good": READ_DIRTY_GOOD,
+    "read_dirty_good_split": READ_DIRTY_GOOD,
+    "read_dirty_quarantine": READ_DIRTY_QUARANTINE,
+    "read_dirty_quarantine_split": READ_DIRTY_QUARANTINE,
+    "formatted_forecast_last": FORMATTED_FORECAST_LAST,
+    "formatted_range_slope": FORMATTED_RANGE_SLOPE,
+    "formatted_summary_nonzero": FORMATTED_SUMMARY_NONZERO,
+    "formatted_mismatches": FORMATTED_MISMATCHES,
+    "formatted_unpaid": FORMATTED_UNPAID,
+    "formatted_orphans": FORMATTED_ORPHANS,
     "monthly_trend_detail": MONTHLY_TREND_DETAIL,
     "monthly_trend_alt": MONTHLY_TREND_ALT,
     "monthly_trend_calendar": MONTHLY_TREND_CALENDAR,

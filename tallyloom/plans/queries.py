@@ -5,14 +5,14 @@ Money leaves as double and dates as ISO text, so that other engines compare like
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions.dates import iso_date, parse_date
+from tallyloom.functions.dates import iso_date
 from tallyloom.operators import forecast, generate, quality, reconcile, report, summary, trend, upsert
 from tallyloom.operators.revenue import monthly_revenue, monthly_revenue_report, order_totals
 from tallyloom.plans import testbed
@@ -57,7 +57,7 @@ def _through_csv(name: str, source: Callable[[SparkSession, str], DataFrame]) ->
     """Write a whole table as CSV files to the shared folder, then read it back typed."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = scratch_path(spark, "csv", f"{zlib.crc32(sf_dir.encode()):08x}", f"{name}.csv")
+        path = scratch_path(spark, "csv", uuid.uuid4().hex, f"{name}.csv")
         csv_files.write_table(source(spark, sf_dir), name, path)
         return _portable(csv_files.read_table(spark, name, path))
 
@@ -68,10 +68,10 @@ def _items_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items under the declared schema; the id is made of order and line number."""
     lines = testbed.given(spark, sf_dir, "lineitem")
     return lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
+        (F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.rint("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
     )
 
@@ -213,10 +213,55 @@ def _made(source: Query) -> Query:
 
 
 def ingest_payments_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment dates as unpadded text, parsed back."""
+    """Payments as raw text with the date in both layouts, typed."""
     paid = testbed.payments(spark, sf_dir)
-    text = paid.withColumn("payment_date", F.date_format("payment_date", "M/d/yyyy"))
-    return _portable(text.withColumn("payment_date", parse_date(F.col("payment_date"))))
+    layout = F.when(F.col("payment_id") % 2 == 0, F.date_format("payment_date", "M/d/yyyy"))
+    raw = paid.withColumn("payment_date", layout.otherwise(iso_date(F.col("payment_date"))))
+    raw = raw.select(*[F.col(c).cast("string").alias(c) for c in TABLES["payments"].schema.names])
+    return _portable(csv_files.typed_strict(raw, TABLES["payments"]))
+
+
+# --- files with bad rows ---
+
+
+def _dirty_products(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Lines of a product file with quoted breaks, surplus and missing fields, and too many places, by key."""
+    part = testbed.given(spark, sf_dir, "part")
+    price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    broken = F.concat(F.lit('"'), F.col("p_name"), F.lit('\nsecond ""line"""'))
+    kind = F.col("p_partkey") % 10
+    name = F.when(kind == 1, broken).otherwise(F.concat(F.lit('"'), F.col("p_name"), F.lit('"')))
+    price = F.when(kind == 4, F.concat(price, F.lit("0000001"))).when(kind == 5, F.concat(price, F.lit("9"))).otherwise(price)
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), name, F.col("p_type"), price)
+    line = F.when(kind == 2, F.concat(line, F.lit(",surplus"))).when(
+        kind == 3, F.concat_ws(",", F.col("p_partkey").cast("string"), name, F.col("p_type"))
+    ).otherwise(line)
+    header = ",".join(TABLES["products"].schema.names)
+    part.select(F.struct(line.alias(header)).alias("row")).select("row.*").write.csv(
+        path, header=True, quote="\u0000", emptyValue="", sep="\u0001"
+    )
+
+
+def _read_dirty(bad_rows: bool, multi_line: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "csv", uuid.uuid4().hex, "products.csv")
+        _dirty_products(spark, sf_dir, path)
+        raw = csv_files.read_raw(spark, TABLES["products"], path, multi_line)
+        good, bad = csv_files.split_quarantine(raw, TABLES["products"])
+        return bad.select("product_id", "reason") if bad_rows else _portable(good)
+
+    return query
+
+
+def monthly_net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly series on discounted prices, which have parts of a cent."""
+    lines = testbed.given(spark, sf_dir, "lineitem")
+    items = lines.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.rint("l_quantity").cast("int").alias("quantity"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price"),
+    )
+    return monthly_revenue_report(monthly_revenue(testbed.orders(spark, sf_dir), items))
 
 
 QUERIES: dict[str, Query] = {
@@ -224,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "monthly_trend_alt": _on_months(trend.monthly_trend_alt),
     "monthly_trend_calendar": _on_months(trend.monthly_trend_calendar),
     "monthly_revenue": _on_months(monthly_revenue_report),
+    "monthly_net_revenue": monthly_net_revenue,
     "monthly_with_previous": _on_months(trend.monthly_with_previous),
     "monthly_moving_avg": _on_months(trend.monthly_moving_avg),
     "monthly_summary": _on_months(summary.monthly_summary),
@@ -243,6 +289,20 @@ QUERIES: dict[str, Query] = {
     "formatted_summary": _on_months(lambda m: report.formatted_summary(summary.monthly_change_summary(m))),
     "formatted_slope": _on_months(lambda m: report.formatted_slope(summary.trend_endpoint_slope(m))),
     "formatted_forecast": _on_months(lambda m: report.formatted_forecast(forecast.forecast_from_max(m))),
+    "formatted_forecast_last": _on_months(lambda m: report.formatted_forecast(forecast.forecast_from_last(m))),
+    "formatted_range_slope": _on_months(lambda m: report.formatted_slope(summary.trend_range_slope(m))),
+    "formatted_summary_nonzero": _on_months(
+        lambda m: report.formatted_summary(
+            summary.monthly_summary(m).withColumn("avg_monthly_change", summary.avg_nonzero_change(m).scalar())
+        )
+    ),
+    "formatted_mismatches": lambda spark, sf_dir: report.formatted_mismatches(
+        _on_sales(reconcile.payment_mismatches)(spark, sf_dir)
+    ),
+    "formatted_unpaid": lambda spark, sf_dir: report.formatted_unpaid(
+        _on_sales(reconcile.orders_without_payments)(spark, sf_dir)
+    ),
+    "formatted_orphans": lambda spark, sf_dir: report.formatted_orphans(payments_without_orders(spark, sf_dir)),
     "order_totals": all_order_totals,
     "payment_reconciliation": payment_reconciliation,
     "payment_mismatches": _on_sales(reconcile.payment_mismatches),
@@ -260,6 +320,10 @@ QUERIES: dict[str, Query] = {
     "ingest_orders_dates": ingest_orders_dates,
     "ingest_payments_dates": ingest_payments_dates,
     "ingest_orders_quarantine": ingest_orders_quarantine,
+    "read_dirty_good": _read_dirty(bad_rows=False, multi_line=True),
+    "read_dirty_good_split": _read_dirty(bad_rows=False, multi_line=False),
+    "read_dirty_quarantine": _read_dirty(bad_rows=True, multi_line=True),
+    "read_dirty_quarantine_split": _read_dirty(bad_rows=True, multi_line=False),
     "upsert_latest_by_key": upsert_latest_by_key,
     "table_row_counts": table_row_counts,
     "fk_orphan_counts": fk_orphan_counts,

@@ -31,6 +31,11 @@ class Table:
     def required(self) -> list[str]:
         return [f.name for f in self.schema.fields if not f.nullable]
 
+    @property
+    def has_text(self) -> bool:
+        """Whether a field may be quoted and hold a line break."""
+        return any(isinstance(f.dataType, T.StringType) for f in self.schema.fields)
+
     def header(self, column: str) -> str:
         return self.headers.get(column, column)
 
@@ -39,8 +44,9 @@ def _schema(*columns: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, not required) for name, kind, required in columns])
 
 
-PRICE = T.DecimalType(12, 2)
-AMOUNT = T.DecimalType(18, 2)
+# Six places hold what price lists carry; text with more is refused on load.
+PRICE = T.DecimalType(18, 6)
+AMOUNT = T.DecimalType(24, 6)
 
 CUSTOMERS = Table(
     "customers",

@@ -1,8 +1,8 @@
 """CSV files of the five tables: header row, UTF-8, comma, RFC 4180 quoting.
 
 Columns are addressed by header name, typed explicitly and never inferred. A value that cannot be
-typed, or a missing required value, either fails the load (strict) or sends the row to quarantine
-with its raw text and a reason. Short rows read as NULL at the end, surplus fields are dropped.
+typed without a change, a missing required value, or a row with too few or too many fields either
+fails the load (strict) or sends the row to quarantine with its raw text and a reason.
 """
 
 from __future__ import annotations
@@ -17,19 +17,36 @@ from tallyloom.schemas import TABLES, Table
 # File position of a raw row; rows of one file order by it, files by name.
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 POSITION = [FILE, BLOCK, ROW]
+# The whole text of a row whose fields do not fit the header, NULL for others.
+UNFIT = "_unfit"
 
 
-def read_raw(spark: SparkSession, table: Table, path: str, multi_line: bool = True) -> DataFrame:
+def _has_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether any line has an odd number of quotes, as one with a line break inside quotes has."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_raw(spark: SparkSession, table: Table, path: str, multi_line: bool | None = None) -> DataFrame:
     """The table's columns as text, with the file position of each row.
 
-    ``multi_line`` allows line breaks inside quotes and reads each file in one task; turn it off
-    for large files that have none, so that Spark splits them.
+    A file with line breaks inside quotes is read by one task, others are split. ``multi_line`` True
+    reads whole files in any case. False first looks for such breaks, in a pass over the lines,
+    and reads whole files if there are any: rows are the same in either mode. By default tables
+    without text columns are split and others are read whole.
     """
+    if multi_line is None:
+        multi_line = table.has_text
+    options = {"header": True, "escape": '"', "encoding": "UTF-8"}
+    header = spark.read.csv(path, **options).columns
+    whole = multi_line or _has_breaks_in_quotes(spark, path)
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, UNFIT]])
     raw = spark.read.csv(
-        path, header=True, multiLine=multi_line, escape='"', encoding="UTF-8", enforceSchema=False
+        path, schema=fields, multiLine=whole, enforceSchema=False, columnNameOfCorruptRecord=UNFIT, **options
     )
     return raw.select(
         *[F.col(f"`{table.header(f.name)}`").alias(f.name) for f in table.schema.fields],
+        UNFIT,
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(ROW),
@@ -41,7 +58,11 @@ def _typed(text: Column, kind: T.DataType) -> Column:
         return text
     if isinstance(kind, T.DateType):
         return parse_date(text)
-    return text.try_cast(kind)
+    value = text.try_cast(kind)
+    if isinstance(kind, T.DecimalType):
+        # more places than the type has would be rounded away
+        return F.when(value == text.try_cast(T.DecimalType(38, kind.scale + 14)), value)
+    return value
 
 
 def _must_hold(field: T.StructField) -> bool:
@@ -55,19 +76,31 @@ def _fault(field: T.StructField) -> Column:
     return F.concat(F.lit(f"{field.name}: "), F.coalesce(value, F.lit("missing")))
 
 
-def _faults(table: Table) -> Column:
+def _unfit(raw: DataFrame) -> Column:
+    """Why a whole row is refused, NULL if its fields fit the header."""
+    if UNFIT not in raw.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col(UNFIT).isNotNull(), F.concat(F.lit("wrong number of fields: "), F.col(UNFIT)))
+
+
+def _faults(raw: DataFrame, table: Table) -> Column:
     """The faults of a raw row, NULL for a good row."""
     found = [
         F.when(_typed(F.col(f.name), f.dataType).isNull(), _fault(f)) for f in table.schema.fields if _must_hold(f)
     ]
-    return F.nullif(F.concat_ws("; ", *found), F.lit(""))
+    return F.coalesce(_unfit(raw), F.nullif(F.concat_ws("; ", *found), F.lit("")))
 
 
 def typed_strict(raw: DataFrame, table: Table, keep: list[str] | None = None) -> DataFrame:
     """Typed rows; a query that reads a bad value fails, whatever the ANSI setting."""
 
+    unfit = _unfit(raw)
+
     def column(field: T.StructField) -> Column:
         value = _typed(F.col(field.name), field.dataType)
+        if UNFIT in raw.columns:
+            message = F.concat(F.lit(f"{table.name}: "), unfit)
+            value = F.when(unfit.isNotNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
         if _must_hold(field):
             message = F.concat(F.lit(f"{table.name}: "), _fault(field))
             value = F.coalesce(value, F.raise_error(message).cast(field.dataType))
@@ -80,35 +113,35 @@ def split_quarantine(
     raw: DataFrame, table: Table, keep: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(typed good rows, raw bad rows with ``reason``)."""
-    checked = raw.withColumn("reason", _faults(table))
+    checked = raw.withColumn("reason", _faults(raw, table))
     typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in table.schema.fields]
     good = checked.where(F.col("reason").isNull()).select(*typed, *(keep or []))
     bad = checked.where(F.col("reason").isNotNull()).select(*table.schema.names, *(keep or []), "reason")
     return good, bad
 
 
-def read_table(spark: SparkSession, name: str, path: str, multi_line: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, name: str, path: str, multi_line: bool | None = None) -> DataFrame:
     """Strict typed read of one table."""
     return typed_strict(read_raw(spark, TABLES[name], path, multi_line), TABLES[name])
 
 
-def read_customers(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_customers(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     return read_table(spark, "customers", path, multi_line)
 
 
-def read_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_products(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     return read_table(spark, "products", path, multi_line)
 
 
-def read_orders(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     return read_table(spark, "orders", path, multi_line)
 
 
-def read_order_items(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_order_items(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     return read_table(spark, "order_items", path, multi_line)
 
 
-def read_payments(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_payments(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     return read_table(spark, "payments", path, multi_line)
 
 

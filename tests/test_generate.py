@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom import jobs
-from tallyloom.functions.mix import MODULUS, mixed
+from tallyloom.functions.mix import MODULUS, mixed, pick_wide
 from tallyloom.operators import generate, quality, reconcile
 from tallyloom.sources import warehouse
 
@@ -144,3 +144,14 @@ def test_generated_schema_is_the_declared_one(spark, name):
     assert [(f.name, f.dataType) for f in made(spark)[name].schema] == [
         (f.name, f.dataType) for f in TABLES[name].schema
     ]
+
+
+def test_wide_draws_reach_the_whole_range(spark):
+    """Ids beyond 31 bits are drawn, and ranges that are no small part of 31 bits are drawn evenly."""
+    keys = spark.range(400_000)
+    far = keys.select(pick_wide(F.col("id"), 31, 1, 6_000_000_000).alias("v"))
+    thirds = far.groupBy(F.floor((F.col("v") - 1) / 2_000_000_000).alias("third")).count().collect()
+    assert sorted(r.third for r in thirds) == [0, 1, 2]
+    assert all(abs(r["count"] - 400_000 / 3) < 0.01 * 400_000 for r in thirds)
+    low = keys.select(pick_wide(F.col("id"), 31, 1, 1_500_000_000).alias("v")).where("v <= 645000000").count()
+    assert abs(low / 400_000 - 0.43) < 0.01

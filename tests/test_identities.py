@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import parse_date
@@ -57,7 +58,7 @@ def test_series_identities(series, drawn):
 
 
 def test_rounding_is_half_away_from_zero(spark):
-    texts = ["1.005", "18165.005", "-2.345", "0.125", "-0.125", "2.675", "1e9", "0"]
+    texts = ["1.005", "18165.005", "-2.345", "0.125", "-0.125", "2.675", "1e9", "0", "0.0049999996", "0.0050000004"]
     frame = spark.createDataFrame([(float(t),) for t in texts], "v double")
     assert [r[0] for r in frame.select(round2(F.col("v"))).collect()] == [cents(t) for t in texts]
 
@@ -80,8 +81,11 @@ def test_double_prices_sum_like_decimals(spark):
     items = spark.createDataFrame(data, "order_id int, quantity int, price double")
     exact = items.withColumn("price", F.col("price").cast("decimal(12,2)"))
     assert sorted(map(tuple, item_totals(items).collect())) == sorted(map(tuple, item_totals(exact).collect()))
-    unknown = spark.createDataFrame([(1, 2, float("nan")), (1, 1, 0.1), (2, 1, None)], "order_id int, quantity int, price double")
-    assert sorted(map(tuple, item_totals(unknown).collect())) == [(1, Decimal("0.10")), (2, None)]
+    finer = spark.createDataFrame([(1, 1000, 0.333), (1, 1, 0.1), (2, 1, None)], "order_id int, quantity int, price double")
+    assert sorted(map(tuple, item_totals(finer).collect())) == [(1, Decimal("333.1")), (2, None)]
+    unknown = spark.createDataFrame([(1, 2, float("nan"))], "order_id int, quantity int, price double")
+    with pytest.raises(PySparkException, match="price: not a number"):
+        item_totals(unknown).collect()
 
 
 def test_dates_equal_a_plain_parser(spark):

@@ -111,10 +111,33 @@ def test_missing_column_fails(spark, tmp_path):
         csv_files.read_products(spark, put(tmp_path, "products", "1,x\n", "product_id,product_name"))
 
 
-def test_short_row_is_null_at_the_end_and_surplus_is_dropped(spark, tmp_path):
-    path = put(tmp_path, "customers", "1,Ann,a@example.com\n2,Bo,b@example.com,5,Oslo,Norway,surplus\n")
-    found = {r.customer_id: (r.city, r.country) for r in csv_files.read_customers(spark, path).collect()}
-    assert found == {1: (None, None), 2: ("Oslo", "Norway")}
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_short_and_surplus_rows_are_faults(spark, tmp_path, multi_line):
+    bodies = ["1,Ann,a@example.com", "2,Bo,b@example.com,5,Oslo,Norway,surplus"]
+    path = put(tmp_path, "customers", "\n".join([*bodies, "3,Cy,c@example.com,,,"]) + "\n")
+    raw = csv_files.read_raw(spark, TABLES["customers"], path, multi_line)
+    good, bad = csv_files.split_quarantine(raw, TABLES["customers"])
+    assert [r.customer_id for r in good.collect()] == [3]
+    assert sorted(r.reason for r in bad.collect()) == [f"wrong number of fields: {b}" for b in bodies]
+    with pytest.raises(PySparkException, match="wrong number of fields"):
+        csv_files.read_customers(spark, path, multi_line).collect()
+
+
+def test_line_breaks_are_kept_when_files_are_to_be_split(spark, tmp_path):
+    body = '1,Ann,a@x,1,"New\nYork",US\n2,Bo,b@x,2,Oslo,"Nor\nway"\n'
+    path = put(tmp_path, "customers", body)
+    for multi_line in (True, False, None):
+        found = {r.customer_id: (r.city, r.country) for r in csv_files.read_customers(spark, path, multi_line).collect()}
+        assert found == {1: ("New\nYork", "US"), 2: ("Oslo", "Nor\nway")}
+
+
+def test_no_price_differs_from_its_text(spark, tmp_path):
+    prices = ["10.129", "0.000001", "10.1290001", "7", "1e-3", "999999999999.999999", "1000000000000", "0.00000000000000000001"]
+    body = "".join(f"{n},x,Toys,{p}\n" for n, p in enumerate(prices))
+    raw = csv_files.read_raw(spark, TABLES["products"], put(tmp_path, "products", body))
+    good, bad = csv_files.split_quarantine(raw, TABLES["products"])
+    assert {r.product_id: r.price for r in good.collect()} == {n: Decimal(prices[n]) for n in (0, 1, 3, 4, 5)}
+    assert {r.product_id for r in bad.collect()} == {"2", "6", "7"}
 
 
 @pytest.mark.parametrize(
@@ -126,7 +149,7 @@ def test_short_row_is_null_at_the_end_and_surplus_is_dropped(spark, tmp_path):
         ("orders", "1,1,13/40/2020,shipped\n", "order_date: bad value 13/40/2020"),
         ("orders", "1,1,,shipped\n", "order_date: missing"),
         ("products", "1,lamp,Toys,nan\n", "price: bad value nan"),
-        ("products", "1,lamp,Toys\n", "price: missing"),
+        ("products", "1,lamp,Toys,\n", "price: missing"),
         ("customers", "1,,a@example.com,,,\n", "customer_name: missing"),
     ],
 )

@@ -7,7 +7,7 @@ import pytest
 from conftest import final_plan
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from tallyloom.plans.queries import QUERIES
 from tallyloom.operators import reconcile, upsert
 from tallyloom.operators.revenue import item_totals, monthly_revenue
 from tallyloom.plans import testbed
@@ -26,24 +26,24 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_product_join_and_no_python(spark, no_broadcast, name):
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python", "Pandas", "MapIn"):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_windows_without_a_key_stand_on_month_rows(spark, name):
     """One-task exchanges carry only aggregated rows."""
-    lines = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().splitlines()
+    lines = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString().splitlines()
     for at, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate" in lines[at + 1] or "Project" in lines[at + 1] and "HashAggregate" in lines[at + 2]
 
 
 def test_monthly_scan_reads_three_item_columns(spark, no_broadcast):
-    plan = final_plan(queries()["monthly_trend_detail"](spark, SF_DIR))
+    plan = final_plan(QUERIES["monthly_trend_detail"](spark, SF_DIR))
     scans = re.findall(r"ReadSchema: (struct<[^>]*>?)", plan)
     assert sorted(scans) == [
         "struct<l_orderkey:bigint,l_quantity:double,l_extendedprice:double>",
@@ -52,7 +52,7 @@ def test_monthly_scan_reads_three_item_columns(spark, no_broadcast):
 
 
 def test_monthly_items_are_summed_before_the_shuffle(spark, no_broadcast):
-    plan = final_plan(queries()["monthly_revenue"](spark, SF_DIR))
+    plan = final_plan(QUERIES["monthly_revenue"](spark, SF_DIR))
     below_join = plan[plan.index("SortMergeJoin") :]
     assert below_join.count("Exchange hashpartitioning(order_id") == 2
     assert "partial_sum" in below_join
@@ -68,18 +68,18 @@ def test_filters_reach_the_scan(spark, no_broadcast):
 
 
 def test_items_are_scanned_once_in_reconciliation(spark, no_broadcast):
-    plan = final_plan(queries()["reconciliation_summary"](spark, SF_DIR))
+    plan = final_plan(QUERIES["reconciliation_summary"](spark, SF_DIR))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
     assert "ReusedExchange" in plan
 
 
 def test_chart_series_computes_the_months_once(spark, no_broadcast):
-    plan = final_plan(queries()["chart_series"](spark, SF_DIR))
+    plan = final_plan(QUERIES["chart_series"](spark, SF_DIR))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
 
 
 def test_calendar_report_has_no_self_join(spark, no_broadcast):
-    plan = final_plan(queries()["monthly_trend_calendar"](spark, SF_DIR))
+    plan = final_plan(QUERIES["monthly_trend_calendar"](spark, SF_DIR))
     assert plan.count("SortMergeJoin") == 1
 
 

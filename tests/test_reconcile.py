@@ -137,3 +137,11 @@ def test_hot_order_against_brute_force(spark):
     found = [(r["order_id"], r["payment_amount"], r["status_check"]) for r in result]
     assert len(found) == len(set(found))
     assert set(found) == expected
+
+
+def test_only_orders_with_several_amounts_are_spread(spark, sales):
+    """Rows of one amount come from the folded payments alone."""
+    plan = reconcile.reconciled(*sales(ORDERS, ITEMS, PAYMENTS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan
+    settled, spread = plan.split("\n:- ")[1:][0], plan[plan.index("LeftSemi") :]
+    assert "(least" in settled and "(least" in spread

@@ -6,6 +6,9 @@ row counts.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +36,19 @@ def generate_csv(
     """Write the five tables as CSV folders below ``out``; returns rows written per table."""
     made_orders = generate.gen_orders(generate.key_range(spark, orders), customers)
     made_products = generate.gen_products(generate.key_range(spark, products))
-    made_items = generate.gen_order_items(made_orders, made_products, products, least_items, most_items)
     frames = {
-        "customers": generate.gen_customers(generate.key_range(spark, customers)),
-        "products": made_products,
-        "orders": made_orders,
-        "order_items": made_items,
-        "payments": generate.gen_payments(made_orders, made_items),
+        "customers": lambda: generate.gen_customers(generate.key_range(spark, customers)),
+        "products": lambda: made_products,
+        "orders": lambda: made_orders,
+        "order_items": lambda: generate.gen_order_items(made_orders, made_products, products, least_items, most_items),
+        # from the items as written, so that they are made once
+        "payments": lambda: generate.gen_payments(
+            made_orders, csv_files.read_order_items(spark, f"{out}/order_items.csv")
+        ),
     }
     rows = {}
     for name, frame in frames.items():
-        counted, seen = _counted(frame, name)
+        counted, seen = _counted(frame(), name)
         csv_files.write_table(counted, name, f"{out}/{name}.csv")
         rows[name] = seen.get["rows"]
     return rows
@@ -54,39 +59,50 @@ def ingest(
     csv_root: str,
     root: str,
     quarantine: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
+    names: Sequence[str] = tuple(TABLES),
+    buckets: int = 16,
 ) -> dict[str, int]:
     """Load ``<csv_root>/<table>.csv`` into the warehouse; returns rows read per table.
 
     Rows replace earlier rows of the same key, the later row of a file wins, and rows absent from
     the files stay. All tables become visible together. Without ``quarantine`` a bad row fails
     the load; with it, bad rows are written to ``<root>/quarantine/load=N/<table>``.
+
+    Files are parsed once, into a staging folder. Of the warehouse only the key buckets that a batch touches are
+    read and written; their number is set by the first load.
     """
     warehouse.prepare(spark, root)
-    before = warehouse.last_load(spark, root)
-    load = 1 if before is None else before + 1
-    rows = {}
-    for name, table in TABLES.items():
+    before = warehouse.loads(spark, root)
+    load = before[-1]["load"] + 1 if before else 1
+    buckets = before[-1]["buckets"] if before else buckets
+    load_id = f"load={load}-{uuid.uuid4().hex}"
+    position = csv_files.POSITION
+    rows, parts = {}, []
+    for name in names:
+        table = TABLES[name]
         raw = csv_files.read_raw(spark, table, f"{csv_root}/{name}.csv", multi_line)
-        position = csv_files.POSITION
+        raw.write.parquet(f"{root}/staging/{load_id}/{name}")
+        staged = spark.read.schema(raw.schema).parquet(f"{root}/staging/{load_id}/{name}")
         if quarantine:
-            typed, bad = csv_files.split_quarantine(raw, table, position)
-            bad.drop(*position).write.mode("overwrite").json(f"{root}/quarantine/load={load}/{name}")
+            batch, bad = csv_files.split_quarantine(staged, table, position)
+            bad.drop(*position).write.mode("append").json(f"{root}/quarantine/load={load}/{name}")
         else:
-            typed = csv_files.typed_strict(raw, table, position)
-        batch, seen = _counted(typed, name)
-        if before is None:
-            merged = upsert.latest_by_key(batch, [table.key], position).drop(*position)
+            batch = csv_files.typed_strict(staged, table, position)
+        touched = [r[0] for r in batch.select(warehouse.bucket_of(table.key, buckets)).distinct().collect()]
+        counted, seen = _counted(batch, name)
+        if before:
+            existing = warehouse.read(spark, root, name, only=touched)
+            # keys come from the batch without its count
+            merged = upsert.replaced(existing, batch, [table.key]).unionByName(
+                upsert.latest_by_key(counted, [table.key], position).select(*existing.columns)
+            )
         else:
-            # The batch is used twice below, so it is typed and written once instead of parsed twice.
-            staged = f"{root}/staging/load={load}/{name}"
-            batch.write.mode("overwrite").parquet(staged)
-            existing = warehouse.read(spark, root, name, before)
-            batch = spark.read.schema(batch.schema).parquet(staged)
-            merged = upsert.upsert_latest_by_key(existing, batch, [table.key], position)
-        merged.write.mode("overwrite").parquet(warehouse.table_path(root, name, load))
+            merged = upsert.latest_by_key(counted, [table.key], position).drop(*position)
+        warehouse.write_buckets(merged, root, name, load_id, buckets)
         rows[name] = seen.get["rows"]
-    warehouse.record_load(spark, root, load)
+        parts += [(name, bucket) for bucket in touched]
+    warehouse.record_load(spark, root, load, load_id, buckets, parts)
     return rows
 
 

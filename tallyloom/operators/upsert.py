@@ -20,6 +20,11 @@ def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     )
 
 
+def replaced(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` whose key the batch does not have."""
+    return existing.join(batch.select(*key).distinct(), list(key), "left_anti").select(*existing.columns)
+
+
 def upsert_latest_by_key(
     existing: DataFrame, batch: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
@@ -28,6 +33,5 @@ def upsert_latest_by_key(
     ``existing`` holds one row per key. Only the distinct keys of the batch meet it: Spark's size
     check broadcasts them for a small batch, and the existing rows are then not shuffled at all.
     """
-    kept = existing.join(batch.select(*key).distinct(), list(key), "left_anti")
     latest = latest_by_key(batch, key, order)
-    return kept.select(*existing.columns).unionByName(latest.select(*existing.columns))
+    return replaced(existing, batch, key).unionByName(latest.select(*existing.columns))

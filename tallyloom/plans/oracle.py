@@ -422,6 +422,11 @@ SELECT CASE WHEN status = 'P' THEN 'n/a' ELSE CAST(order_id AS VARCHAR) END AS o
             ELSE 'order_date: bad value 13/40/2020' END AS reason
 FROM s_orders WHERE priority = '5-LOW' AND status IN ('P', 'F')"""
 
+INGEST_UPSERT_ORDERS = f"""{_with(SALES)}
+SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date,
+       status || CASE WHEN priority = '1-URGENT' THEN '-2' ELSE '' END AS status
+FROM s_orders"""
+
 UPSERT_LATEST_BY_KEY = """
 WITH ranked AS (
   SELECT *, ROW_NUMBER() OVER (
@@ -654,6 +659,7 @@ UNION ALL SELECT 'total', 'Total orphan payments: ' || COUNT(*) FROM orphans"""
 
 ORACLES: dict[str, str] = {
     "monthly_net_revenue": MONTHLY_NET_REVENUE,
+    "ingest_upsert_orders": INGEST_UPSERT_ORDERS,
     "read_dirty_good": READ_DIRTY_GOOD,
     "read_dirty_good_split": READ_DIRTY_GOOD,
     "read_dirty_quarantine": READ_DIRTY_QUARANTINE,

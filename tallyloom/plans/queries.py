@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom import jobs
 from tallyloom.functions.dates import iso_date
 from tallyloom.operators import forecast, generate, quality, reconcile, report, summary, trend, upsert
 from tallyloom.operators.revenue import monthly_revenue, monthly_revenue_report, order_totals
 from tallyloom.plans import testbed
 from tallyloom.schemas import TABLES
 from tallyloom.session import scratch_path
-from tallyloom.sources import csv_files
+from tallyloom.sources import csv_files, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,6 +254,21 @@ def _read_dirty(bad_rows: bool, multi_line: bool) -> Query:
     return query
 
 
+def ingest_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of order files: all orders, then two later versions of the urgent ones; the table as read back."""
+    root = scratch_path(spark, "warehouse", uuid.uuid4().hex)
+    given = testbed.orders(spark, sf_dir)
+    urgent = testbed.given(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    urgent = given.join(urgent.select(F.col("o_orderkey").alias("order_id")), "order_id", "left_semi")
+    csv_files.write_table(given, "orders", f"{root}/first/orders.csv")
+    versions = urgent.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("version"))
+    versions = versions.withColumn("status", F.concat("status", F.lit("-"), F.col("version").cast("string")))
+    csv_files.write_table(versions.orderBy("version", "order_id"), "orders", f"{root}/second/orders.csv")
+    for batch in ("first", "second"):
+        jobs.ingest(spark, f"{root}/{batch}", f"{root}/tables", names=["orders"])
+    return _portable(warehouse.read(spark, f"{root}/tables", "orders"))
+
+
 def monthly_net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly series on discounted prices, which have parts of a cent."""
     lines = testbed.given(spark, sf_dir, "lineitem")
@@ -320,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "ingest_orders_dates": ingest_orders_dates,
     "ingest_payments_dates": ingest_payments_dates,
     "ingest_orders_quarantine": ingest_orders_quarantine,
+    "ingest_upsert_orders": ingest_upsert_orders,
     "read_dirty_good": _read_dirty(bad_rows=False, multi_line=True),
     "read_dirty_good_split": _read_dirty(bad_rows=False, multi_line=False),
     "read_dirty_quarantine": _read_dirty(bad_rows=True, multi_line=True),

@@ -1,48 +1,85 @@
-"""The five tables as Parquet, one folder per load.
+"""The five tables as Parquet in key buckets.
 
-A load writes every table to its own new folder and is then listed in the log; readers use the
-last load listed. A load that fails half way is never listed, so nothing of it is seen.
+A load writes new folders for the buckets it touches, under an id of its own, and is then listed in the
+log with them; readers take each bucket from the last load that lists it. A load that fails half way
+is never listed, so nothing of it is seen, and two loads never write to the same folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.schemas import TABLES
 
+BUCKET = "_bucket"
+LOG = "load int, id string, buckets int, parts array<struct<table:string,bucket:int>>"
+
 
-def table_path(root: str, name: str, load: int) -> str:
-    return f"{root}/{name}/load={load}"
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def prepare(spark: SparkSession, root: str) -> None:
     """Start an empty log of loads where there is none."""
-    spark.createDataFrame([], "load int").write.mode("ignore").json(f"{root}/loads")
+    spark.createDataFrame([], LOG).write.mode("ignore").json(f"{root}/loads")
 
 
-def last_load(spark: SparkSession, root: str) -> int | None:
-    """Number of the last finished load, None before the first."""
+def loads(spark: SparkSession, root: str) -> list[Row]:
+    """Finished loads in order: one row each, with the buckets that it wrote."""
     try:
-        log = spark.read.schema("load int").json(f"{root}/loads")
+        return sorted(spark.read.schema(LOG).json(f"{root}/loads").collect(), key=lambda r: r["load"])
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
-    return log.agg(F.max("load")).first()[0]
 
 
-def record_load(spark: SparkSession, root: str, load: int) -> None:
-    spark.createDataFrame([(load,)], "load int").coalesce(1).write.mode("append").json(f"{root}/loads")
+def last_load(spark: SparkSession, root: str) -> int | None:
+    """Number of the last finished load, None before the first."""
+    found = loads(spark, root)
+    return found[-1]["load"] if found else None
+
+
+def record_load(
+    spark: SparkSession, root: str, load: int, load_id: str, buckets: int, parts: Iterable[tuple[str, int]]
+) -> None:
+    """List a finished load, unless another was listed since this one began."""
+    if (last_load(spark, root) or 0) != load - 1:
+        raise RuntimeError(f"another load into {root} finished meanwhile; repeat this one")
+    row = (load, load_id, buckets, [tuple(p) for p in parts])
+    spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").json(f"{root}/loads")
+
+
+def load_path(root: str, name: str, load_id: str) -> str:
+    return f"{root}/{name}/{load_id}"
 
 
-def read(spark: SparkSession, root: str, name: str, load: int | None = None) -> DataFrame:
-    """A table as of a load, the last one by default."""
-    load = last_load(spark, root) if load is None else load
-    if load is None:
+def read(
+    spark: SparkSession, root: str, name: str, load: int | None = None, only: Iterable[int] | None = None
+) -> DataFrame:
+    """A table as of a load, the last one by default; ``only`` some of its buckets."""
+    found = [r for r in loads(spark, root) if load is None or r["load"] <= load]
+    if not found:
         raise ValueError(f"no finished load in {root}")
-    return spark.read.schema(TABLES[name].schema).parquet(table_path(root, name, load))
+    wanted = None if only is None else set(only)
+    last = {
+        part["bucket"]: f"{load_path(root, name, r['id'])}/{BUCKET}={part['bucket']}"
+        for r in found
+        for part in r["parts"]
+        if part["table"] == name and (wanted is None or part["bucket"] in wanted)
+    }
+    schema = TABLES[name].schema
+    return spark.read.schema(schema).parquet(*last.values()) if last else spark.createDataFrame([], schema)
+
+
+def write_buckets(merged: DataFrame, root: str, name: str, load_id: str, buckets: int) -> None:
+    """Write the rows of a load by bucket; large buckets are split between tasks."""
+    placed = merged.withColumn(BUCKET, bucket_of(TABLES[name].key, buckets)).hint("rebalance", BUCKET)
+    placed.write.partitionBy(BUCKET).parquet(load_path(root, name, load_id))
 
 
 def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -22,7 +22,9 @@ from tallyloom.llm.common import bucket_of, stored
 from tallyloom.llm.packing import pack, unpack
 from tallyloom.llm.words import join_names, mix, slices, words_of
 
+# Keys of longer n-grams keep 56 bits of their name, which makes tables and messages smaller; words keep 64.
 # Names of the end token and of the start of a text, which is context only.
+_ALL, _LONG = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0xFFFFFFFFFFFFFF00)
 END, START = (int(x) for x in mix(np.array([0x656E64, 0x7374617274], dtype=np.uint64)))
 
 
@@ -165,7 +167,7 @@ class _Chunk:
                 used = np.flatnonzero(self.spot >= level - 2)
             else:
                 used = np.arange(n)
-            keys, inverse = np.unique(gram[used], return_inverse=True)
+            keys, inverse = np.unique(gram[used] & (_LONG if level > 1 else _ALL), return_inverse=True)
             place = np.full(n, -1, dtype=np.int64)
             place[used] = inverse.reshape(-1)
             self.keys.append(keys)
@@ -406,7 +408,7 @@ class Katz:
     """A trained model with the scores of its texts.
 
     ``counts``: one row for each level and bucket with the sorted keys and counts of its n-grams. ``contexts``: the keys and
-    log10 backoff weights of the contexts. Keys are 64-bit names of token sequences.
+    log10 backoff weights of the contexts. Keys are names of token sequences, of 64 bits for words and 56 for longer ones.
     """
 
     counts: DataFrame

@@ -128,28 +128,30 @@ def mix(
     result column are replaced.
     """
     docs = docs.drop("source_size", "target", "taken")
-    shard, lo, quota, total, n = fresh(docs.columns, "shard", "lo", "quota", "shard_size", "shards")
+    shard, lo, quota, total, n, of_source, of_shard, source_quota = fresh(
+        docs.columns, "shard", "lo", "quota", "shard_size", "shards", "of_source", "of_shard", "source_quota"
+    )
     docs = docs.withColumn("size", F.coalesce(F.col("size"), F.lit(0)).cast("long"))
     targets = source_targets(docs.select("source", "size"), weights, share, most)
     blocks = F.round(F.sum("target").over(Window.partitionBy()) / block_words)
     by_source = apportion(targets.withColumn("blocks", blocks), [], ["source"], "target", "blocks").select(
-        F.col("source").alias("_source"),
+        F.col("source").alias(of_source),
         "source_size",
         "target",
-        F.col("quota").alias("source_quota"),
+        F.col("quota").alias(source_quota),
         F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).alias(n),
     )
-    same_source = F.col("source").eqNullSafe(F.col("_source"))
+    same_source = F.col("source").eqNullSafe(F.col(of_source))
     placed = (
         docs.join(by_source, same_source)
-        .drop("_source")
+        .drop(of_source)
         .withColumn(shard, _hash_number(f"{seed}:shard:", F.col("doc_id")) % F.col(n))
     )
     shards = placed.groupBy("source", shard).agg(
-        F.sum("size").alias(total), F.first("source_quota").alias("source_quota")
+        F.sum("size").alias(total), F.first(source_quota).alias(source_quota)
     )
-    dealt = apportion(shards, ["source"], [shard], total, "source_quota").select(
-        F.col("source").alias("_source"), F.col(shard).alias("_shard"), F.col("quota").alias(quota), total
+    dealt = apportion(shards, ["source"], [shard], total, source_quota).select(
+        F.col("source").alias(of_source), F.col(shard).alias(of_shard), F.col("quota").alias(quota), total
     )
     order = Window.partitionBy("source", shard).orderBy(
         F.md5(F.concat(F.lit(f"{seed}:order:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")),
@@ -164,7 +166,7 @@ def mix(
     rest = words - rounds * F.col(total)
     taken = rounds * F.col("size") + F.greatest(F.least(F.col("size"), rest - F.col(lo)), F.lit(0))
     return (
-        lined.join(dealt, same_source & (F.col(shard) == F.col("_shard")))
+        lined.join(dealt, same_source & (F.col(shard) == F.col(of_shard)))
         .withColumn("taken", taken.cast("long"))
         .select(*docs.columns, "source_size", "target", "taken")
     )
@@ -181,8 +183,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document taken less than once is cut behind its last word taken. Columns are those of ``docs``;
     ``n_chars``, if there, follows the text. Rows with no words taken go.
     """
-    size, source_size, target, taken = fresh(docs.columns, "size", "source_size", "target", "taken")
-    if size != "size" or taken != "taken" or target != "target" or source_size != "source_size":
+    if {"size", "source_size", "target", "taken", "part"} & {c.lower() for c in docs.columns}:
         raise ValueError("a column of the documents is named like a column of the mix")
     mix_rows = mix(sized(docs), **options).where(F.col("taken") > 0)
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")

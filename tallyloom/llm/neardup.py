@@ -28,13 +28,13 @@ class Banding:
     """Shingle length, similarity in percent, minhashes of a half key, and half keys of a collection.
 
     A pair at the threshold s misses every table with a chance of about 2 * (1 - s^rows)^halves:
-    0.00002 at 0.85 with 3 and 12.
+    0.00002 at 0.8 with 3 and 16, and at 0.85 with 3 and 12.
     """
 
     shingle: int = 5
     percent: int = 80
     rows: int = 3
-    halves: int = 12
+    halves: int = 16
     block: int = 256
 
     @property

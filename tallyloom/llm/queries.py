@@ -45,7 +45,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Banding(shingle=3, percent=85))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Banding(shingle=3, percent=85, halves=12))
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

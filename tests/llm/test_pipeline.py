@@ -4,8 +4,8 @@ from collections import Counter
 
 import corpus_pipeline
 from tallyloom.llm import mixing, neardup, pieces
-from test_lines import brute as plain_lines
-from test_neardup import brute as plain_groups
+from .test_lines import brute as plain_lines
+from .test_neardup import brute as plain_groups
 
 
 def test_stages(spark, sf_dir):

@@ -14,6 +14,8 @@ TOLERANCE = "0.01"
 
 # Parts a hot order's payments are spread over.
 SPREAD = 1024
+# Parts the payments of an unknown order are spread over.
+ORPHAN_SPREAD = 32
 
 
 def unpaid_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -26,8 +28,18 @@ def unpaid_orders(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def orphan_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Payments whose order does not exist. AQE splits a hot key: payments are the left side."""
-    return payments.join(orders.select("order_id"), "order_id", "left_anti")
+    """Payments whose order does not exist or is not named.
+
+    Payments fold to one row per order id. The ids that are no order's, usually few, are repeated for each of
+    ORPHAN_SPREAD parts and then pick their payments, so that the payments of one id fall to that many
+    tasks. Payments that name no order need no join and stay where they are.
+    """
+    named = payments.where(F.col("order_id").isNotNull())
+    ids = named.select("order_id").distinct().join(orders.select("order_id"), "order_id", "left_anti")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(ORPHAN_SPREAD - 1)))
+    spread = named.withColumn("part", F.pmod(F.hash("payment_id"), F.lit(ORPHAN_SPREAD)))
+    found = spread.join(ids.withColumn("part", parts), ["order_id", "part"], "left_semi").select(*payments.columns)
+    return found.unionByName(payments.where(F.col("order_id").isNull()))
 
 
 def _difference() -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import fresh, stored
+from tallyloom.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -29,18 +30,20 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NONE = -(1 << 60)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Vocabulary:
     """Pieces with id and score, byte pieces, and the score of a character that no piece has."""
 
     score: dict[str, int]
     ids: dict[str, int]
-    starts: frozenset[str]
+    # every piece and every beginning of one: its score or None, and whether longer pieces begin with it
+    steps: dict[str, tuple[int | None, bool]]
     byte_ids: tuple[int, ...]
     texts: tuple[str, ...]
     unknown: int
     longest: int
     words_apart: bool
+    trie: Trie | None = None
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -54,16 +57,19 @@ def load(path: str = MODEL) -> Vocabulary:
     ]
     byte_ids = tuple(model.piece_to_id(f"<0x{b:02X}>") for b in range(256))
     score = {texts[i]: round(model.get_score(i)) for i in plain}
-    return Vocabulary(
+    starts = {t[:k] for t in score for k in range(1, len(t))}
+    v = Vocabulary(
         score=score,
         ids={texts[i]: i for i in plain},
-        starts=frozenset(t[:k] for t in score for k in range(1, len(t))),
+        steps={t: (score.get(t), t in starts) for t in starts | score.keys()},
         byte_ids=byte_ids,
         texts=tuple(texts),
         unknown=min(score.values()) - 10,
         longest=max(map(len, score)),
         words_apart=not any(SPACE in t.lstrip(SPACE) for t in score),
     )
+    v.trie = Trie(v)
+    return v
 
 
 def marked(text: str, first: bool = True) -> str:
@@ -77,7 +83,8 @@ def lattice(v: Vocabulary, text: str, begin: dict[int, int], upto: int) -> tuple
     ``begin`` has the scores at positions where a piece may start first. Pieces start before ``upto`` and may end
     behind it. Of equal scores the longest last piece wins.
     """
-    score, starts, n = v.score, v.starts, len(text)
+    step, n = v.steps.get, len(text)
+    alone = (v.unknown, False)
     best, back = [_NONE] * (n + 1), [-1] * (n + 1)
     for p, s in begin.items():
         best[p] = s
@@ -85,17 +92,18 @@ def lattice(v: Vocabulary, text: str, begin: dict[int, int], upto: int) -> tuple
         here = best[i]
         if here == _NONE:
             continue
-        piece = text[i]
-        found = score.get(piece)
+        j = i + 1
+        found, more = step(text[i], alone)
         if found is None:
             found = v.unknown
-        if here + found > best[i + 1]:
-            best[i + 1], back[i + 1] = here + found, i
-        j = i + 1
-        while piece in starts and j < n:
+        if here + found > best[j]:
+            best[j], back[j] = here + found, i
+        while more and j < n:
             j += 1
-            piece = text[i:j]
-            found = score.get(piece)
+            known = step(text[i:j])
+            if known is None:
+                break
+            found, more = known
             if found is not None and here + found > best[j]:
                 best[j], back[j] = here + found, i
     return best, back
@@ -117,12 +125,105 @@ def traced(v: Vocabulary, text: str, back: list[int], end: int) -> tuple[int, tu
     return end, tuple(chain.from_iterable(reversed(parts)))
 
 
+class Trie:
+    """The pieces as arrays, for many words at a time."""
+
+    def __init__(self, v: Vocabulary):
+        nodes = {"": 0} | {t: k + 1 for k, t in enumerate(sorted(v.steps))}
+        letters = sorted({c for t in v.score for c in t})
+        self.letters = np.array([ord(c) for c in letters], dtype=np.int64)
+        number = {c: k for k, c in enumerate(letters)}
+        edges = sorted((nodes[t[:-1]] * len(letters) + number[t[-1]], nodes[t]) for t in v.steps)
+        self.keys = np.array([e[0] for e in edges], dtype=np.int64)
+        self.to = np.array([e[1] for e in edges], dtype=np.int64)
+        self.score = np.full(len(nodes), _NONE, dtype=np.int64)
+        self.ids = np.full(len(nodes), -1, dtype=np.int32)
+        for t, s in v.score.items():
+            self.score[nodes[t]], self.ids[nodes[t]] = s, v.ids[t]
+        self.more = np.zeros(len(nodes), dtype=bool)
+        self.more[[nodes[t] for t, (_, more) in v.steps.items() if more]] = True
+        self.unknown = v.unknown
+
+    def child(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The nodes that the letters lead to, -1 for none; letter -1 is in no piece."""
+        key = node * len(self.letters) + letter
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((letter >= 0) & (self.keys[at] == key), self.to[at], -1)
+
+    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """Score and order of the words, longest first, and their ids; -1 stands for a character that no piece has.
+
+        The same steps as ``lattice``, for all words at once.
+        """
+        length = np.array([len(w) for w in words])
+        order = np.argsort(-length, kind="stable")
+        length = length[order]
+        flat = np.frombuffer("".join([words[k] for k in order]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        at = np.minimum(np.searchsorted(self.letters, flat), len(self.letters) - 1)
+        letter = np.where(self.letters[at] == flat, at, -1)
+        n, longest = len(words), int(length[0])
+        table = np.full((n, longest), -1, dtype=np.int64)
+        begin = np.cumsum(length) - length
+        table[np.repeat(np.arange(n), length), np.arange(len(flat)) - np.repeat(begin, length)] = letter
+        score = np.full((n, longest + 1), _NONE, dtype=np.int64)
+        score[:, 0] = 0
+        back = np.zeros((n, longest + 1), dtype=np.int16)
+        last = np.full((n, longest + 1), -1, dtype=np.int32)
+        for i in range(longest):
+            rows = np.arange(int(np.searchsorted(-length, -i, side="left")))
+            here = score[rows, i]
+            node = self.child(np.zeros(len(rows), dtype=np.int64), table[rows, i])
+            j = i + 1
+            while len(rows):
+                value = np.where(node >= 0, self.score[node], _NONE)
+                if j == i + 1:
+                    value = np.where(value == _NONE, self.unknown, value)
+                ids = np.where((node >= 0) & (self.score[node] != _NONE), self.ids[node], -1)
+                better = (value != _NONE) & (here + value > score[rows, j])
+                hit = rows[better]
+                score[hit, j], back[hit, j], last[hit, j] = (here + value)[better], i, ids[better]
+                on = (node >= 0) & self.more[node] & (length[rows] > j)
+                rows, here, node = rows[on], here[on], node[on]
+                if len(rows):
+                    node = self.child(node, table[rows, j])
+                    found = node >= 0
+                    rows, here, node = rows[found], here[found], node[found]
+                j += 1
+        rows, place, steps = np.arange(n), length.copy(), []
+        while len(rows):
+            taken = np.full(n, -2, dtype=np.int32)
+            taken[rows] = last[rows, place[rows]]
+            steps.append(taken)
+            place[rows] = back[rows, place[rows]]
+            rows = rows[place[rows] > 0]
+        count = np.sum([s != -2 for s in steps], axis=0)
+        paths = np.stack(steps[::-1], axis=1)
+        return score[np.arange(n), length], order, [p[len(steps) - c :] for p, c in zip(paths.tolist(), count.tolist(), strict=True)]
+
+
 class Encoder:
     """Ids of marked text between two places where a piece must end; words are remembered, up to a number."""
 
-    def __init__(self, v: Vocabulary, most_words: int = 300_000):
+    def __init__(self, v: Vocabulary, most_words: int = 400_000):
         self.v, self.most = v, most_words
         self.known: dict[str, tuple[int, ...]] = {}
+        self.totals: dict[str, int] = {}
+
+    def learn(self, texts: list[str]) -> None:
+        """Remember the new words of some marked texts, all found at once; odd words are left to ``word``."""
+        if not self.v.words_apart:
+            return
+        if len(self.known) >= self.most:
+            self.known.clear()
+            self.totals.clear()
+        new = [w for w in {w for t in texts for w in _WORD.findall(t)} if w not in self.known and len(w) <= 48]
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            scores, order, paths = self.v.trie.best(part)
+            for k, total, ids in zip(order.tolist(), scores.tolist(), paths, strict=True):
+                if -1 not in ids:
+                    self.known[part[k]] = tuple(ids)
+                    self.totals[part[k]] = total
 
     def word(self, word: str) -> tuple[int, ...]:
         if len(self.known) >= self.most:
@@ -131,13 +232,21 @@ class Encoder:
         ids = self.known[word] = traced(self.v, word, back, len(word))[1]
         return ids
 
+    def word_total(self, word: str) -> int:
+        if len(self.totals) >= self.most:
+            self.totals.clear()
+        found = self.totals[word] = lattice(self.v, word, {0: 0}, len(word))[0][-1]
+        return found
+
     def ids(self, text: str) -> list[int]:
         words = _WORD.findall(text) if self.v.words_apart else [text] if text else []
         known, word = self.known, self.word
         return list(chain.from_iterable(known.get(w) or word(w) for w in words))
 
     def total(self, text: str) -> int:
-        return sum(lattice(self.v, w, {0: 0}, len(w))[0][-1] for w in (_WORD.findall(text) if self.v.words_apart else [text]))
+        words = _WORD.findall(text) if self.v.words_apart else [text] if text else []
+        totals, word_total = self.totals, self.word_total
+        return sum(t if (t := totals.get(w)) is not None else word_total(w) for w in words)
 
 
 def _breaks(v: Vocabulary, text: str, upto: int) -> tuple[int, int] | None:
@@ -148,10 +257,10 @@ def _breaks(v: Vocabulary, text: str, upto: int) -> tuple[int, int] | None:
     return (at[0], at[-1]) if at else None
 
 
-def transfer(v: Vocabulary, text: str, size: int, last: bool) -> list[int]:
+def transfer(encoder: Encoder, text: str, size: int, last: bool) -> list[int]:
     """The chunk's max-plus matrix, by rows of entry states; ``text`` goes on behind the chunk's ``size`` characters."""
+    v = encoder.v
     n = v.longest
-    encoder = Encoder(v, 50_000)
     cut = None if last and len(text) < n else _breaks(v, text, size)
 
     def ends(best: list[int], base: int) -> list[int]:
@@ -227,22 +336,23 @@ def scan(frame: DataFrame, combine: Callable, n: int, width: int = 64) -> DataFr
     return joined.mapInArrow(compose, "row bigint, spot bigint, before array<bigint>")
 
 
-def _whole(v: Vocabulary):
+def _whole(v: Vocabulary, at_column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at, end in slices(4 << 20, batch.column(at_column)):
+                part = batch.slice(at, end - at)
                 flat, ends = [], [0]
-                for text in part.column(0):
-                    value = text.as_py()
+                texts = [marked(t) if t else "" for t in part.column(at_column).to_pylist()]
+                encoder.learn(texts)
+                for value in texts:
                     if value:
-                        flat.append(np.array(encoder.ids(marked(value)), dtype=np.int32))
+                        flat.append(np.array(encoder.ids(value), dtype=np.int32))
                     ends.append(ends[-1] + (len(flat[-1]) if value else 0))
                 ids = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
                 )
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], names=[*part.schema.names[1:], "_ids"])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "_ids"])
 
     return run
 
@@ -274,10 +384,12 @@ def _cut(chunk: int, ahead: int):
 
 def _matrices(v: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(v)
         for batch in batches:
             rows, spots, texts, sizes, lasts = (c.to_pylist() for c in batch.columns)
+            encoder.learn([marked(t, False) for t in texts])
             values = [
-                transfer(v, marked(t, s == 0), n + (s == 0), last)
+                transfer(encoder, marked(t, s == 0), n + (s == 0), last)
                 for s, t, n, last in zip(spots, texts, sizes, lasts, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -287,8 +399,9 @@ def _matrices(v: Vocabulary):
     return run
 
 
-def _paths(v: Vocabulary, text: str, size: int, before: list[int] | None):
+def _paths(encoder: Encoder, text: str, size: int, before: list[int] | None):
     """Given the scores at a chunk's start: start state and ids of the best path to each end state."""
+    v = encoder.v
     n = v.longest
     begin = {0: 0} if before is None else {s: x for s, x in enumerate(before[:n]) if x > _NONE}
     cut = _breaks(v, text, size)
@@ -305,7 +418,7 @@ def _paths(v: Vocabulary, text: str, size: int, before: list[int] | None):
     _, tail = lattice(v, text[final:], {0: 0}, size - final)
 
     def path(state):
-        middle = tuple(Encoder(v, 50_000).ids(text[first:final]))
+        middle = tuple(encoder.ids(text[first:final]))
         return entry, head_ids + middle + traced(v, text[final:], tail, size - final + state)[1]
 
     path.entry = entry
@@ -316,11 +429,12 @@ def _choices(v: Vocabulary):
     """For each chunk, the start state of the best path to each end state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(v)
         for batch in batches:
             rows, spots, texts, sizes, lasts, befores = (c.to_pylist() for c in batch.columns)
             values = []
             for s, t, n, last, before in zip(spots, texts, sizes, lasts, befores, strict=True):
-                path = _paths(v, marked(t, s == 0), n + (s == 0), before)
+                path = _paths(encoder, marked(t, s == 0), n + (s == 0), before)
                 reach = range(1) if last else range(min(v.longest, len(t) - n + 1))
                 entry = getattr(path, "entry", None)
                 value = [path(k)[0] if entry is None else entry for k in reach]
@@ -335,10 +449,12 @@ def _choices(v: Vocabulary):
 
 def _parts(v: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(v)
         for batch in batches:
             rows, spots, texts, sizes, lasts, befores, states = (c.to_pylist() for c in batch.columns)
+            encoder.learn([marked(t, False) for t in texts])
             ids = [
-                list(_paths(v, marked(t, s == 0), n + (s == 0), before)(state)[1])
+                list(_paths(encoder, marked(t, s == 0), n + (s == 0), before)(state)[1])
                 for s, t, n, before, state in zip(spots, texts, sizes, befores, states, strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -388,8 +504,7 @@ def encode(docs: DataFrame, v: Vocabulary, chunk: int = 16_384) -> DataFrame:
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
     short = (
         docs.where(~long)
-        .select(F.col("text").cast("string").alias("_source"), *docs.columns)
-        .mapInArrow(_whole(v), ", ".join([*fields, "_ids array<int>"]))
+        .mapInArrow(_whole(v, docs.columns.index("text")), ", ".join([*fields, "_ids array<int>"]))
         .select(*docs.columns, F.col("_ids").alias("ids"))
     )
     giants = stored(docs.where(long).withColumn(row, F.monotonically_increasing_id()), "giants")
@@ -419,26 +534,27 @@ def text_of(v: Vocabulary, ids: list[int], byte_of: dict[int, int]) -> str:
     return "".join(out)[1:]
 
 
-def _decode(v: Vocabulary):
+def _decode(v: Vocabulary, at_column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         byte_of = {i: b for b, i in enumerate(v.byte_ids)}
         texts = [t.replace(SPACE, " ") for t in v.texts]
-        some_bytes = np.array(v.byte_ids)
+        is_byte = np.zeros(len(texts), dtype=bool)
+        is_byte[list(v.byte_ids)] = True
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 out = []
-                for ids in part.column(0):
+                for ids in part.column(at_column):
                     if not ids.is_valid:
                         out.append("")
                         continue
                     numbers = ids.values.to_numpy(zero_copy_only=False)
-                    if np.isin(numbers, some_bytes).any():
+                    if is_byte[numbers].any():
                         out.append(text_of(v, numbers.tolist(), byte_of))
                     else:
                         out.append("".join(map(texts.__getitem__, numbers.tolist()))[1:])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(out, pa.string())], names=[*part.schema.names[1:], "_decoded"]
+                    [*part.columns, pa.array(out, pa.string())], names=[*part.schema.names, "_decoded"]
                 )
 
     return run
@@ -449,7 +565,6 @@ def decode(encoded: DataFrame, v: Vocabulary) -> DataFrame:
     encoded = encoded.drop("decoded")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
     return (
-        encoded.select(F.col("ids").alias("_numbers"), *encoded.columns)
-        .mapInArrow(_decode(v), ", ".join([*fields, "_decoded string"]))
+        encoded.mapInArrow(_decode(v, encoded.columns.index("ids")), ", ".join([*fields, "_decoded string"]))
         .withColumnRenamed("_decoded", "decoded")
     )

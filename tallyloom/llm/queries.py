@@ -52,11 +52,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding them gives the text again."""
     v = pieces.load()
     encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), v)
+    exact = F.col("decoded") == F.coalesce("text", F.lit(""))
     return pieces.decode(encoded, v).select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("long").alias("n_pieces"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), exact.alias("exact")
     )
 
 

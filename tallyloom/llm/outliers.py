@@ -126,6 +126,17 @@ def vector() -> list[Column]:
     ]
 
 
+# Parts the rows of one group are dealt to where they meet what is known of their group.
+PARTS = 32
+
+
+def _with_group(rows: DataFrame, known: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``known``, one row for each group, repeated for each part of a group."""
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long")))
+    return rows.withColumn("part_", part).join(known.withColumn("part_", every), ["group", "part_"], how).drop("part_")
+
+
 def _keyed(kind: str, *columns: str) -> Column:
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
     return F.concat_ws("\u0000", F.lit(kind), *parts)
@@ -138,13 +149,13 @@ def grouped(rows: DataFrame, least: int) -> DataFrame:
         rows = rows.withColumn("group", F.coalesce("group", key) if "group" in rows.columns else key)
         small = rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows_")).where(F.col("rows_") < least).select("group")
         small = small.withColumn("small_", F.lit(True))
-        rows = rows.join(small, "group", "left").withColumn("group", F.when(F.col("small_").isNull(), F.col("group"))).drop("small_")
+        rows = _with_group(rows, small, "left").withColumn("group", F.when(F.col("small_").isNull(), F.col("group"))).drop("small_")
     return rows
 
 
 def _distance(rows: DataFrame, estimate: DataFrame, p: int, keep: list[str]) -> DataFrame:
     """``rows`` with the squared Mahalanobis distance ``d2`` under its group's centre m and Cholesky factor l."""
-    out = rows.join(estimate, "group")
+    out = _with_group(rows, estimate)
     for i in range(p):
         inner = sum((F.col(f"l{i}_{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"y{i}", (F.col(f"x{i}") - F.col(f"m{i}") - inner) / F.col(f"l{i}_{i}"))
@@ -166,7 +177,7 @@ def _nearest(scored: DataFrame, settings: Settings) -> DataFrame:
         .groupBy("group")
         .agg(F.max("bin").alias("cut"))
     )
-    return binned.join(cut, "group").where(F.col("bin") <= F.col("cut"))
+    return _with_group(binned, cut).where(F.col("bin") <= F.col("cut"))
 
 
 def _estimate(rows: DataFrame, p: int, floors: tuple[float, ...], scale: float) -> DataFrame:
@@ -190,7 +201,7 @@ def _start(rows: DataFrame, p: int, floors: tuple[float, ...]) -> DataFrame:
     """Medians, and scatter from median deviations, as a first estimate."""
     centre = rows.groupBy("group").agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(p)])
     centre = stored(centre, "medians")
-    off = rows.join(centre, "group")
+    off = _with_group(rows, centre)
     spread = off.groupBy("group").agg(
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i in range(p)]
     )

@@ -1,13 +1,15 @@
-"""Removal of repeated line chunks with content-defined boundaries.
+"""Removal of repeated passages of lines.
 
 A rolling hash over the hashes of the last few lines ends a chunk wherever it is divisible by a number, so
-boundaries move with the text: a line added above shifts no later chunk. Of equal chunks of several lines
-the first in the whole table stays; the others go once their bytes are compared with the first.
+boundaries move with the text: a line added above shifts no later chunk. Beside the chunks, all windows of a few
+consecutive lines are held against each other, as a passage may be shorter than a chunk or begin within one. Of equal
+chunks or windows the first in the whole table stays; the others go once their bytes are compared with the first.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,109 +58,139 @@ def chunks(lines: list[bytes], chunking: Chunking) -> list[tuple[int, int]]:
     return out
 
 
-def _text_chunks(text: str | None, chunking: Chunking) -> Iterator[tuple[int, bytes]]:
-    """Number and bytes of the chunks that may be removed."""
-    lines = (text or "").encode().split(b"\n")
-    for number, (a, b) in enumerate(chunks(lines, chunking)):
-        if b - a >= chunking.least_lines and sum(1 for x in lines[a:b] if x.strip()) >= chunking.least_lines:
-            yield number, b"\n".join(lines[a:b])
+def ranges(lines: list[bytes], chunking: Chunking) -> list[tuple[int, int]]:
+    """Line ranges that may be removed: the chunks, and every window from one line with a word to the next, so that the
+    windows of a passage cover all of it wherever its chunks begin and end."""
+    least = chunking.least_lines
+    worded = [i for i, x in enumerate(lines) if x.strip()]
+    found = {(worded[i], worded[i + least - 1] + 1) for i in range(len(worded) - least + 1)}
+    for a, b in chunks(lines, chunking):
+        if b - a > least and bisect_left(worded, b) - bisect_left(worded, a) >= least:
+            found.add((a, b))
+    return sorted(found)
+
 
+def _text_ranges(text: str | None, chunking: Chunking) -> Iterator[tuple[int, int, bytes]]:
+    lines = (text or "").encode().split(b"\n")
+    for a, b in ranges(lines, chunking):
+        yield a, b, hashlib.blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()
 
-def _chunk_rows(chunking: Chunking, with_bytes: bool):
-    names = ["doc", "sig", "number", "key"] + ["bytes"] * with_bytes
 
+def _range_rows(chunking: Chunking):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = [
-                (doc, sig, number, hashlib.blake2b(part, digest_size=16).digest(), part)
+                (doc, sig, a, b, key)
                 for doc, sig, text in zip(docs, sigs, batch.column(2), strict=True)
-                for number, part in _text_chunks(text.as_py(), chunking)
+                for a, b, key in _text_ranges(text.as_py(), chunking)
             ]
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.large_binary()]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], types[k]) for k in range(len(names))], names=names
+                [pa.array([r[k] for r in rows], types[k]) for k in range(5)], names=["doc", "sig", "a", "b", "key"]
             )
 
-    schema = "doc bigint, sig bigint, number bigint, key binary" + ", bytes binary" * with_bytes
-    return run, schema
+    return run, "doc bigint, sig bigint, a bigint, b bigint, key binary"
 
 
-def _without(chunking: Chunking):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, total, removed = [], [], []
-            for text, gone in zip(batch.column(0), batch.column(1), strict=True):
-                value, numbers = text.as_py(), set(gone.as_py() or ())
-                lines = (value or "").encode().split(b"\n")
-                total.append(0 if value is None else len(lines))
-                if not numbers:
-                    texts.append(value)
-                    removed.append(0)
-                    continue
-                parts = [r for k, r in enumerate(chunks(lines, chunking)) if k not in numbers]
-                left = [x for a, b in parts for x in lines[a:b]]
-                texts.append(b"\n".join(left).decode())
-                removed.append(len(lines) - len(left))
+def _bytes_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the ranges whose key repeats."""
+    for batch in batches:
+        docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for doc, sig, text, found in zip(docs, sigs, batch.column(2), batch.column(3), strict=True):
+            lines = text.as_py().encode().split(b"\n")
+            rows = [(r["a"], r["b"], r["key"], r["is_first"], b"\n".join(lines[r["a"] : r["b"]])) for r in found.as_py()]
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.large_binary()]
+            n = len(rows)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
-                names=[*batch.schema.names[2:], "_text", "_lines", "_removed"],
+                [pa.array([doc] * n, pa.int64()), pa.array([sig] * n, pa.int64())]
+                + [pa.array([r[k] for r in rows], types[k]) for k in range(5)],
+                names=["doc", "sig", "a", "b", "key", "is_first", "bytes"],
             )
 
-    return run
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, total, removed = [], [], []
+        for text, gone in zip(batch.column(0), batch.column(1), strict=True):
+            value, found = text.as_py(), gone.as_py()
+            lines = (value or "").encode().split(b"\n")
+            total.append(0 if value is None else len(lines))
+            if not found:
+                texts.append(value)
+                removed.append(0)
+                continue
+            left, end = [], 0
+            for r in sorted(found, key=lambda r: r["a"]):
+                left += lines[end : r["a"]]
+                end = max(end, r["b"])
+            left += lines[end:]
+            texts.append(b"\n".join(left).decode())
+            removed.append(len(lines) - len(left))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[2:], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
+            names=[*batch.schema.names[2:], "_text", "_lines", "_removed"],
+        )
 
 
-def repeated_chunks(docs: DataFrame, chunking: Chunking) -> DataFrame:
-    """(doc, sig, numbers): the chunks to remove from each text, known by its doc_id and the hash of the text.
+def repeated_ranges(docs: DataFrame, chunking: Chunking) -> DataFrame:
+    """(doc, sig, ranges): the line ranges to remove from each text, known by its doc_id and the hash of the text.
 
-    The first pass sends only keys of chunks; the second sends bytes of chunks whose key repeats, and compares each
-    with the first of its key. Hot keys are counted before the shuffle and split as skewed joins.
+    Only keys are sent to find the ranges that repeat; the bytes of those are then taken from their texts, and each is
+    compared with the first of its key. Hot keys are counted before the shuffle and split as skewed joins.
     """
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("sig"), F.col("text").cast("string")
     )
-    run, schema = _chunk_rows(chunking, with_bytes=False)
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "sig", "number")
+    run, schema = _range_rows(chunking)
+    found = keyed.mapInArrow(run, schema)
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "sig", "a")
     firsts = (
-        keyed.mapInArrow(run, schema)
-        .groupBy("key")
+        found.groupBy("key")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("found"))
         .where("found > 1")
         .select("key", "first")
     )
-    firsts = stored(firsts, "chunk-keys")
-    run, schema = _chunk_rows(chunking, with_bytes=True)
-    held = keyed.mapInArrow(run, schema).join(firsts, "key")
-    is_first = place.eqNullSafe(F.col("first"))
-    originals = held.where(is_first).groupBy("key").agg(F.min("bytes").alias("original"))
-    copies = held.where(~is_first).join(originals, "key").where("bytes = original")
-    return copies.groupBy("doc", "sig").agg(F.collect_set("number").alias("numbers"))
+    firsts = stored(firsts, "line-keys")
+    again = (
+        found.join(firsts, "key")
+        .groupBy("doc", "sig")
+        .agg(F.collect_set(F.struct("a", "b", "key", place.eqNullSafe(F.col("first")).alias("is_first"))).alias("found"))
+    )
+    again = again.select(F.col("doc").alias("_doc"), F.col("sig").alias("_sig"), "found")
+    held = keyed.join(again, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("sig") == F.col("_sig")))
+    schema += ", is_first boolean, bytes binary"
+    held = stored(held.select("doc", "sig", "text", "found").mapInArrow(_bytes_rows, schema), "line-bytes")
+    originals = held.where("is_first").groupBy("key").agg(F.min("bytes").alias("original"))
+    copies = held.where("NOT is_first").join(originals, "key").where("bytes = original")
+    return copies.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
 
 
 def remove_repeated(docs: DataFrame, chunking: Chunking | None = None) -> DataFrame:
-    """``docs`` (doc_id, text and any others) with repeated chunks cut out, plus n_lines and n_removed.
+    """``docs`` (doc_id, text and any others) with repeated passages cut out, plus n_lines and n_removed.
 
     Lines end at a line feed. First means smallest doc_id (null last), then hash of the text, then
-    place. Rows with the same doc_id and text are one text: what stays in one stays in all. Null texts stay null
+    place. Rows with the same doc_id and text are one text: what stays in one stays in all. Of every line
+    that goes an equal one stays. Null texts stay null
     with 0 lines, an empty text is one line; single lines and lines without words are never removed on their own. Columns
     named n_lines or n_removed are replaced. An empty table gives an empty result.
     """
     chunking = chunking or Chunking()
     docs = docs.drop("n_lines", "n_removed")
-    gone = repeated_chunks(docs, chunking)
-    sig, doc, numbers = fresh(docs.columns, "sig", "doc", "numbers")
+    gone = repeated_ranges(docs, chunking)
+    sig, doc, found = fresh(docs.columns, "sig", "doc", "ranges")
     marked = (
         docs.withColumn(sig, F.xxhash64("text"))
         .join(
-            gone.select(F.col("doc").alias(doc), F.col("sig").alias("_gone_sig"), F.col("numbers").alias(numbers)),
+            gone.select(F.col("doc").alias(doc), F.col("sig").alias("_gone_sig"), F.col("ranges").alias(found)),
             F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(sig) == F.col("_gone_sig")),
             "left",
         )
-        .select(F.col("text").cast("string").alias("_was"), F.col(numbers), *[c for c in docs.columns if c != "text"])
+        .select(F.col("text").cast("string").alias("_was"), F.col(found), *[c for c in docs.columns if c != "text"])
     )
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
     schema = ", ".join(x for x in (rest, "_text string, _lines bigint, _removed bigint") if x)
-    return marked.mapInArrow(_without(chunking), schema).select(
+    return marked.mapInArrow(_without, schema).select(
         *[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
         F.col("_lines").alias("n_lines"),
         F.col("_removed").alias("n_removed"),

@@ -2,9 +2,10 @@
 
 A token's encoding is inferred from its characters. Its symbols are tested for uniform use of the encoding's
 alphabet (chi-squared), for too few or many runs above and below the middle, and for serial correlation. A random token
-fails none of them. The p-value of a finding is the chance that ordinary text, with the symbol shares of the
-whole corpus, looks as uniform at that length; the false discovery rate is controlled for each encoding and class of lengths
-over all tokens of the corpus.
+fails none of them. The p-value of a finding is the chance that ordinary text looks so: as uniform at that length
+under the symbol shares of the whole corpus, or as surprising to its pairs of symbols beside equally likely symbols.
+The false discovery rate is controlled for each encoding and class of lengths over all tokens of the corpus. Tokens
+with separators are also tested part by part.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_PART = re.compile(r"[A-Za-z0-9+]{16,}")
 _KEYWORDS = ("passw", "secret", "token", "api")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,13 +54,16 @@ SYMBOLS = "".join(sorted(set("".join(ENCODINGS.values()))))
 @dataclass(frozen=True)
 class Settings:
     """``rate``: false discovery rate. ``level``: p-value below which a test rejects randomness. ``lengths``: where
-    classes of lengths start. ``step``: width of a bin of -log10 p; ``bins``: their number."""
+    classes of lengths start. ``step``: width of a bin of -log10 p; ``bins``: their number. ``prior``: symbols that the
+    shares weigh against the pairs after a symbol; ``flat``: share of equally likely symbols in what follows one."""
 
     rate: float = 0.01
     level: float = 0.01
     lengths: tuple[int, ...] = (16, 20, 24, 32, 48, 96)
     step: float = 0.05
     bins: int = 400
+    prior: float = 1000.0
+    flat: float = 0.1
 
 
 def encoding(token: str) -> str | None:
@@ -103,6 +108,22 @@ def ordinary(chi: float, n: int, shares: np.ndarray) -> float:
     return _normal_tail((mean - chi) / math.sqrt(max(variance, 1e-9)))
 
 
+def likelier(total: dict[str, int], name: str, shares: np.ndarray, settings: Settings) -> np.ndarray:
+    """log of the chance of each symbol after each, in ordinary text, times the size of the alphabet; last row: at the start."""
+    alphabet = ENCODINGS[name]
+    a = len(alphabet)
+    pairs = np.array([[total.get(x + y, 0) for y in alphabet] for x in alphabet], dtype=float)
+    after = (pairs + settings.prior * shares) / (pairs.sum(axis=1, keepdims=True) + settings.prior)
+    return np.log(((1 - settings.flat) * np.vstack([after, shares]) + settings.flat / a) * a)
+
+
+def surprise(values: np.ndarray, table: np.ndarray) -> float:
+    """Chance, at most, that ordinary text is so much less likely than equally likely symbols are: the likelihood ratio
+    has mean 1 in ordinary text, so it exceeds t with a chance of 1 / t at most."""
+    before = np.concatenate([[len(table) - 1], values[:-1]])
+    return math.exp(min(0.0, float(table[before, values].sum())))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, in order."""
     out = []
@@ -121,28 +142,35 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 SCANNED = (
     "doc_id bigint, base array<struct<start:bigint,kind:int,end:bigint>>, "
-    "tokens array<struct<start:bigint,end:bigint,encoding:string,chi:double,p:double>>"
+    "tokens array<struct<start:bigint,end:bigint,encoding:string,chi:double,p:double,token:string>>"
 )
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 _TESTED = pa.list_(
     pa.struct(
         [("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("chi", pa.float64()), ("p", pa.float64())]
+        + [("token", pa.string())]
     )
 )
 
 
 def tested(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Tokens with an encoding that touch no fixed span, with their statistic and the battery's least p-value."""
+    """Tokens and parts between separators, each token before its parts, with an encoding and touching no fixed span;
+    their statistic and the battery's least p-value."""
     out = []
     for m in _TOKEN.finditer(text):
-        name = encoding(m[0])
-        if name is None or any(a < m.end() and m.start() < b for a, _, b in base):
-            continue
-        places = _PLACES[name]
-        values = np.fromiter((places[c] for c in m[0]), dtype=np.int64, count=len(m[0]))
-        chi, *ps = battery(values, len(places))
-        # three tests of one token: the least p-value of three
-        out.append({"start": m.start(), "end": m.end(), "encoding": name, "chi": chi, "p": min(1.0, 3 * min(ps))})
+        spans = [m.span()]
+        spans += [x for x in (p.span() for p in _PART.finditer(text, *m.span())) if x != m.span()]
+        for start, end in spans:
+            token = text[start:end]
+            name = encoding(token)
+            if name is None or any(a < end and start < b for a, _, b in base):
+                continue
+            places = _PLACES[name]
+            values = np.fromiter((places[c] for c in token), dtype=np.int64, count=len(token))
+            chi, *ps = battery(values, len(places))
+            # three tests of one token: the least p-value of three
+            p = min(1.0, 3 * min(ps))
+            out.append({"start": start, "end": end, "encoding": name, "chi": chi, "p": p, "token": token})
     return out
 
 
@@ -161,13 +189,23 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+    """Numbers of symbols and of pairs of them side by side."""
+    size = len(SYMBOLS) + 1
+    number = np.full(256, size - 1, dtype=np.int64)
+    number[[ord(c) for c in SYMBOLS]] = np.arange(size - 1)
+    single, double = np.zeros(size, dtype=np.int64), np.zeros(size * size, dtype=np.int64)
     for batch in batches:
         for text in batch.column(0):
             data = text.as_buffer()
             if data is not None:
-                found = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=128)
-                counts.update({c: int(found[ord(c)]) for c in SYMBOLS})
+                found = number[np.frombuffer(data, dtype=np.uint8)]
+                single += np.bincount(found, minlength=size)
+                double += np.bincount(found[:-1] * size + found[1:], minlength=size * size)
+    counts = {c: int(single[k]) for k, c in enumerate(SYMBOLS)}
+    for k in np.flatnonzero(double).tolist():
+        x, y = divmod(k, size)
+        if max(x, y) < size - 1:
+            counts[SYMBOLS[x] + SYMBOLS[y]] = int(double[k])
     yield pa.RecordBatch.from_pydict(
         {"symbol": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
     )
@@ -181,12 +219,15 @@ def _length_class(n: int, settings: Settings) -> int:
     return sum(n >= x for x in settings.lengths) - 1
 
 
-def _judge(shares: dict[str, np.ndarray], settings: Settings):
+def _judge(shares: dict[str, np.ndarray], tables: dict[str, np.ndarray], settings: Settings):
     """Encoding, class of lengths and bin of the p-value of each token that passes the battery or not."""
 
     def of(token: dict) -> tuple[str, int, int]:
         n = token["end"] - token["start"]
-        p = ordinary(token["chi"], n, shares[token["encoding"]])
+        places = _PLACES[token["encoding"]]
+        values = np.fromiter((places[c] for c in token["token"]), dtype=np.int64, count=n)
+        # two statistics of one token: the lesser p-value of two
+        p = min(1.0, 2 * min(ordinary(token["chi"], n, shares[token["encoding"]]), surprise(values, tables[token["encoding"]])))
         if token["p"] < settings.level:
             p = 1.0
         return token["encoding"], _length_class(n, settings), _bin(p, settings)
@@ -237,10 +278,13 @@ def _result(judge, found: dict[tuple[str, int], int]):
             columns: list[list] = [[] for _ in range(6)]
             for base, tokens in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 spans = [(s["start"], s["kind"], s["end"]) for s in base]
-                more = []
+                more, upto = [], 0
                 for t in tokens:
+                    if t["start"] < upto:
+                        continue
                     name, length, b = judge(t)
                     if b >= found[name, length]:
+                        upto = t["end"]
                         more.append((t["start"], 3, t["end"]))
                 kinds = Counter(k for _, k, _ in spans)
                 values = [kinds[0], kinds[1], kinds[2], len(more), hashlib.sha256(written(spans).encode()).hexdigest()]
@@ -258,7 +302,8 @@ def find_secrets(docs: DataFrame, settings: Settings | None = None) -> DataFrame
     """Numbers and places of secrets for every row of ``docs`` (doc_id, text; others are ignored).
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind; base_sha256 is that of the
-    spans of the fixed patterns. Tokens that touch a fixed span get none of their own. Null and empty texts have no
+    spans of the fixed patterns. Tokens and parts of tokens that touch a fixed span get none of their own, nor do
+    the parts of a token that is found. Null and empty texts have no
     spans; rows stay apart even if they repeat. An empty table gives an empty result.
     """
     settings = settings or Settings()
@@ -270,7 +315,8 @@ def find_secrets(docs: DataFrame, settings: Settings | None = None) -> DataFrame
     for name, alphabet in ENCODINGS.items():
         n = np.array([total.get(c, 0) + 1.0 for c in alphabet])
         shares[name] = n / n.sum()
-    judge = _judge(shares, settings)
+    tables = {name: likelier(total, name, shares[name], settings) for name in ENCODINGS}
+    judge = _judge(shares, tables, settings)
     bins = (
         scanned.where(F.size("tokens") > 0)
         .select("tokens")

@@ -13,7 +13,7 @@ from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
 
 def op1_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.katz(table(spark, sf_dir, "documents")).scores
+    return katz.katz(table(spark, sf_dir, "documents"), katz.Settings(order=3)).scores
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,13 +24,14 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 class Settings:
     """``share``: part of the rows that the estimate keeps. ``steps``: concentration steps. ``quantile``: of the
     chi-squared distribution, beyond which a row goes. ``least_rows``: smaller groups are pooled by language, then
-    altogether, and judge nothing if still smaller. ``floors``: least standard deviations of the statistics."""
+    altogether, and judge nothing if still smaller. ``floors``: least standard deviations of the statistics, small
+    against the range of those that are shares, so that each can reject a text alone."""
 
     share: float = 0.75
     steps: int = 3
-    quantile: float = 0.99999
+    quantile: float = 0.999
     least_rows: int = 50
-    floors: tuple[float, ...] = (0.5, 0.4, 0.1, 0.2, 0.15, 0.05, 0.05)
+    floors: tuple[float, ...] = (0.5, 0.4, 0.06, 0.15, 0.11, 0.05, 0.05)
     bins_per_doubling: int = 16
 
 
@@ -189,8 +190,8 @@ def _estimate(rows: DataFrame, p: int, floors: tuple[float, ...], scale: float)
         for i in range(j, p):
             left = F.col(f"a{i}_{j}") * scale - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
             if i == j:
-                # the floor is added to the variance: the factor then always exists
-                value = F.sqrt(F.greatest(left, F.lit(0.0)) + floors[i] ** 2)
+                # at least the floor: the factor then always exists
+                value = F.sqrt(F.greatest(left, F.lit(floors[i] ** 2)))
             else:
                 value = left / F.col(f"l{j}_{j}")
             out = out.withColumn(f"l{i}_{j}", value)
@@ -208,7 +209,7 @@ def _start(rows: DataFrame, p: int, floors: tuple[float, ...]) -> DataFrame:
     out = centre.join(spread, "group")
     for i in range(p):
         for j in range(i + 1):
-            value = F.sqrt((F.col(f"s{i}") * 1.4826) ** 2 + floors[i] ** 2) if i == j else F.lit(0.0)
+            value = F.greatest(F.col(f"s{i}") * 1.4826, F.lit(floors[i])) if i == j else F.lit(0.0)
             out = out.withColumn(f"l{i}_{j}", value)
     return stored(out.drop(*[f"s{i}" for i in range(p)]), "start")
 

@@ -71,4 +71,55 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES = {"op2_mix_sources": OP2, "op3_nearest": OP3}
+OP11 = """
+WITH read AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+failing AS (
+  SELECT doc_id, part,
+    (len(words) < 200)::INTEGER + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INTEGER
+    + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INTEGER AS failed
+  FROM read),
+kinds AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failing LEFT JOIN kinds USING (doc_id) GROUP BY ALL),
+filters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM filters a, filters b, filters c, filters d, filters e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5),
+steps AS (
+  SELECT filter_order, k AS step, letter, bit,
+    coalesce(sum(bit) OVER (PARTITION BY filter_order ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER
+      AS earlier
+  FROM orders, unnest(generate_series(1, 5)) AS ks(k) JOIN filters ON letter = substr(filter_order, k, 1)),
+counted AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (failed & (earlier | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (failed & earlier = 0 AND failed & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (failed & earlier <> 0 AND failed & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (failed = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (failed & earlier = 0 AND failed & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (failed & earlier = 0 AND failed & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
+OP12 = """
+WITH plain AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS body
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+  row_number() OVER best = 1 AS kept, sha256(body) AS text_sha256
+FROM plain WINDOW best AS (PARTITION BY body ORDER BY points DESC, doc_id NULLS LAST)
+"""
+
+ORACLES = {"op2_mix_sources": OP2, "op3_nearest": OP3, "op11_filter_audit": OP11, "op12_exact_dedup": OP12}

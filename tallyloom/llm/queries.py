@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import katz, lines, mixing, nearest, neardup, outliers, pieces, secrets, substrings, toxicity
+from tallyloom.llm import (
+    katz, lines, mixing, nearest, neardup, outliers, owners, pieces, secrets, spelling, substrings, survival, toxicity,
+)
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.oracle import ORACLES  # noqa: F401
 
@@ -62,6 +64,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survival.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return owners.owners(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spellings(spelling.vocabulary(table(spark, sf_dir, "documents"), every=97))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_katz_score": op1_katz_score,
     "op2_mix_sources": op2_mix_sources,
@@ -73,4 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }

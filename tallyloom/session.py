@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that hold at any data size. Nothing here is sized to a machine:
 # AQE picks post-shuffle partition counts and splits skewed join partitions.
@@ -28,9 +30,11 @@ def get_session(app_name: str = "tallyloom", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder of the warehouse if that is unset."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``. Only a local session may do without and takes its warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyloom-scratch"
     return configured.rstrip("/")
 
@@ -38,3 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path of this application below the shared folder."""
     return "/".join([shared_dir(spark), "tallyloom", spark.sparkContext.applicationId, *parts])
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, written once as Parquet below the shared folder and read back."""
+    path = scratch_path(frame.sparkSession, name, uuid.uuid4().hex)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

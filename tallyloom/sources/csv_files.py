@@ -13,39 +13,45 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.dates import parse_date, slash_date
 from tallyloom.schemas import TABLES, Table
+from tallyloom.sources.records import BLOCK, FILE, ROW, cut, has_breaks, read_lines
 
-# File position of a raw row; rows of one file order by it, files by name.
-FILE, BLOCK, ROW = "_file", "_block", "_row"
 POSITION = [FILE, BLOCK, ROW]
 # The whole text of a row whose fields do not fit the header, NULL for others.
 UNFIT = "_unfit"
 
 
-def _has_breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """Whether any line has an odd number of quotes, as one with a line break inside quotes has."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+def _parsed(records: DataFrame, header: list[str], fields: T.StructType) -> DataFrame:
+    """Cut records as the fields of the header. A file with another header fails."""
+    names = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in fields.fields)
+    options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": UNFIT}
+    rows = records.withColumn("_row_of", F.from_csv("record", names, options))
+    same = F.lower(F.to_json(F.array(*[F.col("_row_of")[c] for c in header]))) == F.lower(F.to_json(F.array(*map(F.lit, header))))
+    differs = F.raise_error(F.concat(F.lit("another header than the table's in "), F.col(FILE))).cast("boolean")
+    return rows.where(F.when(F.col("first"), F.when(same, False).otherwise(differs)).otherwise(True)).select(
+        "_row_of.*", FILE, BLOCK, ROW
+    )
 
 
 def read_raw(spark: SparkSession, table: Table, path: str, multi_line: bool | None = None) -> DataFrame:
     """The table's columns as text, with the file position of each row.
 
-    A file with line breaks inside quotes is read by one task, others are split. ``multi_line`` True
-    reads whole files in any case. False first looks for such breaks, in a pass over the lines,
-    and reads whole files if there are any: rows are the same in either mode. By default tables
-    without text columns are split and others are read whole.
+    Files are split. A pass over the lines first looks for line breaks inside quotes; files with any are cut into
+    records by ``records.cut``, still by many tasks. ``multi_line`` True reads every file in one task instead, with the
+    same rows.
     """
-    if multi_line is None:
-        multi_line = table.has_text
     options = {"header": True, "escape": '"', "encoding": "UTF-8"}
     header = spark.read.csv(path, **options).columns
-    whole = multi_line or _has_breaks_in_quotes(spark, path)
     fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, UNFIT]])
+    columns = [F.col(f"`{table.header(f.name)}`").alias(f.name) for f in table.schema.fields]
+    if not multi_line:
+        lines = read_lines(spark, path)
+        if has_breaks(lines):
+            return _parsed(cut(lines), header, fields).select(*columns, UNFIT, FILE, BLOCK, ROW)
     raw = spark.read.csv(
-        path, schema=fields, multiLine=whole, enforceSchema=False, columnNameOfCorruptRecord=UNFIT, **options
+        path, schema=fields, multiLine=bool(multi_line), enforceSchema=False, columnNameOfCorruptRecord=UNFIT, **options
     )
     return raw.select(
-        *[F.col(f"`{table.header(f.name)}`").alias(f.name) for f in table.schema.fields],
+        *columns,
         UNFIT,
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),

@@ -24,7 +24,8 @@ def main() -> None:
     load.add_argument("csv_root")
     load.add_argument("root")
     load.add_argument("--quarantine", action="store_true", help="set bad rows aside instead of failing")
-    load.add_argument("--single-line", action="store_true", help="split all files but those with line breaks in quotes")
+    load.add_argument("--whole-files", action="store_true", help="read every file in one task")
+    load.add_argument("--buckets", type=int, help="key buckets a table; more than it has deals it anew")
 
     for name in ("audit", "check-payments", "report-sales"):
         reading = commands.add_parser(name)
@@ -38,7 +39,9 @@ def main() -> None:
             spark, args.out, args.customers, args.products, args.orders, args.least_items, args.most_items
         )
     elif args.command == "ingest":
-        rows = jobs.ingest(spark, args.csv_root, args.root, args.quarantine, False if args.single_line else None)
+        rows = jobs.ingest(
+            spark, args.csv_root, args.root, args.quarantine, args.whole_files, buckets=args.buckets
+        )
     else:
         job = {"audit": jobs.audit, "check-payments": jobs.check_payments, "report-sales": jobs.report_sales}
         job[args.command](spark, args.root, args.out)

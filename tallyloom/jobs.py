@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import forecast, generate, quality, reconcile, report, summary, trend, upsert
@@ -61,49 +61,84 @@ def ingest(
     quarantine: bool = False,
     multi_line: bool | None = None,
     names: Sequence[str] = tuple(TABLES),
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> dict[str, int]:
-    """Load ``<csv_root>/<table>.csv`` into the warehouse; returns rows read per table.
+    """Load ``<csv_root>/<table>.csv`` into the warehouse; returns rows accepted per table.
 
     Rows replace earlier rows of the same key, the later row of a file wins, and rows absent from
     the files stay. All tables become visible together. Without ``quarantine`` a bad row fails
-    the load; with it, bad rows are written to ``<root>/quarantine/load=N/<table>``.
+    the load; with it, bad rows are written to ``<root>/quarantine/<id of the load>/<table>``. What became of the rows
+    is listed with the load (``warehouse.load_counts``).
 
-    Files are parsed once, into a staging folder. Of the warehouse only the key buckets that a batch touches are
-    read and written; their number is set by the first load.
+    Files are parsed once, into a staging folder. Of a table only the key buckets that a batch touches are read and
+    written. ``buckets`` is their number for new tables, 16 by default; a greater one than a table has deals that table anew, in this
+    load only, so that later batches touch less of it.
     """
-    warehouse.prepare(spark, root)
     before = warehouse.loads(spark, root)
     load = before[-1]["load"] + 1 if before else 1
-    buckets = before[-1]["buckets"] if before else buckets
     load_id = f"load={load}-{uuid.uuid4().hex}"
-    position = csv_files.POSITION
-    rows, parts = {}, []
+    parts, counts = [], []
     for name in names:
-        table = TABLES[name]
-        raw = csv_files.read_raw(spark, table, f"{csv_root}/{name}.csv", multi_line)
-        raw.write.parquet(f"{root}/staging/{load_id}/{name}")
-        staged = spark.read.schema(raw.schema).parquet(f"{root}/staging/{load_id}/{name}")
-        if quarantine:
-            batch, bad = csv_files.split_quarantine(staged, table, position)
-            bad.drop(*position).write.mode("append").json(f"{root}/quarantine/load={load}/{name}")
-        else:
-            batch = csv_files.typed_strict(staged, table, position)
-        touched = [r[0] for r in batch.select(warehouse.bucket_of(table.key, buckets)).distinct().collect()]
-        counted, seen = _counted(batch, name)
-        if before:
-            existing = warehouse.read(spark, root, name, only=touched)
-            # keys come from the batch without its count
-            merged = upsert.replaced(existing, batch, [table.key]).unionByName(
-                upsert.latest_by_key(counted, [table.key], position).select(*existing.columns)
-            )
-        else:
-            merged = upsert.latest_by_key(counted, [table.key], position).drop(*position)
-        warehouse.write_buckets(merged, root, name, load_id, buckets)
-        rows[name] = seen.get["rows"]
-        parts += [(name, bucket) for bucket in touched]
-    warehouse.record_load(spark, root, load, load_id, buckets, parts)
-    return rows
+        written, counted = _ingest_table(spark, csv_root, root, name, load_id, before, quarantine, multi_line, buckets)
+        parts += written
+        counts.append(counted)
+    warehouse.record_load(spark, root, load, load_id, parts, counts)
+    return {c.table: c.rows_read - c.rows_refused for c in counts}
+
+
+def _ingest_table(
+    spark: SparkSession,
+    csv_root: str,
+    root: str,
+    name: str,
+    load_id: str,
+    before: Sequence[Row],
+    quarantine: bool,
+    multi_line: bool | None,
+    buckets: int | None,
+) -> tuple[list[tuple[str, int, int]], warehouse.Counts]:
+    """Write the buckets of one table: (table, bucket, number of buckets) of each, and what became of the rows."""
+    table, position = TABLES[name], csv_files.POSITION
+    had = warehouse.buckets_of(before, name)
+    number = max(had or buckets or warehouse.BUCKETS, buckets or 0)
+    raw = csv_files.read_raw(spark, table, f"{csv_root}/{name}.csv", multi_line)
+    counted, read = _counted(raw, f"{name} read")
+    counted.write.parquet(f"{root}/staging/{load_id}/{name}")
+    staged = spark.read.schema(raw.schema).parquet(f"{root}/staging/{load_id}/{name}")
+    refused = 0
+    if quarantine:
+        batch, bad = csv_files.split_quarantine(staged, table, position)
+        bad, seen = _counted(bad.drop(*position), f"{name} refused")
+        bad.write.json(f"{root}/quarantine/{load_id}/{name}")
+        refused = seen.get["rows"]
+    else:
+        batch = csv_files.typed_strict(staged, table, position)
+    accepted = read.get["rows"] - refused
+    latest, seen = _counted(upsert.latest_by_key(batch, [table.key], position).drop(*position), f"{name} latest")
+    touched = _buckets_in(batch, table.key, number)
+    existing = None
+    if had is not None:
+        # of a table dealt anew every bucket is read and written
+        existing = warehouse.read(spark, root, name, only=touched if number == had else None)
+        if number != had:
+            touched |= _buckets_in(existing, table.key, number)
+    new = replaced = 0
+    if touched:
+        merged = latest
+        if existing is not None:
+            merged = upsert.replaced(existing, batch, [table.key]).unionByName(latest.select(*existing.columns))
+        warehouse.write_buckets(merged, root, name, load_id, number)
+        written = spark.read.schema(table.schema).parquet(warehouse.load_path(root, name, load_id)).count()
+        # of no rows there is nothing to observe
+        new = seen.get["rows"] if accepted else 0
+        replaced = (0 if existing is None else existing.count()) - (written - new)
+    kept = warehouse.rows_of(before, name) - replaced
+    counts = warehouse.Counts(name, read.get["rows"], refused, accepted - new, replaced, new - replaced, kept)
+    return [(name, bucket, number) for bucket in sorted(touched)], counts
+
+
+def _buckets_in(frame: DataFrame, key: str, buckets: int) -> set[int]:
+    return {r[0] for r in frame.select(warehouse.bucket_of(key, buckets)).distinct().collect()}
 
 
 def _save(frame: DataFrame, out: str, name: str) -> None:

@@ -55,7 +55,7 @@ def reconciled(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
     """One row per order and distinct payment amount, one row per unpaid order; exact decimals.
 
     Items are summed per order before payments join, so an order with several payments keeps its
-    true total. Equal payments of an order fold into one row.
+    true total. Equal payments of an order fold into one row; payments of unknown amount are one more amount, a mismatch.
 
     Payments fold to their least and greatest amount per order; where the two agree, as for nearly
     all orders, the row is finished. Orders with several amounts may have a large share of all
@@ -64,8 +64,12 @@ def reconciled(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
     """
     keep = ["order_date", "status"]
     amounts = payments.select("order_id", F.col("amount").alias("payment_amount"))
-    ends = amounts.groupBy("order_id").agg(F.min("payment_amount").alias("least"), F.max("payment_amount").alias("most"))
-    several = F.col("least") < F.col("most")
+    ends = amounts.groupBy("order_id").agg(
+        F.min("payment_amount").alias("least"),
+        F.max("payment_amount").alias("most"),
+        F.bool_or(F.col("payment_amount").isNull()).alias("unknown"),
+    )
+    several = (F.col("least") < F.col("most")) | (F.col("unknown") & F.col("least").isNotNull())
     totals = order_totals(orders, items, keep).join(ends, "order_id", "left")
     settled = totals.where(several.isNull() | ~several).select(
         "order_id", *keep, "order_total", F.col("least").alias("payment_amount")

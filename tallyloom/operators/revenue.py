@@ -9,30 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.dates import month_labels, month_start
-from tallyloom.functions.money import exact_sum
+from tallyloom.functions.money import double_parts, exact_product_sum
 
 
 def item_totals(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``SUM(quantity * price)`` per order that has items, exact.
 
     The partial sum before the shuffle reduces an order of any size to one row per input
-    partition, so one dominant order does not load one task.
+    partition, so one dominant order does not load one task. Prices in double or float count as their decimal text says.
     """
-    return items.groupBy("order_id", *by).agg(_total(items).alias("order_total"))
-
-
-def _total(items: DataFrame) -> Column:
-    """A price in double is taken to its nearest millionth, so that sums are exact in any order.
-
-    A price that is not a number fails the query: no total could be right.
-    """
-    price, quantity = F.col("price"), F.col("quantity")
-    if not isinstance(items.schema["price"].dataType, (T.DoubleType, T.FloatType)):
-        return F.sum(quantity * price)
-    price = price.cast("double")
-    known = F.when(F.isnan(price), F.raise_error(F.lit("price: not a number")).cast("double")).otherwise(price)
-    millionths = F.rint(known * 1_000_000).cast("bigint") * quantity.cast("bigint")
-    return exact_sum(millionths) * F.lit("0.000001").cast("decimal(6,6)")
+    kind = items.schema["price"].dataType
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return items.groupBy("order_id", *by).agg(F.sum(F.col("quantity") * F.col("price")).alias("order_total"))
+    price = F.col("price") if isinstance(kind, T.DoubleType) else F.col("price").cast("string").cast("double")
+    units, limbs = double_parts(price)
+    parts = items.select("order_id", *by, F.col("quantity").alias("_times"), units.alias("_units"), limbs.alias("_limbs"))
+    total = exact_product_sum(F.col("_units"), F.col("_limbs"), F.col("_times"))
+    return parts.groupBy("order_id", *by).agg(total.alias("order_total"))
 
 
 def order_totals(orders: DataFrame, items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -113,6 +113,9 @@ _DIRECTION = (labels.POSITIVE_TREND, labels.NEGATIVE_TREND, labels.STABLE_TREND)
 MONTHLY_REVENUE = f"""{_with(SALES, MONTHLY)}
 SELECT month, year, month_num, CAST(revenue AS DOUBLE) AS total_revenue, order_count FROM lagged"""
 
+MONTHLY_TREND_POSITIONS = f"""{_with(SALES, MONTHLY)}
+SELECT ROW_NUMBER() OVER (ORDER BY month_start) AS position, month, {_report('revenue')} AS monthly_revenue FROM lagged"""
+
 MONTHLY_WITH_PREVIOUS = f"""{_with(SALES, MONTHLY)}
 SELECT month, year, month_num, CAST(revenue AS DOUBLE) AS total_revenue, order_count,
        CAST(prev AS DOUBLE) AS previous_month_revenue, strftime(prev_start, '%Y-%m') AS previous_month
@@ -339,6 +342,17 @@ SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date, status,
        status_check, CAST(difference AS DOUBLE) AS difference
 FROM reconciled ORDER BY order_id"""
 
+PAYMENT_RECONCILIATION_POSITIONS = f"""{_with(SALES, PAYMENTS, RECONCILED)}
+SELECT ROW_NUMBER() OVER (ORDER BY order_id, payment_amount) AS position, order_id,
+       CAST(payment_amount AS DOUBLE) AS payment_amount, status_check
+FROM reconciled"""
+
+RECONCILIATION_UNKNOWN_AMOUNTS = f"""{_with(SALES, PAYMENTS.replace("1, 25.00", "1, NULL"), RECONCILED)}
+SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date, status,
+       CAST(order_total AS DOUBLE) AS order_total, CAST(payment_amount AS DOUBLE) AS payment_amount,
+       status_check, CAST(difference AS DOUBLE) AS difference
+FROM reconciled"""
+
 PAYMENT_MISMATCHES = f"""{_with(SALES, PAYMENTS, RECONCILED)}
 SELECT order_id, CAST(order_total AS DOUBLE) AS order_total,
        CAST(COALESCE(payment_amount, 0) AS DOUBLE) AS payment_amount, CAST(difference AS DOUBLE) AS difference
@@ -427,6 +441,16 @@ SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date,
        status || CASE WHEN priority = '1-URGENT' THEN '-2' ELSE '' END AS status
 FROM s_orders"""
 
+INGEST_LOAD_COUNTERS = f"""{_with(SALES)},
+counted AS (
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (priority = '5-LOW' AND status IN ('P', 'F')) AS damaged,
+         COUNT(*) FILTER (priority = '1-URGENT') AS urgent, COUNT(*) FILTER (priority = '2-HIGH') AS high
+  FROM s_orders)
+SELECT CAST(1 AS INTEGER) AS load, 'orders' AS table_name, n AS rows_read, damaged AS rows_refused, 0::BIGINT AS rows_superseded,
+       0::BIGINT AS rows_replaced, n - damaged AS rows_inserted, 0::BIGINT AS rows_kept FROM counted
+UNION ALL
+SELECT 2, 'orders', 2 * urgent + high, 0, urgent, urgent, high, n - damaged - urgent FROM counted"""
+
 UPSERT_LATEST_BY_KEY = """
 WITH ranked AS (
   SELECT *, ROW_NUMBER() OVER (
@@ -574,6 +598,16 @@ SELECT order_id AS payment_id,
                 '%Y-%m-%d') AS payment_date
 FROM m_orders LEFT JOIN totals USING (order_id)"""
 
+GEN_VOLUMES = f"""
+WITH volumes AS (
+  SELECT (SELECT COUNT(*) FROM customer) AS customers, (SELECT COUNT(*) FROM part) AS n, (SELECT COUNT(*) FROM orders) AS placed),
+drawn AS (
+  SELECT SUM(LEAST({_int('order_id', 41, 2, 4)}, n))::BIGINT AS items
+  FROM volumes, UNNEST(range(1, placed + 1)) AS ids(order_id))
+SELECT UNNEST(['customers', 'products', 'orders', 'order_items', 'payments']) AS table_name,
+       UNNEST([customers, n, placed, items, placed]) AS row_count
+FROM volumes, drawn"""
+
 MONTHLY_NET_REVENUE = f"""{_with(SALES)},
 net AS (
   SELECT l_orderkey AS order_id,
@@ -717,4 +751,9 @@ ORACLES: dict[str, str] = {
     "gen_orders": GEN_ORDERS,
     "gen_order_items": GEN_ORDER_ITEMS,
     "gen_payments": GEN_PAYMENTS,
+    "gen_volumes": GEN_VOLUMES,
+    "ingest_load_counters": INGEST_LOAD_COUNTERS,
+    "payment_reconciliation_positions": PAYMENT_RECONCILIATION_POSITIONS,
+    "monthly_trend_positions": MONTHLY_TREND_POSITIONS,
+    "reconciliation_unknown_amounts": RECONCILIATION_UNKNOWN_AMOUNTS,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tallyloom import jobs
 from tallyloom.functions.dates import iso_date
-from tallyloom.operators import forecast, generate, quality, reconcile, report, summary, trend, upsert
+from tallyloom.operators import forecast, generate, positions, quality, reconcile, report, summary, trend, upsert
 from tallyloom.operators.revenue import monthly_revenue, monthly_revenue_report, order_totals
 from tallyloom.plans import testbed
 from tallyloom.schemas import TABLES
@@ -99,16 +99,19 @@ def ingest_orders_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows set aside when ids and dates of some kinds of orders are damaged."""
+    return csv_files.split_quarantine(_damaged_orders(spark, sf_dir), TABLES["orders"])[1]
+
+
+def _damaged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _dates_as_text(spark, sf_dir)
     low = F.col("priority") == "5-LOW"
-    damaged = raw.withColumns(
+    return raw.withColumns(
         {
             "order_id": F.when(low & (F.col("status") == "P"), "n/a").otherwise(F.col("order_id")),
             "customer_id": F.when(low & (F.col("status") == "P"), F.lit(None)).otherwise(F.col("customer_id")),
             "order_date": F.when(low & (F.col("status") == "F"), "13/40/2020").otherwise(F.col("order_date")),
         }
     )
-    return csv_files.split_quarantine(damaged, TABLES["orders"])[1]
 
 
 def upsert_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +161,27 @@ def payment_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(rows)
 
 
+def payment_reconciliation_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each row stands in the sorted report."""
+    rows = payment_reconciliation(spark, sf_dir)
+    return positions.numbered(rows).select("position", "order_id", "payment_amount", "status_check")
+
+
+def monthly_trend_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each month stands in the detailed report."""
+    rows = trend.monthly_trend_detail(_monthly(spark, sf_dir))
+    return positions.numbered(rows).select("position", "month", "monthly_revenue")
+
+
+def reconciliation_unknown_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation when the extra payments of open urgent orders have no amount."""
+    payments = testbed.payments(spark, sf_dir)
+    extra = (F.col("payment_method") == testbed.METHOD_OF_PRIORITY["1-URGENT"]) & (F.col("payment_id") % 2 == 1)
+    payments = payments.withColumn("amount", F.when(~extra, F.col("amount")))
+    orders, items = testbed.orders(spark, sf_dir), testbed.order_items(spark, sf_dir)
+    return _portable(reconcile.payment_reconciliation(orders, items, payments))
+
+
 def formatted_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _on_sales(reconcile.payment_reconciliation)(spark, sf_dir)
     return report.formatted_reconciliation(rows)
@@ -213,6 +237,14 @@ def _made(source: Query) -> Query:
     return lambda spark, sf_dir: _portable(source(spark, sf_dir))
 
 
+def gen_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written by the generator job for the row counts of the given tables and two to four items an order."""
+    counts = {name: testbed.given(spark, sf_dir, name).count() for name in ("customer", "part", "orders")}
+    out = scratch_path(spark, "csv", uuid.uuid4().hex)
+    rows = jobs.generate_csv(spark, out, counts["customer"], counts["part"], counts["orders"], least_items=2, most_items=4)
+    return spark.createDataFrame(list(rows.items()), "table_name string, row_count bigint")
+
+
 def ingest_payments_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments as raw text with the date in both layouts, typed."""
     paid = testbed.payments(spark, sf_dir)
@@ -269,13 +301,33 @@ def ingest_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _portable(warehouse.read(spark, f"{root}/tables", "orders"))
 
 
+def ingest_load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the rows of two loads of orders: all of them, some damaged; then two versions of the urgent ones
+    and new orders in place of the high ones."""
+    root = scratch_path(spark, "warehouse", uuid.uuid4().hex)
+    header = TABLES["orders"].schema.names
+    damaged = _damaged_orders(spark, sf_dir).select(*header)
+    damaged.write.csv(f"{root}/first/orders.csv", header=True)
+    good = _dates_as_text(spark, sf_dir)
+    later = good.where("priority = '1-URGENT'").select(*header)
+    later = later.withColumn("status", F.explode(F.array(F.lit("one"), F.lit("two"))))
+    fresh = good.where("priority = '2-HIGH'").select(*header).withColumn("order_id", F.concat(F.lit("-9"), "order_id"))
+    later.unionByName(fresh).write.csv(f"{root}/second/orders.csv", header=True)
+    jobs.ingest(spark, f"{root}/first", f"{root}/tables", quarantine=True, names=["orders"])
+    jobs.ingest(spark, f"{root}/second", f"{root}/tables", names=["orders"], buckets=64)
+    return warehouse.load_counts(spark, f"{root}/tables")
+
+
 def monthly_net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly series on discounted prices, which have parts of a cent."""
+    """The monthly series on discounted prices, which have parts of a cent.
+
+    Cents times hundredths end at the fourth place; what the product in double has beyond is not part of the price.
+    """
     lines = testbed.given(spark, sf_dir, "lineitem")
     items = lines.select(
         F.col("l_orderkey").alias("order_id"),
         F.rint("l_quantity").cast("int").alias("quantity"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("price"),
+        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("price"),
     )
     return monthly_revenue_report(monthly_revenue(testbed.orders(spark, sf_dir), items))
 
@@ -321,6 +373,9 @@ QUERIES: dict[str, Query] = {
     "formatted_orphans": lambda spark, sf_dir: report.formatted_orphans(payments_without_orders(spark, sf_dir)),
     "order_totals": all_order_totals,
     "payment_reconciliation": payment_reconciliation,
+    "payment_reconciliation_positions": payment_reconciliation_positions,
+    "monthly_trend_positions": monthly_trend_positions,
+    "reconciliation_unknown_amounts": reconciliation_unknown_amounts,
     "payment_mismatches": _on_sales(reconcile.payment_mismatches),
     "reconciliation_summary": _on_sales(reconcile.reconciliation_summary),
     "orders_without_payments": _on_sales(reconcile.orders_without_payments),
@@ -337,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "ingest_payments_dates": ingest_payments_dates,
     "ingest_orders_quarantine": ingest_orders_quarantine,
     "ingest_upsert_orders": ingest_upsert_orders,
+    "ingest_load_counters": ingest_load_counters,
     "read_dirty_good": _read_dirty(bad_rows=False, multi_line=True),
     "read_dirty_good_split": _read_dirty(bad_rows=False, multi_line=False),
     "read_dirty_quarantine": _read_dirty(bad_rows=True, multi_line=True),
@@ -350,4 +406,5 @@ QUERIES: dict[str, Query] = {
     "gen_orders": _made(made_orders),
     "gen_order_items": _made(made_items),
     "gen_payments": _made(made_payments),
+    "gen_volumes": gen_volumes,
 }

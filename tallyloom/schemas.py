@@ -31,11 +31,6 @@ class Table:
     def required(self) -> list[str]:
         return [f.name for f in self.schema.fields if not f.nullable]
 
-    @property
-    def has_text(self) -> bool:
-        """Whether a field may be quoted and hold a line break."""
-        return any(isinstance(f.dataType, T.StringType) for f in self.schema.fields)
-
     def header(self, column: str) -> str:
         return self.headers.get(column, column)
 

@@ -97,6 +97,15 @@ def _faults(raw: DataFrame, table: Table) -> Column:
     return F.coalesce(_unfit(raw), F.nullif(F.concat_ws("; ", *found), F.lit("")))
 
 
+def _is_bad(raw: DataFrame, table: Table) -> Column:
+    """Whether a raw row has any fault, without the texts that say which."""
+    bad = F.col(UNFIT).isNotNull() if UNFIT in raw.columns else F.lit(False)
+    for f in table.schema.fields:
+        if _must_hold(f):
+            bad = bad | _typed(F.col(f.name), f.dataType).isNull()
+    return bad
+
+
 def typed_strict(raw: DataFrame, table: Table, keep: list[str] | None = None) -> DataFrame:
     """Typed rows; a query that reads a bad value fails, whatever the ANSI setting."""
 
@@ -119,11 +128,12 @@ def split_quarantine(
     raw: DataFrame, table: Table, keep: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(typed good rows, raw bad rows with ``reason``)."""
-    checked = raw.withColumn("reason", _faults(raw, table))
     typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in table.schema.fields]
-    good = checked.where(F.col("reason").isNull()).select(*typed, *(keep or []))
-    bad = checked.where(F.col("reason").isNotNull()).select(*table.schema.names, *(keep or []), "reason")
-    return good, bad
+    bad = _is_bad(raw, table)
+    return (
+        raw.where(~bad).select(*typed, *(keep or [])),
+        raw.where(bad).select(*table.schema.names, *(keep or []), _faults(raw, table).alias("reason")),
+    )
 
 
 def read_table(spark: SparkSession, name: str, path: str, multi_line: bool | None = None) -> DataFrame:

@@ -3,15 +3,11 @@
 Whether a line ends inside quotes depends on whether it began there, and so on back to the start of the file. So each line is taken
 as a function of two states, outside and inside, and these functions are composed: within a block in the order of its
 lines, over the blocks of a file by a running window. Each block then knows how it begins and is cut on its own; records that cross
-blocks are put together from one piece a block.
+blocks are put together from one piece a block. Lines are shuffled once, by block; all steps are built-in functions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +19,6 @@ FILE, BLOCK, ROW = "_file", "_block", "_row"
 # What a line or block does: bit 0 is set if it ends inside quotes having begun outside, bit 1 if having begun inside.
 OUTSIDE, SWAP, KEEP, INSIDE = range(4)
 
-# Blocks that begin inside quotes, as many as are sent to all tasks; beyond that lines are dealt by block.
-MOST_SENT = 2_000_000
-
 # A quoted stretch at the start of a field or right after another one (a doubled quote within a field), and
 # a quote that opens a field.
 _STRETCH = r'((?:^|,)|\G)"[^"]*+"'
@@ -42,11 +35,6 @@ def line_effect(line: Column) -> Column:
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(KEEP)
 
 
-def then(first: int, second: int) -> int:
-    """The effect of two stretches, one after the other."""
-    return (second >> (first & 1) & 1) | (second >> (first >> 1) & 1) << 1
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their position. A block lies in one partition, its lines in order."""
     return spark.read.text(path, lineSep="\n").select(
@@ -62,123 +50,90 @@ def has_breaks(lines: DataFrame) -> bool:
     return not lines.where(line_effect(F.col("value")).bitwiseAND(1) == 1).isEmpty()
 
 
-def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(tag, block, effect) of every block from those of its lines."""
-    found: dict[tuple[int, int], int] = {}
-    for batch in batches:
-        tags, blocks, effects = (c.to_numpy() for c in batch.columns)
-        edges = np.flatnonzero((np.diff(tags) != 0) | (np.diff(blocks) != 0)) + 1
-        for part in np.split(np.arange(len(tags)), edges):
-            if len(part):
-                key = (int(tags[part[0]]), int(blocks[part[0]]))
-                whole = found.get(key, KEEP)
-                for effect in effects[part][effects[part] != KEEP]:
-                    whole = then(whole, int(effect))
-                found[key] = whole
-    rows = [(*key, effect) for key, effect in found.items()]
-    types = (pa.int64(), pa.int64(), pa.int32())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["tag", "block", "effect"]
-    )
-
+def _composed(frame: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Adds the effect of everything in ``by`` from its start up to each row: ``fixed``, whether it ends alike from both states, and
+    ``turned``, the state in which it ends having begun outside.
 
-def open_blocks(lines: DataFrame) -> DataFrame:
-    """(tag, block) of the blocks that begin inside quotes; tag names the file."""
-    effects = lines.select(F.xxhash64(FILE).alias("tag"), F.col(BLOCK), line_effect(F.col("value")).alias("effect"))
-    blocks = effects.mapInArrow(_effects, "tag bigint, block bigint, effect int")
-    # one row a block: the state is that of the last block that fixes it, turned by each swap since
-    upto = Window.partitionBy("tag").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turned = blocks.withColumn("swaps", F.sum(F.when(F.col("effect") == SWAP, 1).otherwise(0)).over(upto))
-    fixed = F.when(F.col("effect").isin(OUTSIDE, INSIDE), F.struct("block", F.col("effect").bitwiseAND(1).alias("to"), "swaps"))
-    last = turned.withColumn("last", F.max(fixed).over(upto))
+    The last row that fixes the state counts, turned by each swap since.
+    """
+    upto = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    effect = F.col("effect")
+    swaps = frame.withColumn("swaps", F.sum((effect == SWAP).cast("int")).over(upto))
+    fixing = F.when(effect.isin(OUTSIDE, INSIDE), F.struct(order, effect.bitwiseAND(1).alias("to"), "swaps"))
+    last = swaps.withColumn("last", F.max(fixing).over(upto))
     turns = F.col("swaps") - F.coalesce("last.swaps", F.lit(0)) + F.coalesce("last.to", F.lit(0))
-    ends = last.select("tag", "block", (turns % 2).alias("inside"))
-    begins = F.lag("inside", 1, 0).over(Window.partitionBy("tag").orderBy("block"))
-    return ends.select("tag", "block", begins.alias("inside")).where("inside = 1").select("tag", "block")
-
-
-_PIECE = {
-    FILE: pa.large_string(), BLOCK: pa.int64(), ROW: pa.int64(), "record": pa.large_string(), "whole": pa.bool_(),
-    "begins": pa.bool_(), "first": pa.bool_(),
-}
-_PIECE_SQL = f"{FILE} string, {BLOCK} bigint, {ROW} bigint, record string, whole boolean, begins boolean, first boolean"
-_BATCH_ROWS, _BATCH_BYTES = 10_000, 1 << 24
-
-
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records that lie in a block, and the pieces of others."""
-    now, inside, piece, first = None, False, None, False
-    out, held = [], 0
-
-    def close(whole: bool) -> None:
-        nonlocal piece, first, held
-        file, block, row, begins, lines = piece
-        piece = None
-        record = "\n".join(lines)
-        if not (whole and record in ("", "\r")):
-            out.append((file, block, row, record, whole, begins, first))
-            held += len(record) + len(file)
-            first = False
-
-    def batch_of() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in out], t) for k, t in enumerate(_PIECE.values())], names=list(_PIECE)
-        )
-
-    for batch in batches:
-        for file, block, row, line, effect, is_open in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if now != (file, block):
-                if piece:
-                    close(whole=False)
-                now, inside, first = (file, block), is_open, block == 0
-                if inside:
-                    piece = (file, block, row, False, [])
-            if piece is None:
-                piece = (file, block, row, True, [])
-            piece[4].append(line)
-            inside = bool(effect >> inside & 1)
-            if not inside:
-                close(whole=piece[3])
-            if len(out) >= _BATCH_ROWS or held >= _BATCH_BYTES:
-                yield batch_of()
-                out, held = [], 0
-    if piece:
-        close(whole=False)
-    yield batch_of()
+    return last.withColumns({"fixed": F.col("last").isNotNull(), "turned": turns % 2}).drop("swaps", "last")
 
 
-def cut(lines: DataFrame) -> DataFrame:
-    """(file position, record, first): the records of the files, without empty lines; ``first`` marks each file's header.
+def _after(start: Column) -> Column:
+    """1 if a row of ``_composed`` ends inside, for the state in which the composition began."""
+    return F.when(F.col("fixed"), F.col("turned")).otherwise((F.col("turned") + start) % 2)
 
-    The blocks that begin inside quotes, two numbers each, are sent to all tasks up to MOST_SENT of them; beyond
-    that lines meet them by block and are put in order again.
+
+def open_blocks(lines: DataFrame) -> DataFrame:
+    """(tag, block) of the blocks that begin inside quotes; tag names the file.
+
+    Only lines that change the state are sent to find the effect of a block; then there is one row a block.
     """
-    opened = stored(open_blocks(lines), "open-blocks")
-    some = opened.count()
-    marked = opened.select("tag", F.col("block").alias(BLOCK), F.lit(True).alias("inside"))
-    tagged = lines.select("*", line_effect(F.col("value")).alias("effect"), F.xxhash64(FILE).alias("tag"))
-    if some <= MOST_SENT:
-        known = tagged.join(F.broadcast(marked), ["tag", BLOCK], "left")
-    else:
-        known = tagged.join(marked, ["tag", BLOCK], "left").repartition("tag", BLOCK).sortWithinPartitions("tag", BLOCK, ROW)
-    pieces = known.select(FILE, BLOCK, ROW, "value", "effect", F.coalesce("inside", F.lit(False))).mapInArrow(
-        _pieces, _PIECE_SQL
+    tagged = lines.select(F.xxhash64(FILE).alias("tag"), F.col(BLOCK).alias("block"), ROW, line_effect(F.col("value")).alias("effect"))
+    changing = _composed(tagged.where(F.col("effect") != KEEP), ["tag", "block"], ROW)
+    ends = changing.groupBy("tag", "block").agg(F.max_by(F.struct("fixed", "turned"), ROW).alias("end"))
+    whole = F.when(F.col("end.fixed"), F.col("end.turned") * INSIDE).when(F.col("end.turned") == 1, SWAP)
+    blocks = tagged.select("tag", "block").distinct().join(ends, ["tag", "block"], "left")
+    blocks = blocks.select("tag", "block", F.coalesce(whole, F.lit(KEEP)).alias("effect"))
+    after = _composed(blocks, ["tag"], "block").withColumn("after", _after(F.lit(0)))
+    begins = F.lag("after", 1, 0).over(Window.partitionBy("tag").orderBy("block"))
+    return after.select("tag", "block", begins.alias("inside")).where("inside = 1").select("tag", "block")
+
+
+def cut(lines: DataFrame) -> DataFrame:
+    """(file position, record, first): the records of the files, without empty lines; ``first`` marks each file's header."""
+    opened = stored(open_blocks(lines), "open-blocks").select("tag", F.col("block").alias(BLOCK), F.lit(1).alias("inside"))
+    empty = F.col("value").isin("", "\r")
+    tagged = lines.select(
+        "*", line_effect(F.col("value")).alias("effect"), F.xxhash64(FILE).alias("tag"), (~empty).cast("int").alias("filled")
+    )
+    known = tagged.join(opened, ["tag", BLOCK], "left").withColumn("inside", F.coalesce("inside", F.lit(0)))
+    block = Window.partitionBy("tag", BLOCK).orderBy(ROW)
+    upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = _composed(known, ["tag", BLOCK], ROW).withColumn("after", _after(F.col("inside")))
+    states = states.withColumn("before", F.coalesce(F.lag("after").over(block), F.col("inside")))
+    first = (F.col(BLOCK) == 0) & (F.col("filled") == 1) & (F.sum("filled").over(upto) == 1)
+    # nearly all records are one line and need no more than their states
+    placed = states.select(
+        FILE, "tag", BLOCK, ROW, "value", "before", "after", "filled", first.alias("first"),
+        F.sum(1 - F.col("before")).over(upto).alias("n"),
+    )
+    alone = placed.where("before = 0 AND after = 0 AND filled = 1")
+    alone = alone.select(FILE, BLOCK, ROW, _record(F.col("value")), "first")
+    pieces = placed.where("before = 1 OR after = 1").groupBy(FILE, "tag", BLOCK, "n").agg(
+        F.min(ROW).alias(ROW),
+        _lines_joined(F.struct(ROW, "value")).alias("record"),
+        F.bool_or("first").alias("first"),
+        F.bool_or(F.col("before") == 0).alias("begins"),
+        F.bool_or(F.col("after") == 0).alias("ends"),
     )
-    # of a record that ends in CR LF the reader has left the CR; its other line breaks are then CR LF too
-    ended = F.endswith("record", F.lit("\r"))
-    bare = F.replace(F.rtrim("record", F.lit("\r")), F.lit("\r\n"), F.lit("\n"))
-    record = F.when(ended, bare).otherwise(F.col("record")).alias("record")
-    whole = pieces.where("whole").select(FILE, BLOCK, ROW, record, "first")
-    apart = stored(pieces.where("NOT whole"), "record-pieces")
-    if apart.isEmpty():
-        return whole
+    whole = pieces.where("begins AND ends").select(FILE, BLOCK, ROW, _record(F.col("record")), "first")
     # at most two pieces a block
-    place = Window.partitionBy(FILE).orderBy(BLOCK, ROW)
-    numbered = apart.withColumn("n", F.sum(F.col("begins").cast("int")).over(place))
-    joined = numbered.groupBy(FILE, "n").agg(
+    apart = stored(pieces.where("NOT (begins AND ends)"), "record-pieces")
+    place = Window.partitionBy("tag").orderBy(BLOCK, ROW)
+    numbered = apart.withColumn("piece", F.sum(F.col("begins").cast("int")).over(place))
+    joined = numbered.groupBy(FILE, "tag", "piece").agg(
         F.min(BLOCK).alias(BLOCK),
         F.min_by(ROW, F.struct(BLOCK, ROW)).alias(ROW),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(BLOCK, ROW, "record"))), lambda p: p["record"]), "\n").alias("record"),
+        _lines_joined(F.struct(BLOCK, ROW, F.col("record").alias("value"))).alias("record"),
         F.bool_or("first").alias("first"),
     )
-    return whole.unionByName(joined.select(FILE, BLOCK, ROW, record, "first"))
+    joined = joined.select(FILE, BLOCK, ROW, _record(F.col("record")), "first")
+    return alone.unionByName(whole).unionByName(joined)
+
+
+def _lines_joined(lines: Column) -> Column:
+    """Aggregate: the values of structs that end with ``value``, in the order of what stands before it."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(lines)), lambda line: line["value"]), "\n")
+
+
+def _record(text: Column) -> Column:
+    """Of a record that ends in CR LF the reader has left the CR; its other line breaks are then CR LF too."""
+    bare = F.replace(F.rtrim(text, F.lit("\r")), F.lit("\r\n"), F.lit("\n"))
+    return F.when(F.endswith(text, F.lit("\r")), bare).otherwise(text).alias("record")

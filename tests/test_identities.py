@@ -4,6 +4,7 @@ import datetime
 import os
 import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import rows
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import parse_date
 from tallyloom.functions.money import exact_sum, round2
-from tallyloom.operators import forecast, reconcile, summary, trend
+from tallyloom.operators import forecast, positions, reconcile, summary, trend
 from tallyloom.operators.revenue import item_totals, monthly_revenue, order_totals
 from tallyloom.plans import testbed
 
@@ -88,6 +89,69 @@ def test_double_prices_sum_like_decimals(spark):
         item_totals(unknown).collect()
 
 
+def exact_totals(frame):
+    """By whole millionths where a price is one, else by its decimal text."""
+    found = {}
+    for order, quantity, price, text in frame.select("*", F.col("price").cast("string")).collect():
+        millionths = round(price * 1e6)
+        whole = millionths / 1e6 == price and abs(millionths) < 2**53
+        value = Fraction(millionths, 10**6) if whole else Fraction(text)
+        found[order] = found.get(order, Fraction(0)) + quantity * value
+    return found
+
+
+def test_double_prices_of_any_size_sum_exactly(spark):
+    draw = random.Random(6)
+    data = []
+    for n in range(4000):
+        size = draw.choice([-19, -15, -9, -7, -3, -2, 0, 2, 5, 9, 11])
+        price = draw.choice([draw.uniform(-9, 9), round(draw.uniform(0, 9), 2), draw.randint(-9, 9)]) * 10.0**size
+        data.append((n % 40, draw.randint(1, 99), float(price)))
+    data = [d for d in data if d[2] == 0 or abs(d[2]) >= 1e-20]
+    data += [(50, 10**9, 1e-7), (51, 3, 0.1), (51, 7, 0.1), (52, 1, 1e11), (52, 1, 1e-18), (52, 1, -1e11), (53, 5, 0.30000000000000004)]
+    frame = spark.createDataFrame(data, "order_id int, quantity int, price double")
+    want = exact_totals(frame)
+    totals = [dict(map(tuple, item_totals(frame.repartition(n)).collect())) for n in (1, 7)]
+    assert totals[0] == totals[1]
+    for order, total in totals[0].items():
+        assert abs(Fraction(total) - want[order]) <= Fraction(1, 2 * 10**18), order
+    assert (totals[0][50], totals[0][51], totals[0][52]) == (100, 1, Decimal("1E-18"))
+    monthly = [
+        monthly_revenue(
+            spark.createDataFrame([(o, datetime.date(2020, 1 + o % 3, 1)) for o in range(60)], "order_id int, order_date date"),
+            frame.repartition(n),
+        ).orderBy("month_start").collect()
+        for n in (1, 5)
+    ]
+    assert monthly[0] == monthly[1]
+
+
+@pytest.mark.parametrize(("price", "match"), [(float("inf"), "too large"), (1e13, "too large"), (1e-21, "too small")])
+def test_prices_that_cannot_be_summed_exactly_fail(spark, price, match):
+    frame = spark.createDataFrame([(1, 2, price)], "order_id int, quantity int, price double")
+    with pytest.raises(PySparkException, match=match):
+        item_totals(frame).collect()
+
+
+def test_float_prices_count_as_their_text(spark):
+    frame = spark.createDataFrame([(1, 3, 0.1), (1, 1, 19.99), (2, 1, None)], "order_id int, quantity int, price float")
+    assert sorted(map(tuple, item_totals(frame).collect())) == [(1, Decimal("20.29")), (2, None)]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_numbered_rows_follow_the_order_of_the_frame(spark, partitions):
+    draw = random.Random(7)
+    data = [(draw.randint(0, 300), n) for n in range(2000)]
+    frame = spark.createDataFrame(data, "k int, n int").withColumns({c: F.lit(0) for c in ("_part", "at", "p", "position")})
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = positions.numbered(frame.orderBy("k", "n")).select("position", "k", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted(map(tuple, found)) == [(p, *row) for p, row in enumerate(sorted(data), 1)]
+    assert positions.numbered(frame.limit(0)).count() == 0
+
+
 def test_dates_equal_a_plain_parser(spark):
     """Random near-dates against the standard library."""
 

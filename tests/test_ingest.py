@@ -1,6 +1,7 @@
 """CSV reading, dates, quarantine, upsert, and the ingest job."""
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -264,7 +265,7 @@ def test_ingest_with_quarantine(spark, tmp_path):
     root = str(tmp_path / "warehouse")
     source = put_all(tmp_path / "one", orders="1,1,01/02/2020,shipped\n2,1,99/99/2020,shipped\n")
     assert jobs.ingest(spark, source, root, quarantine=True)["orders"] == 1
-    aside = rows(spark.read.json(f"{root}/quarantine/load=1/orders"))
+    aside = rows(spark.read.json(f"{root}/quarantine/load=1-*/orders"))
     assert [(r["order_id"], r["reason"]) for r in aside] == [("2", "order_date: bad value 99/99/2020")]
 
 
@@ -279,3 +280,93 @@ def test_single_line_reading_keeps_the_order_of_rows(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     found = {r.product_id: r.product_name for r in warehouse.read(spark, root, "products").collect()}
     assert found == {n: f"v{19_990 + n}" for n in range(10)}
+
+
+def test_of_two_loads_at_once_one_is_listed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "warehouse")
+    first, second = put_all(tmp_path / "one"), put_all(tmp_path / "two", products="1,other,Toys,4.00\n")
+    listed, done = warehouse.record_load, []
+
+    def late(*args):
+        if not done:  # the first load is about to be listed when a second one runs from start to end
+            done.append(True)
+            jobs.ingest(spark, second, root)
+        listed(*args)
+
+    monkeypatch.setattr(warehouse, "record_load", late)
+    with pytest.raises(RuntimeError, match="another load"):
+        jobs.ingest(spark, first, root)
+    assert [r["load"] for r in warehouse.loads(spark, root)] == [1]
+    assert warehouse.read(spark, root, "products").first().product_name == "other"
+    jobs.ingest(spark, first, root)
+    assert warehouse.read(spark, root, "products").first().product_name == "lamp"
+
+
+def test_a_log_entry_is_made_once(spark, tmp_path):
+    path = str(tmp_path / "loads" / "1.json")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda n: warehouse._publish(spark, path, f"{n}\n"), range(24)))
+    assert sum(made) == 1
+    assert (tmp_path / "loads" / "1.json").read_text() == f"{made.index(True)}\n"
+    assert [f.name for f in (tmp_path / "loads").iterdir()] == ["1.json"]
+
+
+def test_bad_rows_of_a_failed_load_are_not_listed_twice(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "warehouse")
+    source = put_all(tmp_path / "one", orders="1,1,01/02/2020,shipped\n2,1,99/99/2020,shipped\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "record_load", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.ingest(spark, source, root, quarantine=True)
+    jobs.ingest(spark, source, root, quarantine=True)
+    load_id = warehouse.loads(spark, root)[0]["id"]
+    assert spark.read.json(f"{root}/quarantine/{load_id}/orders").count() == 1
+
+
+def test_counters_say_what_became_of_rows(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    bodies = ["1,a,Toys,1.00\n2,b,Toys,x\n3,c,Toys,1.00\n1,d,Toys,1.00\n", "3,e,Toys,1.00\n4,f,Toys,1.00\n4,g,Toys,2.00\n", ""]
+    for k, body in enumerate(bodies):
+        put(tmp_path / str(k), "products", body)
+        jobs.ingest(spark, str(tmp_path / str(k)), root, quarantine=True, names=["products"])
+    names = ["load", "rows_read", "rows_refused", "rows_superseded", "rows_replaced", "rows_inserted", "rows_kept"]
+    found = sorted(tuple(r[c] for c in names) for r in warehouse.load_counts(spark, root).collect())
+    assert found == [(1, 4, 1, 1, 0, 2, 0), (2, 3, 0, 1, 1, 1, 1), (3, 0, 0, 0, 0, 0, 3)]
+    assert warehouse.rows_of(warehouse.loads(spark, root), "products") == warehouse.read(spark, root, "products").count() == 3
+
+
+def test_buckets_can_be_raised(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    body = "".join(f"{n},v{n},Toys,1.00\n" for n in range(2000))
+    put(tmp_path / "all", "products", body)
+    put(tmp_path / "few", "products", "7,new,Toys,2.00\n2001,more,Toys,2.00\n")
+
+    def ingest(batch, **more):
+        jobs.ingest(spark, str(tmp_path / batch), root, names=["products"], **more)
+        entry = warehouse.loads(spark, root)[-1]
+        rows = {r.product_id: r.product_name for r in warehouse.read(spark, root, "products").collect()}
+        return len(entry["parts"]), {p["of"] for p in entry["parts"]}, rows
+
+    want = {n: f"v{n}" for n in range(2000)}
+    assert ingest("all") == (16, {16}, want)
+    want |= {7: "new", 2001: "more"}
+    parts, of, found = ingest("few", buckets=256)
+    assert parts > 200 and of == {256} and found == want
+    # A batch of two keys now writes two of 256 buckets, whatever a later load asks for below that.
+    for more in ({}, {"buckets": 16}):
+        parts, of, found = ingest("few", **more)
+        assert parts <= 2 and of == {256} and found == want
+    touched = warehouse.loads(spark, root)[-1]["parts"]
+    rows = warehouse.read(spark, root, "products", only=[p["bucket"] for p in touched]).count()
+    assert rows < 60
+    assert {r.product_id for r in warehouse.read(spark, root, "products", load=1).collect()} == set(range(2000))
+
+
+def test_an_empty_first_load_can_be_followed(spark, tmp_path):
+    root = str(tmp_path / "warehouse")
+    put(tmp_path / "none", "products", "")
+    put(tmp_path / "one", "products", "1,lamp,Toys,1.00\n")
+    jobs.ingest(spark, str(tmp_path / "none"), root, names=["products"])
+    assert warehouse.read(spark, root, "products").count() == 0
+    jobs.ingest(spark, str(tmp_path / "one"), root, names=["products"])
+    assert warehouse.read(spark, root, "products").count() == 1

@@ -62,6 +62,20 @@ def test_difference_below_the_tolerance_matches(sales):
     assert rows(reconcile.payment_reconciliation(orders, items, close))[0]["status_check"] == "MATCH"
 
 
+def test_payments_of_unknown_amount_are_one_more_amount(sales):
+    orders, items, payments = sales(
+        [(n, "2020-01-05", "x") for n in (1, 2, 3)],
+        [(n, 1, 1, "5.00") for n in (1, 2, 3)],
+        [(1, "5.00"), (1, "9.99"), (2, "9.99"), (3, "5.00"), (3, "4.00"), (3, "9.99"), (3, "9.99")],
+    )
+    payments = payments.withColumn("amount", F.when(F.col("amount") != 9.99, F.col("amount")))
+    found = rows(reconcile.payment_reconciliation(orders, items, payments))
+    assert sorted(((r["order_id"], r["payment_amount"] or 0, r["status_check"], r["difference"]) for r in found), key=str) == [
+        (1, 0, "MISMATCH", None), (1, 5.0, "MATCH", 0.0), (2, 0, "MISMATCH", None),
+        (3, 0, "MISMATCH", None), (3, 4.0, "MISMATCH", 1.0), (3, 5.0, "MATCH", 0.0),
+    ]
+
+
 def test_summary_adds_up(sales):
     counts = rows(reconcile.reconciliation_summary(*sales(ORDERS, ITEMS, PAYMENTS)))[0]
     assert counts == {

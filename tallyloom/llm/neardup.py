@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import stored
@@ -73,7 +73,7 @@ def _minhashes(names: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least
 
 
-FEATURES = "doc_id bigint, n_shingles bigint, signature binary, heads array<bigint>, code binary"
+FEATURES = "doc_id bigint, n_shingles bigint, signature binary, heads array<bigint>, tails array<bigint>, code binary"
 
 
 def _features(banding: Banding):
@@ -82,30 +82,31 @@ def _features(banding: Banding):
         m, r = banding.halves, banding.rows
         salt = mix(np.arange(1000, 1000 + 2 * m, dtype=np.uint64))
         for batch in batches:
-            sizes, signatures, heads, codes = [], [], [], []
+            sizes, signatures, heads, tails, codes = [], [], [], [], []
             for names in shingle_sets(batch.column(1), banding.shingle):
                 sizes.append(len(names))
                 if not len(names):
                     signatures.append(None)
                     heads.append([])
+                    tails.append([])
                     codes.append(None)
                     continue
                 least = _minhashes(names, factors).reshape(2 * m, r)
                 half = join_names(salt, *[least[:, k] for k in range(r)])
-                signatures.append(hashlib.blake2b(names.tobytes(), digest_size=16).digest())
+                signatures.append(_signature(names))
                 heads.append(half[:m].view(np.int64))
-                codes.append(
-                    half.astype(np.uint32).tobytes() + (mix(least.reshape(-1)) & np.uint64(255)).astype(np.uint8).tobytes()
-                )
+                tails.append(half[m:].view(np.int64))
+                codes.append(half.tobytes() + (mix(least.reshape(-1)) & np.uint64(255)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(heads, pa.list_(pa.int64())),
+                    pa.array(tails, pa.list_(pa.int64())),
                     pa.array(codes, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "signature", "heads", "code"],
+                names=["doc_id", "n_shingles", "signature", "heads", "tails", "code"],
             )
 
     return run
@@ -140,7 +141,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
 
 @dataclass
 class _Block:
-    """The rows of one block pair of one half key."""
+    """The rows of one block of one half key; ``turn`` is the place of the second half key if all rows share it, else -1."""
 
     rep: np.ndarray
     comp: np.ndarray
@@ -148,36 +149,32 @@ class _Block:
     half: np.ndarray
     sketch: np.ndarray
     place: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    turn: int
 
     @classmethod
     def of(cls, group: pa.RecordBatch, m: int) -> _Block:
-        low, high = group.column(1)[0].as_py(), group.column(2)[0].as_py()
-        side, place, rep, comp, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6, 7))
-        code = np.frombuffer(b"".join(group.column(8).to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
-        half = np.ascontiguousarray(code[:, : 8 * m]).view(np.uint32)
-        return cls(
-            rep, comp, size, half, code[:, 8 * m :], place, np.flatnonzero(side == low), np.flatnonzero(side == high)
-        )
+        place, rep, comp, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
+        code = np.frombuffer(b"".join(group.column(7).to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
+        half = np.ascontiguousarray(code[:, : 16 * m]).view(np.uint64)
+        return cls(rep, comp, size, half, code[:, 16 * m :], place, group.column(1)[0].as_py())
 
     def candidates(self, banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of rows of different components, each in the first A_i that it shares and only if it shares a
-        B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes."""
+        """Pairs of rows of different components, each in the first A_i that it shares (and, in a block of one B_j, the first of
+        these) and only if it shares a B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes."""
         m, rep, comp, size = banding.halves, self.rep, self.comp, self.size
-        right, out = self.right, []
-        within = len(self.left) == len(right) and (self.left == right).all()
-        for at in range(0, len(self.left), 64):
-            rows = self.left[at : at + 64]
-            ok = comp[rows][:, None] != comp[right][None, :]
-            if within:
-                ok &= rep[rows][:, None] < rep[right][None, :]
-            a, b = size[rows][:, None], size[right][None, :]
+        out = []
+        for at in range(0, len(rep), 64):
+            rows = slice(at, at + 64)
+            ok = (comp[rows, None] != comp[None, :]) & (rep[rows, None] < rep[None, :])
+            a, b = size[rows, None], size[None, :]
             ok &= 100 * np.minimum(a, b) >= banding.percent * np.maximum(a, b)
             i, j = np.nonzero(ok)
-            i, j = rows[i], right[j]
-            shared = self.half[i, :m] == self.half[j, :m]
-            good = (shared.argmax(axis=1) == self.place[i]) & (self.half[i, m:] == self.half[j, m:]).any(axis=1)
+            i = i + at
+            heads = self.half[i, :m] == self.half[j, :m]
+            tails = self.half[i, m:] == self.half[j, m:]
+            good = (heads.argmax(axis=1) == self.place[i]) & tails.any(axis=1)
+            if self.turn >= 0:
+                good &= tails.argmax(axis=1) == self.turn
             i, j = i[good], j[good]
             equal = (self.sketch[i] == self.sketch[j]).sum(axis=1)
             good = equal >= banding.least_equal
@@ -191,7 +188,7 @@ def _pair_batch(x: list[np.ndarray], y: list[np.ndarray], equal: list[np.ndarray
 
 
 def _best_pairs(banding: Banding):
-    """The likeliest partner in another component of each row of a block."""
+    """The likeliest partner in another component of each row of a block: at most one pair a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y, score, held = [], [], [], 0
@@ -250,7 +247,7 @@ def _spanning_links(banding: Banding):
             i, j, _ = block.candidates(banding)
             if not len(i):
                 continue
-            sets = [_unpack(s.as_py()) for s in group.column(9)]
+            sets = [_unpack(s.as_py()) for s in group.column(8)]
             both = _common(sets, i, j)
             good = 100 * both >= banding.percent * (block.size[i] + block.size[j] - both)
             above: dict[int, int] = {}
@@ -273,25 +270,57 @@ def _spanning_links(banding: Banding):
     return run
 
 
+def _candidate_rows(banding: Banding):
+    """The rows that are in any candidate pair of their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 3):
+            if group.num_rows > 1:
+                block = _Block.of(group, banding.halves)
+                i, j, _ = block.candidates(banding)
+                rows = block.rep[np.unique(np.concatenate([i, j]))]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64())], names=["rep"])
+
+    return run
+
+
+def _signature(names: np.ndarray) -> bytes:
+    return hashlib.blake2b(names.tobytes(), digest_size=16).digest()
+
+
 def _set_rows(banding: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [
-                # 48 bits of each name: the first two of its little-endian bytes go
-                np.sort(names >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                for names in shingle_sets(batch.column(1), banding.shingle)
-            ]
+            sets = list(shingle_sets(batch.column(1), banding.shingle))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(packed, pa.binary())], names=["rep", "names"]
+                [
+                    batch.column(0).cast(pa.int64()),
+                    pa.array([_signature(names) for names in sets], pa.binary()),
+                    pa.array([names.tobytes() for names in sets], pa.binary()),
+                ],
+                names=["doc_id", "signature", "names"],
             )
 
     return run
 
 
+def _with_sets(
+    sets: DataFrame | None, rows: DataFrame, leaders: DataFrame, source: DataFrame, banding: Banding
+) -> DataFrame:
+    """(rep, names): the whole shingle sets of these rows, beside those at hand."""
+    needed = rows.select("rep").distinct()
+    if sets is not None:
+        needed = needed.join(sets.select("rep"), "rep", "left_anti")
+    needed = stored(leaders.join(needed, "rep", "left_semi").select("rep", "doc_id", "signature"), "needed")
+    texts = source.join(needed.select("doc_id").distinct(), "doc_id", "left_semi")
+    made = texts.mapInArrow(_set_rows(banding), "doc_id bigint, signature binary, names binary")
+    more = made.join(needed, ["doc_id", "signature"]).select("rep", "names").dropDuplicates(["rep"])
+    more = stored(more, "sets")
+    return more if sets is None else sets.unionByName(more)
+
+
 def _unpack(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+    return np.frombuffer(data, dtype=np.uint64)
 
 
 def _confirm(percent: int):
@@ -309,61 +338,98 @@ def _confirm(percent: int):
     return run
 
 
-def _blocks(spots: DataFrame, leaders: DataFrame, comps: DataFrame, sets: DataFrame | None, banding: Banding) -> DataFrame:
-    """Rows of half keys that several components share, dealt to pairs of blocks and sorted by them.
+_ROW = ["place", "rep", "comp", "n_shingles", "code"]
 
-    A key's rows fall into blocks of bounded size, and a row goes to the pairs of its block with every other, so a hot key is
-    many bounded tasks.
-    """
-    placed = (
-        spots.join(leaders.select("rep", "n_shingles", "code"), "rep")
-        .join(comps, "rep", "left")
-        .withColumn("comp", F.coalesce("comp", "rep"))
-    )
-    if sets is not None:
-        placed = placed.join(sets.select("rep"), "rep", "left_semi")
+
+def _placed(spots: DataFrame, leaders: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of each half key with their component and their key's number of rows, for keys that several components share."""
+    placed = spots.join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     groups = (
         placed.groupBy("head")
         .agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most"))
         .where("members > 1 AND least <> most")
-        .select("head", F.ceil(F.col("members") / banding.block).alias("blocks"))
+        .select("head", "members")
     )
-    placed = placed.join(groups, "head")
-    placed = placed.withColumn("names", F.lit(None).cast("binary")) if sets is None else placed.join(sets, "rep")
-    return (
-        placed.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "head",
-            F.least("side", "other").alias("low"),
-            F.greatest("side", "other").alias("high"),
-            "side", "place", "rep", "comp", "n_shingles", "code", "names",
-        )
-        .repartition("head", "low", "high")
-        .sortWithinPartitions("head", "low", "high")
+    return placed.join(groups, "head").join(leaders.select("rep", "n_shingles", "tails", "code"), "rep")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    key = ["head", "turn", "part"]
+    return rows.repartition(*key).sortWithinPartitions(*key)
+
+
+def _one_block_each(placed: DataFrame, banding: Banding, turn: int) -> DataFrame:
+    """Every row in one block of its key; another turn deals them otherwise. As many rows come out as go in."""
+    blocks = F.ceil(F.col("members") / banding.block)
+    part = F.pmod(F.xxhash64("rep", F.lit(turn)), blocks).alias("part")
+    return _dealt(placed.select("head", F.lit(-1).alias("turn"), part, *_ROW))
+
+
+def _all_pairs(placed: DataFrame, banding: Banding) -> tuple[DataFrame, DataFrame]:
+    """Blocks in which any two rows of different components that share a table of keys meet: those of keys of one block, and others.
+
+    Most rows of a hot key are of one component by now; each of these goes to one block, and the few others to every
+    block. A key with more than a block of others is first dealt to its second half keys, as only rows that share one are candidates.
+    """
+    hot = F.col("members") > banding.block
+    cold = placed.where(~hot).select("head", F.lit(-1).alias("turn"), F.lit(0).cast("bigint").alias("part"), *_ROW)
+    starred = _with_main(placed.where(hot).drop("members"), ["head"])
+    few = F.col("members") - F.col("main_rows") <= banding.block
+    stars = starred.where(few).select("head", F.lit(-1).alias("turn"), F.explode(_parts(banding)).alias("part"), *_ROW)
+    tables = starred.where(~few).select("*", F.posexplode("tails").alias("turn", "tail"))
+    tables = _with_main(tables.drop("tails", "members", "main", "main_rows"), ["head", "turn", "tail"])
+    # a table is known by its half keys
+    tables = tables.select(F.xxhash64("head", "tail").alias("head"), "turn", F.explode(_parts(banding)).alias("part"), *_ROW)
+    return cold, stars.unionByName(tables)
+
+
+def _with_main(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of keys that several components share, with the number of rows and the largest component of their key."""
+    sizes = rows.groupBy(*key, "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy(*key).agg(
+        F.sum("n").alias("members"), F.max_by("comp", "n").alias("main"), F.max("n").alias("main_rows"),
+        F.count(F.lit(1)).alias("comps"),
     )
+    return rows.join(sizes.where("comps > 1").drop("comps"), key)
+
+
+def _parts(banding: Banding) -> Column:
+    blocks = F.ceil(F.col("members") / banding.block)
+    own = F.array(F.pmod(F.xxhash64("rep"), blocks))
+    return F.when(F.col("comp") == F.col("main"), own).otherwise(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+
+
+def _classes(known: DataFrame) -> DataFrame:
+    """(signature, least, rep): the texts of equal shingle sets with their smallest doc_id, and a number of their own: that doc_id, or
+    a negative one where a doc_id is the smallest of several texts."""
+    classes = known.groupBy("signature").agg(F.min("doc_id").alias("least"))
+    first = classes.groupBy("least").agg(F.min("signature").alias("first"))
+    other = F.lit(-(1 << 62)) - F.xxhash64("signature").bitwiseAND(F.lit((1 << 62) - 1))
+    rep = F.when(F.col("signature") == F.col("first"), F.col("least")).otherwise(other)
+    return classes.join(first, "least").select("signature", "least", rep.alias("rep"))
 
 
 def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
 
-    Rows of equal shingle sets are one class, known by its smallest doc_id. Classes are linked if the
+    Rows of equal shingle sets are one class. Classes are linked if the
     intersection of their sets has at least ``percent`` of the union. ``component_id`` is the smallest
-    doc_id reachable. Two rounds hold each class against its likeliest partner in another component; then all
-    candidate pairs between components are held against each other, block by block. Pairs inside a component
+    doc_id reachable. Two rounds deal the rows of each key to blocks and hold each class against its likeliest partner there, so that
+    nearly all copies are joined by one pair a row; then all
+    candidate pairs between components that are left are held against each other, block by block. Pairs inside a component
     need no check, and none between components is left out.
 
     Null, empty and word-free texts have 0 shingles, are linked with nothing and stay; so do
-    rows without a doc_id, whose component is null. Rows that repeat a doc_id follow their own text. An empty
+    rows without a doc_id, whose component is null. doc_id is an integer. Rows that repeat a doc_id follow their own text. An empty
     table gives an empty result.
     """
     banding = banding or Banding()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     features = stored(source.mapInArrow(_features(banding), FEATURES), "minhash")
     known = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(known.groupBy("signature").agg(F.min("doc_id").alias("rep")), "classes")
-    leaders = known.join(classes.withColumnRenamed("rep", "doc_id"), ["signature", "doc_id"])
-    leaders = stored(leaders.selectExpr("doc_id AS rep", "n_shingles", "heads", "code"), "leaders")
+    classes = stored(_classes(known), "classes")
+    leaders = known.join(classes.withColumnRenamed("least", "doc_id"), ["signature", "doc_id"]).dropDuplicates(["rep"])
+    leaders = stored(leaders.select("rep", "doc_id", "signature", "n_shingles", "heads", "tails", "code"), "leaders")
 
     heads = leaders.select("rep", F.posexplode("heads").alias("place", "head"))
     shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -371,20 +437,20 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
 
     comps = leaders.select("rep", F.col("rep").alias("comp")).limit(0)
     links = tested = sets = None
-    for _ in range(2):
-        blocks = _blocks(spots, leaders, comps, sets, banding).drop("names")
-        found = blocks.mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
+    for turn in range(2):
+        placed = _placed(spots, leaders, comps)
+        if sets is not None:
+            # in a key of one block a row without a partner now has none later
+            placed = placed.join(sets.select("rep", F.lit(True).alias("met")), "rep", "left")
+            placed = placed.where(F.col("met") | (F.col("members") > banding.block))
+        found = _one_block_each(placed, banding, turn).mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
         best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
         pairs = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        if sets is None:
-            # a text without a partner now has none later, so these are all the sets there is need of
-            needed = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-            texts = source.join(needed, "doc_id", "left_semi")
-            sets = stored(texts.mapInArrow(_set_rows(banding), "rep bigint, names binary"), "sets")
         if pairs.isEmpty():
             break
+        sets = _with_sets(sets, pairs.select(F.explode(F.array("x", "y")).alias("rep")), leaders, source, banding)
         one = sets.select(F.col("rep").alias("x"), F.col("names").alias("names_x"))
         two = sets.select(F.col("rep").alias("y"), F.col("names").alias("names_y"))
         joined = pairs.join(one, "x").join(two, "y").select("x", "y", "names_x", "names_y")
@@ -395,21 +461,30 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         new = checked.where("linked").select("x", "y")
         links = new if links is None else links.unionByName(new)
         comps = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
-    if links is not None:
-        blocks = _blocks(spots, leaders, comps, sets, banding)
-        new = stored(blocks.mapInArrow(_spanning_links(banding), "x bigint, y bigint"), "links")
+    placed = _placed(spots, leaders, comps)
+    cold, tables = _all_pairs(placed, banding)
+    likely = _dealt(tables).mapInArrow(_candidate_rows(banding), "rep bigint")
+    likely = stored(likely.distinct(), "likely")
+    if sets is not None or not likely.isEmpty():
+        sets = _with_sets(sets, likely, leaders, source, banding)
+        rows = cold.unionByName(tables.join(likely, "rep", "left_semi")).join(sets, "rep")
+        rows = _dealt(rows.select("head", "turn", "part", *_ROW, "names"))
+        new = stored(rows.mapInArrow(_spanning_links(banding), "x bigint, y bigint"), "links")
         if not new.isEmpty():
-            comps = components(links.unionByName(new)).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
-    component = F.coalesce("comp", "rep", "doc_id")
+            links = new if links is None else links.unionByName(new)
+            comps = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
+    # a component is called by its smallest doc_id
+    names = comps.join(classes.select("rep", "least"), "rep").groupBy("comp").agg(F.min("least").alias("named"))
+    component = F.coalesce("named", "least", "doc_id")
+    has_id = F.col("doc_id").isNotNull()
     return (
         features.select("doc_id", "n_shingles", "signature")
         .join(classes, "signature", "left")
-        .join(comps, "rep", "left")
-        .withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.col("rep")))
+        .join(comps.join(names, "comp"), "rep", "left")
         .select(
             "doc_id",
             "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+            F.when(has_id, component).alias("component_id"),
+            F.coalesce(has_id & (F.col("doc_id") == component) | ~has_id, F.lit(True)).alias("kept"),
         )
     )

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from tallyloom.llm import neardup
 from tallyloom.llm.components import components
 from tallyloom.llm.neardup import Banding, near_duplicates
 from tallyloom.llm.queries import QUERIES
@@ -98,3 +99,29 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "x bigint, y bigint")).collect()}
     assert got == {i: 1 for i in range(1, 71)} | {100: 100, 200: 100, 300: 100}
     assert components(spark.createDataFrame([], "x bigint, y bigint")).count() == 0
+
+
+def test_repeated_doc_ids_follow_their_own_text(spark, docs):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = near_duplicates(docs((5, a), (5, b), (7, a + " more"), (3, b + " more"), (5, a)), Banding(3, 85)).collect()
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows)
+    assert got == [(3, 59, 3, True), (5, 58, 3, False), (5, 58, 5, True), (5, 58, 5, True), (7, 59, 5, False)]
+
+
+def test_a_hot_key_sends_a_row_once(spark, docs, monkeypatch):
+    """Near copies of one text with a few other texts that share keys with them: blocks hold about as many rows as there are spots."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        words[rng.randrange(100)] = f"x{rng.randrange(50)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(base[:88] + [f"z{i}-{k}" for k in range(12)])) for i in range(5)]
+    sent = []
+    dealt = neardup._dealt
+    monkeypatch.setattr(neardup, "_dealt", lambda rows: sent.append(rows.count()) or dealt(rows))
+    banding = Banding(3, 85, block=50)
+    got = found(near_duplicates(docs(*rows), banding))
+    assert got == brute(dict(rows), 3, 85)
+    assert len(sent) >= 3 and max(sent) <= 3 * sent[0]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders of the frames that ``stored`` gave.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(frame: DataFrame, name: str, *partitions: str) -> DataFrame:
     """The frame, written once as Parquet to the shared folder, in parts by ``partitions``, and read back.
 
@@ -25,7 +31,19 @@ def stored(frame: DataFrame, name: str, *partitions: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     frame.write.partitionBy(*partitions).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    back = spark.read.schema(frame.schema).parquet(path)
+    _PATHS[back] = path
+    return back
+
+
+def release(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete the folders of stored frames after their last reader, and let Spark drop the shuffle files of jobs that are done,
+    which it does for those that the driver has no reference to any more."""
+    for frame in frames:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(frame))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def word_count(text: Column) -> Column:

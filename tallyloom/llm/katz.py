@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bucket_of, stored
+from tallyloom.llm.common import bucket_of, release, stored
 from tallyloom.llm.packing import pack, unpack
 from tallyloom.llm.words import join_names, mix, slices, words_of
 
@@ -29,13 +29,15 @@ END, START = (int(x) for x in mix(np.array([0x656E64, 0x7374617274], dtype=np.ui
 @dataclass(frozen=True)
 class Settings:
     """``order``: longest n-gram. ``cutoff``: counts up to it are discounted. ``held``: one text in so many is
-    not learnt from. ``chunk_tokens``, ``bucket_keys``: tokens of a chunk and n-grams of a bucket, about."""
+    not learnt from. ``chunk_tokens``, ``bucket_keys``: tokens of a chunk and n-grams of a bucket, about. ``tables``: whether
+    the counts and weights of the model are kept as tables; the scores need neither."""
 
     order: int = 2
     cutoff: int = 5
     held: int = 10
     chunk_tokens: int = 1_500_000
     bucket_keys: int = 2_000_000
+    tables: bool = True
 
 
 # Part of one count that counts above the cutoff give away: without it a context that has only such counts would
@@ -233,7 +235,8 @@ def _count(settings: Settings):
         owner[first] = True
         seen = total > 0
         found = [int((total == r).sum()) for r in range(1, settings.cutoff + 2)] + [int(total.sum()), int(seen.sum())]
-        rows = [("table", None, pack(keys[seen], rising=True), pack(total[seen]), None, found)]
+        table_of = (pack(keys[seen], rising=True), pack(total[seen])) if settings.tables else (None, None)
+        rows = [("table", None, *table_of, None, found)]
         at = 0
         for k, part in zip(order, sent, strict=True):
             span = slice(at, at + len(part))
@@ -366,8 +369,16 @@ def _evaluate(settings: Settings, buckets: int, discounts: list[Discounts], unig
 WEIGHED = "kind string, bucket int, keys binary, weights binary, chunk bigint, docs array<bigint>, deltas array<double>"
 
 
-def _weigh(key, table):
+def _weigh(settings: Settings):
     """Backoff weights of one bucket of contexts, and what they add to the texts that need them."""
+
+    def run(key, table):
+        return _weighed(key, table, settings.tables)
+
+    return run
+
+
+def _weighed(key, table, tables: bool):
     kinds = table["kind"].to_pylist()
     mass = [k for k, kind in enumerate(kinds) if kind == "mass"]
     keys, inverse = np.unique(
@@ -385,7 +396,7 @@ def _weigh(key, table):
     if mass:
         total[inverse] = np.concatenate([unpack(table["times"][k].as_py(), kind=np.float64) for k in mass])
     weights = np.log10((total - seen) / total) - np.log10(1 - lower)
-    rows = [("contexts", key[0].as_py(), pack(keys, rising=True), pack(weights), None, None, None)]
+    rows = [("contexts", key[0].as_py(), pack(keys, rising=True), pack(weights), None, None, None)] if tables else []
     for k, kind in enumerate(kinds):
         if kind != "need":
             continue
@@ -403,14 +414,14 @@ def _weigh(key, table):
 
 @dataclass
 class Katz:
-    """A trained model with the scores of its texts.
+    """A trained model with the scores of its texts. With ``Settings.tables``, and else None:
 
     ``counts``: one row for each level and bucket with the sorted keys and counts of its n-grams. ``contexts``: the keys and
     log10 backoff weights of the contexts. Keys are 64-bit names of token sequences.
     """
 
-    counts: DataFrame
-    contexts: DataFrame
+    counts: DataFrame | None
+    contexts: DataFrame | None
     discounts: list[Discounts]
     scores: DataFrame
 
@@ -433,6 +444,7 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
 
     requests = chunks.mapInArrow(_requests(settings, buckets), REQUEST)
     counted = stored(requests.groupBy("bucket", "level").applyInArrow(_count(settings), COUNTED), "katz-counts", "kind")
+    release(docs.sparkSession)
     table = counted.where("kind = 'table'")
     sums = [F.sum(F.col("found")[k]).alias(f"n{k}") for k in range(settings.cutoff + 3)]
     totals = {r["level"]: [r[f"n{k}"] for k in range(settings.cutoff + 3)] for r in table.groupBy("level").agg(*sums).collect()}
@@ -447,8 +459,10 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
     evaluated = stored(
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(evaluate, EVALUATED), "katz-texts", "kind"
     )
+    release(docs.sparkSession, chunks, *([] if settings.tables else [counted]))
     sums = evaluated.where("kind IN ('mass', 'need')").select("kind", "chunk", "bucket", "keys", "seen", "lower", "doc", "times")
-    weighed = stored(sums.groupBy("bucket").applyInArrow(_weigh, WEIGHED), "katz-weights", "kind")
+    weighed = stored(sums.groupBy("bucket").applyInArrow(_weigh(settings), WEIGHED), "katz-weights", "kind")
+    release(docs.sparkSession)
     deltas = (
         weighed.where("kind = 'delta'")
         .select("chunk", F.explode(F.arrays_zip("docs", "deltas")).alias("d"))
@@ -468,4 +482,7 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
             (F.col("partial") + F.coalesce("delta", F.lit(0.0))).alias("score"),
         )
     )
-    return Katz(table.drop("kind", "chunk", "owned"), weighed.where("kind = 'contexts'").select("bucket", "keys", "weights"), discounts, scores)
+    if not settings.tables:
+        return Katz(None, None, discounts, scores)
+    contexts = weighed.where("kind = 'contexts'").select("bucket", "keys", "weights")
+    return Katz(table.drop("kind", "chunk", "owned"), contexts, discounts, scores)

@@ -202,46 +202,61 @@ class Trie:
 
 
 class Encoder:
-    """Ids of marked text between two places where a piece must end; words are remembered, up to a number."""
+    """Ids of marked text between two places where a piece must end; words are remembered, up to a number.
 
-    def __init__(self, v: Vocabulary, most_words: int = 400_000):
+    The ids of a word are kept as the bytes of 32-bit integers, which take a fraction of a tuple's memory.
+    """
+
+    def __init__(self, v: Vocabulary, most_words: int = 300_000):
         self.v, self.most = v, most_words
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}
 
-    def learn(self, texts: list[str]) -> None:
-        """Remember the new words of some marked texts, all found at once; odd words are left to ``word``."""
+    def learn(self, texts: list[str], totals: bool = False) -> None:
+        """Remember the new words of some marked texts, all found at once, and on request their scores; odd words are left
+        to ``word``. Never more words are held than ``most_words`` or those of these texts."""
         if not self.v.words_apart:
             return
-        if len(self.known) >= self.most:
+        words = {w for t in texts for w in _WORD.findall(t) if len(w) <= 48}
+        held = self.totals if totals else self.known
+        new = [w for w in words if w not in held]
+        if len(held) + len(new) > self.most:
             self.known.clear()
             self.totals.clear()
-        new = [w for w in {w for t in texts for w in _WORD.findall(t)} if w not in self.known and len(w) <= 48]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+            new = list(words)
+        for at in range(0, len(new), 8_000):
+            part = new[at : at + 8_000]
             scores, order, paths = self.v.trie.best(part)
             for k, total, ids in zip(order.tolist(), scores.tolist(), paths, strict=True):
                 if -1 not in ids:
-                    self.known[part[k]] = tuple(ids)
-                    self.totals[part[k]] = total
+                    self.known[part[k]] = np.array(ids, dtype=np.int32).tobytes()
+                    if totals:
+                        self.totals[part[k]] = total
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> bytes:
         if len(self.known) >= self.most:
             self.known.clear()
         _, back = lattice(self.v, word, {0: 0}, len(word))
-        ids = self.known[word] = traced(self.v, word, back, len(word))[1]
+        ids = np.array(traced(self.v, word, back, len(word))[1], dtype=np.int32).tobytes()
+        if len(word) <= 48:
+            self.known[word] = ids
         return ids
 
     def word_total(self, word: str) -> int:
         if len(self.totals) >= self.most:
             self.totals.clear()
-        found = self.totals[word] = lattice(self.v, word, {0: 0}, len(word))[0][-1]
+        found = lattice(self.v, word, {0: 0}, len(word))[0][-1]
+        if len(word) <= 48:
+            self.totals[word] = found
         return found
 
     def ids(self, text: str) -> list[int]:
+        return self.array(text).tolist()
+
+    def array(self, text: str) -> np.ndarray:
         words = _WORD.findall(text) if self.v.words_apart else [text] if text else []
         known, word = self.known, self.word
-        return list(chain.from_iterable(known.get(w) or word(w) for w in words))
+        return np.frombuffer(b"".join([known.get(w) or word(w) for w in words]), dtype=np.int32)
 
     def total(self, text: str) -> int:
         words = _WORD.findall(text) if self.v.words_apart else [text] if text else []
@@ -336,23 +351,30 @@ def scan(frame: DataFrame, combine: Callable, n: int, width: int = 64) -> DataFr
     return joined.mapInArrow(compose, "row bigint, spot bigint, before array<bigint>")
 
 
-def _whole(v: Vocabulary, at_column: int):
+def _whole(v: Vocabulary, at_column: int, prove: bool):
+    """Rows with the ids of their text; ``prove`` adds whether decoding them gives the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v)
+        decoder = Decoder(v) if prove else None
         for batch in batches:
-            for at, end in slices(4 << 20, batch.column(at_column)):
+            for at, end in slices(1 << 20, batch.column(at_column)):
                 part = batch.slice(at, end - at)
-                flat, ends = [], [0]
-                texts = [marked(t) if t else "" for t in part.column(at_column).to_pylist()]
+                flat, ends, exact = [], [0], []
+                values = part.column(at_column).to_pylist()
+                texts = [marked(t) if t else "" for t in values]
                 encoder.learn(texts)
-                for value in texts:
-                    if value:
-                        flat.append(np.array(encoder.ids(value), dtype=np.int32))
-                    ends.append(ends[-1] + (len(flat[-1]) if value else 0))
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-                )
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "_ids"])
+                for value, text in zip(values, texts, strict=True):
+                    ids = encoder.array(text) if text else np.zeros(0, np.int32)
+                    flat.append(ids)
+                    ends.append(ends[-1] + len(ids))
+                    if decoder:
+                        exact.append(decoder.text(ids) == (value or ""))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
+                columns, names = [*part.columns, ids], [*part.schema.names, "ids of a row"]
+                if decoder:
+                    columns, names = [*columns, pa.array(exact, pa.bool_())], [*names, "exact of a row"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -387,7 +409,7 @@ def _matrices(v: Vocabulary):
         encoder = Encoder(v)
         for batch in batches:
             rows, spots, texts, sizes, lasts = (c.to_pylist() for c in batch.columns)
-            encoder.learn([marked(t, False) for t in texts])
+            encoder.learn([marked(t, False) for t in texts], totals=True)
             values = [
                 transfer(encoder, marked(t, s == 0), n + (s == 0), last)
                 for s, t, n, last in zip(spots, texts, sizes, lasts, strict=True)
@@ -487,32 +509,40 @@ def long_ids(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
     )
 
 
-def encode(docs: DataFrame, v: Vocabulary, chunk: int = 16_384) -> DataFrame:
-    """``docs`` with ``ids``, the piece ids of ``text``.
+def encode(docs: DataFrame, v: Vocabulary, chunk: int = 16_384, prove: bool = False) -> DataFrame:
+    """``docs`` with ``ids``, the piece ids of ``text``, and with ``prove`` also ``exact``: whether decoding the ids gives the
+    text again (the empty one for null), found where the text was encoded.
 
     A mark stands in front of the text and for each space; characters that no piece has become their
     bytes, and so does a space mark of the text itself, so that decoding gives the very text. Of paths
     with equal scores the one whose last pieces are longest counts, also across chunks. Null and empty texts have no
-    ids. Texts of twice ``chunk`` characters or more go by chunks. Columns stay, but a column named ids is
+    ids. Texts of twice ``chunk`` characters or more go by chunks. Columns stay, but a column named ids (or exact) is
     replaced. An empty table gives an empty result.
     """
     if chunk <= v.longest:
         raise ValueError("a chunk must be longer than any piece")
-    docs = docs.drop("ids")
+    docs = docs.drop("ids", "exact") if prove else docs.drop("ids")
     (row,) = fresh(docs.columns, "row")
     long = F.coalesce(F.length("text"), F.lit(0)) >= 2 * chunk
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    short = (
-        docs.where(~long)
-        .mapInArrow(_whole(v, docs.columns.index("text")), ", ".join([*fields, "_ids array<int>"]))
-        .select(*docs.columns, F.col("_ids").alias("ids"))
-    )
+    # names that come with spaces and so meet no other column
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["`ids of a row` array<int>"]
+    made = [F.col("`ids of a row`").alias("ids")]
+    if prove:
+        fields.append("`exact of a row` boolean")
+        made.append(F.col("`exact of a row`").alias("exact"))
+    at = docs.columns.index("text")
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    short = docs.where(~long).mapInArrow(_whole(v, at, prove), ", ".join(fields)).select(*kept, *made)
     giants = stored(docs.where(long).withColumn(row, F.monotonically_increasing_id()), "giants")
     if giants.isEmpty():
         return short
     ids = long_ids(giants.select(F.col(row).alias("row"), F.col("text").cast("string").alias("text")), v, chunk)
     ids = ids.withColumnRenamed("row", row)
-    return short.unionByName(giants.join(ids, row).select(*docs.columns, "ids"))
+    whole = giants.join(ids, row).select(*kept, "ids")
+    if prove:
+        (text,) = fresh(whole.columns, "decoded")
+        whole = decode(whole, v, text).withColumn("exact", F.col(text) == F.coalesce("text", F.lit(""))).drop(text)
+    return short.unionByName(whole)
 
 
 def text_of(v: Vocabulary, ids: list[int], byte_of: dict[int, int]) -> str:
@@ -534,37 +564,44 @@ def text_of(v: Vocabulary, ids: list[int], byte_of: dict[int, int]) -> str:
     return "".join(out)[1:]
 
 
+class Decoder:
+    """Texts of piece ids; the lists of pieces are made once."""
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+        self.byte_of = {i: b for b, i in enumerate(v.byte_ids)}
+        self.texts = [t.replace(SPACE, " ") for t in v.texts]
+        self.is_byte = np.zeros(len(self.texts), dtype=bool)
+        self.is_byte[list(v.byte_ids)] = True
+
+    def text(self, ids: np.ndarray) -> str:
+        if self.is_byte[ids].any():
+            return text_of(self.v, ids.tolist(), self.byte_of)
+        return "".join(map(self.texts.__getitem__, ids.tolist()))[1:]
+
+
 def _decode(v: Vocabulary, at_column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte_of = {i: b for b, i in enumerate(v.byte_ids)}
-        texts = [t.replace(SPACE, " ") for t in v.texts]
-        is_byte = np.zeros(len(texts), dtype=bool)
-        is_byte[list(v.byte_ids)] = True
+        decoder = Decoder(v)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                out = []
-                for ids in part.column(at_column):
-                    if not ids.is_valid:
-                        out.append("")
-                        continue
-                    numbers = ids.values.to_numpy(zero_copy_only=False)
-                    if is_byte[numbers].any():
-                        out.append(text_of(v, numbers.tolist(), byte_of))
-                    else:
-                        out.append("".join(map(texts.__getitem__, numbers.tolist()))[1:])
+                out = [
+                    decoder.text(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else ""
+                    for ids in part.column(at_column)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(out, pa.string())], names=[*part.schema.names, "_decoded"]
+                    [*part.columns, pa.array(out, pa.string())], names=[*part.schema.names, "text of a row"]
                 )
 
     return run
 
 
-def decode(encoded: DataFrame, v: Vocabulary) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``: the encoded text, or the empty one for null."""
-    encoded = encoded.drop("decoded")
+def decode(encoded: DataFrame, v: Vocabulary, name: str = "decoded") -> DataFrame:
+    """``encoded`` with ``decoded``, the text of its ``ids``: the encoded text, or the empty one for null. A column of that name
+    is replaced."""
+    encoded = encoded.drop(name)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields]
-    return (
-        encoded.mapInArrow(_decode(v, encoded.columns.index("ids")), ", ".join([*fields, "_decoded string"]))
-        .withColumnRenamed("_decoded", "decoded")
+    return encoded.mapInArrow(_decode(v, encoded.columns.index("ids")), ", ".join([*fields, "`text of a row` string"])).select(
+        *[F.col(f"`{c}`") for c in encoded.columns], F.col("`text of a row`").alias(name)
     )

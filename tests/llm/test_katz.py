@@ -6,9 +6,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tallyloom.llm.katz import RESERVE, Settings, good_turing, katz
+from tallyloom.llm.packing import unpack
 from tallyloom.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -110,7 +112,7 @@ def test_equals_plain_version(spark, docs, order):
 
 def test_query_equals_plain_version(spark, sf_dir, documents):
     got = QUERIES["op1_katz_score"](spark, sf_dir)
-    agrees(list(documents.items()), got, 2)
+    agrees(list(documents.items()), got, 3)
     sums = got.where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert sums["sum(score)"] > sums["sum(base_score)"]
 
@@ -123,3 +125,13 @@ def test_odd_tables(spark, docs):
     long = "x y z " * 300_000
     got = katz(docs((1, long), (2, long))).scores.collect()
     assert all(r.n_tokens == 900_001 for r in got)
+
+
+def test_tables_on_request(spark, docs):
+    rows = random_rows()
+    model = katz(docs(*rows), Settings(order=2, chunk_tokens=60, bucket_keys=40, tables=True))
+    brute = agrees(rows, model.scores, 2)
+    counts = [(r.level, c) for r in model.counts.collect() for c in unpack(r.counts, kind=np.int64).tolist()]
+    assert sorted(c for n, c in counts if n == 2) == sorted(c for c in brute.grams[2].values() if c)
+    assert model.contexts.count() > 1
+    assert katz(docs(*rows), Settings(tables=False)).counts is None

@@ -75,3 +75,21 @@ def test_odd_rows(spark, docs, vocabulary):
     assert len(got) == 6 and all(r.decoded == (r.text or "") for r in got)
     assert all(r.ids == [] for r in got if not r.text) and got[0].row == 1
     assert pieces.encode(frame.limit(0), vocabulary).count() == 0
+
+
+def test_exact_is_told_with_the_ids(spark, docs, vocabulary):
+    long = "internationalization of the ▁ nation\n" * 2000
+    frame = docs((1, "a b"), (2, None), (3, long), (4, "")).withColumns({c: F.lit("x") for c in ("_ids", "_decoded", "exact", "row")})
+    got = {r.doc_id: r for r in pieces.encode(frame, vocabulary, prove=True).collect()}
+    assert all(r.exact is True and r["_ids"] == r["_decoded"] == r.row == "x" for r in got.values())
+    assert len(got) == 4 and len(got[3].ids) > 1000 and got[2].ids == []
+
+
+def test_no_more_words_are_held_than_the_limit(vocabulary):
+    encoder = pieces.Encoder(vocabulary, most_words=500)
+    plain = pieces.Encoder(vocabulary)
+    for at in range(0, 5000, 100):
+        texts = [pieces.marked(f"word{k} nation{k} {'x' * 60}{k}") for k in range(at, at + 100)]
+        encoder.learn(texts, totals=at % 200 == 0)
+        assert [encoder.ids(t) for t in texts] == [plain.ids(t) for t in texts]
+        assert len(encoder.known) <= 500 and len(encoder.totals) <= 500

@@ -72,23 +72,25 @@ def text_features(text: str | None) -> set[str]:
     return {f for w in set(_WORD.findall((text or "").lower())) for f in word_features(w)}
 
 
-def swapped(text: str | None) -> list[set[str]]:
-    """Words of the text with the identity terms of one sentence swapped: one set for each sentence that
-    names a group and each other member of the longest such row. Empty if it names none."""
+def swaps(text: str | None) -> Iterator[tuple[set[str], set[str]]]:
+    """Words that leave and words that join the text when the identity terms of one sentence are swapped: a pair for each
+    sentence that names a group and each other member of the longest such row. The work grows with the text and the swaps."""
     lowered = (text or "").lower()
     if not any(t in lowered for t in _OTHERS):
-        return []
+        return
     sentences = [_WORD.findall(s) for s in _SENTENCE.split(lowered)]
     every = Counter(w for s in sentences for w in s)
-    out = []
     for words in sentences:
-        named = {w for w in words if w in _OTHERS}
+        named = Counter(w for w in words if w in _OTHERS)
         for turn in range(max((len(_OTHERS[w]) for w in named), default=0)):
-            changed = every.copy()
-            changed.subtract(words)
-            changed.update(_OTHERS[w][turn % len(_OTHERS[w])] if w in named else w for w in words)
-            out.append({w for w, n in changed.items() if n > 0})
-    return out
+            joined = {_OTHERS[w][turn % len(_OTHERS[w])] for w in named}
+            yield {w for w, n in named.items() if every[w] == n and w not in joined}, {w for w in joined if w not in every}
+
+
+def swapped(text: str | None) -> list[set[str]]:
+    """The distinct words of the text after each of its ``swaps``. Empty if it names no group."""
+    words = set(_WORD.findall((text or "").lower()))
+    return [(words - left) | joined for left, joined in swaps(text)]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,34 +105,56 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _known_features(words, index: dict[str, int]) -> Counter:
+    """Feature numbers with the number of the words that have each."""
+    return Counter(index[f] for w in words for f in word_features(w) if f in index)
+
+
 def _encode(index: dict[str, int]):
-    """Rows of feature numbers: the text itself, then its swapped forms."""
+    """The feature numbers of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [sorted(_known_features(set(_WORD.findall((t.as_py() or "").lower())), index)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(own, pa.list_(pa.int32()))], names=["spot", "toxic", "own"]
+            )
+
+    return run
+
 
-    def numbers(words) -> list[int]:
-        return sorted({index[f] for w in words for f in word_features(w) if f in index})
+def _changes(index: dict[str, int]):
+    """What each swap changes: feature numbers that join and that leave, with the number of swaps of a batch that do so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, other = [], []
-            for text in batch.column(1):
+            times: Counter = Counter()
+            for text in batch.column(0):
                 value = text.as_py()
-                own.append(numbers(set(_WORD.findall((value or "").lower()))))
-                other.append([numbers(s) for s in swapped(value)])
+                found = None
+                for left, joined in swaps(value):
+                    if found is None:
+                        found = _known_features(set(_WORD.findall(value.lower())), index)
+                    minus, plus = _known_features(left, index), _known_features(joined, index)
+                    gone = tuple(sorted(f for f, n in minus.items() if found[f] == n and f not in plus))
+                    new = tuple(sorted(f for f in plus if not found[f]))
+                    times[new, gone] += 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(own, pa.list_(pa.int32())),
-                    pa.array(other, pa.list_(pa.list_(pa.int32()))),
+                    pa.array([list(k[0]) for k in times], pa.list_(pa.int32())),
+                    pa.array([list(k[1]) for k in times], pa.list_(pa.int32())),
+                    pa.array(list(times.values()), pa.int64()),
                 ],
-                names=["spot", "toxic", "own", "other"],
+                names=["joined", "gone", "times"],
             )
 
     return run
 
 
-def fit(rows: list[tuple[int, list[int], list[list[int]]]], n: int, prior: float, settings: Settings):
-    """Weights and intercept from (label, features, swapped features) rows.
+def fit(
+    rows: list[tuple[int, list[int]]], changes: list[tuple[list[int], list[int], int]], n: int, prior: float, settings: Settings
+):
+    """Weights and intercept from (label, features) rows and from swaps: features that join, features that go, and how often.
 
     Loss: mean log loss with both labels weighing alike, plus ``swap`` times the mean squared change of the
     linear score over all swaps, plus the ridge. The intercept then moves to the labels' true odds.
@@ -141,9 +165,8 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], n: int, prior: float
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     col = np.array([f for r in rows for f in r[1]], dtype=np.int64)
     share = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
-    pairs = [(set(r[1]), set(s)) for r in rows for s in r[2]]
-    change = [(k, f, 1.0) for k, (a, b) in enumerate(pairs) for f in sorted(b - a)]
-    change += [(k, f, -1.0) for k, (a, b) in enumerate(pairs) for f in sorted(a - b)]
+    times = np.array([c[2] for c in changes], dtype=float)
+    change = [(k, f, 1.0) for k, c in enumerate(changes) for f in c[0]] + [(k, f, -1.0) for k, c in enumerate(changes) for f in c[1]]
     pair_row = np.array([c[0] for c in change], dtype=np.int64)
     pair_col = np.array([c[1] for c in change], dtype=np.int64)
     sign = np.array([c[2] for c in change])
@@ -154,8 +177,8 @@ def fit(rows: list[tuple[int, list[int], list[list[int]]]], n: int, prior: float
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) * share
         grad = np.bincount(col, weights=error[row], minlength=n) + settings.ridge * weight / np.sqrt(n + 1)
         if len(change):
-            moved = np.bincount(pair_row, weights=sign * weight[pair_col], minlength=len(pairs))
-            grad += 2 * settings.swap / len(pairs) * np.bincount(pair_col, weights=sign * moved[pair_row], minlength=n)
+            moved = times * np.bincount(pair_row, weights=sign * weight[pair_col], minlength=len(changes))
+            grad += 2 * settings.swap / times.sum() * np.bincount(pair_col, weights=sign * moved[pair_row], minlength=n)
         full = np.append(grad, error.sum())
         m = 0.9 * m + 0.1 * full
         v = 0.999 * v + 0.001 * full**2
@@ -184,7 +207,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     chosen = marked.where("toxic = 0").orderBy("spot", "doc_id").limit(settings.rows).unionByName(
         marked.where("toxic = 1").orderBy("spot", "doc_id").limit(settings.rows)
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "spot")
+    # one text for each chosen id, also where rows repeat it
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "spot")
+    sample = sample.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic", "spot")
     sample = stored(sample, "labelled")
     n0 = min(totals.get(0, 0), settings.rows) + 1.0
     n1 = min(totals.get(1, 0), settings.rows) + 1.0
@@ -206,11 +231,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     )
     names = [r.feature for r in best.collect()]
     index = {f: k for k, f in enumerate(dict.fromkeys([*names, *_OTHERS]))}
-    encoded = sample.select("spot", "text", "toxic").mapInArrow(
-        _encode(index), "spot bigint, toxic int, own array<int>, other array<array<int>>"
-    )
-    rows = sorted((r.spot, r.toxic, list(r.own), [list(o) for o in r.other]) for r in encoded.collect())
-    weights, intercept = fit([r[1:] for r in rows], len(index), prior, settings)
+    encoded = sample.select("spot", "text", "toxic").mapInArrow(_encode(index), "spot bigint, toxic int, own array<int>")
+    rows = sorted((r.spot, r.toxic, list(r.own)) for r in encoded.collect())
+    # one row for each way in which a swap changes the features: few, whatever the size of the texts
+    changed = sample.select("text").mapInArrow(_changes(index), "joined array<int>, gone array<int>, times bigint")
+    changed = changed.groupBy("joined", "gone").agg(F.sum("times").alias("times"))
+    changes = sorted((list(r.joined), list(r.gone), r.times) for r in changed.collect())
+    weights, intercept = fit([r[1:] for r in rows], changes, len(index), prior, settings)
     return Model({f: float(weights[k]) for f, k in index.items() if weights[k]}, intercept)
 
 

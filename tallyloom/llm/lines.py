@@ -109,28 +109,33 @@ def _bytes_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, total, removed = [], [], []
-        for text, gone in zip(batch.column(0), batch.column(1), strict=True):
-            value, found = text.as_py(), gone.as_py()
-            lines = (value or "").encode().split(b"\n")
-            total.append(0 if value is None else len(lines))
-            if not found:
-                texts.append(value)
-                removed.append(0)
-                continue
-            left, end = [], 0
-            for r in sorted(found, key=lambda r: r["a"]):
-                left += lines[end : r["a"]]
-                end = max(end, r["b"])
-            left += lines[end:]
-            texts.append(b"\n".join(left).decode())
-            removed.append(len(lines) - len(left))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[2:], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
-            names=[*batch.schema.names[2:], "_text", "_lines", "_removed"],
-        )
+def _without(made: list[str]):
+    """The texts without their ranges; ``made`` names the columns that are added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, total, removed = [], [], []
+            for text, gone in zip(batch.column(0), batch.column(1), strict=True):
+                value, found = text.as_py(), gone.as_py()
+                lines = (value or "").encode().split(b"\n")
+                total.append(0 if value is None else len(lines))
+                if not found:
+                    texts.append(value)
+                    removed.append(0)
+                    continue
+                left, end = [], 0
+                for r in sorted(found, key=lambda r: r["a"]):
+                    left += lines[end : r["a"]]
+                    end = max(end, r["b"])
+                left += lines[end:]
+                texts.append(b"\n".join(left).decode())
+                removed.append(len(lines) - len(left))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[2:], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
+                names=[*batch.schema.names[2:], *made],
+            )
+
+    return run
 
 
 def repeated_ranges(docs: DataFrame, chunking: Chunking) -> DataFrame:
@@ -178,20 +183,22 @@ def remove_repeated(docs: DataFrame, chunking: Chunking | None = None) -> DataFr
     chunking = chunking or Chunking()
     docs = docs.drop("n_lines", "n_removed")
     gone = repeated_ranges(docs, chunking)
-    sig, doc, found = fresh(docs.columns, "sig", "doc", "ranges")
+    sig, doc, of, found, was = fresh(docs.columns, "sig", "doc", "of", "ranges", "was")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     marked = (
         docs.withColumn(sig, F.xxhash64("text"))
         .join(
-            gone.select(F.col("doc").alias(doc), F.col("sig").alias("_gone_sig"), F.col("ranges").alias(found)),
-            F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(sig) == F.col("_gone_sig")),
+            gone.select(F.col("doc").alias(doc), F.col("sig").alias(of), F.col("ranges").alias(found)),
+            F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(sig) == F.col(of)),
             "left",
         )
-        .select(F.col("text").cast("string").alias("_was"), F.col(found), *[c for c in docs.columns if c != "text"])
+        .select(F.col("text").cast("string").alias(was), F.col(found), *others)
     )
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
-    schema = ", ".join(x for x in (rest, "_text string, _lines bigint, _removed bigint") if x)
-    return marked.mapInArrow(_without, schema).select(
-        *[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.col("_lines").alias("n_lines"),
-        F.col("_removed").alias("n_removed"),
+    text, lines, removed = fresh(docs.columns, "text_left", "lines_had", "lines_gone")
+    schema = ", ".join(x for x in (rest, f"{text} string, {lines} bigint, {removed} bigint") if x)
+    return marked.mapInArrow(_without([text, lines, removed]), schema).select(
+        *[F.col(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.col(lines).alias("n_lines"),
+        F.col(removed).alias("n_removed"),
     )

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored
+from tallyloom.llm.common import fresh, stored
 from tallyloom.llm.components import components
 from tallyloom.llm.words import join_names, mix, slices, words_of
 
@@ -73,7 +73,7 @@ def _minhashes(names: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least
 
 
-FEATURES = "doc_id bigint, n_shingles bigint, signature binary, heads array<bigint>, tails array<bigint>, code binary"
+FEATURES = "doc_id bigint, text_name bigint, n_shingles bigint, signature binary, heads array<bigint>, tails array<bigint>, code binary"
 
 
 def _features(banding: Banding):
@@ -100,13 +100,14 @@ def _features(banding: Banding):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
+                    batch.column(2),
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(heads, pa.list_(pa.int64())),
                     pa.array(tails, pa.list_(pa.int64())),
                     pa.array(codes, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "signature", "heads", "tails", "code"],
+                names=["doc_id", "text_name", "n_shingles", "signature", "heads", "tails", "code"],
             )
 
     return run
@@ -410,7 +411,35 @@ def _classes(known: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
+    """``grouped`` without the names of the texts."""
+    return grouped(docs, banding).drop("text_name")
+
+
+def unique_documents(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``grouped`` keeps, with all their columns; of rows that repeat doc_id and text one.
+
+    Decisions are taken for doc_id and text together, so a text whose doc_id another text has too does not go with it.
+    """
+    rows = grouped(docs, banding)
+    doc, name, found = fresh(docs.columns, "doc", "name", "found")
+    named = [F.col("doc_id").alias(doc), F.col("text_name").alias(name)]
+    gone = stored(rows.where(~F.col("kept")).select(*named).distinct(), "copies")
+    twice = rows.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy(*named).agg(F.count(F.lit(1)).alias(found))
+    twice = stored(twice.where(F.col(found) > 1).select(doc, name, F.lit(True).alias(found)), "repeated")
+
+    def same(other: DataFrame):
+        return (F.col("doc_id").cast("long") == other[doc]) & (F.xxhash64(F.col("text").cast("string")) == other[name])
+
+    left = docs.join(gone, same(gone), "left_anti")
+    if twice.isEmpty():
+        return left
+    marked = left.join(twice, same(twice), "left")
+    once = marked.where(found).dropDuplicates([doc, name])
+    return marked.where(F.col(found).isNull()).unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
+    """doc_id, text_name (a 64-bit name of the text), n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
 
     Rows of equal shingle sets are one class. Classes are linked if the
     intersection of their sets has at least ``percent`` of the union. ``component_id`` is the smallest
@@ -425,7 +454,8 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     """
     banding = banding or Banding()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    features = stored(source.mapInArrow(_features(banding), FEATURES), "minhash")
+    named = source.select("*", F.xxhash64("text").alias("text_name"))
+    features = stored(named.mapInArrow(_features(banding), FEATURES), "minhash")
     known = features.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(_classes(known), "classes")
     leaders = known.join(classes.withColumnRenamed("least", "doc_id"), ["signature", "doc_id"]).dropDuplicates(["rep"])
@@ -478,11 +508,12 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     component = F.coalesce("named", "least", "doc_id")
     has_id = F.col("doc_id").isNotNull()
     return (
-        features.select("doc_id", "n_shingles", "signature")
+        features.select("doc_id", "text_name", "n_shingles", "signature")
         .join(classes, "signature", "left")
         .join(comps.join(names, "comp"), "rep", "left")
         .select(
             "doc_id",
+            "text_name",
             "n_shingles",
             F.when(has_id, component).alias("component_id"),
             F.coalesce(has_id & (F.col("doc_id") == component) | ~has_id, F.lit(True)).alias("kept"),

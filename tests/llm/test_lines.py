@@ -1,27 +1,26 @@
-"""Line chunks against a plain single-process version."""
+"""Line chunks and windows against a plain single-process version."""
 
 import random
 
 from pyspark.sql import functions as F
 
-from tallyloom.llm.lines import Chunking, chunks, remove_repeated
+from tallyloom.llm.lines import Chunking, chunks, ranges, remove_repeated
 from tallyloom.llm.queries import QUERIES
 
 
 def brute(rows, chunking=Chunking()):
-    """(doc_id, text) rows of distinct ids, in order of id."""
+    """(doc_id, text) rows of distinct ids, in order of id: every chunk or window whose bytes stood before goes."""
     seen, out = set(), {}
     for doc, text in sorted(rows):
         lines = (text or "").encode().split(b"\n")
-        left = []
-        for a, b in chunks(lines, chunking):
+        gone = set()
+        for a, b in ranges(lines, chunking):
             part = b"\n".join(lines[a:b])
-            if b - a >= 2 and sum(bool(x.strip()) for x in lines[a:b]) >= 2:
-                if part in seen:
-                    continue
-                seen.add(part)
-            left += lines[a:b]
-        out[doc] = (None if text is None else b"\n".join(left).decode(), len(lines) - len(left))
+            if part in seen:
+                gone |= set(range(a, b))
+            seen.add(part)
+        left = [x for i, x in enumerate(lines) if i not in gone]
+        out[doc] = (None if text is None else b"\n".join(left).decode(), len(gone))
     return out
 
 
@@ -58,3 +57,11 @@ def test_odd_rows(spark, docs):
     assert got[None].n_removed >= 6 and got[None].sig == 1 and got[None].numbers == "n"
     assert got[7].n_lines == 100_001
     assert remove_repeated(frame.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark, docs):
+    names = ["_text", "_lines", "_removed", "_gone_sig", "_doc", "_sig", "sig", "doc", "of", "was", "ranges", "text_left"]
+    frame = docs((1, "a b\nc d"), (2, "a b\nc d")).withColumns({c: F.lit(c) for c in names})
+    got = {r.doc_id: r for r in remove_repeated(frame).collect()}
+    assert [got[i].n_removed for i in (1, 2)] == [0, 2]
+    assert all(r[c] == c for r in got.values() for c in names)

@@ -125,3 +125,14 @@ def test_a_hot_key_sends_a_row_once(spark, docs, monkeypatch):
     got = found(near_duplicates(docs(*rows), banding))
     assert got == brute(dict(rows), 3, 85)
     assert len(sent) >= 3 and max(sent) <= 3 * sent[0]
+
+
+def test_unique_documents_are_known_by_id_and_text(spark, docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    frame = docs((5, a), (5, b), (7, a + " more"), (3, b), (5, c), (5, c), (8, None), (8, ""), (None, a), (None, a))
+    frame = frame.withColumns({x: F.lit(x) for x in ("doc", "name", "found", "text_name", "kept")})
+    left = neardup.unique_documents(frame)
+    assert left.columns == frame.columns
+    got = sorted(((r.doc_id or 0, (r.text or "-")[:2]) for r in left.collect()))
+    assert got == [(0, "a0"), (0, "a0"), (3, "b0"), (5, "a0"), (5, "c0"), (8, "-"), (8, "-")]
+    assert neardup.unique_documents(frame.limit(0)).count() == 0

@@ -1,12 +1,14 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and read by the next.
 
 Toxic documents go, repeated line chunks are cut, one document of each near-duplicate group stays, sources are mixed to
-target weights, and the texts are encoded to pieces. Every stage but the last returns the columns of
+target weights, and the texts are encoded to pieces and decoded again. Every stage but the last returns the columns of
 ``documents``. Null texts and ids, repeated rows and an empty table pass as each operator's docstring says.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +16,21 @@ from tallyloom.llm import lines, mixing, neardup, pieces, toxicity
 from tallyloom.llm.common import WORD, fresh, stored, table
 
 
+def _apart(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage over documents whose columns of these names are called otherwise meanwhile."""
+    clash = [c for c in docs.columns if c.lower() in names]
+    renamed = dict(zip(clash, fresh([*docs.columns, *names], *clash), strict=True))
+    return stage(docs.withColumnsRenamed(renamed)).withColumnsRenamed({b: a for a, b in renamed.items()})
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score stays below one half."""
     model = toxicity.train(toxicity.training_rows(docs), table(spark, sf_dir, "labels"))
-    keep = [c for c in docs.columns if c != "score"]
-    if len(keep) < len(docs.columns):
-        raise ValueError("documents has a column named score")
-    return toxicity.score(docs, model, keep).where("score < 0.5").select(*docs.columns)
+
+    def stage(docs: DataFrame) -> DataFrame:
+        return toxicity.score(docs, model, docs.columns).where("score < 0.5").select(*docs.columns)
+
+    return _apart(docs, ["score"], stage)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,22 +44,19 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word-shingle similarity 0.8 or more."""
-    found = neardup.near_duplicates(docs)
-    (gone,) = fresh(docs.columns, "gone")
-    copies = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "copies")
-    return docs.join(copies, F.col("doc_id") == F.col(gone), "left_anti")
+    """One document of each group of five-word-shingle similarity 0.8 or more, and one of rows that repeat id and text."""
+    return neardup.unique_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the last block of a shard may cut one."""
-    return mixing.mixed_documents(docs)
+    return _apart(docs, ["size", "source_size", "target", "taken", "part"], mixing.mixed_documents)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang and the piece ids."""
-    return pieces.encode(docs, pieces.load()).select(
-        "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids"
+    """doc_id, source, lang, the piece ids, and whether decoding them gives the text again."""
+    return pieces.encode(docs, pieces.load(), prove=True).select(
+        "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_pieces"), "ids", "exact"
     )
 
 
@@ -58,7 +65,7 @@ STAGES = [
     ("line dedup", cut_repeated_lines),
     ("MinHash near-dedup", drop_near_duplicates),
     ("mixing sources", mix_sources),
-    ("SentencePiece encoding", encode_pieces),
+    ("SentencePiece encoding and decoding", encode_pieces),
 ]
 
 # A trained classifier and best-path encoding have no SQL form; tests hold each stage against plain code.

@@ -140,9 +140,14 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
 
 
+# Instead of the place of a second half key: rows come under all of their first half keys, or under one alone.
+EACH, ALONE = -1, -2
+
+
 @dataclass
 class _Block:
-    """The rows of one block of one half key; ``turn`` is the place of the second half key if all rows share it, else -1."""
+    """The rows of one block of one half key; ``turn`` is the place of the second half key if all rows share it, else EACH or
+    ALONE."""
 
     rep: np.ndarray
     comp: np.ndarray
@@ -160,7 +165,7 @@ class _Block:
         return cls(rep, comp, size, half, code[:, 16 * m :], place, group.column(1)[0].as_py())
 
     def candidates(self, banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pairs of rows of different components, each in the first A_i that it shares (and, in a block of one B_j, the first of
+        """Pairs of rows of different components, each in the first A_i that it shares (but for ALONE; and, in a block of one B_j, the first of
         these) and only if it shares a B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes."""
         m, rep, comp, size = banding.halves, self.rep, self.comp, self.size
         out = []
@@ -173,7 +178,9 @@ class _Block:
             i = i + at
             heads = self.half[i, :m] == self.half[j, :m]
             tails = self.half[i, m:] == self.half[j, m:]
-            good = (heads.argmax(axis=1) == self.place[i]) & tails.any(axis=1)
+            good = heads[np.arange(len(i)), self.place[i]] & tails.any(axis=1)
+            if self.turn != ALONE:
+                good &= heads.argmax(axis=1) == self.place[i]
             if self.turn >= 0:
                 good &= tails.argmax(axis=1) == self.turn
             i, j = i[good], j[good]
@@ -189,7 +196,8 @@ def _pair_batch(x: list[np.ndarray], y: list[np.ndarray], equal: list[np.ndarray
 
 
 def _best_pairs(banding: Banding):
-    """The likeliest partner in another component of each row of a block: at most one pair a row."""
+    """The likeliest partner in another component of each row of a block, and of rows under one key alone also the first: at most two
+    pairs a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y, score, held = [], [], [], 0
@@ -199,14 +207,17 @@ def _best_pairs(banding: Banding):
             block = _Block.of(group, banding.halves)
             i, j, equal = block.candidates(banding)
             one, two, both = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
-            order = np.lexsort((block.rep[two], -both, block.rep[one]))
-            one, two, both = one[order], two[order], both[order]
-            new = np.ones(len(one), dtype=bool)
-            new[1:] = one[1:] != one[:-1]
-            x.append(block.rep[one][new])
-            y.append(block.rep[two][new])
-            score.append(both[new])
-            held += len(x[-1])
+            orders = [np.lexsort((block.rep[two], -both, block.rep[one]))]
+            if block.turn == ALONE:
+                # the first of a key is in all of its blocks
+                orders.append(np.lexsort((block.rep[two], block.rep[one])))
+            for order in orders:
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = block.rep[one[order[1:]]] != block.rep[one[order[:-1]]]
+                x.append(block.rep[one[order]][new])
+                y.append(block.rep[two[order]][new])
+                score.append(both[order][new])
+                held += len(x[-1])
             if held > 50_000:
                 yield _pair_batch(x, y, score)
                 x, y, score, held = [], [], [], 0
@@ -342,16 +353,24 @@ def _confirm(percent: int):
 _ROW = ["place", "rep", "comp", "n_shingles", "code"]
 
 
-def _placed(spots: DataFrame, leaders: DataFrame, comps: DataFrame) -> DataFrame:
-    """The rows of each half key with their component and their key's number of rows, for keys that several components share."""
-    placed = spots.join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+def _shared(spots: DataFrame, comps: DataFrame) -> DataFrame:
+    """(head, place, rep, comp, members, leader): the rows of each half key that several components share, with their number and
+    the smallest of them."""
+    placed = spots.select("rep", "place", "head").join(comps, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     groups = (
         placed.groupBy("head")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+        .agg(
+            F.count(F.lit(1)).alias("members"), F.min("comp").alias("least"), F.max("comp").alias("most"),
+            F.min("rep").alias("leader"),
+        )
         .where("members > 1 AND least <> most")
-        .select("head", "members")
-    )
-    return placed.join(groups, "head").join(leaders.select("rep", "n_shingles", "tails", "code"), "rep")
+        .select("head", "members", "leader")
+    )
+    return placed.join(groups, "head")
+
+
+def _coded(placed: DataFrame, leaders: DataFrame) -> DataFrame:
+    return placed.join(leaders.select("rep", "n_shingles", "tails", "code"), "rep")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -359,29 +378,41 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(*key).sortWithinPartitions(*key)
 
 
-def _one_block_each(placed: DataFrame, banding: Banding, turn: int) -> DataFrame:
-    """Every row in one block of its key; another turn deals them otherwise. As many rows come out as go in."""
+def _with_leaders(placed: DataFrame, banding: Banding) -> DataFrame:
+    """Every row in one block of its key, and the key's leader in all of them, so that blocks are joined through it."""
     blocks = F.ceil(F.col("members") / banding.block)
-    part = F.pmod(F.xxhash64("rep", F.lit(turn)), blocks).alias("part")
-    return _dealt(placed.select("head", F.lit(-1).alias("turn"), part, *_ROW))
+    own = F.array(F.pmod(F.xxhash64("rep"), blocks))
+    parts = F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(own)
+    return _dealt(placed.select("head", F.lit(ALONE).alias("turn"), F.explode(parts).alias("part"), *_ROW))
+
 
+def _one_block(placed: DataFrame) -> DataFrame:
+    return _dealt(placed.select("head", F.lit(EACH).alias("turn"), F.lit(0).cast("bigint").alias("part"), *_ROW))
 
-def _all_pairs(placed: DataFrame, banding: Banding) -> tuple[DataFrame, DataFrame]:
-    """Blocks in which any two rows of different components that share a table of keys meet: those of keys of one block, and others.
+
+def _all_pairs(placed: DataFrame, leaders: DataFrame, banding: Banding) -> tuple[DataFrame, DataFrame | None]:
+    """Blocks in which any two rows of different components that share a table of keys meet: those of keys of one block, and others, if any.
 
     Most rows of a hot key are of one component by now; each of these goes to one block, and the few others to every
     block. A key with more than a block of others is first dealt to its second half keys, as only rows that share one are candidates.
     """
-    hot = F.col("members") > banding.block
-    cold = placed.where(~hot).select("head", F.lit(-1).alias("turn"), F.lit(0).cast("bigint").alias("part"), *_ROW)
-    starred = _with_main(placed.where(hot).drop("members"), ["head"])
+    placed = placed.drop("leader")
+    hot = placed.where(F.col("members") > banding.block)
+    whole = [F.lit(EACH).alias("turn"), F.lit(0).cast("bigint").alias("part")]
+    cold = _coded(placed.where(F.col("members") <= banding.block), leaders).select("head", *whole, *_ROW)
+    if hot.isEmpty():
+        return cold, None
+    starred = stored(_with_main(hot.drop("members"), ["head"]), "hot-keys")
     few = F.col("members") - F.col("main_rows") <= banding.block
-    stars = starred.where(few).select("head", F.lit(-1).alias("turn"), F.explode(_parts(banding)).alias("part"), *_ROW)
-    tables = starred.where(~few).select("*", F.posexplode("tails").alias("turn", "tail"))
-    tables = _with_main(tables.drop("tails", "members", "main", "main_rows"), ["head", "turn", "tail"])
-    # a table is known by its half keys
-    tables = tables.select(F.xxhash64("head", "tail").alias("head"), "turn", F.explode(_parts(banding)).alias("part"), *_ROW)
-    return cold, stars.unionByName(tables)
+    rows = _coded(starred.where(few), leaders).select("head", F.lit(EACH).alias("turn"), F.explode(_parts(banding)).alias("part"), *_ROW)
+    many = starred.where(~few).drop("members", "main", "main_rows")
+    if not many.isEmpty():
+        tables = _coded(many, leaders).select("*", F.posexplode("tails").alias("turn", "tail")).drop("tails")
+        tables = _with_main(tables, ["head", "turn", "tail"])
+        # a table is known by its half keys
+        key = F.xxhash64("head", "tail").alias("head")
+        rows = rows.unionByName(tables.select(key, "turn", F.explode(_parts(banding)).alias("part"), *_ROW))
+    return cold, rows
 
 
 def _with_main(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -439,13 +470,14 @@ def unique_documents(docs: DataFrame, banding: Banding | None = None) -> DataFra
 
 
 def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
-    """doc_id, text_name (a 64-bit name of the text), n_shingles, component_id and kept for every row of ``docs`` (doc_id, text; others are ignored).
+    """doc_id, text_name (a 64-bit name of the text), n_shingles, component_id and kept for every row of ``docs`` (doc_id, text;
+    others are ignored).
 
     Rows of equal shingle sets are one class. Classes are linked if the
     intersection of their sets has at least ``percent`` of the union. ``component_id`` is the smallest
-    doc_id reachable. Two rounds deal the rows of each key to blocks and hold each class against its likeliest partner there, so that
-    nearly all copies are joined by one pair a row; then all
-    candidate pairs between components that are left are held against each other, block by block. Pairs inside a component
+    doc_id reachable. First each class is held against the first and the likeliest partner in a block of its commonest key, where the
+    key's first class also is, so that most copies are joined by a pair or two a row; then against its likeliest partner in all keys of one
+    block; then all candidate pairs between components that are left are held against each other, block by block. Pairs inside a component
     need no check, and none between components is left out.
 
     Null, empty and word-free texts have 0 shingles, are linked with nothing and stay; so do
@@ -462,24 +494,28 @@ def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     leaders = stored(leaders.select("rep", "doc_id", "signature", "n_shingles", "heads", "tails", "code"), "leaders")
 
     heads = leaders.select("rep", F.posexplode("heads").alias("place", "head"))
-    shared = heads.groupBy("head").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    spots = stored(heads.join(shared.select("head"), "head", "left_semi"), "spots")
+    counts = heads.groupBy("head").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    spots = stored(heads.join(counts, "head"), "spots")
 
     comps = leaders.select("rep", F.col("rep").alias("comp")).limit(0)
     links = tested = sets = None
     for turn in range(2):
-        placed = _placed(spots, leaders, comps)
-        if sets is not None:
-            # in a key of one block a row without a partner now has none later
-            placed = placed.join(sets.select("rep", F.lit(True).alias("met")), "rep", "left")
-            placed = placed.where(F.col("met") | (F.col("members") > banding.block))
-        found = _one_block_each(placed, banding, turn).mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
-        best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
-        pairs = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        if turn:
+            # all keys of one block that components still share: the likeliest partner of each row
+            placed = _shared(spots, comps).where(F.col("members") <= banding.block)
+            dealt = _one_block(_coded(placed, leaders))
+        else:
+            # the commonest key of each row alone, which joins most copies
+            commonest = spots.groupBy("rep").agg(F.max_by(F.struct("place", "head"), "members").alias("at"))
+            dealt = _with_leaders(_coded(_shared(commonest.select("rep", "at.*"), comps), leaders), banding)
+        found = dealt.mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
+        if turn:
+            best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
+            found = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
+        pairs = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            break
+            continue
         sets = _with_sets(sets, pairs.select(F.explode(F.array("x", "y")).alias("rep")), leaders, source, banding)
         one = sets.select(F.col("rep").alias("x"), F.col("names").alias("names_x"))
         two = sets.select(F.col("rep").alias("y"), F.col("names").alias("names_y"))
@@ -491,13 +527,16 @@ def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
         new = checked.where("linked").select("x", "y")
         links = new if links is None else links.unionByName(new)
         comps = components(links).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
-    placed = _placed(spots, leaders, comps)
-    cold, tables = _all_pairs(placed, banding)
-    likely = _dealt(tables).mapInArrow(_candidate_rows(banding), "rep bigint")
-    likely = stored(likely.distinct(), "likely")
-    if sets is not None or not likely.isEmpty():
+    # in a key of one block the second turn has seen every pair: rows without a set have no partner there
+    cold, others = _all_pairs(stored(_shared(spots, comps), "placed"), leaders, banding)
+    rows = None if sets is None else cold.join(sets, "rep")
+    if others is not None:
+        others = stored(others, "hot-rows")
+        likely = stored(_dealt(others).mapInArrow(_candidate_rows(banding), "rep bigint").distinct(), "likely")
         sets = _with_sets(sets, likely, leaders, source, banding)
-        rows = cold.unionByName(tables.join(likely, "rep", "left_semi")).join(sets, "rep")
+        more = others.join(likely, "rep", "left_semi").join(sets, "rep")
+        rows = more if rows is None else rows.unionByName(more.select(*rows.columns))
+    if rows is not None:
         rows = _dealt(rows.select("head", "turn", "part", *_ROW, "names"))
         new = stored(rows.mapInArrow(_spanning_links(banding), "x bigint, y bigint"), "links")
         if not new.isEmpty():

@@ -207,7 +207,7 @@ class Encoder:
     The ids of a word are kept as the bytes of 32-bit integers, which take a fraction of a tuple's memory.
     """
 
-    def __init__(self, v: Vocabulary, most_words: int = 300_000):
+    def __init__(self, v: Vocabulary, most_words: int = 700_000):
         self.v, self.most = v, most_words
         self.known: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}

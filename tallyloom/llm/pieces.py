@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import fresh, stored
+from tallyloom.llm.common import fresh, release, stored
 from tallyloom.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -492,8 +492,10 @@ def long_ids(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
     cut = texts.select("row", "text").mapInArrow(_cut(chunk, v.longest - 1), schema)
     cut = stored(cut, "chunks")
     matrices = cut.mapInArrow(_matrices(v), "row bigint, spot bigint, value array<bigint>")
-    before = scan(stored(matrices, "matrices"), product, v.longest)
+    matrices = stored(matrices, "matrices")
+    before = scan(matrices, product, v.longest)
     placed = stored(cut.join(before, ["row", "spot"]).select("row", "spot", "part", "size", "last", "before"), "placed")
+    release(texts.sparkSession, cut, matrices)
     choices = stored(placed.mapInArrow(_choices(v), "row bigint, spot bigint, value array<bigint>"), "choices")
     # from the end: spots count down, and the maps of all later chunks lead from the end's state 0 to this one's
     counts = choices.groupBy("row").agg(F.max("spot").alias("top"))

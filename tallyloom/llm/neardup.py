@@ -350,6 +350,8 @@ def _confirm(percent: int):
     return run
 
 
+# Rounds by the commonest key of each row, which join most copies before all keys are looked at.
+LEADER_TURNS = 2
 _ROW = ["place", "rep", "comp", "n_shingles", "code"]
 
 
@@ -378,10 +380,11 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(*key).sortWithinPartitions(*key)
 
 
-def _with_leaders(placed: DataFrame, banding: Banding) -> DataFrame:
-    """Every row in one block of its key, and the key's leader in all of them, so that blocks are joined through it."""
+def _with_leaders(placed: DataFrame, banding: Banding, turn: int) -> DataFrame:
+    """Every row in one block of its key, another in another turn, and the key's leader in all of them, so that blocks are joined
+    through it."""
     blocks = F.ceil(F.col("members") / banding.block)
-    own = F.array(F.pmod(F.xxhash64("rep"), blocks))
+    own = F.array(F.pmod(F.xxhash64("rep", F.lit(turn)), blocks))
     parts = F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(own)
     return _dealt(placed.select("head", F.lit(ALONE).alias("turn"), F.explode(parts).alias("part"), *_ROW))
 
@@ -499,17 +502,17 @@ def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
 
     comps = leaders.select("rep", F.col("rep").alias("comp")).limit(0)
     links = tested = sets = None
-    for turn in range(2):
-        if turn:
+    for turn in range(LEADER_TURNS + 1):
+        if turn == LEADER_TURNS:
             # all keys of one block that components still share: the likeliest partner of each row
             placed = _shared(spots, comps).where(F.col("members") <= banding.block)
             dealt = _one_block(_coded(placed, leaders))
         else:
             # the commonest key of each row alone, which joins most copies
             commonest = spots.groupBy("rep").agg(F.max_by(F.struct("place", "head"), "members").alias("at"))
-            dealt = _with_leaders(_coded(_shared(commonest.select("rep", "at.*"), comps), leaders), banding)
+            dealt = _with_leaders(_coded(_shared(commonest.select("rep", "at.*"), comps), leaders), banding, turn)
         found = dealt.mapInArrow(_best_pairs(banding), "x bigint, y bigint, equal bigint")
-        if turn:
+        if turn == LEADER_TURNS:
             best = F.max(F.struct("equal", (-F.col("y")).alias("y"))).alias("best")
             found = found.groupBy("x").agg(best).select("x", (-F.col("best.y")).alias("y"))
         pairs = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()

@@ -40,86 +40,56 @@ def exact_sum(value: Column) -> Column:
     return high * (1 << LOW_BITS) + low
 
 
-# Doubles are summed as integers: millionths, and below them limbs of six decimal places down to the 36th.
-LIMB = 1_000_000
-PLACES = 18
-# Bounds of what is summed: above, millionths times a quantity leave a bigint; below, digits lie past the 36th place.
-MOST, LEAST = 9e12, 1e-20
-
-
-def _shifted(value: Column, places: int) -> Column:
-    """A double times 10^places as a whole decimal, from its decimal text and so without a further rounding."""
-    text = value.cast("string")
-    exponent = F.coalesce(F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int"), F.lit(0)) + places
-    return F.concat(F.split_part(text, F.lit("E"), F.lit(1)), F.lit("E"), exponent.cast("string")).cast("decimal(38,0)")
-
-
-def _whole_part(value: Column, divisor: int) -> Column:
-    """Quotient of a whole decimal as bigint, towards zero."""
-    ten = F.lit(divisor).cast("decimal(19,0)")
-    return ((value - value % ten) / ten).cast("bigint")
-
-
-def _rest(value: Column, divisor: int) -> Column:
-    return (value % F.lit(divisor).cast("decimal(19,0)")).cast("bigint")
+# Doubles are summed as integers: millionths, and what is left in units of the 18th decimal place.
+MILLION = 1_000_000
+FINE = 10**12
+# From here on millionths times a quantity may leave a bigint.
+MOST = 9e12
 
 
 def double_parts(value: Column) -> tuple[Column, Column]:
-    """(millionths, finer limbs) of a double's decimal text: bigint and an array of five, null where there are none.
+    """(millionths, rest) of a double's decimal text to its 18th place: two bigint, rest null where there is none.
 
-    Most prices are whole millionths, found by one division. Others, down to 1e-20, are taken apart by their
-    decimal text, 17 digits at most. A value that is not a number or out of bounds fails the query: no sum could be right.
+    Most prices are whole millionths, found by one division; only others become decimals. Of 17 digits none lies beyond
+    the 18th place from 0.01 on. A value that is not a number or too large fails the query: no sum could be right.
     """
-    size = F.abs(value)
-    refused = (
-        F.when(F.isnan(value), F.raise_error(F.lit("price: not a number")))
-        .when(size >= MOST, F.raise_error(F.lit("price: too large to sum exactly")))
-        .when((size > 0) & (size < LEAST), F.raise_error(F.lit("price: too small to sum exactly")))
+    refused = F.when(F.isnan(value), F.raise_error(F.lit("price: not a number"))).when(
+        F.abs(value) >= MOST, F.raise_error(F.lit("price: too large to sum exactly"))
     )
     known = F.coalesce(refused.cast("double"), value)
-    nearest = F.rint(known * LIMB)
-    plain = (nearest / LIMB == known) & (F.abs(nearest) < 2.0**53)
-    coarse, fine = _shifted(known, 18), _shifted(known, 36)
-    tiny = F.abs(known) < 0.01
-    # in 1e-18: 17 digits of a value from 0.01 on end there
-    upper = F.when(tiny, _whole_part(fine, 10**18).cast("decimal(38,0)")).otherwise(coarse)
-    lower = F.when(tiny, _rest(fine, 10**18)).otherwise(F.lit(0).cast("bigint"))
-    middle = _rest(upper, 10**12)
-
-    def limb(value: Column, above: int) -> Column:
-        shifted = (value - value % above) / above if above > 1 else value
-        return shifted.cast("bigint") % LIMB
-
-    limbs = F.array(limb(middle, LIMB), limb(middle, 1), limb(lower, LIMB**2), limb(lower, LIMB), limb(lower, 1))
-    return (
-        F.when(plain, nearest.cast("bigint")).otherwise(_whole_part(upper, 10**12)),
-        F.when(~plain, limbs),
-    )
+    nearest = F.rint(known * MILLION)
+    plain = (nearest / MILLION == known) & (F.abs(nearest) < 2.0**53)
+    units = nearest.cast("bigint")
+    whole = (units.cast("decimal(19,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(31,18)")
+    rest = (known.cast("decimal(31,18)") - whole).cast("decimal(18,18)") * F.lit(10**18).cast("decimal(19,0)")
+    return units, F.when(~plain, rest.cast("bigint"))
 
 
-def exact_product_sum(units: Column, limbs: Column, times: Column) -> Column:
-    """Aggregate: sum of the doubles of ``double_parts`` times an integer, as decimal(35,18).
+def exact_product_sum(units: Column, rest: Column, times: Column) -> Column:
+    """Aggregate: sum of the doubles of ``double_parts`` times an integer, as decimal(35,12).
 
-    All limbs are summed as integers, so the sum does not depend on the order of the rows. Only what lies below the
-    18th place is rounded, once per group.
+    Both parts are summed as integers, so the sum is exact and does not depend on the order of the rows; it is rounded once,
+    to the 12th place, at which totals of some millions still are one machine word. A product that leaves a bigint fails the query.
     """
     times = times.cast("bigint")
-    # apart, so that no product leaves a bigint before it is summed
-    high, low = F.shiftright(units, LOW_BITS), units.bitwiseAND((1 << LOW_BITS) - 1)
-    millionths = exact_sum(high * times) * (1 << LOW_BITS) + exact_sum(low * times)
-    whole = (millionths.cast("decimal(32,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(35,18)")
-    sums = [
-        F.coalesce(exact_sum(F.get(limbs, F.lit(k)) * times), F.lit(0)).cast("decimal(19,0)") for k in range(5)
-    ]
-
-    def scaled(value: Column, places: int) -> Column:
-        return value * F.lit(f"1E-{places}").cast(f"decimal({places},{places})")
-
-    below = F.round(scaled(sums[2], 6) + scaled(sums[3], 12) + scaled(sums[4], 18), 0).cast("decimal(19,0)")
-    first, second, third = (
-        scaled(value, places).cast("decimal(35,18)") for value, places in ((sums[0], 12), (sums[1], 18), (below, 18))
-    )
-    return ((whole + first) + (second + third)).cast("decimal(35,18)")
+    millionths = exact_sum(units * times).cast("decimal(32,0)")
+    # six places at a time, so that more rows fit
+    upper, lower = F.sum(_whole(rest) * times), F.sum(rest % MILLION * times)
+    fine = upper.cast("decimal(25,0)") * F.lit(MILLION).cast("decimal(7,0)") + lower.cast("decimal(20,0)")
+    below = fine % F.lit(FINE).cast("decimal(13,0)")
+    carried = ((fine - below) / F.lit(FINE).cast("decimal(13,0)")).cast("decimal(26,0)")
+    tail = below.cast("decimal(13,0)") * F.lit("1E-18").cast("decimal(18,18)")
+    with_rest = _millions(millionths + carried).cast("decimal(34,12)") + F.round(tail, 12).cast("decimal(34,12)")
+    # most groups have no rest
+    return F.when(lower.isNull(), _millions(millionths).cast("decimal(35,12)")).otherwise(with_rest.cast("decimal(35,12)"))
+
+
+def _whole(rest: Column) -> Column:
+    return F.floor((rest - rest % MILLION) / MILLION).cast("bigint")
+
+
+def _millions(millionths: Column) -> Column:
+    return millionths.cast("decimal(32,0)") * F.lit("0.000001").cast("decimal(6,6)")
 
 
 def percent_of(change: Column, base: Column) -> Column:

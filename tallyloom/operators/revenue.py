@@ -22,9 +22,9 @@ def item_totals(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return items.groupBy("order_id", *by).agg(F.sum(F.col("quantity") * F.col("price")).alias("order_total"))
     price = F.col("price") if isinstance(kind, T.DoubleType) else F.col("price").cast("string").cast("double")
-    units, limbs = double_parts(price)
-    parts = items.select("order_id", *by, F.col("quantity").alias("_times"), units.alias("_units"), limbs.alias("_limbs"))
-    total = exact_product_sum(F.col("_units"), F.col("_limbs"), F.col("_times"))
+    units, rest = double_parts(price)
+    parts = items.select("order_id", *by, F.col("quantity").alias("_times"), units.alias("_units"), rest.alias("_rest"))
+    total = exact_product_sum(F.col("_units"), F.col("_rest"), F.col("_times"))
     return parts.groupBy("order_id", *by).agg(total.alias("order_total"))
 
 

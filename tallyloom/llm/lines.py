@@ -1,15 +1,15 @@
 """Removal of repeated passages of lines.
 
-A rolling hash over the hashes of the last few lines ends a chunk wherever it is divisible by a number, so
-boundaries move with the text: a line added above shifts no later chunk. Beside the chunks, all windows of a few
-consecutive lines are held against each other, as a passage may be shorter than a chunk or begin within one. Of equal
-chunks or windows the first in the whole table stays; the others go once their bytes are compared with the first.
+A rolling hash over the hashes of the last lines decides where chunks begin: at the least of every few neighbouring
+values, so boundaries move with the text and depend on nothing but the lines beside them. Of equal chunks in the whole
+table the first stays. Neighbouring chunks that repeat the same place of a text are one run; a run's bytes are compared with
+those of that place, then it grows line by line to both sides while the lines agree, so that the ends of a passage, which no
+whole chunk covers, go as well.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,70 +21,66 @@ from tallyloom.llm.common import fresh, stored
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
+# Parts to which the runs that repeat one place of a text are dealt.
+_PARTS = 256
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """``window``: lines in the rolling hash. ``divisor``: one line in so many may end a chunk. ``most_lines``: a
-    chunk ends there at the latest. ``least_lines``: lines that a chunk has at least, and lines with a word that it
-    needs to be removed."""
+    """``window``: lines in the rolling hash. ``spread``: of so many neighbouring hashes the least begins a chunk.
+    ``least_lines``: lines with a word that a chunk has at least. ``reach``: lines by which a run grows at most on either
+    side. As they stand, every passage of three lines with a word holds a whole chunk wherever it stands; a passage of two
+    does if its first line begins one at both places."""
 
     window: int = 2
-    divisor: int = 3
-    most_lines: int = 64
+    spread: int = 2
     least_lines: int = 2
+    reach: int = 4
 
 
 def line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little")
 
 
-def chunks(lines: list[bytes], chunking: Chunking) -> list[tuple[int, int]]:
-    """Line ranges of the chunks, in order."""
-    hashes = [line_hash(x) for x in lines]
-    out_of_window = pow(_BASE, chunking.window, 1 << 64)
-    rolling, begin, out = 0, 0, []
+def _rolling(hashes: list[int], window: int) -> list[int]:
+    """Hash of every ``window`` neighbours, or of all, if they are fewer; mixed, so that their order is random."""
+    window = min(window, len(hashes))
+    out_of_window, rolling, out = pow(_BASE, window, 1 << 64), 0, []
     for i, h in enumerate(hashes):
         rolling = (rolling * _BASE + h) & _MASK
-        if i >= chunking.window:
-            rolling = (rolling - hashes[i - chunking.window] * out_of_window) & _MASK
-        at_boundary = (rolling ^ (rolling >> 29)) * 0xBF58476D1CE4E5B9 % (1 << 64) >> 32
-        size = i + 1 - begin
-        if (at_boundary % chunking.divisor == 0 and size >= chunking.least_lines) or size >= chunking.most_lines:
-            out.append((begin, i + 1))
-            begin = i + 1
-    if begin < len(lines):
-        out.append((begin, len(lines)))
+        if i >= window:
+            rolling = (rolling - hashes[i - window] * out_of_window) & _MASK
+        if i >= window - 1:
+            out.append((rolling ^ (rolling >> 29)) * 0xBF58476D1CE4E5B9 & _MASK)
     return out
 
 
-def ranges(lines: list[bytes], chunking: Chunking) -> list[tuple[int, int]]:
-    """Line ranges that may be removed: the chunks, and every window from one line with a word to the next, so that the
-    windows of a passage cover all of it wherever its chunks begin and end."""
-    least = chunking.least_lines
+def chunks(lines: list[bytes], chunking: Chunking) -> list[tuple[int, int]]:
+    """Line ranges of the chunks, in order: from a line with a word to a line with a word. Chunks that would have too few
+    such lines take the next ones along, so that neighbours may overlap."""
     worded = [i for i, x in enumerate(lines) if x.strip()]
-    found = {(worded[i], worded[i + least - 1] + 1) for i in range(len(worded) - least + 1)}
-    for a, b in chunks(lines, chunking):
-        if b - a > least and bisect_left(worded, b) - bisect_left(worded, a) >= least:
-            found.add((a, b))
-    return sorted(found)
-
-
-def _text_ranges(text: str | None, chunking: Chunking) -> Iterator[tuple[int, int, bytes]]:
-    lines = (text or "").encode().split(b"\n")
-    for a, b in ranges(lines, chunking):
-        yield a, b, hashlib.blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()
+    if len(worded) < chunking.least_lines:
+        return []
+    rolling = _rolling([line_hash(lines[i]) for i in worded], chunking.window)
+    spread = min(chunking.spread, len(rolling))
+    begins = sorted({min(range(i, i + spread), key=lambda k: (rolling[k], -k)) for i in range(len(rolling) - spread + 1)})
+    out = []
+    for begin, following in zip(begins, [*begins[1:], len(worded)], strict=True):
+        end = max(min(following, begin + chunking.spread), begin + chunking.least_lines)
+        if end <= len(worded):
+            out.append((worded[begin], worded[end - 1] + 1))
+    return out
 
 
-def _range_rows(chunking: Chunking):
+def _chunk_rows(chunking: Chunking):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = [
-                (doc, sig, a, b, key)
-                for doc, sig, text in zip(docs, sigs, batch.column(2), strict=True)
-                for a, b, key in _text_ranges(text.as_py(), chunking)
-            ]
+            rows = []
+            for doc, sig, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                lines = (text or "").encode().split(b"\n")
+                for a, b in chunks(lines, chunking):
+                    key = hashlib.blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()
+                    rows.append((doc, sig, a, b, key))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in rows], types[k]) for k in range(5)], names=["doc", "sig", "a", "b", "key"]
@@ -93,20 +89,70 @@ def _range_rows(chunking: Chunking):
     return run, "doc bigint, sig bigint, a bigint, b bigint, key binary"
 
 
-def _bytes_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the ranges whose key repeats."""
+def runs(found: list[dict]) -> list[dict]:
+    """Chunks (a, b) that repeat a text (of_doc, of_sig) from line of_a on, those that touch and repeat it in step as one."""
+    out: list[dict] = []
+    for r in sorted(found, key=lambda r: (r["of_doc"] is None, r["of_doc"], r["of_sig"], r["a"] - r["of_a"], r["a"])):
+        last = out[-1] if out else None
+        same = last and all(last[c] == r[c] for c in ("of_doc", "of_sig")) and last["a"] - last["of_a"] == r["a"] - r["of_a"]
+        if same and r["a"] <= last["b"]:
+            last["b"] = max(last["b"], r["b"])
+        else:
+            out.append(dict(r))
+    return out
+
+
+_LINES = pa.list_(pa.large_binary())
+RUN = "a bigint, b bigint, of_doc bigint, of_sig bigint, of_a bigint, before array<binary>, body binary, after array<binary>"
+
+
+def _run_rows(chunking: Chunking, joined):
+    """Bytes of line ranges, and the lines on either side; ``joined`` makes the ranges from those found for a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for doc, sig, text, found in zip(docs, sigs, batch.column(2), batch.column(3), strict=True):
+                lines = text.as_py().encode().split(b"\n")
+                spans = joined(found.as_py())
+                ends = [(r["a"], r["b"]) for r in spans]
+                n = len(spans)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc] * n, pa.int64()), pa.array([sig] * n, pa.int64())]
+                    + [pa.array([r.get(c) for r in spans], pa.int64()) for c in ("a", "b", "of_doc", "of_sig", "of_a")]
+                    + [
+                        pa.array([lines[max(0, a - chunking.reach) : a] for a, _ in ends], _LINES),
+                        pa.array([b"\n".join(lines[a:b]) for a, b in ends], pa.large_binary()),
+                        pa.array([lines[b : b + chunking.reach] for _, b in ends], _LINES),
+                    ],
+                    names=["doc", "sig", "a", "b", "of_doc", "of_sig", "of_a", "before", "body", "after"],
+                )
+
+    return run
+
+
+def agreeing(a: list[bytes], b: list[bytes]) -> int:
+    """Leading lines in which both agree, up to the last that has a word."""
+    n = 0
+    for k, (x, y) in enumerate(zip(a, b, strict=False), 1):
+        if x != y:
+            break
+        if x.strip():
+            n = k
+    return n
+
+
+def _grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs with the lines that agree on either side."""
     for batch in batches:
-        docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for doc, sig, text, found in zip(docs, sigs, batch.column(2), batch.column(3), strict=True):
-            lines = text.as_py().encode().split(b"\n")
-            rows = [(r["a"], r["b"], r["key"], r["is_first"], b"\n".join(lines[r["a"] : r["b"]])) for r in found.as_py()]
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.large_binary()]
-            n = len(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc] * n, pa.int64()), pa.array([sig] * n, pa.int64())]
-                + [pa.array([r[k] for r in rows], types[k]) for k in range(5)],
-                names=["doc", "sig", "a", "b", "key", "is_first", "bytes"],
-            )
+        a, b = [], []
+        for r in batch.select(["a", "b", "before", "after", "of_before", "of_after"]).to_pylist():
+            a.append(r["a"] - agreeing(r["before"][::-1], r["of_before"][::-1]))
+            b.append(r["b"] + agreeing(r["after"], r["of_after"]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc"), batch.column("sig"), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+            names=["doc", "sig", "a", "b"],
+        )
 
 
 def _without(made: list[str]):
@@ -141,13 +187,14 @@ def _without(made: list[str]):
 def repeated_ranges(docs: DataFrame, chunking: Chunking) -> DataFrame:
     """(doc, sig, ranges): the line ranges to remove from each text, known by its doc_id and the hash of the text.
 
-    Only keys are sent to find the ranges that repeat; the bytes of those are then taken from their texts, and each is
-    compared with the first of its key. Hot keys are counted before the shuffle and split as skewed joins.
+    Only keys are sent to find the chunks that repeat. The bytes of a run are sent once, and those of the place it repeats
+    once for each part of the runs that repeat it, so that no task has all copies of a passage. Hot keys are counted before
+    the shuffle and split as skewed joins.
     """
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("sig"), F.col("text").cast("string")
     )
-    run, schema = _range_rows(chunking)
+    run, schema = _chunk_rows(chunking)
     found = keyed.mapInArrow(run, schema)
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "sig", "a")
     firsts = (
@@ -156,27 +203,48 @@ def repeated_ranges(docs: DataFrame, chunking: Chunking) -> DataFrame:
         .where("found > 1")
         .select("key", "first")
     )
-    firsts = stored(firsts, "line-keys")
-    again = (
-        found.join(firsts, "key")
-        .groupBy("doc", "sig")
-        .agg(F.collect_set(F.struct("a", "b", "key", place.eqNullSafe(F.col("first")).alias("is_first"))).alias("found"))
+    again = found.join(stored(firsts, "line-keys"), "key").where(~place.eqNullSafe(F.col("first")))
+    of = [F.col(f"first.{c}").alias(f"of_{c}") for c in ("doc", "sig", "a")]
+
+    def with_bytes(ranges: DataFrame, joined) -> DataFrame:
+        """The ranges (of_doc, of_sig, found) with the bytes of their texts."""
+        same = F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("sig") == F.col("in_sig"))
+        ranges = ranges.select(F.col("doc").alias("in_doc"), F.col("sig").alias("in_sig"), "found")
+        held = keyed.join(ranges, same).select("doc", "sig", "text", "found")
+        return held.mapInArrow(_run_rows(chunking, joined), f"doc bigint, sig bigint, {RUN}")
+
+    copies = again.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b", *of)).alias("found"))
+    part = F.pmod(F.xxhash64("doc", "sig", "a"), F.lit(_PARTS)).alias("part")
+    copies = stored(with_bytes(copies, runs).select("*", part), "line-runs")
+    asked = copies.select(
+        F.col("of_doc").alias("doc"), F.col("of_sig").alias("sig"), F.col("of_a").alias("a"),
+        (F.col("of_a") + F.col("b") - F.col("a")).alias("b"), "part",
+    ).distinct()
+    wanted = asked.groupBy("doc", "sig", "a", "b").agg(F.collect_list("part").alias("parts"))
+    texts = with_bytes(wanted.groupBy("doc", "sig").agg(F.collect_list(F.struct("a", "b")).alias("found")), list)
+    texts = texts.dropDuplicates(["doc", "sig", "a", "b"]).select("doc", "sig", "a", "b", "before", "body", "after")
+
+    def named(frame: DataFrame) -> DataFrame:
+        return frame.withColumnsRenamed({c: f"of_{c}" for c in frame.columns})
+
+    dealt = texts.alias("t").join(
+        wanted.alias("w"),
+        F.expr("t.doc <=> w.doc AND t.sig = w.sig AND t.a = w.a AND t.b = w.b"),
     )
-    again = again.select(F.col("doc").alias("_doc"), F.col("sig").alias("_sig"), "found")
-    held = keyed.join(again, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("sig") == F.col("_sig")))
-    schema += ", is_first boolean, bytes binary"
-    held = stored(held.select("doc", "sig", "text", "found").mapInArrow(_bytes_rows, schema), "line-bytes")
-    originals = held.where("is_first").groupBy("key").agg(F.min("bytes").alias("original"))
-    copies = held.where("NOT is_first").join(originals, "key").where("bytes = original")
-    return copies.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+    dealt = named(dealt.select("t.*", F.explode("w.parts").alias("part")))
+    equal = F.expr("c.of_doc <=> o.of_doc AND c.of_sig = o.of_sig AND c.of_a = o.of_a AND c.part = o.of_part AND body = of_body")
+    met = copies.alias("c").join(dealt.alias("o"), equal)
+    met = met.select("doc", "sig", "c.a", "c.b", "before", "after", "of_before", "of_after")
+    grown = met.mapInArrow(_grown, "doc bigint, sig bigint, a bigint, b bigint")
+    return grown.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
 
 
 def remove_repeated(docs: DataFrame, chunking: Chunking | None = None) -> DataFrame:
     """``docs`` (doc_id, text and any others) with repeated passages cut out, plus n_lines and n_removed.
 
     Lines end at a line feed. First means smallest doc_id (null last), then hash of the text, then
-    place. Rows with the same doc_id and text are one text: what stays in one stays in all. Of every line
-    that goes an equal one stays. Null texts stay null
+    place. Rows with the same doc_id and text are one text: what stays in one stays in all. A line goes only for an
+    equal one at an earlier place, so of every line that goes an equal one stays. Null texts stay null
     with 0 lines, an empty text is one line; single lines and lines without words are never removed on their own. Columns
     named n_lines or n_removed are replaced. An empty table gives an empty result.
     """

@@ -28,6 +28,9 @@ SPACE = "▁"
 _MARK = "\udc81"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NONE = -(1 << 60)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+# Longer words are not remembered.
+_LONG = 48
 
 
 @dataclass
@@ -133,9 +136,22 @@ class Trie:
         letters = sorted({c for t in v.score for c in t})
         self.letters = np.array([ord(c) for c in letters], dtype=np.int64)
         number = {c: k for k, c in enumerate(letters)}
-        edges = sorted((nodes[t[:-1]] * len(letters) + number[t[-1]], nodes[t]) for t in v.steps)
-        self.keys = np.array([e[0] for e in edges], dtype=np.int64)
-        self.to = np.array([e[1] for e in edges], dtype=np.int64)
+        # edges in a hash table with probing: about six places for each, so that one look is enough as a rule
+        self.bits = max(4, (6 * len(v.steps)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.to = np.full(1 << self.bits, -1, dtype=np.int32)
+        left = np.array([nodes[t[:-1]] * len(letters) + number[t[-1]] for t in v.steps], dtype=np.int64)
+        to = np.array([nodes[t] for t in v.steps], dtype=np.int32)
+        at, self.probes = self._slot(left), 0
+        while len(left):
+            self.probes += 1
+            free = self.keys[at] == -1
+            first = np.zeros(len(at), dtype=bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            put = np.flatnonzero(free & first)
+            self.keys[at[put]], self.to[at[put]] = left[put], to[put]
+            rest = ~(free & first)
+            left, to, at = left[rest], to[rest], (at[rest] + 1) & ((1 << self.bits) - 1)
         self.score = np.full(len(nodes), _NONE, dtype=np.int64)
         self.ids = np.full(len(nodes), -1, dtype=np.int32)
         for t, s in v.score.items():
@@ -144,14 +160,27 @@ class Trie:
         self.more[[nodes[t] for t, (_, more) in v.steps.items() if more]] = True
         self.unknown = v.unknown
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def child(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The nodes that the letters lead to, -1 for none; letter -1 is in no piece."""
-        key = node * len(self.letters) + letter
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((letter >= 0) & (self.keys[at] == key), self.to[at], -1)
+        key = node * np.int64(len(self.letters)) + letter
+        key[letter < 0] = -2
+        at = self._slot(key)
+        there = self.keys[at]
+        out = np.where(there == key, self.to[at], -1)
+        for _ in range(self.probes - 1):
+            on = np.flatnonzero((there != key) & (there != -1))
+            if not len(on):
+                break
+            at[on] = (at[on] + 1) & ((1 << self.bits) - 1)
+            there[on] = self.keys[at[on]]
+            out[on] = np.where(there[on] == key[on], self.to[at[on]], -1)
+        return out
 
-    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
-        """Score and order of the words, longest first, and their ids; -1 stands for a character that no piece has.
+    def best(self, words: list[str]) -> Iterator[tuple[str, int, bytes | None]]:
+        """Each word with its score and its ids as bytes of 32-bit integers, None if no piece has one of its characters.
 
         The same steps as ``lattice``, for all words at once.
         """
@@ -162,7 +191,7 @@ class Trie:
         at = np.minimum(np.searchsorted(self.letters, flat), len(self.letters) - 1)
         letter = np.where(self.letters[at] == flat, at, -1)
         n, longest = len(words), int(length[0])
-        table = np.full((n, longest), -1, dtype=np.int64)
+        table = np.full((n, longest), -1, dtype=np.int32)
         begin = np.cumsum(length) - length
         table[np.repeat(np.arange(n), length), np.arange(len(flat)) - np.repeat(begin, length)] = letter
         score = np.full((n, longest + 1), _NONE, dtype=np.int64)
@@ -198,7 +227,12 @@ class Trie:
             rows = rows[place[rows] > 0]
         count = np.sum([s != -2 for s in steps], axis=0)
         paths = np.stack(steps[::-1], axis=1)
-        return score[np.arange(n), length], order, [p[len(steps) - c :] for p, c in zip(paths.tolist(), count.tolist(), strict=True)]
+        odd = (paths == -1).any(axis=1).tolist()
+        held, width = paths.tobytes(), 4 * len(steps)
+        scores, counts = score[np.arange(n), length].tolist(), count.tolist()
+        for row, k in enumerate(order.tolist()):
+            end = (row + 1) * width
+            yield words[k], scores[row], None if odd[row] else held[end - 4 * counts[row] : end]
 
 
 class Encoder:
@@ -211,34 +245,74 @@ class Encoder:
         self.v, self.most = v, most_words
         self.known: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}
+        # words of whole texts, without the mark in front of each
+        self.plain: dict[str, bytes] = {}
+        self.letters = {c for t in v.score for c in t}
 
     def learn(self, texts: list[str], totals: bool = False) -> None:
         """Remember the new words of some marked texts, all found at once, and on request their scores; odd words are left
         to ``word``. Never more words are held than ``most_words`` or those of these texts."""
         if not self.v.words_apart:
             return
-        words = {w for t in texts for w in _WORD.findall(t) if len(w) <= 48}
+        words = {w for t in texts for w in _WORD.findall(t) if len(w) <= _LONG}
         held = self.totals if totals else self.known
         new = [w for w in words if w not in held]
         if len(held) + len(new) > self.most:
             self.known.clear()
             self.totals.clear()
             new = list(words)
-        for at in range(0, len(new), 8_000):
-            part = new[at : at + 8_000]
-            scores, order, paths = self.v.trie.best(part)
-            for k, total, ids in zip(order.tolist(), scores.tolist(), paths, strict=True):
-                if -1 not in ids:
-                    self.known[part[k]] = np.array(ids, dtype=np.int32).tobytes()
-                    if totals:
-                        self.totals[part[k]] = total
+        for word, total, ids in self._best(new):
+            if ids is not None:
+                self.known[word] = ids
+                if totals:
+                    self.totals[word] = total
+
+    def _best(self, words: list[str]) -> Iterator[tuple[str, int, bytes | None]]:
+        for at in range(0, len(words), 8_000):
+            yield from self.v.trie.best(words[at : at + 8_000])
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts. A text is cut at its spaces, each of which begins a word; where spaces follow each other it goes
+        the way of marked text."""
+        split = [t.replace(SPACE, _MARK).split(" ") if t else [] for t in texts]
+        apart = [self.v.words_apart and "" not in ws for ws in split]
+        self._learn_plain(set().union(*(ws for ws, a in zip(split, apart, strict=True) if a)))
+        found = self.plain.__getitem__
+        return [
+            np.frombuffer(b"".join(map(found, ws)), dtype=np.int32) if a else self.array(marked(t))
+            for t, ws, a in zip(texts, split, apart, strict=True)
+        ]
+
+    def _learn_plain(self, words: set[str]) -> None:
+        """Remember the ids of all these words. Characters that no piece has cut a word: no piece crosses them."""
+        if len(self.plain) + len(words) > self.most and len(self.plain) + len(words - self.plain.keys()) > self.most:
+            self.plain.clear()
+        new = list(words - self.plain.keys())
+        strange = set().union(*new) - self.letters
+        cut = re.compile(f"([{re.escape(''.join(sorted(strange)))}])") if strange else None
+        units: dict[str, list[str]] = {}
+        for w in new:
+            if cut and not strange.isdisjoint(w):
+                units[w] = [u for u in cut.split(SPACE + w) if u]
+        simple = [SPACE + w for w in new if w not in units]
+        parts = {u for us in units.values() for u in us if u not in strange}
+        for word, _, ids in self._best([w for w in simple if len(w) <= _LONG]):
+            self.plain[word[1:]] = ids
+        of = {u: ids for u, _, ids in self._best([u for u in parts if len(u) <= _LONG])}
+        of |= {u: np.array(piece_ids(self.v, u), dtype=np.int32).tobytes() for u in strange}
+        of |= {u: self.word(u) for u in parts if len(u) > _LONG}
+        for w in simple:
+            if len(w) > _LONG:
+                self.plain[w[1:]] = self.word(w)
+        for w, us in units.items():
+            self.plain[w] = b"".join([of[u] for u in us])
 
     def word(self, word: str) -> bytes:
         if len(self.known) >= self.most:
             self.known.clear()
         _, back = lattice(self.v, word, {0: 0}, len(word))
         ids = np.array(traced(self.v, word, back, len(word))[1], dtype=np.int32).tobytes()
-        if len(word) <= 48:
+        if len(word) <= _LONG:
             self.known[word] = ids
         return ids
 
@@ -246,7 +320,7 @@ class Encoder:
         if len(self.totals) >= self.most:
             self.totals.clear()
         found = lattice(self.v, word, {0: 0}, len(word))[0][-1]
-        if len(word) <= 48:
+        if len(word) <= _LONG:
             self.totals[word] = found
         return found
 
@@ -360,16 +434,10 @@ def _whole(v: Vocabulary, at_column: int, prove: bool):
         for batch in batches:
             for at, end in slices(1 << 20, batch.column(at_column)):
                 part = batch.slice(at, end - at)
-                flat, ends, exact = [], [0], []
                 values = part.column(at_column).to_pylist()
-                texts = [marked(t) if t else "" for t in values]
-                encoder.learn(texts)
-                for value, text in zip(values, texts, strict=True):
-                    ids = encoder.array(text) if text else np.zeros(0, np.int32)
-                    flat.append(ids)
-                    ends.append(ends[-1] + len(ids))
-                    if decoder:
-                        exact.append(decoder.text(ids) == (value or ""))
+                flat = encoder.whole([t or "" for t in values])
+                ends = np.concatenate([[0], np.cumsum([len(ids) for ids in flat])]) if flat else [0]
+                exact = [decoder.text(ids) == (t or "") for t, ids in zip(values, flat, strict=True)] if decoder else []
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
                 columns, names = [*part.columns, ids], [*part.schema.names, "ids of a row"]
                 if decoder:

@@ -35,8 +35,8 @@ class Settings:
     order: int = 2
     cutoff: int = 5
     held: int = 10
-    chunk_tokens: int = 1_500_000
-    bucket_keys: int = 2_000_000
+    chunk_tokens: int = 1_000_000
+    bucket_keys: int = 1_200_000
     tables: bool = True
 
 
@@ -168,7 +168,7 @@ class _Chunk:
             else:
                 used = np.arange(n)
             keys, inverse = np.unique(gram[used], return_inverse=True)
-            place = np.full(n, -1, dtype=np.int64)
+            place = np.full(n, -1, dtype=np.int32)
             place[used] = inverse.reshape(-1)
             self.keys.append(keys)
             self.place.append(place)
@@ -176,7 +176,7 @@ class _Chunk:
     def context(self, level: int) -> np.ndarray:
         """Place of each token's context among the keys of the level below, -1 for the start of a text."""
         below = self.place[level - 2]
-        out = np.concatenate([[-1], below[:-1]])
+        out = np.concatenate([below[:1], below[:-1]])
         out[self.begin] = -1
         return out
 

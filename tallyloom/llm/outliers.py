@@ -1,8 +1,9 @@
 """Quality rules and robust outliers with built-in functions only.
 
 Statistics of each text form a vector. For each language and source the minimum-covariance-determinant estimate of centre
-and scatter comes from the ``share`` of rows nearest to it: concentration steps start from medians and median deviations,
-and each keeps the nearest rows of the last estimate. Variances have a floor, so that a statistic that is
+and scatter comes from the ``share`` of rows nearest to it: concentration steps start from medians and median deviations, and
+again from means and covariances; each keeps the nearest rows of the last estimate, until no group's determinant falls any
+more, and each group takes the estimate of its least determinant. Variances have a floor, so that a statistic that is
 constant in most texts rejects no small deviation. Rows of great Mahalanobis distance are rejected.
 """
 
@@ -22,13 +23,13 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 @dataclass(frozen=True)
 class Settings:
-    """``share``: part of the rows that the estimate keeps. ``steps``: concentration steps. ``quantile``: of the
+    """``share``: part of the rows that the estimate keeps. ``steps``: concentration steps of a start at most. ``quantile``: of the
     chi-squared distribution, beyond which a row goes. ``least_rows``: smaller groups are pooled by language, then
     altogether, and judge nothing if still smaller. ``floors``: least standard deviations of the statistics, small
     against the range of those that are shares, so that each can reject a text alone."""
 
     share: float = 0.75
-    steps: int = 3
+    steps: int = 12
     quantile: float = 0.999
     least_rows: int = 50
     floors: tuple[float, ...] = (0.5, 0.4, 0.06, 0.15, 0.11, 0.05, 0.05)
@@ -214,16 +215,43 @@ def _start(rows: DataFrame, p: int, floors: tuple[float, ...]) -> DataFrame:
     return stored(out.drop(*[f"s{i}" for i in range(p)]), "start")
 
 
+def _log_det(p: int) -> Column:
+    """Logarithm of the determinant of an estimate's scatter."""
+    return sum((2 * F.log(F.col(f"l{i}_{i}")) for i in range(p)), F.lit(0.0))
+
+
+def _least(estimates: DataFrame) -> DataFrame:
+    """Of each group's estimates the one with the least determinant."""
+    found = estimates.groupBy("group").agg(F.min_by(F.struct(*estimates.columns), "log_det").alias("best"))
+    return found.select("best.*")
+
+
+def _concentrated(vectors: DataFrame, estimate: DataFrame, p: int, settings: Settings, scale: float) -> DataFrame:
+    """Each group's estimate of least determinant among the concentration steps from ``estimate``, and its ``log_det``. Steps end
+    when no group's determinant falls."""
+    best = None
+    for _ in range(settings.steps):
+        kept = _nearest(_distance(vectors, estimate if best is None else best, p, vectors.columns), settings)
+        # written out, as a filter on the determinant would otherwise repeat the factor's nested terms
+        step = stored(_estimate(kept, p, settings.floors, scale).withColumn("log_det", _log_det(p)), "step")
+        if best is None:
+            best = step
+            continue
+        last = best.select("group", F.col("log_det").alias("least"))
+        if step.join(last, "group").where("log_det < least - 1e-9").isEmpty():
+            break
+        best = stored(_least(best.unionByName(step)), "least")
+    return best
+
+
 def robust_distances(rows: DataFrame, p: int, settings: Settings) -> DataFrame:
     """``rows`` (group, x0 .. x(p-1) and others) with ``d2``, scaled so that normal rows follow chi-squared."""
     inner = chi2_quantile(settings.share, p)
     scale = settings.share / chi2_cdf(inner, p + 2)
-    estimate = _start(rows, p, settings.floors)
-    columns = ["group", *[f"x{i}" for i in range(p)]]
-    vectors = rows.select(*columns)
-    for _ in range(settings.steps):
-        kept = _nearest(_distance(vectors, estimate, p, columns), settings)
-        estimate = _estimate(kept, p, settings.floors, scale)
+    vectors = rows.select("group", *[f"x{i}" for i in range(p)])
+    starts = [_start(vectors, p, settings.floors), stored(_estimate(vectors, p, settings.floors, 1.0), "start")]
+    first, second = (_concentrated(vectors, start, p, settings, scale) for start in starts)
+    estimate = _least(first.unionByName(second)).drop("log_det")
     return _distance(rows, stored(estimate, "estimate"), p, rows.columns)
 
 
@@ -233,11 +261,18 @@ def quality_rules(docs: DataFrame, settings: Settings | None = None) -> DataFram
     base_failed: fewer than 50 words, or more than half of them in repeated three-word windows. Those rows are
     neither kept nor used for the estimates, and have no distance. Null languages and sources are groups of their own;
     null and empty texts fail. Rows of groups too small for an estimate are kept. Repeated rows count as often as they
-    stand. Columns named like a result are replaced. An empty table gives an empty result.
+    stand. Columns named like a result are replaced, others stay whatever their names. An empty table gives an empty result.
     """
     settings = settings or Settings()
-    reserved = [*COUNTS, "base_failed", "distance", "kept", "n_lines", "n_capitals", "n_marks", "group", "d2"]
-    docs = docs.drop(*reserved)
+    docs = docs.drop(*COUNTS, "base_failed", "distance", "kept")
+    others = [c for c in docs.columns if c not in ("doc_id", "lang", "source", "text")]
+    # names that no column of this module has
+    apart = {c: f"column {k} of the documents" for k, c in enumerate(others)}
+    found = _judged(docs.withColumnsRenamed(apart), settings)
+    return found.withColumnsRenamed({b: a for a, b in apart.items()})
+
+
+def _judged(docs: DataFrame, settings: Settings) -> DataFrame:
     p = len(settings.floors)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = counted(docs).withColumn("base_failed", failed)

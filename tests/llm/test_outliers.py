@@ -65,6 +65,68 @@ def test_estimate_resists_a_fifth_of_outliers(spark):
     assert 0.95 < (clean < chi2_quantile(0.975, 2)).mean() < 0.99
 
 
+def plain_distances(x, settings):
+    """The estimate of one group, step by step."""
+    p, floors = x.shape[1], np.array(settings.floors)
+    scale = settings.share / chi2_cdf(chi2_quantile(settings.share, p), p + 2)
+
+    def median(v):
+        return np.sort(v, axis=0)[-(-len(v) // 2) - 1]
+
+    def factor(a):
+        l = np.zeros((p, p))
+        for j in range(p):
+            for i in range(j, p):
+                left = a[i, j] - l[i, :j] @ l[j, :j]
+                l[i, j] = np.sqrt(max(left, floors[i] ** 2)) if i == j else left / l[j, j]
+        return l
+
+    def distances(centre, l):
+        return (np.linalg.solve(l, (x - centre).T) ** 2).sum(axis=0)
+
+    spread = np.maximum(median(np.abs(x - median(x))) * 1.4826, floors)
+    found = []
+    for centre, l in ((median(x), np.diag(spread)), (x.mean(axis=0), factor(np.cov(x.T, bias=True)))):
+        least = None
+        for _ in range(settings.steps):
+            bins = np.floor(np.log2(distances(centre, l) + 1e-6) * settings.bins_per_doubling)
+            cut = max(b for b in set(bins) if (bins < b).sum() < settings.share * len(x))
+            kept = x[bins <= cut]
+            centre, l = kept.mean(axis=0), factor(np.cov(kept.T, bias=True) * scale)
+            det = 2 * np.log(np.diag(l)).sum()
+            if least is not None and det >= least - 1e-9:
+                break
+            least = det
+            found.append((det, centre, l))
+    _, centre, l = min(found, key=lambda f: f[0])
+    return distances(centre, l)
+
+
+def test_distances_equal_plain_version(spark):
+    rng = np.random.default_rng(8)
+    groups = {}
+    for g, share in (("a", 0.0), ("b", 0.1), ("c", 0.22)):
+        good = rng.multivariate_normal([1.0, 0.0, 3.0], [[2, 0.8, 0], [0.8, 1, 0.3], [0, 0.3, 0.5]], 300)
+        bad = rng.normal([9.0, -7.0, 6.0], 0.4, (int(300 * share), 3))
+        groups[g] = np.concatenate([good, bad])
+    rows = [(g, i, *map(float, v)) for g, x in groups.items() for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "group string, n int, x0 double, x1 double, x2 double")
+    settings = Settings(floors=(0.05, 0.05, 0.05))
+    got = robust_distances(frame, 3, settings).collect()
+    for g, x in groups.items():
+        d2 = np.array([r.d2 for r in sorted((r for r in got if r.group == g), key=lambda r: r.n)])
+        assert d2 == pytest.approx(plain_distances(x, settings), rel=1e-6, abs=1e-9)
+        assert (d2[300:] > chi2_quantile(settings.quantile, 3)).all()
+
+
+def test_columns_of_any_name_stay(spark, docs):
+    names = ["m0", "x0", "y0", "l0_0", "bin", "part_", "small_", "group", "d2", "n_lines", "cut", "rows_", "a.b"]
+    text = " ".join(f"w{i}" for i in range(80))
+    frame = docs(*[(i, f"{text} {i}", "en", "s") for i in range(60)]).withColumns({c: F.lit(f"own {c}") for c in names})
+    got = quality_rules(frame).collect()
+    assert len(got) == 60 and all(r[c] == f"own {c}" for r in got for c in names)
+
+
 def test_chi_squared():
     assert chi2_quantile(0.95, 1) == pytest.approx(3.841459, abs=1e-5)
     assert chi2_quantile(0.975, 7) == pytest.approx(16.01276, abs=1e-4)

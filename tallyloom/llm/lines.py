@@ -102,30 +102,45 @@ def runs(found: list[dict]) -> list[dict]:
     return out
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of each text, without its bytes."""
+    names = ["a", "b", "of_doc", "of_sig", "of_a"]
+    for batch in batches:
+        for doc, sig, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            rows = runs(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x] * len(rows), pa.int64()) for x in (doc, sig)]
+                + [pa.array([r[c] for r in rows], pa.int64()) for c in names],
+                names=["doc", "sig", *names],
+            )
+
+
 _LINES = pa.list_(pa.large_binary())
-RUN = "a bigint, b bigint, of_doc bigint, of_sig bigint, of_a bigint, before array<binary>, body binary, after array<binary>"
+PLACES = "doc bigint, sig bigint, a bigint, b bigint, of_doc bigint, of_sig bigint, of_a bigint"
+BYTES = f"{PLACES}, parts array<bigint>, before array<binary>, body binary, after array<binary>"
 
 
-def _run_rows(chunking: Chunking, joined):
-    """Bytes of line ranges, and the lines on either side; ``joined`` makes the ranges from those found for a text."""
+def _bytes_rows(chunking: Chunking):
+    """Bytes of line ranges, and the lines on either side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, sigs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc, sig, text, found in zip(docs, sigs, batch.column(2), batch.column(3), strict=True):
                 lines = text.as_py().encode().split(b"\n")
-                spans = joined(found.as_py())
+                spans = found.as_py()
                 ends = [(r["a"], r["b"]) for r in spans]
                 n = len(spans)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc] * n, pa.int64()), pa.array([sig] * n, pa.int64())]
-                    + [pa.array([r.get(c) for r in spans], pa.int64()) for c in ("a", "b", "of_doc", "of_sig", "of_a")]
+                    + [pa.array([r[c] for r in spans], pa.int64()) for c in ("a", "b", "of_doc", "of_sig", "of_a")]
                     + [
+                        pa.array([r["parts"] for r in spans], pa.list_(pa.int64())),
                         pa.array([lines[max(0, a - chunking.reach) : a] for a, _ in ends], _LINES),
                         pa.array([b"\n".join(lines[a:b]) for a, b in ends], pa.large_binary()),
                         pa.array([lines[b : b + chunking.reach] for _, b in ends], _LINES),
                     ],
-                    names=["doc", "sig", "a", "b", "of_doc", "of_sig", "of_a", "before", "body", "after"],
+                    names=["doc", "sig", "a", "b", "of_doc", "of_sig", "of_a", "parts", "before", "body", "after"],
                 )
 
     return run
@@ -206,32 +221,27 @@ def repeated_ranges(docs: DataFrame, chunking: Chunking) -> DataFrame:
     again = found.join(stored(firsts, "line-keys"), "key").where(~place.eqNullSafe(F.col("first")))
     of = [F.col(f"first.{c}").alias(f"of_{c}") for c in ("doc", "sig", "a")]
 
-    def with_bytes(ranges: DataFrame, joined) -> DataFrame:
-        """The ranges (of_doc, of_sig, found) with the bytes of their texts."""
-        same = F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("sig") == F.col("in_sig"))
-        ranges = ranges.select(F.col("doc").alias("in_doc"), F.col("sig").alias("in_sig"), "found")
-        held = keyed.join(ranges, same).select("doc", "sig", "text", "found")
-        return held.mapInArrow(_run_rows(chunking, joined), f"doc bigint, sig bigint, {RUN}")
-
-    copies = again.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b", *of)).alias("found"))
+    found = again.groupBy("doc", "sig").agg(F.collect_set(F.struct("a", "b", *of)).alias("found"))
+    copies = stored(found.mapInArrow(_joined, PLACES), "line-runs")
     part = F.pmod(F.xxhash64("doc", "sig", "a"), F.lit(_PARTS)).alias("part")
-    copies = stored(with_bytes(copies, runs).select("*", part), "line-runs")
     asked = copies.select(
         F.col("of_doc").alias("doc"), F.col("of_sig").alias("sig"), F.col("of_a").alias("a"),
-        (F.col("of_a") + F.col("b") - F.col("a")).alias("b"), "part",
+        (F.col("of_a") + F.col("b") - F.col("a")).alias("b"), part,
     ).distinct()
-    wanted = asked.groupBy("doc", "sig", "a", "b").agg(F.collect_list("part").alias("parts"))
-    texts = with_bytes(wanted.groupBy("doc", "sig").agg(F.collect_list(F.struct("a", "b")).alias("found")), list)
-    texts = texts.dropDuplicates(["doc", "sig", "a", "b"]).select("doc", "sig", "a", "b", "before", "body", "after")
-
-    def named(frame: DataFrame) -> DataFrame:
-        return frame.withColumnsRenamed({c: f"of_{c}" for c in frame.columns})
-
-    dealt = texts.alias("t").join(
-        wanted.alias("w"),
-        F.expr("t.doc <=> w.doc AND t.sig = w.sig AND t.a = w.a AND t.b = w.b"),
+    asked = asked.groupBy("doc", "sig", "a", "b").agg(F.collect_list("part").alias("parts"))
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("of_doc", "of_sig", "of_a")]
+    spans = copies.select("*", F.array(part).alias("parts")).unionByName(asked.select("*", *none))
+    # one pass over the texts, for the runs and for the places that they repeat
+    spans = spans.groupBy(F.col("doc").alias("in_doc"), F.col("sig").alias("in_sig")).agg(
+        F.collect_list(F.struct("a", "b", "of_doc", "of_sig", "of_a", "parts")).alias("found")
     )
-    dealt = named(dealt.select("t.*", F.explode("w.parts").alias("part")))
+    held = keyed.join(spans, F.col("doc").eqNullSafe(F.col("in_doc")) & (F.col("sig") == F.col("in_sig")))
+    held = stored(held.select("doc", "sig", "text", "found").mapInArrow(_bytes_rows(chunking), BYTES), "line-bytes")
+    copies = held.where("of_a IS NOT NULL").withColumn("part", F.col("parts")[0])
+    texts = held.where("of_a IS NULL").dropDuplicates(["doc", "sig", "a", "b"])
+    dealt = texts.select("doc", "sig", "a", "before", "body", "after", F.explode("parts").alias("part"))
+    dealt = dealt.withColumnsRenamed({c: f"of_{c}" for c in dealt.columns})
+
     equal = F.expr("c.of_doc <=> o.of_doc AND c.of_sig = o.of_sig AND c.of_a = o.of_a AND c.part = o.of_part AND body = of_body")
     met = copies.alias("c").join(dealt.alias("o"), equal)
     met = met.select("doc", "sig", "c.a", "c.b", "before", "after", "of_before", "of_after")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from weakref import WeakKeyDictionary
 
@@ -42,8 +43,11 @@ def release(spark: SparkSession, *frames: DataFrame) -> None:
     for frame in frames:
         path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(frame))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        # the frames of a job that has just ended are held for a moment
+        time.sleep(0.5)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def word_count(text: Column) -> Column:

@@ -4,7 +4,9 @@ Texts are read once and kept as chunks: the distinct words of some million token
 sequence as places among them. A chunk sends its distinct n-grams with their training counts to the owners of
 their key's bucket, and gets the corpus counts back in the same order. Each n-gram of the corpus belongs to one of its chunks,
 which adds its discounted probability and its lower-order probability to its context; from these
-sums the contexts' owners get the exact backoff weights, for the tokens that need them.
+sums the contexts' owners get the exact backoff weights, for the tokens that need them. Every n-gram of a text that was learnt
+from is known, so only texts held out need weights: chunks mark the n-grams that stand in such texts, the owners tell all chunks, and
+unless the model's tables are asked for only marked contexts are summed.
 """
 
 from __future__ import annotations
@@ -188,7 +190,22 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
     return np.split(np.arange(len(keys)), cuts)
 
 
-REQUEST = "bucket int, level int, chunk bigint, keys binary, counts binary"
+def _marks(settings: Settings, level: int) -> bool:
+    """Whether n-grams of the level are marked that stand in texts held out: they may be contexts that need a weight."""
+    return level < settings.order and not settings.tables
+
+
+def _bits(flags: np.ndarray) -> bytes:
+    return pa.compress(np.packbits(flags).tobytes(), codec="zstd", asbytes=True)
+
+
+def _flags(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` flags that ``_bits`` was given."""
+    raw = pa.decompress(data, decompressed_size=-(-n // 8), codec="zstd", asbytes=True)
+    return np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=n).astype(bool)
+
+
+REQUEST = "bucket int, level int, chunk bigint, keys binary, counts binary, marked binary"
 
 
 def _requests(settings: Settings, buckets: int):
@@ -203,21 +220,29 @@ def _requests(settings: Settings, buckets: int):
                     keys, place = chunk.keys[level - 1], chunk.place[level - 1]
                     used = learnt & (place >= 0)
                     counts = np.bincount(place[used], minlength=len(keys))
+                    marked = None
+                    if _marks(settings, level):
+                        marked = np.zeros(len(keys), dtype=bool)
+                        marked[place[~learnt & (place >= 0)]] = True
                     for b, part in enumerate(_by_bucket(keys, buckets)):
                         if len(part):
-                            out.append((b, level, number, pack(keys[part], rising=True), pack(counts[part])))
+                            flags = None if marked is None else _bits(marked[part])
+                            out.append((b, level, number, pack(keys[part], rising=True), pack(counts[part]), flags))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([o[k] for o in out], t)
-                        for k, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))
+                        for k, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))
                     ],
-                    names=["bucket", "level", "chunk", "keys", "counts"],
+                    names=["bucket", "level", "chunk", "keys", "counts", "marked"],
                 )
 
     return run
 
 
-COUNTED = "kind string, level int, bucket int, chunk bigint, keys binary, counts binary, owned binary, found array<bigint>"
+COUNTED = (
+    "kind string, level int, bucket int, chunk bigint, keys binary, counts binary, owned binary, marked binary, "
+    "found array<bigint>"
+)
 
 
 def _count(settings: Settings):
@@ -233,14 +258,19 @@ def _count(settings: Settings):
         total = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(keys)).astype(np.int64)
         owner = np.zeros(len(inverse), dtype=bool)
         owner[first] = True
+        marked = np.zeros(len(keys), dtype=bool)
+        if _marks(settings, key[1].as_py()):
+            flags = [_flags(table["marked"][k].as_py(), len(part)) for k, part in zip(order, sent, strict=True)]
+            marked[inverse[np.concatenate(flags)]] = True
         seen = total > 0
         found = [int((total == r).sum()) for r in range(1, settings.cutoff + 2)] + [int(total.sum()), int(seen.sum())]
         table_of = (pack(keys[seen], rising=True), pack(total[seen])) if settings.tables else (None, None)
-        rows = [("table", None, *table_of, None, found)]
+        rows = [("table", None, *table_of, None, None, found)]
         at = 0
         for k, part in zip(order, sent, strict=True):
             span = slice(at, at + len(part))
-            rows.append(("answer", chunks[k], None, pack(total[inverse[span]]), np.packbits(owner[span]).tobytes(), None))
+            told = _bits(marked[inverse[span]]) if _marks(settings, key[1].as_py()) else None
+            rows.append(("answer", chunks[k], None, pack(total[inverse[span]]), _bits(owner[span]), told, None))
             at += len(part)
         n = len(rows)
         return pa.table(
@@ -252,7 +282,8 @@ def _count(settings: Settings):
                 "keys": pa.array([r[2] for r in rows], pa.binary()),
                 "counts": pa.array([r[3] for r in rows], pa.binary()),
                 "owned": pa.array([r[4] for r in rows], pa.binary()),
-                "found": pa.array([r[5] for r in rows], pa.list_(pa.int64())),
+                "marked": pa.array([r[5] for r in rows], pa.binary()),
+                "found": pa.array([r[6] for r in rows], pa.list_(pa.int64())),
             }
         )
 
@@ -285,16 +316,18 @@ def _evaluate(settings: Settings, buckets: int, discounts: list[Discounts], unig
         ids, sizes, words, places = (left[c][0].as_py() for c in ("ids", "sizes", "words", "places"))
         chunk = _Chunk(sizes, words, places, settings.order)
         levels, buckets_of = right["level"].to_pylist(), right["bucket"].to_pylist()
-        counts, owned = [], []
+        counts, owned, marked = [], [], []
         for level in range(1, settings.order + 1):
             at = sorted((b, k) for k, (n, b) in enumerate(zip(levels, buckets_of, strict=True)) if n == level)
             parts = [unpack(right["counts"][k].as_py(), kind=np.int64) for _, k in at]
-            flags = [
-                np.unpackbits(np.frombuffer(right["owned"][k].as_py(), dtype=np.uint8), count=len(p)).astype(bool)
-                for (_, k), p in zip(at, parts, strict=True)
-            ]
+
+            def flags_of(column, at=at, parts=parts):
+                flags = [_flags(right[column][k].as_py(), len(p)) for (_, k), p in zip(at, parts, strict=True)]
+                return np.concatenate(flags) if flags else np.zeros(0, bool)
+
             counts.append(np.concatenate(parts) if parts else np.zeros(0, np.int64))
-            owned.append(np.concatenate(flags) if flags else np.zeros(0, bool))
+            owned.append(flags_of("owned"))
+            marked.append(flags_of("marked") if _marks(settings, level) else None)
         tokens = len(chunk.spot)
         document = np.repeat(np.arange(len(ids)), chunk.sizes)
         one = counts[0][chunk.place[0]]
@@ -315,6 +348,9 @@ def _evaluate(settings: Settings, buckets: int, discounts: list[Discounts], unig
             distinct, at = np.unique(place, return_index=True)
             speaks[at[distinct >= 0]] = owned[level - 1][distinct[distinct >= 0]]
             speaks &= own > 0
+            if not settings.tables:
+                # nobody needs the weights of other contexts
+                speaks &= np.where(context >= 0, marked[level - 2][context], True)
             name = np.where(context >= 0, chunk.keys[level - 2][context], np.uint64(START))
             keys, inverse = np.unique(name[speaks], return_inverse=True)
             inverse = inverse.reshape(-1)
@@ -454,7 +490,7 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
         discounts.append(Discounts(good_turing(found, settings.cutoff), total, types))
     unigrams = Unigrams.of(discounts[0], totals.get(1, [0] * (settings.cutoff + 3))[: settings.cutoff + 1])
 
-    answers = counted.where("kind = 'answer'").select("chunk", "level", "bucket", "counts", "owned")
+    answers = counted.where("kind = 'answer'").select("chunk", "level", "bucket", "counts", "owned", "marked")
     evaluate = _evaluate(settings, buckets, discounts, unigrams, texts)
     evaluated = stored(
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(evaluate, EVALUATED), "katz-texts", "kind"
@@ -485,4 +521,4 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
     if not settings.tables:
         return Katz(None, None, discounts, scores)
     contexts = weighed.where("kind = 'contexts'").select("bucket", "keys", "weights")
-    return Katz(table.drop("kind", "chunk", "owned"), contexts, discounts, scores)
+    return Katz(table.drop("kind", "chunk", "owned", "marked"), contexts, discounts, scores)

@@ -142,6 +142,9 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
 
 # Instead of the place of a second half key: rows come under all of their first half keys, or under one alone.
 EACH, ALONE = -1, -2
+# A row in a block of a hot key: of the key's largest component, which each have one block; another row in the one block where its
+# pairs with later such rows are looked at; or another row elsewhere.
+MAIN, HOME, VISITOR = 2, 1, 0
 
 
 @dataclass
@@ -155,23 +158,26 @@ class _Block:
     half: np.ndarray
     sketch: np.ndarray
     place: np.ndarray
+    own: np.ndarray
     turn: int
 
     @classmethod
     def of(cls, group: pa.RecordBatch, m: int) -> _Block:
-        place, rep, comp, size = (group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
+        place, rep, comp, size, own = (group.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6, 8))
         code = np.frombuffer(b"".join(group.column(7).to_pylist()), dtype=np.uint8).reshape(len(rep), -1)
         half = np.ascontiguousarray(code[:, : 16 * m]).view(np.uint64)
-        return cls(rep, comp, size, half, code[:, 16 * m :], place, group.column(1)[0].as_py())
+        return cls(rep, comp, size, half, code[:, 16 * m :], place, own, group.column(1)[0].as_py())
 
     def candidates(self, banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs of rows of different components, each in the first A_i that it shares (but for ALONE; and, in a block of one B_j, the first of
-        these) and only if it shares a B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes."""
+        these) and only if it shares a B_j, whose sizes and minhashes allow the similarity; with the number of equal minhashes. Rows that are
+        in several blocks are a pair in one of them."""
         m, rep, comp, size = banding.halves, self.rep, self.comp, self.size
         out = []
         for at in range(0, len(rep), 64):
             rows = slice(at, at + 64)
             ok = (comp[rows, None] != comp[None, :]) & (rep[rows, None] < rep[None, :])
+            ok &= (self.own[rows, None] != VISITOR) | (self.own[None, :] == MAIN)
             a, b = size[rows, None], size[None, :]
             ok &= 100 * np.minimum(a, b) >= banding.percent * np.maximum(a, b)
             i, j = np.nonzero(ok)
@@ -228,8 +234,11 @@ def _best_pairs(banding: Banding):
 
 def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of the pairs (i, j): through products of 0/1 matrices if pairs are many."""
-    if len(i) < 4 * len(sets):
+    left, one = np.unique(i, return_inverse=True)
+    right, two = np.unique(j, return_inverse=True)
+    if len(i) < 4 * (len(left) + len(right)):
         return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j, strict=True)])
+    sets = [sets[k] for k in [*left, *right]]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     several = count[column] > 1
@@ -238,13 +247,13 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     column = renumber[column]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
     for at in range(0, int((count > 1).sum()), 8192):
         a, b = np.searchsorted(column, [at, at + 8192])
         part = np.zeros((len(sets), 8192), dtype=np.float32)
         part[owner[a:b], column[a:b] - at] = 1
-        total += part @ part.T
-    return total[i, j].astype(np.int64)
+        total += part[: len(left)] @ part[len(left) :].T
+    return total[one, two].astype(np.int64)
 
 
 def _spanning_links(banding: Banding):
@@ -259,7 +268,7 @@ def _spanning_links(banding: Banding):
             i, j, _ = block.candidates(banding)
             if not len(i):
                 continue
-            sets = [_unpack(s.as_py()) for s in group.column(8)]
+            sets = [_unpack(s.as_py()) for s in group.column(9)]
             both = _common(sets, i, j)
             good = 100 * both >= banding.percent * (block.size[i] + block.size[j] - both)
             above: dict[int, int] = {}
@@ -283,15 +292,15 @@ def _spanning_links(banding: Banding):
 
 
 def _candidate_rows(banding: Banding):
-    """The rows that are in any candidate pair of their block."""
+    """The rows of each block that are in any candidate pair there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
             if group.num_rows > 1:
                 block = _Block.of(group, banding.halves)
                 i, j, _ = block.candidates(banding)
-                rows = block.rep[np.unique(np.concatenate([i, j]))]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64())], names=["rep"])
+                rows = pa.array(np.unique(np.concatenate([i, j])), pa.int64())
+                yield pa.RecordBatch.from_arrays([group.column(k).take(rows) for k in (0, 1, 2, 4)], names=_SPOT)
 
     return run
 
@@ -350,9 +359,12 @@ def _confirm(percent: int):
     return run
 
 
+# Blocks of rows outside its largest component that a key may have to be dealt whole.
+OTHERS = 4
 # Rounds by the commonest key of each row, which join most copies before all keys are looked at.
 LEADER_TURNS = 2
 _ROW = ["place", "rep", "comp", "n_shingles", "code"]
+_SPOT = ["head", "turn", "part", "rep"]
 
 
 def _shared(spots: DataFrame, comps: DataFrame) -> DataFrame:
@@ -386,35 +398,38 @@ def _with_leaders(placed: DataFrame, banding: Banding, turn: int) -> DataFrame:
     blocks = F.ceil(F.col("members") / banding.block)
     own = F.array(F.pmod(F.xxhash64("rep", F.lit(turn)), blocks))
     parts = F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(own)
-    return _dealt(placed.select("head", F.lit(ALONE).alias("turn"), F.explode(parts).alias("part"), *_ROW))
+    return _dealt(placed.select("head", F.lit(ALONE).alias("turn"), F.explode(parts).alias("part"), *_ROW, F.lit(HOME).alias("own")))
 
 
 def _one_block(placed: DataFrame) -> DataFrame:
-    return _dealt(placed.select("head", F.lit(EACH).alias("turn"), F.lit(0).cast("bigint").alias("part"), *_ROW))
+    whole = [F.lit(EACH).alias("turn"), F.lit(0).cast("bigint").alias("part")]
+    return _dealt(placed.select("head", *whole, *_ROW, F.lit(HOME).alias("own")))
 
 
 def _all_pairs(placed: DataFrame, leaders: DataFrame, banding: Banding) -> tuple[DataFrame, DataFrame | None]:
     """Blocks in which any two rows of different components that share a table of keys meet: those of keys of one block, and others, if any.
 
     Most rows of a hot key are of one component by now; each of these goes to one block, and the few others to every
-    block. A key with more than a block of others is first dealt to its second half keys, as only rows that share one are candidates.
+    block. A key with many others is first dealt to its second half keys, as only rows that share one are candidates; that sends each of its
+    rows as often as there are half keys, or more, so keys of no more blocks than that are left whole, up to ``OTHERS`` blocks of others.
     """
     placed = placed.drop("leader")
     hot = placed.where(F.col("members") > banding.block)
     whole = [F.lit(EACH).alias("turn"), F.lit(0).cast("bigint").alias("part")]
-    cold = _coded(placed.where(F.col("members") <= banding.block), leaders).select("head", *whole, *_ROW)
+    cold = _coded(placed.where(F.col("members") <= banding.block), leaders)
+    cold = cold.select("head", *whole, *_ROW, F.lit(HOME).alias("own"))
     if hot.isEmpty():
         return cold, None
     starred = stored(_with_main(hot.drop("members"), ["head"]), "hot-keys")
-    few = F.col("members") - F.col("main_rows") <= banding.block
-    rows = _coded(starred.where(few), leaders).select("head", F.lit(EACH).alias("turn"), F.explode(_parts(banding)).alias("part"), *_ROW)
+    others = F.col("members") - F.col("main_rows")
+    few = (others <= banding.block) | (F.col("members") <= banding.block * banding.halves) & (others <= banding.block * OTHERS)
+    rows = _in_parts(_coded(starred.where(few), leaders), F.col("head"), F.lit(EACH), banding)
     many = starred.where(~few).drop("members", "main", "main_rows")
     if not many.isEmpty():
         tables = _coded(many, leaders).select("*", F.posexplode("tails").alias("turn", "tail")).drop("tails")
         tables = _with_main(tables, ["head", "turn", "tail"])
         # a table is known by its half keys
-        key = F.xxhash64("head", "tail").alias("head")
-        rows = rows.unionByName(tables.select(key, "turn", F.explode(_parts(banding)).alias("part"), *_ROW))
+        rows = rows.unionByName(_in_parts(tables, F.xxhash64("head", "tail"), F.col("turn"), banding))
     return cold, rows
 
 
@@ -428,10 +443,14 @@ def _with_main(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(sizes.where("comps > 1").drop("comps"), key)
 
 
-def _parts(banding: Banding) -> Column:
+def _in_parts(rows: DataFrame, key: Column, turn: Column, banding: Banding) -> DataFrame:
+    """The rows of ``_with_main`` in their blocks."""
     blocks = F.ceil(F.col("members") / banding.block)
-    own = F.array(F.pmod(F.xxhash64("rep"), blocks))
-    return F.when(F.col("comp") == F.col("main"), own).otherwise(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    home, main = F.pmod(F.xxhash64("rep"), blocks), F.col("comp") == F.col("main")
+    parts = F.when(main, F.array(home)).otherwise(F.sequence(F.lit(0).cast("bigint"), blocks - 1))
+    own = F.when(main, MAIN).when(F.col("part") == home, HOME).otherwise(VISITOR)
+    dealt = rows.withColumn("part", F.explode(parts)).withColumn("own", own)
+    return dealt.select(key.alias("head"), turn.alias("turn"), "part", *_ROW, "own")
 
 
 def _classes(known: DataFrame) -> DataFrame:
@@ -535,12 +554,13 @@ def grouped(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     rows = None if sets is None else cold.join(sets, "rep")
     if others is not None:
         others = stored(others, "hot-rows")
-        likely = stored(_dealt(others).mapInArrow(_candidate_rows(banding), "rep bigint").distinct(), "likely")
+        schema = "head bigint, turn int, part bigint, rep bigint"
+        likely = stored(_dealt(others).mapInArrow(_candidate_rows(banding), schema), "likely")
         sets = _with_sets(sets, likely, leaders, source, banding)
-        more = others.join(likely, "rep", "left_semi").join(sets, "rep")
+        more = others.join(likely, _SPOT, "left_semi").join(sets, "rep")
         rows = more if rows is None else rows.unionByName(more.select(*rows.columns))
     if rows is not None:
-        rows = _dealt(rows.select("head", "turn", "part", *_ROW, "names"))
+        rows = _dealt(rows.select("head", "turn", "part", *_ROW, "own", "names"))
         new = stored(rows.mapInArrow(_spanning_links(banding), "x bigint, y bigint"), "links")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -147,9 +148,9 @@ def _chunks(settings: Settings):
 
 
 class _Chunk:
-    """The n-grams of a chunk: for each level the sorted distinct keys, and each token's place among them."""
+    """The n-grams of a chunk: for each level, or the one level ``only``, the sorted distinct keys, and each token's place among them."""
 
-    def __init__(self, sizes: bytes, words: bytes, places: bytes, order: int):
+    def __init__(self, sizes: bytes, words: bytes, places: bytes, order: int, only: int | None = None):
         self.sizes = unpack(sizes, kind=np.int64)
         name = unpack(words, rising=True)[unpack(places, kind=np.int64)]
         self.end = np.cumsum(self.sizes)
@@ -158,8 +159,8 @@ class _Chunk:
         # place of each token in its text
         self.spot = np.arange(n) - np.repeat(self.begin, self.sizes)
         gram = name
-        self.keys: list[np.ndarray] = []
-        self.place: list[np.ndarray] = []
+        self.keys: list[np.ndarray | None] = []
+        self.place: list[np.ndarray | None] = []
         for level in range(1, order + 1):
             if level > 1:
                 # the n-gram's name comes from the shorter one that ends before it and its last token
@@ -169,6 +170,10 @@ class _Chunk:
                 used = np.flatnonzero(self.spot >= level - 2)
             else:
                 used = np.arange(n)
+            if only not in (None, level):
+                self.keys.append(None)
+                self.place.append(None)
+                continue
             keys, inverse = np.unique(gram[used], return_inverse=True)
             place = np.full(n, -1, dtype=np.int32)
             place[used] = inverse.reshape(-1)
@@ -208,26 +213,26 @@ def _flags(data: bytes, n: int) -> np.ndarray:
 REQUEST = "bucket int, level int, chunk bigint, keys binary, counts binary, marked binary"
 
 
-def _requests(settings: Settings, buckets: int):
+def _requests(settings: Settings, buckets: int, level: int):
+    """The keys of one level for the owners of their buckets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 number, ids, sizes, words, places = (batch.column(k)[row].as_py() for k in range(5))
-                chunk = _Chunk(sizes, words, places, settings.order)
+                chunk = _Chunk(sizes, words, places, level, only=level)
                 learnt = np.repeat(~_held_out(ids, settings.held), chunk.sizes)
+                keys, place = chunk.keys[level - 1], chunk.place[level - 1]
+                counts = np.bincount(place[learnt & (place >= 0)], minlength=len(keys))
+                marked = None
+                if _marks(settings, level):
+                    marked = np.zeros(len(keys), dtype=bool)
+                    marked[place[~learnt & (place >= 0)]] = True
                 out = []
-                for level in range(1, settings.order + 1):
-                    keys, place = chunk.keys[level - 1], chunk.place[level - 1]
-                    used = learnt & (place >= 0)
-                    counts = np.bincount(place[used], minlength=len(keys))
-                    marked = None
-                    if _marks(settings, level):
-                        marked = np.zeros(len(keys), dtype=bool)
-                        marked[place[~learnt & (place >= 0)]] = True
-                    for b, part in enumerate(_by_bucket(keys, buckets)):
-                        if len(part):
-                            flags = None if marked is None else _bits(marked[part])
-                            out.append((b, level, number, pack(keys[part], rising=True), pack(counts[part]), flags))
+                for b, part in enumerate(_by_bucket(keys, buckets)):
+                    if len(part):
+                        flags = None if marked is None else _bits(marked[part])
+                        out.append((b, level, number, pack(keys[part], rising=True), pack(counts[part]), flags))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([o[k] for o in out], t)
@@ -478,9 +483,13 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
     texts = chunks.select(F.explode("ids").alias("id")).where(learnt).count()
     buckets = max(4, -(-tokens // (2 * settings.bucket_keys)))
 
-    requests = chunks.mapInArrow(_requests(settings, buckets), REQUEST)
-    counted = stored(requests.groupBy("bucket", "level").applyInArrow(_count(settings), COUNTED), "katz-counts", "kind")
-    release(docs.sparkSession)
+    # level by level, so that the keys of one level only are on their way at once
+    by_level = []
+    for level in range(1, settings.order + 1):
+        requests = chunks.mapInArrow(_requests(settings, buckets, level), REQUEST)
+        by_level.append(stored(requests.groupBy("bucket", "level").applyInArrow(_count(settings), COUNTED), "katz-counts", "kind"))
+        release(docs.sparkSession)
+    counted = reduce(DataFrame.unionByName, by_level)
     table = counted.where("kind = 'table'")
     sums = [F.sum(F.col("found")[k]).alias(f"n{k}") for k in range(settings.cutoff + 3)]
     totals = {r["level"]: [r[f"n{k}"] for k in range(settings.cutoff + 3)] for r in table.groupBy("level").agg(*sums).collect()}
@@ -495,7 +504,7 @@ def katz(docs: DataFrame, settings: Settings | None = None) -> Katz:
     evaluated = stored(
         chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(evaluate, EVALUATED), "katz-texts", "kind"
     )
-    release(docs.sparkSession, chunks, *([] if settings.tables else [counted]))
+    release(docs.sparkSession, chunks, *([] if settings.tables else by_level))
     sums = evaluated.where("kind IN ('mass', 'need')").select("kind", "chunk", "bucket", "keys", "seen", "lower", "doc", "times")
     weighed = stored(sums.groupBy("bucket").applyInArrow(_weigh(settings), WEIGHED), "katz-weights", "kind")
     release(docs.sparkSession)

@@ -43,3 +43,18 @@ def test_only_contexts_of_texts_held_out_are_summed(spark, docs, monkeypatch):
     # one more for the start of a text
     assert len(sent[0]) <= len(grams[1]) + 1 < len(grams[0]) / 2
     assert len(sent[1]) > 2 * len(sent[0])
+
+
+def test_levels_are_counted_apart(spark, docs, monkeypatch):
+    levels = []
+    stored = module.stored
+
+    def seen(frame, name, *partitions):
+        back = stored(frame, name, *partitions)
+        if name == "katz-counts":
+            levels.append({r["level"] for r in back.select("level").distinct().collect()})
+        return back
+
+    monkeypatch.setattr(module, "stored", seen)
+    katz(docs(*random_rows()), Settings(order=3, chunk_tokens=60, bucket_keys=40, tables=False)).scores.count()
+    assert levels == [{1}, {2}, {3}]

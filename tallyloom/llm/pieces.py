@@ -4,11 +4,13 @@ The best segmentation is a path of greatest score sum. Long documents are cut in
 transfer matrix holds, for each number of its first characters that a piece of the previous chunk covers and each
 number of characters by which its last piece reaches into the next, the best score in between. Max-plus products of the
 matrices, an associative scan, give the scores at every cut; a second scan composes the chunks' choices from the end;
-then every chunk traces its own pieces.
+then every chunk traces its own pieces. What lies between the first and the last place of a chunk that no piece crosses does
+not depend on other chunks and is encoded with the matrix.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -20,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import fresh, release, stored
-from tallyloom.llm.words import slices
+from tallyloom.llm.words import mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Stands for a space mark that is in the text itself: no text holds a lone surrogate.
 _MARK = "\udc81"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_BREAK = re.compile(f"[^{SPACE}]{SPACE}")
 _NONE = -(1 << 60)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 # Longer words are not remembered.
@@ -46,6 +49,7 @@ class Vocabulary:
     unknown: int
     longest: int
     words_apart: bool
+    name: str
     trie: Trie | None = None
 
 
@@ -70,6 +74,7 @@ def load(path: str = MODEL) -> Vocabulary:
         unknown=min(score.values()) - 10,
         longest=max(map(len, score)),
         words_apart=not any(SPACE in t.lstrip(SPACE) for t in score),
+        name=hashlib.sha256(repr((texts, score, byte_ids)).encode()).hexdigest(),
     )
     v.trie = Trie(v)
     return v
@@ -80,6 +85,10 @@ def marked(text: str, first: bool = True) -> str:
     return SPACE * first + text.replace(SPACE, _MARK).replace(" ", SPACE)
 
 
+def unmarked(text: str) -> str:
+    return text.replace(SPACE, " ").replace(_MARK, SPACE)
+
+
 def lattice(v: Vocabulary, text: str, begin: dict[int, int], upto: int) -> tuple[list[int], list[int]]:
     """Best score at each position of ``text`` and the start of the last piece there.
 
@@ -134,8 +143,11 @@ class Trie:
     def __init__(self, v: Vocabulary):
         nodes = {"": 0} | {t: k + 1 for k, t in enumerate(sorted(v.steps))}
         letters = sorted({c for t in v.score for c in t})
-        self.letters = np.array([ord(c) for c in letters], dtype=np.int64)
         number = {c: k for k, c in enumerate(letters)}
+        # the number of each code point, -1 where no piece has it; what lies behind the last one shares its last place
+        self.letter = np.full(ord(letters[-1]) + 2, -1, dtype=np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(len(letters))
+        self.width = len(letters)
         # edges in a hash table with probing: about six places for each, so that one look is enough as a rule
         self.bits = max(4, (6 * len(v.steps)).bit_length())
         self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
@@ -158,14 +170,16 @@ class Trie:
             self.score[nodes[t]], self.ids[nodes[t]] = s, v.ids[t]
         self.more = np.zeros(len(nodes), dtype=bool)
         self.more[[nodes[t] for t, (_, more) in v.steps.items() if more]] = True
-        self.unknown = v.unknown
+        # the node of each letter, then of none, and what a character alone scores
+        self.first = np.array([nodes[c] if c in nodes else 0 for c in letters] + [0], dtype=np.int32)
+        self.alone = np.where(self.score[self.first] == _NONE, v.unknown, self.score[self.first])
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def child(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The nodes that the letters lead to, -1 for none; letter -1 is in no piece."""
-        key = node * np.int64(len(self.letters)) + letter
+        key = node * np.int64(self.width) + letter
         key[letter < 0] = -2
         at = self._slot(key)
         there = self.keys[at]
@@ -179,60 +193,78 @@ class Trie:
             out[on] = np.where(there[on] == key[on], self.to[at[on]], -1)
         return out
 
-    def best(self, words: list[str]) -> Iterator[tuple[str, int, bytes | None]]:
-        """Each word with its score and its ids as bytes of 32-bit integers, None if no piece has one of its characters.
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """The letters of code points."""
+        return self.letter[np.minimum(codes, len(self.letter) - 1)]
+
+    def best(self, letter: np.ndarray, length: np.ndarray) -> tuple[list[int], list[bytes | None]]:
+        """Scores of words, whose letters lie end to end, and their ids as bytes of 32-bit integers, None if no piece has one of
+        the characters.
 
-        The same steps as ``lattice``, for all words at once.
+        The same steps as ``lattice``, for all words at once: first every piece that starts at any character, then the scores,
+        place by place in the words.
         """
-        length = np.array([len(w) for w in words])
-        order = np.argsort(-length, kind="stable")
-        length = length[order]
-        flat = np.frombuffer("".join([words[k] for k in order]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        at = np.minimum(np.searchsorted(self.letters, flat), len(self.letters) - 1)
-        letter = np.where(self.letters[at] == flat, at, -1)
-        n, longest = len(words), int(length[0])
-        table = np.full((n, longest), -1, dtype=np.int32)
-        begin = np.cumsum(length) - length
-        table[np.repeat(np.arange(n), length), np.arange(len(flat)) - np.repeat(begin, length)] = letter
-        score = np.full((n, longest + 1), _NONE, dtype=np.int64)
-        score[:, 0] = 0
-        back = np.zeros((n, longest + 1), dtype=np.int16)
-        last = np.full((n, longest + 1), -1, dtype=np.int32)
-        for i in range(longest):
-            rows = np.arange(int(np.searchsorted(-length, -i, side="left")))
-            here = score[rows, i]
-            node = self.child(np.zeros(len(rows), dtype=np.int64), table[rows, i])
-            j = i + 1
-            while len(rows):
-                value = np.where(node >= 0, self.score[node], _NONE)
-                if j == i + 1:
-                    value = np.where(value == _NONE, self.unknown, value)
-                ids = np.where((node >= 0) & (self.score[node] != _NONE), self.ids[node], -1)
-                better = (value != _NONE) & (here + value > score[rows, j])
-                hit = rows[better]
-                score[hit, j], back[hit, j], last[hit, j] = (here + value)[better], i, ids[better]
-                on = (node >= 0) & self.more[node] & (length[rows] > j)
-                rows, here, node = rows[on], here[on], node[on]
-                if len(rows):
-                    node = self.child(node, table[rows, j])
-                    found = node >= 0
-                    rows, here, node = rows[found], here[found], node[found]
-                j += 1
-        rows, place, steps = np.arange(n), length.copy(), []
+        n, longest = len(length), int(length.max())
+        # one place more for each word than it has characters: its end
+        begin = np.cumsum(length + 1) - length - 1
+        place = np.arange(len(letter)) - np.repeat(np.cumsum(length) - length, length)
+        spot = np.arange(len(letter)) + np.repeat(np.arange(n), length)
+        left = np.repeat(length, length) - place
+
+        node = self.first[letter]
+        froms, tos, scores, ids = [spot], [spot + 1], [self.alone[letter]], [self.ids[node]]
+        places, at, depth = [place], np.flatnonzero(self.more[node] & (left > 1)), 1
+        node = node[at]
+        while len(at):
+            node = self.child(node, letter[at + depth])
+            depth += 1
+            found = node >= 0
+            at, node = at[found], node[found]
+            score = self.score[node]
+            piece = score != _NONE
+            start = at[piece]
+            froms.append(spot[start])
+            tos.append(spot[start] + depth)
+            scores.append(score[piece])
+            ids.append(self.ids[node[piece]])
+            places.append(place[start])
+            on = self.more[node] & (left[at] > depth)
+            at, node = at[on], node[on]
+
+        places = np.concatenate(places)
+        order = np.argsort(places.astype(np.int16), kind="stable")
+        bounds = np.searchsorted(places[order], np.arange(longest + 1))
+        source, target = np.concatenate(froms)[order], np.concatenate(tos)[order]
+        value, name = np.concatenate(scores)[order], np.concatenate(ids)[order]
+        total = np.full(len(letter) + n, _NONE, dtype=np.int64)
+        total[begin] = 0
+        last = np.zeros(len(letter) + n, dtype=np.int64)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            reached, to = total[source[a:b]] + value[a:b], target[a:b]
+            better = np.flatnonzero(reached > total[to])
+            hit = to[better]
+            total[hit], last[hit] = reached[better], better + a
+
+        rows, here, steps = np.arange(n), begin + length, []
         while len(rows):
+            edge = last[here]
             taken = np.full(n, -2, dtype=np.int32)
-            taken[rows] = last[rows, place[rows]]
+            taken[rows] = name[edge]
             steps.append(taken)
-            place[rows] = back[rows, place[rows]]
-            rows = rows[place[rows] > 0]
-        count = np.sum([s != -2 for s in steps], axis=0)
+            here = source[edge]
+            on = here > begin[rows]
+            rows, here = rows[on], here[on]
         paths = np.stack(steps[::-1], axis=1)
         odd = (paths == -1).any(axis=1).tolist()
+        counts = (paths != -2).sum(axis=1).tolist()
         held, width = paths.tobytes(), 4 * len(steps)
-        scores, counts = score[np.arange(n), length].tolist(), count.tolist()
-        for row, k in enumerate(order.tolist()):
-            end = (row + 1) * width
-            yield words[k], scores[row], None if odd[row] else held[end - 4 * counts[row] : end]
+        ends = range(width, len(held) + 1, width)
+        ids = [None if strange else held[end - 4 * count : end] for strange, count, end in zip(odd, counts, ends, strict=True)]
+        return total[begin + length].tolist(), ids
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
 class Encoder:
@@ -241,13 +273,20 @@ class Encoder:
     The ids of a word are kept as the bytes of 32-bit integers, which take a fraction of a tuple's memory.
     """
 
-    def __init__(self, v: Vocabulary, most_words: int = 700_000):
+    def __init__(self, v: Vocabulary, most_words: int = 400_000):
         self.v, self.most = v, most_words
         self.known: dict[str, bytes] = {}
         self.totals: dict[str, int] = {}
-        # words of whole texts, without the mark in front of each
-        self.plain: dict[str, bytes] = {}
-        self.letters = {c for t in v.score for c in t}
+        # ids of parts of texts by name: those met since half the number was reached, and those met before
+        self.plain: dict[int, bytes] = {}
+        self.older: dict[int, bytes] = {}
+        # a number for each letter, and a factor for each place in a word
+        self.drawn = mix(np.arange(1, v.trie.width + 1, dtype=np.uint64) * _MIX)
+        self.power = np.multiply.accumulate(np.full(_LONG + 1, _MIX))
+        # the score of each id; that of a character that no piece has is with its first byte
+        self.weight = np.zeros(len(v.texts), dtype=np.int64)
+        self.weight[list(v.ids.values())] = [v.score[t] for t in v.ids]
+        self.weight[[i for b, i in enumerate(v.byte_ids) if not 0x80 <= b < 0xC0]] = v.unknown
 
     def learn(self, texts: list[str], totals: bool = False) -> None:
         """Remember the new words of some marked texts, all found at once, and on request their scores; odd words are left
@@ -269,43 +308,81 @@ class Encoder:
 
     def _best(self, words: list[str]) -> Iterator[tuple[str, int, bytes | None]]:
         for at in range(0, len(words), 8_000):
-            yield from self.v.trie.best(words[at : at + 8_000])
+            part = words[at : at + 8_000]
+            letter = self.v.trie.numbers(_codes("".join(part)))
+            yield from zip(part, *self.v.trie.best(letter, np.array([len(w) for w in part])), strict=True)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts. A text is cut at its spaces, each of which begins a word; where spaces follow each other it goes
-        the way of marked text."""
-        split = [t.replace(SPACE, _MARK).split(" ") if t else [] for t in texts]
-        apart = [self.v.words_apart and "" not in ws for ws in split]
-        self._learn_plain(set().union(*(ws for ws, a in zip(split, apart, strict=True) if a)))
-        found = self.plain.__getitem__
-        return [
-            np.frombuffer(b"".join(map(found, ws)), dtype=np.int32) if a else self.array(marked(t))
-            for t, ws, a in zip(texts, split, apart, strict=True)
-        ]
-
-    def _learn_plain(self, words: set[str]) -> None:
-        """Remember the ids of all these words. Characters that no piece has cut a word: no piece crosses them."""
-        if len(self.plain) + len(words) > self.most and len(self.plain) + len(words - self.plain.keys()) > self.most:
-            self.plain.clear()
-        new = list(words - self.plain.keys())
-        strange = set().union(*new) - self.letters
-        cut = re.compile(f"([{re.escape(''.join(sorted(strange)))}])") if strange else None
-        units: dict[str, list[str]] = {}
-        for w in new:
-            if cut and not strange.isdisjoint(w):
-                units[w] = [u for u in cut.split(SPACE + w) if u]
-        simple = [SPACE + w for w in new if w not in units]
-        parts = {u for us in units.values() for u in us if u not in strange}
-        for word, _, ids in self._best([w for w in simple if len(w) <= _LONG]):
-            self.plain[word[1:]] = ids
-        of = {u: ids for u, _, ids in self._best([u for u in parts if len(u) <= _LONG])}
-        of |= {u: np.array(piece_ids(self.v, u), dtype=np.int32).tobytes() for u in strange}
-        of |= {u: self.word(u) for u in parts if len(u) > _LONG}
-        for w in simple:
-            if len(w) > _LONG:
-                self.plain[w[1:]] = self.word(w)
-        for w, us in units.items():
-            self.plain[w] = b"".join([of[u] for u in us])
+        """Ids of whole texts."""
+        return self.split([marked(t) if t else "" for t in texts])
+
+    def split(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of marked texts. A text is cut before its marks, and around characters that no piece has: no piece crosses either.
+        Where marks follow each other a text goes the way of ``learn``.
+
+        Parts are known by 64-bit names of their letters, no Python object stands for a word that was met before.
+        """
+        if len(self.plain) >= self.most // 2:
+            self.older, self.plain = self.plain, {}
+        odd = [not self.v.words_apart or SPACE * 2 in t for t in texts]
+        self.learn([t for t, o in zip(texts, odd, strict=True) if o])
+        even = iter(self._split_even([t for t, o in zip(texts, odd, strict=True) if not o]))
+        return [self.array(t) if o else next(even) for t, o in zip(texts, odd, strict=True)]
+
+    def _split_even(self, texts: list[str]) -> list[np.ndarray]:
+        codes = _codes("".join(texts))
+        if not len(codes):
+            return [np.zeros(0, dtype=np.int32)] * len(texts)
+        letter = self.v.trie.numbers(codes)
+        bounds = np.cumsum([0, *map(len, texts)])
+        strange = letter < 0
+        opens = strange | (codes == ord(SPACE))
+        opens[1:] |= strange[:-1]
+        opens[bounds[bounds < len(codes)]] = True
+        start = np.flatnonzero(opens)
+        size = np.diff(start, append=len(codes))
+        drawn = self.drawn[letter]
+        drawn[strange] = mix(codes[strange] + np.uint64(len(self.drawn)))
+        place = np.arange(len(codes)) - np.repeat(start, size)
+        name = mix(np.add.reduceat(drawn * self.power[np.minimum(place, _LONG)], start) + size.astype(np.uint64) * _MIX)
+        # longer words are no part of what is remembered, each has a name of its own
+        long = np.flatnonzero(size > _LONG)
+        name[long] = mix(start[long].astype(np.uint64))
+        distinct, first, which = np.unique(name, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        found = list(map(self.plain.get, keys))
+        new = np.array([k for k, ids in enumerate(found) if ids is None], dtype=np.int64)
+        self._learn_even(new, keys, found, codes, letter, start[first], size[first])
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        held = np.frombuffer(b"".join(found), dtype=np.int32)
+        count, begin = counts[which], (np.cumsum(counts) - counts)[which]
+        ends = np.cumsum(count)
+        ids = held[np.arange(ends[-1]) + np.repeat(begin - ends + count, count)]
+        edges = np.append(ends - count, ends[-1])[np.searchsorted(start, bounds)].tolist()
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+    def _learn_even(self, new: np.ndarray, keys: list[int], found: list, codes: np.ndarray, letter: np.ndarray, start, size) -> None:
+        """Put the ids of the new parts among those found, and remember them."""
+
+        def text(k: int) -> str:
+            return codes[start[k] : start[k] + size[k]].tobytes().decode("utf-32-le", "surrogatepass")
+
+        rest = []
+        for k in new.tolist():
+            ids = self.older.get(keys[k])
+            if ids is not None:
+                found[k] = self.plain[keys[k]] = ids
+            elif size[k] > _LONG:
+                found[k] = self.word(text(k))
+            else:
+                rest.append(k)
+        rest = np.array(rest, dtype=np.int64)
+        for at in range(0, len(rest), 8_000):
+            part = rest[at : at + 8_000]
+            length = size[part]
+            flat = np.arange(length.sum()) + np.repeat(start[part] - np.cumsum(length) + length, length)
+            for k, ids in zip(part.tolist(), self.v.trie.best(letter[flat], length)[1], strict=True):
+                found[k] = self.plain[keys[k]] = self.word(text(k)) if ids is None else ids
 
     def word(self, word: str) -> bytes:
         if len(self.known) >= self.most:
@@ -342,29 +419,55 @@ def _breaks(v: Vocabulary, text: str, upto: int) -> tuple[int, int] | None:
     """First and last position in a chunk that no piece crosses, at least a piece's length from its start."""
     if not v.words_apart:
         return None
-    at = [m.start() for m in re.finditer(f"(?<=[^{SPACE}]){SPACE}", text[: upto + 1]) if m.start() >= v.longest]
-    return (at[0], at[-1]) if at else None
+    found = _BREAK.search(text, v.longest - 1, upto + 1)
+    if found is None:
+        return None
+    final = text.rfind(SPACE, 0, upto + 1)
+    while text[final - 1] == SPACE:
+        final = text.rfind(SPACE, 0, final)
+    return found.end() - 1, final
+
+
+def lead(v: Vocabulary, text: str) -> list[int]:
+    """Best score from each of the first positions to the end of ``text``, where a piece must end."""
+    step, n = v.steps.get, len(text)
+    alone = (v.unknown, False)
+    best = [_NONE] * n + [0]
+    for i in range(n - 1, -1, -1):
+        j = i + 1
+        found, more = step(text[i], alone)
+        most = best[j] + (v.unknown if found is None else found)
+        while more and j < n:
+            j += 1
+            known = step(text[i:j])
+            if known is None:
+                break
+            found, more = known
+            if found is not None:
+                most = max(most, best[j] + found)
+        best[i] = most
+    return best[: v.longest]
 
 
-def transfer(encoder: Encoder, text: str, size: int, last: bool) -> list[int]:
-    """The chunk's max-plus matrix, by rows of entry states; ``text`` goes on behind the chunk's ``size`` characters."""
-    v = encoder.v
+def transfer(v: Vocabulary, head: str, tail: str | None, middle: int, size: int, last: bool) -> np.ndarray:
+    """The chunk's max-plus matrix, by rows of entry states. ``head`` goes to the first place that no piece crosses, ``middle`` is
+    the score from there to the last such place, and ``tail`` goes on from it. Without such places the tail is None and the head
+    is all; ``size`` is the place in the last text where the next chunk begins."""
     n = v.longest
-    cut = None if last and len(text) < n else _breaks(v, text, size)
 
-    def ends(best: list[int], base: int) -> list[int]:
-        row = [best[base + s] if base + s < len(best) else _NONE for s in range(n)]
-        return [row[0]] + [_NONE] * (n - 1) if last else row
+    def ends(best: list[int]) -> np.ndarray:
+        row = np.full(n, _NONE, dtype=np.int64)
+        reach = best[size : size + 1] if last else best[size : size + n]
+        row[: len(reach)] = reach
+        return row
 
-    if cut is None:
-        return list(chain.from_iterable(ends(lattice(v, text, {s: 0}, size)[0], size) for s in range(n) if s <= size)) + [
-            _NONE
-        ] * (n * max(0, n - 1 - size))
-    first, final = cut
-    heads = [lattice(v, text[:first], {s: 0}, first)[0][first] for s in range(n)]
-    middle = encoder.total(text[first:final])
-    tail = ends(lattice(v, text[final:], {0: 0}, size - final)[0], size - final)
-    return [_NONE if _NONE in (h, t) else h + middle + t for h in heads for t in tail]
+    if tail is None:
+        starts = range(min(n, size + 1))
+        rows = [ends(lattice(v, head, {s: 0}, size)[0]) for s in starts]
+        return np.concatenate(rows + [np.full(n * (n - len(starts)), _NONE, dtype=np.int64)])
+    row = ends(lattice(v, tail, {0: 0}, size)[0])
+    heads = np.array(lead(v, head), dtype=np.int64)
+    return np.where(row[None] == _NONE, _NONE, heads[:, None] + middle + row[None]).ravel()
 
 
 def product(a: list[int], b: list[int], n: int) -> list[int]:
@@ -425,11 +528,22 @@ def scan(frame: DataFrame, combine: Callable, n: int, width: int = 64) -> DataFr
     return joined.mapInArrow(compose, "row bigint, spot bigint, before array<bigint>")
 
 
+# The encoder of this process, which remembers the words of earlier tasks.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(v: Vocabulary) -> Encoder:
+    if v.name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[v.name] = Encoder(v)
+    return _ENCODERS[v.name]
+
+
 def _whole(v: Vocabulary, at_column: int, prove: bool):
     """Rows with the ids of their text; ``prove`` adds whether decoding them gives the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
+        encoder = _encoder(v)
         decoder = Decoder(v) if prove else None
         for batch in batches:
             for at, end in slices(1 << 20, batch.column(at_column)):
@@ -437,7 +551,7 @@ def _whole(v: Vocabulary, at_column: int, prove: bool):
                 values = part.column(at_column).to_pylist()
                 flat = encoder.whole([t or "" for t in values])
                 ends = np.concatenate([[0], np.cumsum([len(ids) for ids in flat])]) if flat else [0]
-                exact = [decoder.text(ids) == (t or "") for t, ids in zip(values, flat, strict=True)] if decoder else []
+                exact = [back == (t or "") for t, back in zip(values, decoder.texts(flat), strict=True)] if decoder else []
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)))
                 columns, names = [*part.columns, ids], [*part.schema.names, "ids of a row"]
                 if decoder:
@@ -473,43 +587,62 @@ def _cut(chunk: int, ahead: int):
 
 
 def _matrices(v: Vocabulary):
+    """For each chunk its head and tail, the place in the tail (or else the head) where the next chunk begins, the ids between head
+    and tail, and its matrix."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
-        for batch in batches:
-            rows, spots, texts, sizes, lasts = (c.to_pylist() for c in batch.columns)
-            encoder.learn([marked(t, False) for t in texts], totals=True)
-            values = [
-                transfer(encoder, marked(t, s == 0), n + (s == 0), last)
-                for s, t, n, last in zip(spots, texts, sizes, lasts, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(values, pa.list_(pa.int64()))], names=["row", "spot", "value"]
-            )
+        encoder = _encoder(v)
+        for whole in batches:
+            for at, end in slices(1 << 20, whole.column(2)):
+                batch = whole.slice(at, end - at)
+                spots, texts, sizes, lasts = (batch.column(k).to_pylist() for k in range(1, 5))
+                texts = [marked(t, s == 0) for s, t in zip(spots, texts, strict=True)]
+                sizes = [n + (s == 0) for s, n in zip(spots, sizes, strict=True)]
+                cuts = [_breaks(v, t, n) for t, n in zip(texts, sizes, strict=True)]
+                heads = [t[: c[0]] if c else t for t, c in zip(texts, cuts, strict=True)]
+                tails = [t[c[1] :] if c else None for t, c in zip(texts, cuts, strict=True)]
+                sizes = [n - c[1] if c else n for n, c in zip(sizes, cuts, strict=True)]
+                middles = encoder.split([t[c[0] : c[1]] if c else "" for t, c in zip(texts, cuts, strict=True)])
+                values = [
+                    transfer(v, h, t, int(encoder.weight[ids].sum()), n, last)
+                    for h, t, ids, n, last in zip(heads, tails, middles, sizes, lasts, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        batch.column(1),
+                        pa.array([unmarked(h)[s == 0 :] for s, h in zip(spots, heads, strict=True)], pa.string()),
+                        pa.array([t and unmarked(t) for t in tails], pa.string()),
+                        pa.array(sizes, pa.int64()),
+                        batch.column(4),
+                        _lists(middles, np.int32),
+                        _lists(values, np.int64),
+                    ],
+                    names=["row", "spot", "head", "tail", "size", "last", "middle", "value"],
+                )
 
     return run
 
 
-def _paths(encoder: Encoder, text: str, size: int, before: list[int] | None):
-    """Given the scores at a chunk's start: start state and ids of the best path to each end state."""
-    v = encoder.v
-    n = v.longest
-    begin = {0: 0} if before is None else {s: x for s, x in enumerate(before[:n]) if x > _NONE}
-    cut = _breaks(v, text, size)
-    if cut is None:
-        _, back = lattice(v, text, begin, size)
+def _lists(arrays: list[np.ndarray], kind: type) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, kind), *arrays])))
+
+
+def _path(v: Vocabulary, head: str, tail: str | None, size: int, before: list[int] | None):
+    """Given the scores at a chunk's start: start state of the best path to an end state, and its ids in head and tail."""
+    begin = {0: 0} if before is None else {s: x for s, x in enumerate(before) if x > _NONE}
+    if tail is None:
+        _, back = lattice(v, head, begin, size)
 
         def path(state):
-            return traced(v, text, back, size + state)
+            return (*traced(v, head, back, size + state), ())
 
         return path
-    first, final = cut
-    _, head = lattice(v, text[:first], begin, first)
-    entry, head_ids = traced(v, text[:first], head, first)
-    _, tail = lattice(v, text[final:], {0: 0}, size - final)
+    entry, ids = traced(v, head, lattice(v, head, begin, len(head))[1], len(head))
 
     def path(state):
-        middle = tuple(encoder.ids(text[first:final]))
-        return entry, head_ids + middle + traced(v, text[final:], tail, size - final + state)[1]
+        return entry, ids, traced(v, tail, lattice(v, tail, {0: 0}, size)[1], size + state)[1]
 
     path.entry = entry
     return path
@@ -519,15 +652,15 @@ def _choices(v: Vocabulary):
     """For each chunk, the start state of the best path to each end state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
         for batch in batches:
-            rows, spots, texts, sizes, lasts, befores = (c.to_pylist() for c in batch.columns)
             values = []
-            for s, t, n, last, before in zip(spots, texts, sizes, lasts, befores, strict=True):
-                path = _paths(encoder, marked(t, s == 0), n + (s == 0), before)
-                reach = range(1) if last else range(min(v.longest, len(t) - n + 1))
+            for row in zip(*batch.columns[1:], strict=True):
+                spot, head, tail, size, last, before = (x.as_py() for x in row)
+                head, tail = marked(head, spot == 0), tail and marked(tail, False)
+                path = _path(v, head, tail, size, before)
+                reach = 1 if last else min(v.longest, len(head if tail is None else tail) - size + 1)
                 entry = getattr(path, "entry", None)
-                value = [path(k)[0] if entry is None else entry for k in reach]
+                value = [path(k)[0] if entry is None else entry for k in range(reach)]
                 value = [e if e < v.longest else -1 for e in value]  # no path ends in that state
                 values.append(value + [-1] * (v.longest - len(value)))
             yield pa.RecordBatch.from_arrays(
@@ -537,33 +670,45 @@ def _choices(v: Vocabulary):
     return run
 
 
-def _parts(v: Vocabulary):
+def _ends(v: Vocabulary):
+    """For each chunk the ids in its head, as side 0, and in its tail, as side 2."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(v)
         for batch in batches:
-            rows, spots, texts, sizes, lasts, befores, states = (c.to_pylist() for c in batch.columns)
-            encoder.learn([marked(t, False) for t in texts])
-            ids = [
-                list(_paths(encoder, marked(t, s == 0), n + (s == 0), before)(state)[1])
-                for s, t, n, before, state in zip(spots, texts, sizes, befores, states, strict=True)
-            ]
+            rows, spots, sides, ids = [], [], [], []
+            for scalars in zip(*batch.columns, strict=True):
+                row, spot, head, tail, size, _, before, state = (x.as_py() for x in scalars)
+                _, first, final = _path(v, marked(head, spot == 0), tail and marked(tail, False), size, before)(state)
+                rows += [row] * 2
+                spots += [spot] * 2
+                sides += [0, 2]
+                ids += [np.array(first, dtype=np.int32), np.array(final, dtype=np.int32)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["row", "spot", "ids"]
+                [pa.array(rows, pa.int64()), pa.array(spots, pa.int64()), pa.array(sides, pa.int32()), _lists(ids, np.int32)],
+                names=["row", "spot", "side", "ids"],
             )
 
     return run
 
 
 def long_ids(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
-    """(row, ids) of the texts (row, text), each cut into chunks of ``chunk`` to twice as many characters."""
+    """(row, ids) of the texts (row, text), each cut into chunks of ``chunk`` to twice as many characters.
+
+    A chunk is encoded once, between the first and the last place that no piece crosses; only the texts before and behind
+    them, a few words, are read again when the scores and choices of other chunks are known.
+    """
     schema = "row bigint, spot bigint, part string, size bigint, last boolean"
-    cut = texts.select("row", "text").mapInArrow(_cut(chunk, v.longest - 1), schema)
-    cut = stored(cut, "chunks")
-    matrices = cut.mapInArrow(_matrices(v), "row bigint, spot bigint, value array<bigint>")
-    matrices = stored(matrices, "matrices")
-    before = scan(matrices, product, v.longest)
-    placed = stored(cut.join(before, ["row", "spot"]).select("row", "spot", "part", "size", "last", "before"), "placed")
-    release(texts.sparkSession, cut, matrices)
+    kept = "row bigint, spot bigint, head string, tail string, size bigint, last boolean"
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = texts.select("row", "text").mapInArrow(_cut(chunk, v.longest - 1), schema).repartition(tasks, "row", "spot")
+    chunks = stored(cut.mapInArrow(_matrices(v), f"{kept}, middle array<int>, value array<bigint>"), "chunks")
+    del cut
+    release(texts.sparkSession)
+    # of the scores before a chunk only those from the start of the text count
+    before = scan(chunks.select("row", "spot", "value"), product, v.longest)
+    before = before.select("row", "spot", F.slice("before", 1, v.longest).alias("before"))
+    edges = chunks.select("row", "spot", "head", "tail", "size", "last")
+    placed = stored(edges.join(before, ["row", "spot"]).select(*edges.columns, "before"), "placed")
     choices = stored(placed.mapInArrow(_choices(v), "row bigint, spot bigint, value array<bigint>"), "choices")
     # from the end: spots count down, and the maps of all later chunks lead from the end's state 0 to this one's
     counts = choices.groupBy("row").agg(F.max("spot").alias("top"))
@@ -573,9 +718,11 @@ def long_ids(texts: DataFrame, v: Vocabulary, chunk: int) -> DataFrame:
         later.join(counts, "row")
         .select("row", (F.col("top") - F.col("spot")).alias("spot"), F.coalesce(F.col("before")[0], F.lit(0)).alias("state"))
     )
-    parts = placed.join(states, ["row", "spot"]).mapInArrow(_parts(v), "row bigint, spot bigint, ids array<int>")
+    ends = placed.join(states, ["row", "spot"]).select(*placed.columns, "state")
+    ends = ends.mapInArrow(_ends(v), "row bigint, spot bigint, side int, ids array<int>")
+    parts = ends.unionByName(chunks.select("row", "spot", F.lit(1).alias("side"), F.col("middle").alias("ids")))
     return parts.groupBy("row").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("spot", "ids"))), lambda x: x["ids"])).alias("ids")
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("spot", "side", "ids"))), lambda x: x["ids"])).alias("ids")
     )
 
 
@@ -635,19 +782,33 @@ def text_of(v: Vocabulary, ids: list[int], byte_of: dict[int, int]) -> str:
 
 
 class Decoder:
-    """Texts of piece ids; the lists of pieces are made once."""
+    """Texts of piece ids; the bytes of the pieces are made once."""
 
     def __init__(self, v: Vocabulary):
         self.v = v
         self.byte_of = {i: b for b, i in enumerate(v.byte_ids)}
-        self.texts = [t.replace(SPACE, " ") for t in v.texts]
-        self.is_byte = np.zeros(len(self.texts), dtype=bool)
-        self.is_byte[list(v.byte_ids)] = True
-
-    def text(self, ids: np.ndarray) -> str:
-        if self.is_byte[ids].any():
-            return text_of(self.v, ids.tolist(), self.byte_of)
-        return "".join(map(self.texts.__getitem__, ids.tolist()))[1:]
+        pieces = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(SPACE, " ").encode() for i, t in enumerate(v.texts)]
+        self.pieces = pa.array(pieces, pa.large_binary())
+
+    def raw(self, ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, list[int]]:
+        """The bytes of some texts, whose ids lie end to end, and where each text ends; each begins with its mark."""
+        joined = self.pieces.take(pa.array(ids))
+        _, offsets, data = joined.buffers()
+        places = np.frombuffer(offsets, dtype=np.int64)[: len(joined) + 1]
+        return data.to_pybytes() if data is not None else b"", places[ends].tolist()
+
+    def texts(self, flat: list[np.ndarray]) -> list[str]:
+        """The texts of some lists of ids."""
+        ends = np.cumsum([0, *map(len, flat)])
+        data, at = self.raw(np.concatenate([np.zeros(0, dtype=np.int32), *flat]), ends)
+        out = []
+        for ids, a, b in zip(flat, at[:-1], at[1:], strict=True):
+            try:
+                out.append(data[a:b].decode()[1:])
+            except UnicodeDecodeError:
+                # bytes that are no text: what lies between two pieces is read apart
+                out.append(text_of(self.v, ids.tolist(), self.byte_of))
+        return out
 
 
 def _decode(v: Vocabulary, at_column: int):
@@ -656,10 +817,10 @@ def _decode(v: Vocabulary, at_column: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                out = [
-                    decoder.text(ids.values.to_numpy(zero_copy_only=False)) if ids.is_valid else ""
-                    for ids in part.column(at_column)
-                ]
+                nothing = np.zeros(0, dtype=np.int32)
+                out = decoder.texts(
+                    [ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else nothing for ids in part.column(at_column)]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(out, pa.string())], names=[*part.schema.names, "text of a row"]
                 )

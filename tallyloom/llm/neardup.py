@@ -20,7 +20,8 @@ from tallyloom.llm.common import fresh, stored
 from tallyloom.llm.components import components
 from tallyloom.llm.words import join_names, mix, slices, words_of
 
-_PIECE = 4 << 20
+# Bytes of text whose shingles a task holds at once; a longer text stands alone.
+_PIECE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -311,16 +312,18 @@ def _signature(names: np.ndarray) -> bytes:
 
 def _set_rows(banding: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(shingle_sets(batch.column(1), banding.shingle))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).cast(pa.int64()),
-                    pa.array([_signature(names) for names in sets], pa.binary()),
-                    pa.array([names.tobytes() for names in sets], pa.binary()),
-                ],
-                names=["doc_id", "signature", "names"],
-            )
+        for whole in batches:
+            for begin, end in slices(_PIECE, whole.column(1)):
+                batch = whole.slice(begin, end - begin)
+                sets = list(shingle_sets(batch.column(1), banding.shingle))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).cast(pa.int64()),
+                        pa.array([_signature(names) for names in sets], pa.binary()),
+                        pa.array([names.tobytes() for names in sets], pa.binary()),
+                    ],
+                    names=["doc_id", "signature", "names"],
+                )
 
     return run
 

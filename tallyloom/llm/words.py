@@ -31,6 +31,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# Letters whose products are held at once.
+_PORTION = 1 << 20
+
+
 @dataclass
 class Words:
     """Words of some documents, in order.
@@ -61,6 +65,24 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _polynomials(letters: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The polynomial of each word; ``letters`` are the bytes of all words end to end. A portion of whole words goes at once, as its
+    numbers take forty times its bytes."""
+    power = np.ones(int(length.max()), dtype=np.uint64)
+    np.multiply.accumulate(np.full(len(power) - 1, _BASE), out=power[1:])
+    at = np.cumsum(length) - length
+    out = np.empty(len(length), dtype=np.uint64)
+    one = 0
+    while one < len(length):
+        end = max(one + 1, int(np.searchsorted(at, at[one] + _PORTION)))
+        begin = at[one:end] - at[one]
+        part = letters[at[one] : at[end - 1] + length[end - 1]]
+        place = np.arange(len(part)) - np.repeat(begin, length[one:end])
+        out[one:end] = np.add.reduceat(_BYTES[part] * power[place], begin)
+        one = end
+    return out
+
+
 def words_of(column: pa.Array, lower: bool) -> Words:
     """The words of a text column; ``lower`` turns A-Z into a-z first."""
     return words_in(*text_bytes(column), lower)
@@ -83,12 +105,7 @@ def words_in(data: np.ndarray, bounds: np.ndarray, lower: bool) -> Words:
     first = np.searchsorted(start, bounds)
     length = end - start
     if len(start):
-        at = np.cumsum(length) - length
-        place = np.arange(int(at[-1] + length[-1])) - np.repeat(at, length)
-        power = np.ones(int(length.max()), dtype=np.uint64)
-        np.multiply.accumulate(np.full(len(power) - 1, _BASE), out=power[1:])
-        name = np.add.reduceat(_BYTES[data[inside]] * power[place], at)
-        name = mix(name + length.astype(np.uint64) * _M2)
+        name = mix(_polynomials(data[inside], length) + length.astype(np.uint64) * _M2)
     else:
         name = np.zeros(0, dtype=np.uint64)
     return Words(data, first, start, end, name)

@@ -8,6 +8,7 @@ target weights, and the texts are encoded to pieces and decoded again. Every sta
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,22 @@ from tallyloom.llm import lines, mixing, neardup, pieces, toxicity
 from tallyloom.llm.common import WORD, fresh, stored, table
 
 
+# Bytes of rows that go to a Python worker at once. With Spark's 64 MB a task's whole split is one batch, which the executor and the worker
+# hold several times over, outside the heap; what that leaves in their allocators is still there in later stages.
+BATCH_BYTES = "2m"
+
+
+def _in_portions(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage whose rows go to Python by ``BATCH_BYTES``. The setting stays with the session, as the stage's frame is computed later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _apart(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """A stage over documents whose columns of these names are called otherwise meanwhile."""
     clash = [c for c in docs.columns if c.lower() in names]
@@ -23,6 +40,7 @@ def _apart(docs: DataFrame, names: list[str], stage: Callable[[DataFrame], DataF
     return stage(docs.withColumnsRenamed(renamed)).withColumnsRenamed({b: a for a, b in renamed.items()})
 
 
+@_in_portions
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score stays below one half."""
     model = toxicity.train(toxicity.training_rows(docs), table(spark, sf_dir, "labels"))
@@ -33,6 +51,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _apart(docs, ["score"], stage)
 
 
+@_in_portions
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated line chunks; documents that consist of nothing else go."""
     cut = lines.remove_repeated(docs)
@@ -43,6 +62,7 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return left.select(*docs.columns)
 
 
+@_in_portions
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word-shingle similarity 0.8 or more, and one of rows that repeat id and text."""
     return neardup.unique_documents(docs)
@@ -53,6 +73,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _apart(docs, ["size", "source_size", "target", "taken", "part"], mixing.mixed_documents)
 
 
+@_in_portions
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, the piece ids, and whether decoding them gives the text again."""
     return pieces.encode(docs, pieces.load(), prove=True).select(
